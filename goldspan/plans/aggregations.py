@@ -171,11 +171,11 @@ def _order(agg: Aggregation, keys: list[str]) -> list[Column]:
 def _range_frame(counted: DataFrame, agg: Aggregation, parents: list[str]) -> DataFrame:
     """Counts with the range ends as columns; unhit ranges count 0 at the top level."""
     n, place = agg.name, f"_{agg.name}_place"
-    ends = counted.sparkSession.createDataFrame(
-        [(i, None if lo is None else float(lo), None if hi is None else float(hi))
-         for i, (lo, hi) in enumerate(agg.params["ranges"])],
-        f"{place} int, {n}_from double, {n}_to double",
-    )
+    listed = [
+        F.struct(F.lit(i).alias(place), F.lit(lo).cast("double").alias(f"{n}_from"), F.lit(hi).cast("double").alias(f"{n}_to"))
+        for i, (lo, hi) in enumerate(agg.params["ranges"])
+    ]
+    ends = counted.sparkSession.range(1).select(F.inline(F.array(*listed)))
     keep = "left" if agg.min_doc_count == 0 and not parents else "inner"
     frame = ends.join(counted, place, keep).fillna(0, subset=["doc_count"])
     rest = [c for c in counted.columns if c not in (*parents, place)]
