@@ -104,7 +104,7 @@ def _(t: Tables):
     """Each event with that user's purchase before it."""
     e = t.events.select("event_id", "user_id", "ts")
     purchases = t.events.where("event_type = 'purchase'").select("event_id", "user_id", "ts", "value")
-    found = latest_before(e, purchases, "user_id", "ts", ["event_id", "value"], F.to_date("ts"))
+    found = latest_before(e, purchases, "user_id", "ts", ["event_id", "value"], F.date_trunc("hour", "ts"))
     return found.select("event_id", "previous_event_id", "previous_value")
 
 
@@ -132,7 +132,7 @@ SELECT o_orderkey, o_custkey, row_number() OVER (PARTITION BY o_custkey ORDER BY
   dense_rank() OVER (PARTITION BY o_custkey ORDER BY o_orderdate) AS dense_rank FROM orders""")
 def _(t: Tables):
     rows = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
-    out = windows.ranked(rows, ["o_custkey"], ["o_orderdate", "o_orderkey"], ["o_orderdate"], F.trunc("o_orderdate", "month"))
+    out = windows.ranked(rows, ["o_custkey"], ["o_orderdate", "o_orderkey"], ["o_orderdate"], F.to_date("o_orderdate"))
     return out.drop("o_orderdate")
 
 
@@ -143,7 +143,7 @@ SELECT event_id, lag(value) OVER w AS previous_value, lead(value) OVER w AS next
 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""")
 def _(t: Tables):
     rows = t.events.select("event_id", "user_id", "ts", "value")
-    return windows.neighbours(rows, ["user_id"], ["ts", "event_id"], ["value"], F.to_date("ts")).drop("user_id", "ts", "value")
+    return windows.neighbours(rows, ["user_id"], ["ts", "event_id"], ["value"], F.date_trunc("hour", "ts")).drop("user_id", "ts", "value")
 
 
 @job("sql_window_frame", """
@@ -153,7 +153,7 @@ SELECT event_id,
 FROM events""")
 def _(t: Tables):
     rows = t.events.select("event_id", "user_id", "ts", "value")
-    out = windows.running_sum(rows, ["user_id"], ["ts", "event_id"], "value", F.to_date("ts"), "running")
+    out = windows.running_sum(rows, ["user_id"], ["ts", "event_id"], "value", F.date_trunc("hour", "ts"), "running")
     out = windows.sliding_sum(out, ["user_id"], "ts", "value", 86400, "last_day")
     return out.select("event_id", F.round("running", 4).alias("running"), F.round("last_day", 4).alias("last_day"))
 
@@ -163,7 +163,7 @@ def _(t: Tables):
 def _(t: Tables):
     """A frame of three rows: the row, the one before, and the one before that."""
     rows = t.events.select("event_id", "user_id", "ts", "value")
-    by, order, slab = ["user_id"], ["ts", "event_id"], F.to_date("ts")
+    by, order, slab = ["user_id"], ["ts", "event_id"], F.date_trunc("hour", "ts")
     once = windows.neighbours(rows, by, order, ["value"], slab).select(*rows.columns, F.col("previous_value").alias("v1"))
     twice = windows.neighbours(once, by, order, ["v1"], slab).select("event_id", "value", "v1", F.col("previous_v1").alias("v2"))
     three = F.array_compact(F.array("value", "v1", "v2"))

@@ -88,8 +88,8 @@ def fires(rule: Rule) -> Column:
 
 def _lookup_fields(rule: Rule) -> tuple[Sequence[str], Sequence[str]]:
     mine = [rule.field] if isinstance(rule.field, str) else list(rule.field)
-    theirs = list(rule.params[0]) if rule.params else mine
-    return mine, [theirs] if isinstance(theirs, str) else theirs
+    theirs = rule.params[0] if rule.params else mine
+    return mine, [theirs] if isinstance(theirs, str) else list(theirs)
 
 
 def with_lookups(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, dict[int, Column]]:

@@ -2,8 +2,8 @@
 
 Staging spaces hold ``source=<connector>_<staging>/ingest_date=<day>``; the
 other spaces hold ``name=<model or view>/ingest_date=<day>`` where the part
-below the name is optional. Reading a source, a day or a month is therefore a
-partition filter that Spark resolves before it opens a file.
+below the name is optional. Reading a source is a folder, reading a day or a
+month a partition filter: Spark settles both before it opens a file.
 """
 
 from __future__ import annotations
@@ -67,14 +67,14 @@ class Lake:
         callback    function on pandas batches, with ``callback_schema`` as its result
         drifted     files may differ in columns: read every footer and merge them
         """
-        if not path_exists(self.spark, self.path(space)):
+        folder = f"{self.path(space)}/{self._owner(space)}={table}"
+        if not path_exists(self.spark, folder):
             return None
-        df = self.spark.read.option("mergeSchema", str(drifted).lower()).parquet(self.path(space))
-        owner = self._owner(space)
-        df = df.where(F.col(owner) == table)
+        df = self.spark.read.option("mergeSchema", str(drifted).lower()).parquet(folder)
         if prefix is not None:
             df = df.where(F.col("ingest_date").cast("string").startswith(prefix))
-        df = df.drop(owner, *([] if columns and "ingest_date" in columns else ["ingest_date"]))
+        if not (columns and "ingest_date" in columns):
+            df = df.drop("ingest_date")
         if columns is not None:
             df = df.select(*with_keys(columns))
         if max_hits is not None:
