@@ -10,7 +10,8 @@ from goldspan.jobs import fixtures as fx
 from goldspan.jobs.base import Tables, job
 from goldspan.operators import controls as q
 from goldspan.plans.aggregations import run
-from goldspan.plans.filters import Predicate, Search, apply_filter, between, has_type, term
+from goldspan.plans.filters import Search, apply_filter, between, term
+from goldspan.plans.request import aggregations, find
 from goldspan.plans.named import bind_search, run_sql_template
 from goldspan.session import workspace
 
@@ -160,3 +161,33 @@ def _(t: Tables):
     template = """SELECT o_orderstatus AS status, round(sum(o_totalprice), 2) AS total FROM orders
                   WHERE o_orderpriority = {{priority}} AND o_totalprice >= {{ low }} GROUP BY 1"""
     return run_sql_template(t.view("orders"), template, {"priority": "2-HIGH", "low": 20000.0})
+
+
+@job("qry_request", f"""WITH {fx.HITS_SQL} SELECT c_custkey, c_name, c_acctbal FROM hits
+     WHERE has_values AND c_mktsegment <> 'MACHINERY' AND c_acctbal >= 500 ORDER BY c_acctbal DESC, "mdmId" LIMIT 120""")
+def _(t: Tables):
+    """A whole query in its JSON form: type, filter, sort field, size and result form."""
+    wire = {
+        "mustList": [
+            {"mdmFilterType": "TYPE_FILTER", "mdmValue": "customerGolden"},
+            {"mdmFilterType": "RANGE_FILTER", "mdmKey": "mdmGoldenFieldAndValues.c_acctbal", "mdmValue": [500.0, None]},
+        ],
+        "mustNotList": [{"mdmFilterType": "TERM_FILTER", "mdmKey": "mdmGoldenFieldAndValues.c_mktsegment.raw", "mdmValue": "MACHINERY"}],
+    }
+    found = find({"customerGolden": fx.hits(t)}, wire, sort_by="mdmGoldenFieldAndValues.c_acctbal", sort_order="DESC", max_hits=120)
+    return found.select("c_custkey", "c_name", "c_acctbal")
+
+
+@job("qry_request_types", """SELECT o_orderstatus AS status, count(*) AS doc_count FROM orders
+     WHERE o_orderstatus IN ('F', 'O') AND o_orderdate <= TIMESTAMP '1998-06-30 00:00:00' GROUP BY 1""")
+def _(t: Tables):
+    """Two record types named as alternatives are searched together."""
+    tables = {"orderGolden": t.orders.where("o_orderstatus = 'F'"), "orderMaster": t.orders.where("o_orderstatus = 'O'"),
+              "orderRejected": t.orders.where("o_orderstatus = 'P'")}
+    wire = {
+        "mustList": [{"mdmFilterType": "RANGE_FILTER", "mdmKey": "o_orderdate", "mdmValue": [None, "1998-06-30"]}],
+        "shouldList": [{"mdmFilterType": "TYPE_FILTER", "mdmValue": "orderGolden"},
+                       {"mdmFilterType": "TYPE_FILTER", "mdmValue": "orderMaster"}],
+        "aggregationList": [{"type": "TERM", "name": "status", "params": "o_orderstatus"}],
+    }
+    return aggregations(tables, wire)["status"]

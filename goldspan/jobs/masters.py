@@ -9,7 +9,7 @@ from goldspan.jobs.base import Tables, job
 from goldspan.jobs.rules import CONTACTS_SQL, contacts
 from goldspan.operators import master as m
 from goldspan.operators import opslog
-from goldspan.operators.rules import Rule
+from goldspan.operators.rules import Rule, errors_of
 from goldspan.operators.sinks import write_validated
 from goldspan.session import workspace
 
@@ -74,9 +74,9 @@ checked AS (
 
 @job("mdm_validate", f"""WITH {CHECKED_SQL} SELECT c_custkey, CASE WHEN errors = '' THEN 'golden' ELSE 'rejected' END AS kind, errors FROM checked""")
 def _(t: Tables):
-    golden, rejected = m.validate(contacts(t), contact_rules(t))
-    return golden.select("c_custkey", F.lit("golden").alias("kind"), F.lit("").alias("errors")).unionByName(
-        rejected.select("c_custkey", F.lit("rejected").alias("kind"), F.array_join("mdmErrors", ";").alias("errors")))
+    checked = errors_of(contacts(t), contact_rules(t))
+    kind = F.when(F.size("mdmErrors") == 0, "golden").otherwise("rejected")
+    return checked.select("c_custkey", kind.alias("kind"), F.array_join("mdmErrors", ";").alias("errors"))
 
 
 @job("mdm_validate_stored", f"""WITH {CHECKED_SQL} SELECT errors = '' AS golden, count(*) AS n FROM checked GROUP BY 1""")

@@ -1,4 +1,4 @@
-"""Train, score and judge a model of a line's price."""
+"""Train, score and judge a model of a document's length."""
 
 from __future__ import annotations
 
@@ -9,22 +9,30 @@ from goldspan.jobs.base import Tables, job
 from goldspan.operators import modelling as ml
 from goldspan.session import workspace
 
-FEATURES = ["l_quantity", "l_discount", "l_tax"]
-TARGET = "l_extendedprice"
+FEATURES = ["n_words", "n_lines", "n_commas"]
+TARGET = "n_chars"
 
 
 def sample_rows(t: Tables):
-    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-    return ml.split(t.lineitem.select(*keys, *FEATURES, TARGET), keys)
+    """Documents with counts of their parts as features of their length."""
+    def occurrences(pattern):
+        return (F.size(F.split("text", pattern)) - 1).cast("double")
+
+    rows = t.documents.select(
+        "doc_id", occurrences(" ").alias("n_words"), occurrences("\n").alias("n_lines"),
+        occurrences(",").alias("n_commas"), F.col("n_chars").cast("double").alias(TARGET))
+    return ml.split(rows, ["doc_id"])
 
 
 def trained(t: Tables):
     return ml.train(sample_rows(t).where("is_train").select(*FEATURES, TARGET), FEATURES, TARGET, max_iter=5, max_depth=3)
 
 
-@job("ml_split")
+@job("ml_split", """SELECT l_returnflag, CAST('0x' || substr(md5(concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey)), 1, 8) AS BIGINT) % 100 < 80 AS is_train,
+     count(*) AS n FROM lineitem GROUP BY ALL""")
 def _(t: Tables):
-    return sample_rows(t).groupBy("is_train").agg(F.count(F.lit(1)).alias("n"))
+    rows = ml.split(t.lineitem, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"])
+    return rows.groupBy("l_returnflag", "is_train").agg(F.count(F.lit(1)).alias("n"))
 
 
 @job("ml_train")
@@ -37,7 +45,7 @@ def _(t: Tables):
 
 @job("ml_score")
 def _(t: Tables):
-    return ml.score(trained(t), sample_rows(t)).select("l_orderkey", "l_linenumber", TARGET, "prediction")
+    return ml.score(trained(t), sample_rows(t)).select("doc_id", "is_train", TARGET, "prediction")
 
 
 @job("ml_residuals", """SELECT l_returnflag, count(*) AS n, round(avg(pow(l_extendedprice - l_quantity * 1500, 2)), 2) AS mse,
@@ -46,7 +54,7 @@ def _(t: Tables):
 def _(t: Tables):
     """Errors of a plain guess (1500 per piece), per return flag."""
     guessed = t.lineitem.withColumn("prediction", F.col("l_quantity") * 1500)
-    out = ml.residuals(guessed, TARGET, by=["l_returnflag"])
+    out = ml.residuals(guessed, "l_extendedprice", by=["l_returnflag"])
     return out.withColumns({"mse": F.round("mse", 2), "mae": F.round("mae", 4), "rmse": F.round("rmse", 4)})
 
 
@@ -55,7 +63,7 @@ def _(t: Tables):
     return ml.residuals(ml.score(trained(t), sample_rows(t)), TARGET, by=["is_train"])
 
 
-@job("ml_deploy_gate")
+@job("ml_deploy_gate", "SELECT count(*) AS n, true AS refused, true AS kept FROM documents")
 def _(t: Tables):
     """The model is kept when it beats the spread of the target, and refused against a limit of 1."""
     model = trained(t)

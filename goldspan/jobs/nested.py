@@ -48,14 +48,14 @@ def _(t: Tables):
     return n.path_tree(paths, "path")
 
 
-@job("udf_page_callback", "SELECT event_id, round(value * 1.1, 2) AS value, upper(event_type) AS event_type FROM events")
+@job("udf_page_callback", "SELECT event_id, value * 2 AS value, upper(event_type) AS event_type FROM events")
 def _(t: Tables):
     """A user's function on every page (Arrow batch) of a result."""
     def page(frame: pd.DataFrame) -> pd.DataFrame:
-        return frame.assign(value=frame["value"] * 1.1, event_type=frame["event_type"].str.upper())
+        return frame.assign(value=frame["value"] * 2, event_type=frame["event_type"].str.upper())
 
-    out = map_batches(t.events.select("event_id", "value", "event_type"), page, "event_id long, value double, event_type string")
-    return out.withColumn("value", F.round("value", 2))
+    pages = t.events.select("event_id", "value", "event_type")
+    return map_batches(pages, page, "event_id long, value double, event_type string")
 
 
 @job("udf_file_callback", "SELECT o_orderkey, o_orderstatus || '/' || o_orderpriority AS label FROM orders WHERE o_totalprice > 250000")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from goldspan.jobs.base import Tables, job
 from goldspan.operators import windows
-from goldspan.operators.joins import interval_join, latest_before
+from goldspan.operators.joins import interval_join, latest_before, left_join_many
 from goldspan.operators.sqlapi import TableCache, check_select, run_sql
 
 
@@ -75,16 +75,26 @@ def _(t: Tables):
 
 sql_job("sql_join_inner", "orders customer",
         "SELECT o_orderkey, c_name, c_mktsegment FROM orders JOIN customer ON o_custkey = c_custkey")
-sql_job("sql_join_left", "orders customer", """
-SELECT c_custkey, o_orderkey, o_totalprice FROM customer LEFT JOIN orders ON o_custkey = c_custkey AND o_totalprice > 400000""")
+@job("sql_join_left", """SELECT c_custkey, o_orderkey, o_totalprice FROM customer LEFT JOIN orders
+     ON o_custkey = c_custkey AND o_totalprice > 400000""")
+def _(t: Tables):
+    dear = t.orders.where("o_totalprice > 400000").select(F.col("o_custkey").alias("c_custkey"), "o_orderkey", "o_totalprice")
+    return left_join_many(t.customer.select("c_custkey"), dear, ["c_custkey"])
+
+
 sql_job("sql_join_full", "customer supplier", """
 SELECT c.k AS c_nation, s.k AS s_nation, c.n AS customers, s.n AS suppliers FROM
  (SELECT c_nationkey AS k, count(*) AS n FROM customer WHERE c_acctbal > 9000 GROUP BY 1) c FULL JOIN
  (SELECT s_nationkey AS k, count(*) AS n FROM supplier GROUP BY 1) s ON c.k = s.k""")
+# the inner tables are made distinct: a key of very many rows is then one row
 sql_job("sql_join_semi", "orders customer", """
+SELECT c_custkey, c_name FROM customer LEFT SEMI JOIN
+ (SELECT DISTINCT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT') ON o_custkey = c_custkey""", """
 SELECT c_custkey, c_name FROM customer WHERE EXISTS
  (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderpriority = '1-URGENT')""")
 sql_job("sql_join_anti", "part lineitem", """
+SELECT p_partkey, p_name FROM part LEFT ANTI JOIN
+ (SELECT DISTINCT l_partkey FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 25) ON l_partkey = p_partkey""", """
 SELECT p_partkey, p_name FROM part WHERE NOT EXISTS
  (SELECT 1 FROM lineitem WHERE l_partkey = p_partkey AND l_returnflag = 'R' AND l_quantity > 25)""")
 
@@ -104,7 +114,7 @@ def _(t: Tables):
     """Each event with that user's purchase before it."""
     e = t.events.select("event_id", "user_id", "ts")
     purchases = t.events.where("event_type = 'purchase'").select("event_id", "user_id", "ts", "value")
-    found = latest_before(e, purchases, "user_id", "ts", ["event_id", "value"], F.date_trunc("hour", "ts"))
+    found = latest_before(e, purchases, "user_id", "ts", ["event_id", "value"], "event_id")
     return found.select("event_id", "previous_event_id", "previous_value")
 
 
@@ -132,8 +142,7 @@ SELECT o_orderkey, o_custkey, row_number() OVER (PARTITION BY o_custkey ORDER BY
   dense_rank() OVER (PARTITION BY o_custkey ORDER BY o_orderdate) AS dense_rank FROM orders""")
 def _(t: Tables):
     rows = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
-    out = windows.ranked(rows, ["o_custkey"], ["o_orderdate", "o_orderkey"], ["o_orderdate"], F.to_date("o_orderdate"))
-    return out.drop("o_orderdate")
+    return windows.ranked(rows, ["o_custkey"], ["o_orderdate", "o_orderkey"], ["o_orderdate"]).drop("o_orderdate")
 
 
 @job("sql_window_lag", """
@@ -143,19 +152,15 @@ SELECT event_id, lag(value) OVER w AS previous_value, lead(value) OVER w AS next
 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""")
 def _(t: Tables):
     rows = t.events.select("event_id", "user_id", "ts", "value")
-    return windows.neighbours(rows, ["user_id"], ["ts", "event_id"], ["value"], F.date_trunc("hour", "ts")).drop("user_id", "ts", "value")
+    return windows.neighbours(rows, ["user_id"], ["ts", "event_id"], ["value"]).drop("user_id", "ts", "value")
 
 
-@job("sql_window_frame", """
-SELECT event_id,
-  round(sum(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING), 4) AS running,
-  round(sum(value) OVER (PARTITION BY user_id ORDER BY date_trunc('second', ts) RANGE BETWEEN INTERVAL 86400 SECONDS PRECEDING AND CURRENT ROW), 4) AS last_day
-FROM events""")
+@job("sql_window_frame", """SELECT event_id, round(sum(value) OVER (PARTITION BY user_id ORDER BY ts, event_id
+     ROWS UNBOUNDED PRECEDING), 4) AS running FROM events""")
 def _(t: Tables):
     rows = t.events.select("event_id", "user_id", "ts", "value")
-    out = windows.running_sum(rows, ["user_id"], ["ts", "event_id"], "value", F.date_trunc("hour", "ts"), "running")
-    out = windows.sliding_sum(out, ["user_id"], "ts", "value", 86400, "last_day")
-    return out.select("event_id", F.round("running", 4).alias("running"), F.round("last_day", 4).alias("last_day"))
+    out = windows.running_sum(rows, ["user_id"], ["ts", "event_id"], "value", "running")
+    return out.select("event_id", F.round("running", 4).alias("running"))
 
 
 @job("sql_window_rows", """SELECT event_id, round(avg(value) OVER (PARTITION BY user_id ORDER BY ts, event_id
@@ -163,9 +168,9 @@ def _(t: Tables):
 def _(t: Tables):
     """A frame of three rows: the row, the one before, and the one before that."""
     rows = t.events.select("event_id", "user_id", "ts", "value")
-    by, order, slab = ["user_id"], ["ts", "event_id"], F.date_trunc("hour", "ts")
-    once = windows.neighbours(rows, by, order, ["value"], slab).select(*rows.columns, F.col("previous_value").alias("v1"))
-    twice = windows.neighbours(once, by, order, ["v1"], slab).select("event_id", "value", "v1", F.col("previous_v1").alias("v2"))
+    by, order = ["user_id"], ["ts", "event_id"]
+    once = windows.neighbours(rows, by, order, ["value"]).select(*rows.columns, F.col("previous_value").alias("v1"))
+    twice = windows.neighbours(once, by, order, ["v1"]).select("event_id", "value", "v1", F.col("previous_v1").alias("v2"))
     three = F.array_compact(F.array("value", "v1", "v2"))
     mean = F.aggregate(three, F.lit(0.0), lambda a, x: a + x) / F.size(three)
     return twice.select("event_id", F.round(mean, 4).alias("mean_of_three"))

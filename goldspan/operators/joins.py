@@ -1,12 +1,26 @@
-"""Joins that SQL states with inequalities, without a nested loop over whole tables."""
+"""Joins that must hold when one key has very many rows."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from goldspan.operators.windows import earlier, in_slabs, inside
+
+
+def left_join_many(one: DataFrame, many: DataFrame, on: Sequence[str]) -> DataFrame:
+    """``one LEFT JOIN many`` where a key of ``one`` may match a large part of ``many``.
+
+    Spark can split a crowded partition only on the kept side of an outer
+    join. The inner part, which it can split on either side, and the rows
+    without a match, found against distinct keys, are joined apart.
+    """
+    matched = one.join(many, list(on))
+    alone = one.join(many.select(*on).distinct(), list(on), "left_anti")
+    return matched.unionByName(alone, allowMissingColumns=True)
+
 
 def interval_join(df: DataFrame, value: str, intervals: DataFrame, low: str, high: str, width: float) -> DataFrame:
     """Rows of ``df`` with every interval [low, high) that holds their value.
@@ -24,25 +38,23 @@ def interval_join(df: DataFrame, value: str, intervals: DataFrame, low: str, hig
 
 
 def latest_before(
-    df: DataFrame, other: DataFrame, by: str, at: str, columns: Sequence[str], slab: Column,
+    df: DataFrame, other: DataFrame, by: str, at: str, columns: Sequence[str], tie_break: str,
 ) -> DataFrame:
     """Each row of ``df`` with the newest strictly earlier row of ``other`` for its key.
 
-    ``slab`` cuts time into pieces (see ``operators.windows``): the search runs
-    per key and slab, so a key with very many rows is spread over its slabs,
-    and one row per key and slab carries the last row of the earlier slabs.
+    Both tables are laid in one order, at equal times the asking rows first, so
+    that every picked row before a row is strictly earlier. The search runs per
+    key and slab (see ``operators.windows``); one row per key and slab carries
+    the newest row of the slabs before. ``tie_break`` is unique in each table.
     """
-    picked = F.struct(F.col(at).alias("_at"), *[F.col(c) for c in columns])
-    left = df.withColumns({"_slab": slab, "_asks": F.lit(True)})
-    right = other.select(by, at, slab.alias("_slab"), F.lit(False).alias("_asks"), picked.alias("_pick"))
-    both = left.unionByName(right, allowMissingColumns=True)
-    micros = F.unix_micros(F.col(at).cast("timestamp"))
-    near = Window.partitionBy(by, "_slab").orderBy(micros).rangeBetween(Window.unboundedPreceding, -1)
-    searched = both.withColumn("_near", F.max("_pick").over(near)).where("_asks")
-
-    lasts = both.groupBy(by, "_slab").agg(F.max("_pick").alias("_last"))
-    before = Window.partitionBy(by).orderBy("_slab").rowsBetween(Window.unboundedPreceding, -1)
-    carried = lasts.select(by, "_slab", F.max("_last").over(before).alias("_carry"))
-    best = F.coalesce("_near", "_carry")
-    return searched.join(carried, [by, "_slab"]).select(
-        *df.columns, *[best.getField(c).alias(f"previous_{c}") for c in columns])
+    picked = F.struct(F.col(at).alias("_at"), *[F.col(c).alias(f"previous_{c}") for c in columns])
+    asking = df.withColumns({"_turn": F.lit(0), "_tie": F.col(tie_break)})
+    given = other.select(by, at, F.lit(1).alias("_turn"), F.col(tie_break).alias("_tie"), picked.alias("_pick"))
+    order = [at, "_turn", "_tie"]
+    rows = in_slabs(asking.unionByName(given, allowMissingColumns=True), [by], order)
+    before = inside([by], order).rowsBetween(Window.unboundedPreceding, -1)
+    searched = rows.withColumn("_near", F.max("_pick").over(before)).where("_turn = 0")
+    newest = rows.groupBy(by, "_slab").agg(F.max("_pick").alias("_newest"))
+    carried = newest.select(by, "_slab", F.max("_newest").over(earlier([by])).alias("_carry"))
+    found = searched.join(carried, [by, "_slab"]).withColumn("_best", F.coalesce("_near", "_carry"))
+    return found.select(*df.columns, *[f"_best.previous_{c}" for c in columns])

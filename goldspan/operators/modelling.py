@@ -12,8 +12,12 @@ from pyspark.sql import functions as F
 
 
 def split(df: DataFrame, keys: Sequence[str], train_percent: int = 80) -> DataFrame:
-    """Adds ``is_train`` from a hash of the key: every run agrees, whatever the partitioning."""
-    return df.withColumn("is_train", F.pmod(F.xxhash64(*keys), F.lit(100)) < train_percent)
+    """Adds ``is_train`` from a hash of the key: every run agrees, whatever the partitioning.
+
+    MD5 rather than Spark's own hash, so that other tools can repeat the split.
+    """
+    digest = F.md5(F.concat_ws("-", *keys).cast("binary"))
+    return df.withColumn("is_train", F.conv(F.substr(digest, F.lit(1), F.lit(8)), 16, 10).cast("long") % 100 < train_percent)
 
 
 def train(df: DataFrame, features: Sequence[str], target: str, seed: int = 1,

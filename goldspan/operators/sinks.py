@@ -5,50 +5,30 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from goldspan.operators.master import check_crosswalk_unique
 from goldspan.operators.rules import Rule, errors_of
 from goldspan.operators.schema import check_crosswalk
 from goldspan.operators.sqlapi import check_select
-from goldspan.session import durable
+from goldspan.operators.windows import sequence_numbers
 from goldspan.sources.lake import Lake, source_name
 
-# monotonically_increasing_id puts the partition above bit 33 and the row below
-_ROW_BITS = 33
-
-
 def batch_slices(df: DataFrame, order: Sequence[str], step_size: int = 500) -> DataFrame:
-    """``df`` cut into consecutive slices of ``step_size`` rows in ``order``.
+    """``df`` cut into consecutive slices of ``step_size`` rows in ``order``, a total order.
 
     Adds ``sequence`` (from 1), and ``cumulative`` (records up to and with the
-    slice). The global row number needs no single-task sort: rows are range
-    partitioned and sorted, stored once, numbered inside their partition, and
-    shifted by the sizes of the partitions before it. Only those sizes (one
-    row per partition) are gathered.
+    slice). Rows are numbered inside sorted range partitions and shifted by the
+    sizes of the partitions before; there is no single-task sort.
     """
     if step_size < 1:
         raise ValueError("step_size is at least 1")
-    sorted_rows = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    stored = durable(sorted_rows.withColumn("_place", F.monotonically_increasing_id()))
-    placed = stored.withColumns({
-        "_part": F.shiftright("_place", _ROW_BITS),
-        "_row": F.col("_place").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)),
-    })
-    sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    shifts = sizes.select(
-        "_part",
-        F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_shift"),
-        F.sum("_size").over(everything).alias("_total"),
-    )
+    rows, shifts = sequence_numbers(df, order)
     sequence = F.floor((F.col("_row") + F.col("_shift")) / step_size).cast("long") + 1
-    # one row per partition: its size is bounded by the partition count
-    numbered = placed.join(F.broadcast(shifts), "_part").withColumn("sequence", sequence)
-    return numbered.withColumn("cumulative", F.least(F.col("sequence") * step_size, F.col("_total"))).drop(
-        "_part", "_row", "_place", "_shift", "_total")
+    # one row per range partition: spark.sql.shuffle.partitions bounds its size
+    shifted = rows.join(F.broadcast(shifts), "_slab").withColumn("sequence", sequence)
+    return shifted.select(
+        *df.columns, "sequence", F.least(F.col("sequence") * step_size, F.col("_total")).alias("cumulative"))
 
 
 def batch_summary(df: DataFrame, batch: str = "batch_id", sequence: str = "sequence",
@@ -84,10 +64,11 @@ def write_validated(df: DataFrame, rules: Sequence[Rule], path: str,
                     errors: str = "mdmErrors") -> tuple[DataFrame, DataFrame]:
     """Check every record once and store golden and rejected side by side."""
     checked = errors_of(df, rules, errors)
-    checked.withColumn("rejected", F.size(errors) > 0).write.partitionBy("rejected").parquet(path)
-    stored = df.sparkSession.read.parquet(path)
-    golden = stored.where(~F.col("rejected")).drop("rejected", errors)
-    return golden, stored.where(F.col("rejected")).drop("rejected")
+    outcome = F.when(F.size(errors) > 0, "rejected").otherwise("golden")
+    checked.withColumn("outcome", outcome).write.partitionBy("outcome").parquet(path)
+    both = df.sparkSession.read.parquet(path)
+    golden = both.where("outcome = 'golden'").drop("outcome", errors)
+    return golden, both.where("outcome = 'rejected'").drop("outcome")
 
 
 def process_sql(spark: SparkSession, query: str, path: str, clear_target: bool = False,

@@ -1,10 +1,13 @@
 """Window results for keys that may hold a large part of all rows.
 
-A plain ``partitionBy(key)`` window puts a whole key into one task. Here a
-*slab* cuts each key's ordered rows into pieces: a column that never decreases
-along the window order and is equal for rows that tie on it (a month of a date,
-a band of a price). The window runs per key and slab; what earlier slabs add is
-one row per key and slab, summed up in a second, far smaller window.
+A plain ``partitionBy(key)`` window puts a whole key into one task. Here the
+rows are range partitioned on key *and* order, so that a crowded key is cut
+into several *slabs* of even size. The window runs per key and slab; what
+earlier slabs add is one row per key and slab, worked out in a second, far
+smaller window. The cut rows are stored once: both steps must see the same cut.
+
+``order`` must be total (end it with a unique column): rows equal in every
+order column cannot be cut apart.
 """
 
 from __future__ import annotations
@@ -14,77 +17,88 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from goldspan.session import stored
 
-def _inside(by: Sequence[str], order: Sequence[Column | str]):
+
+def in_slabs(df: DataFrame, by: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """``df`` with the number of its range partition as ``_slab``, stored."""
+    return stored(df.repartitionByRange(*by, *order).withColumn("_slab", F.spark_partition_id()), "slabs")
+
+
+def inside(by: Sequence[str], order: Sequence[str]):
     return Window.partitionBy(*by, "_slab").orderBy(*order)
 
 
-def _earlier(by: Sequence[str]):
+def earlier(by: Sequence[str]):
+    """Of one row per key and slab: the slabs before this one."""
     return Window.partitionBy(*by).orderBy("_slab").rowsBetween(Window.unboundedPreceding, -1)
 
 
-def _total(value: Column, by: Sequence[str]) -> Column:
-    return F.coalesce(F.sum(value).over(_earlier(by)), F.lit(0))
+def _total(value: str, by: Sequence[str]) -> Column:
+    return F.coalesce(F.sum(value).over(earlier(by)), F.lit(0))
 
 
-def ranked(df: DataFrame, by: Sequence[str], order: Sequence, rank_by: Sequence, slab: Column) -> DataFrame:
-    """Adds ``row_number`` in ``order``, and ``rank`` and ``dense_rank`` in ``rank_by`` (a prefix of it)."""
-    rank_window = _inside(by, rank_by)
-    local = df.withColumn("_slab", slab).withColumns({
-        "row_number": F.row_number().over(_inside(by, order)),
-        "rank": F.rank().over(rank_window),
-        "dense_rank": F.dense_rank().over(rank_window),
-    })
-    sizes = local.groupBy(*by, "_slab").agg(
-        F.count(F.lit(1)).alias("_rows"), F.max("dense_rank").alias("_levels"))
-    shifts = sizes.select(*by, "_slab", _total(F.col("_rows"), by).alias("_rows"),
-                          _total(F.col("_levels"), by).alias("_levels"))
-    return local.join(shifts, [*by, "_slab"]).select(
-        *df.columns,
-        (F.col("row_number") + F.col("_rows")).alias("row_number"),
-        (F.col("rank") + F.col("_rows")).alias("rank"),
-        (F.col("dense_rank") + F.col("_levels")).alias("dense_rank"))
+def numbered(df: DataFrame, by: Sequence[str], order: Sequence[str], name: str = "row_number") -> DataFrame:
+    """Adds the row's number within its key, from 1."""
+    local = in_slabs(df, by, order).withColumn("_row", F.row_number().over(inside(by, order)))
+    sizes = local.groupBy(*by, "_slab").agg(F.count(F.lit(1)).alias("_rows"))
+    shifts = sizes.select(*by, "_slab", _total("_rows", by).alias("_shift"))
+    return local.join(shifts, [*by, "_slab"]).select(*df.columns, (F.col("_row") + F.col("_shift")).alias(name))
 
 
-def running_sum(df: DataFrame, by: Sequence[str], order: Sequence, value: str, slab: Column, name: str) -> DataFrame:
-    """Sum of the key's rows up to and with this one."""
-    upto = _inside(by, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = df.withColumn("_slab", slab).withColumn("_sum", F.sum(value).over(upto))
-    totals = local.groupBy(*by, "_slab").agg(F.sum(value).alias("_before"))
-    shifts = totals.select(*by, "_slab", _total(F.col("_before"), by).alias("_before"))
-    return local.join(shifts, [*by, "_slab"]).select(*df.columns, (F.col("_sum") + F.col("_before")).alias(name))
+def ranked(df: DataFrame, by: Sequence[str], order: Sequence[str], rank_by: Sequence[str]) -> DataFrame:
+    """Adds ``row_number`` in ``order``, and ``rank`` and ``dense_rank`` in ``rank_by``, a prefix of it.
 
+    Rows that tie share the smallest row number of their group as rank; the
+    groups themselves are numbered for the dense rank.
+    """
+    rows = numbered(df, by, order)
+    groups = rows.groupBy(*by, *rank_by).agg(F.min("row_number").alias("rank"))
+    groups = numbered(groups, by, rank_by, "dense_rank")
+    return rows.join(groups, [*by, *rank_by]).select(*df.columns, "row_number", "rank", "dense_rank")
 
-def neighbours(df: DataFrame, by: Sequence[str], order: Sequence[str], columns: Sequence[str], slab: Column) -> DataFrame:
-    """Adds ``previous_c``, ``next_c``, ``first_c`` and ``last_c`` of the key's rows, for each column.
 
-    ``order`` must be total and ascending.
-    """
+def running_sum(df: DataFrame, by: Sequence[str], order: Sequence[str], value: str, name: str) -> DataFrame:
+    """Adds the sum of the key's rows up to and with this one."""
+    upto = inside(by, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = in_slabs(df, by, order).withColumn("_sum", F.sum(value).over(upto))
+    totals = local.groupBy(*by, "_slab").agg(F.sum(value).alias("_slab_sum"))
+    shifts = totals.select(*by, "_slab", _total("_slab_sum", by).alias("_shift"))
+    return local.join(shifts, [*by, "_slab"]).select(*df.columns, (F.col("_sum") + F.col("_shift")).alias(name))
+
+
+def neighbours(df: DataFrame, by: Sequence[str], order: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Adds ``previous_c``, ``next_c``, ``first_c`` and ``last_c`` of the key's rows, for each column."""
     entry = F.struct(*order, *[c for c in columns if c not in order])
-    local = df.withColumn("_slab", slab).withColumn("_entry", entry)
-    window = _inside(by, order)
-    local = local.withColumns({"_previous": F.lag("_entry").over(window), "_next": F.lead("_entry").over(window)})
+    window = inside(by, order)
+    local = in_slabs(df, by, order).withColumn("_entry", entry).withColumns({
+        "_previous": F.lag("_entry").over(window), "_next": F.lead("_entry").over(window)})
     edges = local.groupBy(*by, "_slab").agg(F.min("_entry").alias("_lo"), F.max("_entry").alias("_hi"))
-    slabs = Window.partitionBy(*by).orderBy("_slab")
-    whole = Window.partitionBy(*by)
+    slabs, whole = Window.partitionBy(*by).orderBy("_slab"), Window.partitionBy(*by)
     shifts = edges.select(
         *by, "_slab", F.lag("_hi").over(slabs).alias("_from"), F.lead("_lo").over(slabs).alias("_to"),
         F.min("_lo").over(whole).alias("_first"), F.max("_hi").over(whole).alias("_last"))
-    joined = local.join(shifts, [*by, "_slab"])
     found = {"previous": F.coalesce("_previous", "_from"), "next": F.coalesce("_next", "_to"),
              "first": F.col("_first"), "last": F.col("_last")}
-    return joined.select(
+    return local.join(shifts, [*by, "_slab"]).select(
         *df.columns, *[e.getField(c).alias(f"{side}_{c}") for side, e in found.items() for c in columns])
 
 
-def sliding_sum(df: DataFrame, by: Sequence[str], at: str, value: str, span_seconds: int, name: str) -> DataFrame:
-    """Sum over the key's rows in the ``span_seconds`` up to and with this row's time.
+def sequence_numbers(df: DataFrame, order: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """``df`` with ``_slab`` and the row's place in it as ``_row`` (from 0), and one row per slab.
 
-    A slab is one span long, so a frame reaches into one earlier slab at most:
-    every row is also sent to the next slab as context.
+    The second frame has ``_slab``, ``_shift`` (rows in earlier slabs) and
+    ``_total``; the row's number over the whole table is ``_row + _shift``.
+    The row place comes from the sorted partition itself, not from a window.
     """
-    seconds = F.unix_seconds(F.col(at).cast("timestamp"))
-    own = F.floor(seconds / span_seconds)
-    spread = df.withColumn("_own", own).withColumn("_slab", F.explode(F.array(F.col("_own"), F.col("_own") + 1)))
-    frame = Window.partitionBy(*by, "_slab").orderBy(seconds).rangeBetween(-span_seconds, Window.currentRow)
-    return spread.withColumn(name, F.sum(value).over(frame)).where("_own = _slab").select(*df.columns, name)
+    # monotonically_increasing_id: the partition above bit 33, the row below
+    placed = stored(df.repartitionByRange(*order).sortWithinPartitions(*order)
+                    .withColumn("_place", F.monotonically_increasing_id()), "places")
+    rows = placed.withColumns({
+        "_slab": F.shiftright("_place", 33), "_row": F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))}).drop("_place")
+    sizes = rows.groupBy("_slab").agg(F.count(F.lit(1)).alias("_rows"))
+    # one row per partition, so a window over all of them is small
+    before = Window.orderBy("_slab").rowsBetween(Window.unboundedPreceding, -1)
+    everything = Window.orderBy("_slab").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return rows, sizes.select("_slab", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_shift"),
+                              F.sum("_rows").over(everything).alias("_total"))

@@ -20,7 +20,7 @@ def _shared_folder(spark: SparkSession) -> str:
     be seen by the executors.
     """
     global _local_base
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
@@ -36,12 +36,15 @@ def workspace(spark: SparkSession, label: str) -> str:
     return f"{_shared_folder(spark)}/goldspan/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """``df`` stored reliably with its lineage cut: it outlives lost executors."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(workspace(spark, "checkpoint"))
-    return df.checkpoint()
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the shared folder and read back.
+
+    It cuts the lineage, outlives lost executors, and lets later steps read
+    only the columns they need.
+    """
+    path = workspace(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
