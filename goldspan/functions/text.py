@@ -1,12 +1,20 @@
-"""Text predicates. A token is a run of letters and digits, lower-cased."""
+"""Text predicates. A token is a run of letters and digits, lower-cased.
+
+Token tests are regular expressions over the lower-cased text, not array
+functions over its tokens: nothing is allocated per token, and the whole test
+stays in generated code.
+"""
 
 from __future__ import annotations
 
 import re
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+_INNER = r"[\p{L}\p{N}]"
 BREAKS = r"[^\p{L}\p{N}]+"
 _CLAUSE = re.compile(r'([+-]?)(?:"([^"]*)"|(\S+))')
 
@@ -17,24 +25,34 @@ def tokens(text: Column) -> Column:
 
 
 def query_tokens(text: str) -> list[str]:
-    """The distinct tokens of a query text, in order of appearance."""
-    words = re.findall(r"[^\W_]+", text.lower())
-    return list(dict.fromkeys(words))
+    """The tokens of a query text, in order."""
+    return re.findall(r"[^\W_]+", text.lower())
+
 
+def _occurs(words: list[str], open_end: bool = False) -> str:
+    """Pattern of consecutive whole tokens; with an open end the last is a prefix.
 
-def _literals(words: list[str]) -> Column:
-    return F.array(*[F.lit(w) for w in words]).cast("array<string>")
+    The text before a token is looked at after the token itself matched, so
+    the search skips along on the token's first letter. Tokens hold letters
+    and digits only: nothing needs escaping.
+    """
+    first, *rest = words
+    pattern = f"{first}(?<!{_INNER}{first})" + "".join(BREAKS + w for w in rest)
+    return pattern if open_end else pattern + f"(?!{_INNER})"
 
 
 def has_any_token(text: Column, query: str) -> Column:
-    return F.arrays_overlap(tokens(text), _literals(query_tokens(query)))
+    wanted = list(dict.fromkeys(query_tokens(query)))
+    if not wanted:
+        return F.lit(False)
+    return F.lower(text).rlike("|".join(_occurs([w]) for w in wanted))
 
 
 def has_all_tokens(text: Column, query: str) -> Column:
-    wanted = query_tokens(query)
+    wanted = list(dict.fromkeys(query_tokens(query)))
     if not wanted:
         return F.lit(False)
-    return F.size(F.array_except(_literals(wanted), tokens(text))) == 0
+    return reduce(and_, [F.lower(text).rlike(_occurs([w])) for w in wanted])
 
 
 def close_to(text: Column, value: str, max_edits: int = 2) -> Column:
@@ -64,29 +82,12 @@ def query_string(text: Column, query: str) -> Column:
     """
     needed, refused, optional = [], [], []
     for sign, phrase, word in _CLAUSE.findall(query):
-        words = re.findall(r"[^\W_]+", (phrase or word).lower())
+        words = query_tokens(phrase or word)
         if words:
-            prefix = not phrase and word.endswith("*")
-            needle = " " + " ".join(words) + ("" if prefix else " ")
-            {"+": needed, "-": refused, "": optional}[sign].append(needle)
-    if not (needed or refused or optional):
-        return F.lit(False)
-
-    def test(padded: Column) -> Column:
-        verdict = F.lit(True)
-        for needle in needed:
-            verdict = verdict & padded.contains(needle)
-        for needle in refused:
-            verdict = verdict & ~padded.contains(needle)
-        if optional and not needed:
-            any_hit = F.lit(False)
-            for needle in optional:
-                any_hit = any_hit | padded.contains(needle)
-            verdict = verdict & any_hit
-        return verdict
-
-    padded = F.regexp_replace(F.concat(F.lit(" "), F.lower(text), F.lit(" ")), BREAKS, " ")
-    if len(needed) + len(refused) + len(optional) == 1:
-        return test(padded)
-    # one-element exists: the regular expression runs once, not once per term
-    return F.exists(F.array(padded), test)
+            pattern = _occurs(words, open_end=not phrase and word.endswith("*"))
+            {"+": needed, "-": refused, "": optional}[sign].append(pattern)
+    lowered = F.lower(text)
+    tests = [lowered.rlike(p) for p in needed] + [~lowered.rlike(p) for p in refused]
+    if optional and not needed:
+        tests.append(lowered.rlike("|".join(optional)))
+    return reduce(and_, tests) if tests else F.lit(False)

@@ -36,7 +36,7 @@ def _(t: Tables):
      max(no) AS last_line, count(mark) AS marked FROM line""")
 def _(t: Tables):
     sub = (A("SUM", "total_chars", "lines.n_chars"), A("MAXIMUM", "last_line", "lines.no"), A("COUNT", "marked", "lines.mark"))
-    out = aggregate(fx.lined(t), A("NESTED", "n", "lines", sub=sub))["n"]
+    out = aggregate(fx.lined(t, "no", "mark", "n_chars"), A("NESTED", "n", "lines", sub=sub))["n"]
     return out.withColumn("last_line", F.col("last_line").cast("long"))
 
 

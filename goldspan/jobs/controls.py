@@ -118,8 +118,7 @@ def _(t: Tables):
      ON (range_from IS NULL OR o_orderkey >= range_from) AND (range_to IS NULL OR o_orderkey <= range_to) GROUP BY slice""")
 def _(t: Tables):
     """Every key lies in exactly one range: found by arithmetic, not by a range join."""
-    bounds = q.key_bounds(t.orders, "o_orderkey")
-    low, high = bounds.select("min_key").scalar(), bounds.select("max_key").scalar()
+    low, high = q.key_bounds(t.orders, "o_orderkey").first()
     sliced = t.orders.select(q.slice_of(F.col("o_orderkey"), low, high, 37).alias("slice"))
     return sliced.groupBy("slice").agg(F.count(F.lit(1)).alias("n"))
 

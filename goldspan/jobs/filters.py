@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from goldspan.jobs import fixtures as fx
 from goldspan.jobs.base import Tables, job
-from goldspan.plans.aggregations import Aggregation, run
+from goldspan.plans.aggregations import run
 from goldspan.plans.filters import Predicate as P
 from goldspan.plans.filters import Search, apply_filter, between, has_type, term, terms
 
@@ -87,7 +87,8 @@ def nested(name, predicate, where):
 
     @job(name, sql)
     def _(t: Tables):
-        return apply_filter(fx.lined(t), predicate).select("doc_id", "source")
+        field = (predicate.key or "no").removeprefix("lines.")
+        return apply_filter(fx.lined(t, field), predicate).select("doc_id", "source")
 
 
 nested("flt_nested", P("NESTED", "head", "the", path="lines"), "head = 'the'")
@@ -120,7 +121,7 @@ nested("flt_nested_geodistance",
 @job("flt_nested_missing", f"""WITH {fx.LINES_SQL} SELECT doc_id, source FROM documents d WHERE NOT EXISTS
      (SELECT 1 FROM line WHERE line.doc_id = d.doc_id AND mark IS NOT NULL)""")
 def _(t: Tables):
-    return apply_filter(fx.lined(t), P("NESTED_MISSING_FILTER", "mark", path="lines")).select("doc_id", "source")
+    return apply_filter(fx.lined(t, "mark"), P("NESTED_MISSING_FILTER", "mark", path="lines")).select("doc_id", "source")
 
 
 # --- composition ----------------------------------------------------------------------

@@ -44,17 +44,23 @@ line AS (
                generate_subscripts(string_split(text, chr(10)), 1) AS no FROM documents))"""
 
 
-def lined(t: Tables) -> DataFrame:
-    """Documents whose ``lines`` are structs: number, body, head word, mark, size, spot."""
+def lined(t: Tables, *wanted: str) -> DataFrame:
+    """Documents whose ``lines`` are structs: number, body, head word, mark, size, spot.
+
+    ``wanted`` keeps some of these fields, as a scan of stored elements would.
+    """
     def line(body, i):
         no = i + 1
-        return F.struct(
-            no.alias("no"), body.alias("body"),
-            F.regexp_replace(F.lower(F.split_part(body, F.lit(" "), F.lit(1))), "[^a-z]", "").alias("head"),
-            F.nullif(F.split_part(body, F.lit(","), F.lit(2)), F.lit("")).alias("mark"),
-            F.length(body).alias("n_chars"),
-            F.struct((F.length(body) % 180 - 90).cast("double").alias("lat"),
-                     (no * 7 % 360 - 180).cast("double").alias("lon")).alias("spot"))
+        fields = {
+            "no": no,
+            "body": body,
+            "head": F.regexp_replace(F.lower(F.split_part(body, F.lit(" "), F.lit(1))), "[^a-z]", ""),
+            "mark": F.nullif(F.split_part(body, F.lit(","), F.lit(2)), F.lit("")),
+            "n_chars": F.length(body),
+            "spot": F.struct((F.length(body) % 180 - 90).cast("double").alias("lat"),
+                             (no * 7 % 360 - 180).cast("double").alias("lon")),
+        }
+        return F.struct(*[fields[n].alias(n) for n in wanted or fields])
 
     return t.documents.select("doc_id", "source", F.transform(F.split("text", "\n"), line).alias("lines"))
 

@@ -8,12 +8,48 @@ from goldspan.jobs import fixtures as fx
 from goldspan.jobs.base import Tables, job
 from goldspan.jobs.rules import CONTACTS_SQL, contacts
 from goldspan.operators import master as m
-from goldspan.operators import opslog
+from goldspan.operators import envelope, opslog
 from goldspan.operators.rules import Rule, errors_of
 from goldspan.operators.sinks import write_validated
 from goldspan.session import workspace
 
 
+@job("rec_staging", """SELECT 'shop_orders-' || o_orderkey AS "mdmId", o_orderkey AS "mdmCounterForEntity", 'shop' AS "mdmConnectorId",
+     o_orderstatus = 'P' AS "mdmDeleted", o_totalprice FROM orders""")
+def _(t: Tables):
+    """Orders as staging records."""
+    return staged_orders(t).select("mdmId", "mdmCounterForEntity", "mdmConnectorId", "mdmDeleted", "o_totalprice")
+
+
+def staged_orders(t: Tables):
+    return envelope.staging_records(
+        t.orders, "shop", "orders", ["o_orderkey"], "o_orderkey", "o_orderdate", F.col("o_orderstatus") == "P")
+
+
+ORDER_FIELDS = ["o_orderkey", "o_totalprice", "o_orderpriority"]
+
+
+@job("rec_golden", """SELECT 'shop_orders-' || o_orderkey AS "mdmId", 'orderGolden' AS "mdmEntityType", o_orderkey AS "mdmStagingCounter",
+     CAST(o_orderkey AS VARCHAR) AS natural_key, o_orderpriority AS priority, CAST(0 AS INTEGER) AS n_previous FROM orders WHERE o_orderstatus <> 'P'""")
+def _(t: Tables):
+    """Merged staging records in the golden envelope, read by enveloped names."""
+    merged = m.merge_latest(staged_orders(t))
+    golden = envelope.golden_records(merged, "order", "t1", "orders", ["o_orderkey"], ORDER_FIELDS)
+    return golden.select(
+        "mdmId", "mdmEntityType", "mdmStagingCounter", F.col("mdmCrosswalk")["orders"][0].alias("natural_key"),
+        F.col("mdmGoldenFieldAndValues.o_orderpriority").alias("priority"), F.size("mdmPreviousIds").alias("n_previous"))
+
+
+@job("rec_rejected", """SELECT 'shop_orders-' || o_orderkey AS "mdmId", 'shop_orders' AS "mdmStagingEntityName", 'EQUALS:o_orderpriority' AS error,
+     o_totalprice AS price FROM orders WHERE o_orderpriority = '5-LOW'""")
+def _(t: Tables):
+    """Staging records a rule rejects, as rows of the model's rejected table."""
+    checked = errors_of(staged_orders(t), [Rule("EQUALS", "o_orderpriority", ("5-LOW",))]).where(F.size("mdmErrors") > 0)
+    rejected = envelope.rejected_records(checked, "order", "t1", "orders", ["o_orderkey"], ORDER_FIELDS)
+    return rejected.select("mdmId", "mdmStagingEntityName", F.col("mdmErrors")[0].alias("error"),
+                           F.col("mdmStagingRecord.o_totalprice").alias("price"))
+
+
 @job("mdm_crosswalk_dups", "SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1")
 def _(t: Tables):
     return m.duplicate_keys(t.lineitem, ["l_orderkey", "l_linenumber"])
@@ -43,13 +79,13 @@ def _(t: Tables):
 @job("mdm_union_sources", """
 SELECT 'crm' AS connector, 'customers' AS staging, c_custkey AS party, c_name AS name, c_acctbal AS balance, c_mktsegment AS segment FROM customer
 UNION ALL SELECT 'erp', 'suppliers', s_suppkey, s_name, s_acctbal, NULL FROM supplier
-UNION ALL SELECT 'erp', 'customers', c_custkey, upper(c_name), NULL, NULL FROM customer WHERE c_nationkey < 12""")
+UNION ALL SELECT 'erp', 'customers', c_custkey, upper(c_name), NULL, NULL FROM customer""")
 def _(t: Tables):
     crm = m.map_fields(t.customer, {"party": ("c_custkey", "long"), "name": ("c_name", "string"),
                                     "balance": ("c_acctbal", "double"), "segment": ("c_mktsegment", "string")})
     suppliers = m.map_fields(t.supplier, {"party": ("s_suppkey", "long"), "name": ("s_name", "string"),
                                           "balance": ("s_acctbal", "double")})
-    loud = t.customer.where("c_nationkey < 12").select(F.col("c_custkey").alias("party"), F.upper("c_name").alias("name"))
+    loud = t.customer.select(F.col("c_custkey").alias("party"), F.upper("c_name").alias("name"))
     return m.union_sources({"crm": {"customers": crm}, "erp": {"suppliers": suppliers, "customers": loud}})
 
 

@@ -183,9 +183,9 @@ sql_job("sql_union", "customer supplier", """
 SELECT c_nationkey AS k, 'distinct' AS kind FROM customer UNION SELECT s_nationkey, 'distinct' FROM supplier
 UNION ALL SELECT s_nationkey, 'all' FROM supplier""")
 sql_job("sql_intersect", "customer supplier", """
-SELECT c_nationkey AS k FROM customer WHERE c_acctbal > 5000 INTERSECT SELECT s_nationkey FROM supplier WHERE s_acctbal > 5000""")
+SELECT DISTINCT c_nationkey AS k FROM customer WHERE c_acctbal > 5000 INTERSECT SELECT DISTINCT s_nationkey FROM supplier WHERE s_acctbal > 5000""")
 sql_job("sql_except", "nation supplier", """
-SELECT n_nationkey AS k FROM nation EXCEPT SELECT s_nationkey FROM supplier WHERE s_acctbal > 7000""")
+SELECT n_nationkey AS k FROM nation EXCEPT SELECT DISTINCT s_nationkey FROM supplier WHERE s_acctbal > 7000""")
 sql_job("sql_cte", "lineitem supplier", """
 WITH revenue AS (SELECT l_suppkey, sum(l_extendedprice * (1 - l_discount)) AS r FROM lineitem GROUP BY l_suppkey),
 best AS (SELECT max(r) AS r FROM revenue)

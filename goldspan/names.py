@@ -20,7 +20,7 @@ REJECTED_COLUMNS = [
     "mdmTenantId", "mdmUpdatedUser",
 ]
 
-MERGE_COLUMNS = ["mdmCounterForEntity", "mdmId", "mdmDeleted"]
+# The counter that settles which version of a record is the latest.
 GOLDEN_TIE_BREAK = "mdmStagingCounter"
 STAGING_TIE_BREAK = "mdmCounterForEntity"
 

@@ -117,10 +117,6 @@ def key_bounds(df: DataFrame, key: str, query=None, multiplier: float | None = N
     return df.agg(low.alias("min_key"), high.alias("max_key"))
 
 
-def _step(low: Column, high: Column, slices: int) -> Column:
-    return F.floor((high - low) / F.lit(slices)).cast("long") + 1
-
-
 def key_ranges(bounds: DataFrame, slices: int) -> DataFrame:
     """Inclusive key ranges that cover everything once, from a bounds row.
 
@@ -131,7 +127,7 @@ def key_ranges(bounds: DataFrame, slices: int) -> DataFrame:
     low = F.col("min_key")
     high = F.when(F.col("max_key") == low, low + 1).otherwise(F.col("max_key"))
     b = bounds.where("min_key is not null").select(low.alias("lo"), high.alias("hi"))
-    step = _step(F.col("lo"), F.col("hi"), slices)
+    step = F.floor((F.col("hi") - F.col("lo")) / F.lit(slices)).cast("long") + 1
     none = F.lit(None).cast("long")
     starts = F.filter(F.sequence(F.col("lo"), F.col("hi"), step), lambda s: s < F.col("hi"))
     middle = F.transform(
@@ -141,13 +137,13 @@ def key_ranges(bounds: DataFrame, slices: int) -> DataFrame:
     return b.select(F.posexplode(F.concat(head, middle, tail)).alias("slice", "r")).select("slice", "r.*")
 
 
-def slice_of(key: Column, low: Column, high: Column, slices: int) -> Column:
+def slice_of(key: Column, low: int, high: int, slices: int) -> Column:
     """The slice number ``key_ranges`` gives a key, by arithmetic instead of a range join."""
-    high = F.when(high == low, low + 1).otherwise(high)
-    step = _step(low, high, slices)
+    high = low + 1 if high == low else high
+    step = (high - low) // slices + 1
+    last = -(-(high - low) // step) + 1
     middle = F.floor((key - low) / step).cast("int") + 1
-    last = F.ceil((high - low) / step).cast("int") + 1
-    return F.when(key < low, F.lit(0)).when(key >= high, last).otherwise(middle)
+    return F.when(key < low, 0).when(key >= high, last).otherwise(middle)
 
 
 def range_scan(df: DataFrame, key: str, slices: int) -> DataFrame:

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from goldspan.names import STAGING_TIE_BREAK
 from goldspan.operators.rules import Rule, errors_of
 from goldspan.operators.schema import spark_type
 
@@ -26,11 +27,13 @@ def check_crosswalk_unique(df: DataFrame, crosswalk: Sequence[str], force: bool
 def merge_latest(
     df: DataFrame,
     key: str = "mdmId",
-    counter: str = "mdmCounterForEntity",
+    counter: str = STAGING_TIE_BREAK,
     deleted: str | None = "mdmDeleted",
 ) -> DataFrame:
     """One record per id: the greatest counter wins, then a deleted winner drops out.
 
+    Golden records are told apart by ``names.GOLDEN_TIE_BREAK`` instead.
+
     Equal counters are settled by the remaining columns in name order, so the
     result never depends on the order of arrival. It is an aggregate, not a
     window: each task first reduces its own rows to one per id, and an id with
@@ -106,7 +109,7 @@ def connector_stats(df: DataFrame, connector: str, staging: str) -> DataFrame:
 def staging_to_connectors(df: DataFrame, connector: str, staging: str) -> DataFrame:
     """Staging name -> sorted connector names.
 
-    The pairs are made distinct first, so an array holds connectors, never records.
+    The pairs are made distinct first, so an array holds connector names, never records.
     """
     pairs = df.select(staging, connector).distinct()
     return pairs.groupBy(staging).agg(F.sort_array(F.collect_list(connector)).alias("connectors"))

@@ -6,12 +6,16 @@ import json
 from collections.abc import Iterator
 from typing import Any
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# one encoder for all values: json.dumps with options builds one per call
+_as_json = json.JSONEncoder(ensure_ascii=False).encode
+
+
 def _values_of(node: Any, key: str) -> Iterator[Any]:
     """Values of ``key`` at any depth: a document's own before those inside it."""
     stack = [node]
@@ -32,22 +36,24 @@ def find_keys(df: DataFrame, column: str, key: str, keep: list[str]) -> DataFram
     The depth is open, which no fixed chain of explodes covers, so the walk
     runs on Arrow batches; texts without the quoted key never leave the JVM.
     """
-    kept = df.schema
-    schema = T.StructType([*[kept[c] for c in keep], T.StructField("position", T.LongType()),
+    schema = T.StructType([*[df.schema[c] for c in keep], T.StructField("position", T.LongType()),
                            T.StructField("value", T.StringType())])
 
     def walk(batches):
         for batch in batches:
-            found = [
-                [*[row[i] for i in range(len(keep))], position, json.dumps(value, ensure_ascii=False)]
-                for row in batch.itertuples(index=False, name=None)
-                for position, value in enumerate(_values_of(json.loads(row[-1]), key))
-            ]
-            yield pd.DataFrame(found, columns=schema.names)
+            rows, positions, values = [], [], []
+            for row, text in enumerate(batch.column(column).to_pylist()):
+                for position, value in enumerate(_values_of(json.loads(text), key)):
+                    rows.append(row)
+                    positions.append(position)
+                    values.append(_as_json(value))
+            kept = [batch.column(c).take(pa.array(rows, pa.int64())) for c in keep]
+            yield pa.RecordBatch.from_arrays(
+                [*kept, pa.array(positions, pa.int64()), pa.array(values, pa.string())], names=schema.names)
 
     # a key may be written with escapes, so texts with a backslash go on too
     candidates = df.where(F.col(column).contains(f'"{key}"') | F.col(column).contains("\\"))
-    return candidates.select(*keep, column).mapInPandas(walk, schema)
+    return candidates.select(*keep, column).mapInArrow(walk, schema)
 
 
 def unroll(column: Column, kind: T.DataType) -> Column:

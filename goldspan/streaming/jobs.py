@@ -66,9 +66,19 @@ class LatestTable:
         return path
 
 
-def dedupe(stream: DataFrame, key: str, ts: str, delay: str, root: str) -> DataFrame:
-    """Each id once, repeats within ``delay`` dropped even when they come late."""
-    unique = event_time(stream, ts).withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
+def dedupe(stream: DataFrame, key: str, ts: str, delay: str, root: str, salts: int = 32) -> DataFrame:
+    """Each id once, repeats within ``delay`` dropped even when they come late.
+
+    An id repeated very often would send all its copies to one task. Repeats
+    are therefore dropped per id and salt first: at most ``salts`` copies of an
+    id go on to the second step. The salt only spreads work: whatever it is, the
+    second step sees every id and keeps one record. ``salts=0`` leaves it out.
+    """
+    unique = event_time(stream, ts).withWatermark(ts, delay)
+    if salts:
+        salted = unique.withColumn("_salt", F.spark_partition_id() % salts)
+        unique = salted.dropDuplicatesWithinWatermark([key, "_salt"]).drop("_salt")
+    unique = unique.dropDuplicatesWithinWatermark([key])
     with disk_backed_state(stream.sparkSession):
         run_available(unique, lambda b, i: write_batch(b, f"{root}/unique", i), f"{root}/checkpoint")
     return stream.sparkSession.read.parquet(f"{root}/unique").drop("batch_id")
