@@ -32,11 +32,21 @@ def check_select(spark: SparkSession, query: str) -> str:
     return text
 
 
-def run_sql(spark: SparkSession, query: str, **tables: DataFrame) -> DataFrame:
-    """Run a SELECT with the given frames usable in it by name."""
+def run_sql(spark: SparkSession, query: str, database: str | None = None, **tables: DataFrame) -> DataFrame:
+    """Run a SELECT with the given frames usable in it by name.
+
+    Other names are looked up in ``database``. Names are resolved here, at
+    once, so the session's own database is back when this returns.
+    """
     for name, df in tables.items():
         df.createOrReplaceTempView(name)
-    return spark.sql(check_select(spark, query))
+    before = spark.catalog.currentDatabase()
+    if database is not None:
+        spark.catalog.setCurrentDatabase(database)
+    try:
+        return spark.sql(check_select(spark, query))
+    finally:
+        spark.catalog.setCurrentDatabase(before)
 
 
 class TableCache:

@@ -203,7 +203,7 @@ def _bounds(p: Predicate) -> tuple[Any, Any]:
 def _within(c: Column, p: Predicate) -> Column:
     """Both ends included; None leaves an end open (the field must be present)."""
     def literal(v):
-        return F.to_timestamp(F.lit(v), F.lit(p.format)) if p.format else F.lit(v)
+        return F.to_timestamp(F.lit(v), p.format) if p.format else F.lit(v)
 
     low, high = _bounds(p)
     tests = [c.isNotNull()]
