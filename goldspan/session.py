@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import math
 import shutil
 import tempfile
 import uuid
@@ -36,6 +37,24 @@ def workspace(spark: SparkSession, label: str) -> str:
     return f"{_shared_folder(spark)}/goldspan/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def sizing(input_bytes: int, cores: int) -> dict[str, str]:
+    """Settings for jobs that shuffle about ``input_bytes`` on ``cores`` cores.
+
+    Shuffle partitions of about 128 MiB, at least two per core. Beyond 100,000
+    partitions their bookkeeping costs more than it saves, so they grow instead
+    (1 GiB at 100 TB; sorts and aggregates spill). Adaptive execution merges
+    partitions that turn out small and splits those that turn out large.
+    """
+    wanted = max(2 * cores, min(math.ceil(input_bytes / (128 << 20)), 100_000))
+    return {
+        "spark.sql.shuffle.partitions": str(wanted),
+        "spark.sql.files.maxPartitionBytes": "256m",
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder and read back.
 

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from goldspan.operators import sinks
 from goldspan.operators.rules import Rule
 from goldspan.operators.sqlapi import TableCache, TableNotFound, check_select, run_sql
-from goldspan.session import path_exists, workspace
+from goldspan.session import path_exists, sizing, workspace
 from goldspan.sources.lake import Lake, union_drifted, with_keys
 from goldspan.sources.tables import StepOutputs, read_table
 
@@ -176,3 +176,9 @@ def test_workspace_is_in_the_named_folder(spark):
     if named:
         assert path.startswith(named)
     assert not path_exists(spark, path) and workspace(spark, "here") != path
+
+
+def test_sizing():
+    assert sizing(1 << 30, 8)["spark.sql.shuffle.partitions"] == "16"
+    assert sizing(10 << 40, 4000)["spark.sql.shuffle.partitions"] == "81920"
+    assert sizing(100 << 40, 4000)["spark.sql.shuffle.partitions"] == "100000"
