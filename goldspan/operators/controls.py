@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from goldspan.names import VALUES
+from goldspan.operators.windows import first_rows
 from goldspan.plans.filters import apply_filter, as_search, condition, record_getter
 from goldspan.session import workspace
 
@@ -30,12 +31,12 @@ def sort_records(df: DataFrame, sort_by: str, sort_order: str = "ASC") -> DataFr
 
 
 def page(df: DataFrame, order: list[str], offset: int = 0, page_size: int = 100) -> DataFrame:
-    return df.orderBy(*order).offset(offset).limit(page_size)
+    return first_rows(df, order, page_size, offset)
 
 
 def at_most(df: DataFrame, order: list[str], max_hits: float = math.inf) -> DataFrame:
     """Exactly min(max_hits, all) records, the first ones in ``order``."""
-    return df if max_hits == math.inf else df.orderBy(*order).limit(int(max_hits))
+    return df if max_hits == math.inf else first_rows(df, order, int(max_hits))
 
 
 def count_hits(df: DataFrame, query, tables=None) -> DataFrame:

@@ -19,6 +19,9 @@ from pyspark.sql import functions as F
 
 from goldspan.session import stored
 
+# Up to here a sorted head is kept by one task; beyond, rows are counted off in parallel.
+DEEP = 100_000
+
 
 def in_slabs(df: DataFrame, by: Sequence[str], order: Sequence[str]) -> DataFrame:
     """``df`` with the number of its range partition as ``_slab``, stored."""
@@ -84,7 +87,7 @@ def neighbours(df: DataFrame, by: Sequence[str], order: Sequence[str], columns:
         *df.columns, *[e.getField(c).alias(f"{side}_{c}") for side, e in found.items() for c in columns])
 
 
-def sequence_numbers(df: DataFrame, order: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+def sequence_numbers(df: DataFrame, order: Sequence[Column | str]) -> tuple[DataFrame, DataFrame]:
     """``df`` with ``_slab`` and the row's place in it as ``_row`` (from 0), and one row per slab.
 
     The second frame has ``_slab``, ``_shift`` (rows in earlier slabs) and
@@ -102,3 +105,18 @@ def sequence_numbers(df: DataFrame, order: Sequence[str]) -> tuple[DataFrame, Da
     everything = Window.orderBy("_slab").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return rows, sizes.select("_slab", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_shift"),
                               F.sum("_rows").over(everything).alias("_total"))
+
+
+def first_rows(df: DataFrame, order: Sequence[Column | str], n: int, offset: int = 0) -> DataFrame:
+    """``n`` rows from ``offset`` on in ``order``, a total order.
+
+    A short head is Spark's own top-k. It would gather a deep one in a single
+    task, so there the rows are numbered where they lie and picked by number.
+    """
+    if offset + n <= DEEP:
+        return df.orderBy(*order).offset(offset).limit(n)
+    rows, shifts = sequence_numbers(df, order)
+    place = F.col("_row") + F.col("_shift")
+    # one row per range partition: spark.sql.shuffle.partitions bounds its size
+    picked = rows.join(F.broadcast(shifts), "_slab").where((place >= offset) & (place < offset + n))
+    return picked.select(*df.columns).orderBy(*order)

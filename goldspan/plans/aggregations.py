@@ -25,6 +25,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from goldspan.operators.windows import first_rows
 from goldspan.plans.filters import apply_filter, as_search, record_getter
 
 METRICS = {
@@ -232,8 +233,7 @@ def _shaped(counted: DataFrame, agg: Aggregation, parents: list[str], keys: list
         counted = counted.where(F.col("doc_count") >= agg.min_doc_count)
     order = _order(agg, keys)
     if not parents:
-        counted = counted.orderBy(*order)
-        return counted.limit(agg.size) if agg.size else counted
+        return first_rows(counted, order, agg.size) if agg.size else counted.orderBy(*order)
     if agg.size:
         rank = F.row_number().over(Window.partitionBy(*parents).orderBy(*order))
         counted = counted.withColumn("_rank", rank).where(F.col("_rank") <= agg.size).drop("_rank")

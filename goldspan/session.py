@@ -51,6 +51,10 @@ def sizing(input_bytes: int, cores: int) -> dict[str, str]:
         "spark.sql.files.maxPartitionBytes": "256m",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # split a crowded join partition even when that costs one more shuffle
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+        # whole texts go to Python functions in batches of this size
+        "spark.sql.execution.arrow.maxBytesPerBatch": "64m",
         "spark.sql.session.timeZone": "UTC",
     }
 

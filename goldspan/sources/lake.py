@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from goldspan.names import LAKE_SPACES, SCAN_KEYS
+from goldspan.operators.windows import first_rows
 from goldspan.session import path_exists
 
 STAGING_SPACES = ["staging", "staging_master", "staging_rejected"]
@@ -116,7 +117,7 @@ def union_drifted(frames: list[DataFrame]) -> DataFrame:
 
 def first_records(df: DataFrame, n: int) -> DataFrame:
     keys = [k for k in SCAN_KEYS if k in df.columns] or df.columns
-    return df.orderBy(*keys).limit(n)
+    return first_rows(df, keys, n)
 
 
 def map_batches(df: DataFrame, callback: Callable, schema) -> DataFrame:

@@ -99,6 +99,14 @@ def test_batch_slices(spark, n, step):
     assert [r["cumulative"] for r in out] == [min((i // step + 1) * step, n) for i in range(n)]
 
 
+@pytest.mark.parametrize("n, offset", [(100, 0), (100, 950), (5000, 0), (10, 2995), (0, 5)])
+def test_deep_heads_equal_shallow_ones(events, monkeypatch, n, offset):
+    order = [F.col("v").desc(), F.col("id")]
+    shallow = [tuple(r) for r in windows.first_rows(events, order, n, offset).collect()]
+    monkeypatch.setattr(windows, "DEEP", -1)
+    assert [tuple(r) for r in windows.first_rows(events, order, n, offset).collect()] == shallow
+
+
 def test_batch_slices_with_a_crowded_first_column(spark):
     df = spark.range(2000).select(F.lit(1).alias("a"), "id").repartition(4)
     out = batch_slices(df, ["a", "id"], 300).groupBy("sequence").count()
