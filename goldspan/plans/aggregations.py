@@ -190,7 +190,10 @@ def _grid(frame: DataFrame, agg: Aggregation, parents: list[str]) -> DataFrame:
     grid over a wide span never sits in one array.
     """
     n = agg.name
-    edges = frame.groupBy(*parents).agg(F.min(n).alias("_lo"), F.max(n).alias("_hi"))
+    # whole rows are compared, not bare keys: a frame read in full here and in
+    # the join is one exchange to Spark, worked out once
+    row = F.struct(n, *[c for c in frame.columns if c not in (n, *parents)])
+    edges = frame.groupBy(*parents).agg(F.min(row).getField(n).alias("_lo"), F.max(row).getField(n).alias("_hi"))
     edges = edges.where(F.col("_lo").isNotNull())
     if agg.kind == "HISTOGRAM":
         width = agg.params["interval"]
