@@ -25,6 +25,24 @@ def _(t: Tables):
     return stored.select("event_id", "value", F.date_format("ts", "yyyy-MM-dd").alias("day"))
 
 
+@job("snk_send", """
+WITH n AS (SELECT event_id, value, event_type = 'error' AS bad, row_number() OVER (ORDER BY event_id) - 1 AS r FROM events)
+SELECT CASE WHEN bad THEN 'staging_rejected' ELSE 'staging' END AS space, CAST(floor(r / 250) AS BIGINT) + 1 AS sequence,
+       count(*) AS n, round(sum(CASE WHEN NOT bad THEN value END), 2) AS total, max(CASE WHEN bad THEN 'TYPE:value' END) AS error,
+       (SELECT count(*) FROM events) AS total_records, CAST(ceil((SELECT count(*) FROM events) / 250.0) AS BIGINT) AS total_requests
+FROM n GROUP BY 1, 2""")
+def _(t: Tables):
+    """Events sent with the values of errors as text, read back from both spaces with the batch's account."""
+    lake = Lake(t.spark, workspace(t.spark, "send"))
+    value = F.when(F.col("event_type") == "error", "broken").otherwise(F.col("value").cast("string"))
+    dirty = t.events.select("event_id", "ts", value.alias("value"))
+    account = sinks.send(lake, dirty, "web", "events", ["event_id"], "ts", "b1", step_size=250, types={"value": "double"})
+    stored = lake.staging("web", "events").groupBy("space", "sequence").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 2).alias("total"), F.max(F.element_at("mdmErrors", 1)).alias("error"))
+    records, requests = account.select("total_records").scalar(), account.select("total_requests").scalar()
+    return stored.withColumns({"total_records": records, "total_requests": requests})
+
+
 @job("snk_model_write", "SELECT c_custkey, c_acctbal FROM customer WHERE c_acctbal >= 0 UNION ALL SELECT s_suppkey, s_acctbal FROM supplier")
 def _(t: Tables):
     """The first write is replaced by the second, which the third adds to."""

@@ -3,15 +3,20 @@
 from __future__ import annotations
 
 import json
+import sys
 from collections.abc import Iterator
 from typing import Any
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# functions of this module travel to the executors whole: they need no copy of the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # one encoder for all values: json.dumps with options builds one per call
 _as_json = json.JSONEncoder(ensure_ascii=False).encode
 

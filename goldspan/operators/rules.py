@@ -115,11 +115,15 @@ def with_lookups(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, dict[
 
 
 def errors_of(df: DataFrame, rules: Sequence[Rule], errors: str = "mdmErrors") -> DataFrame:
-    """``df`` with the list of rules that fired, in rule order, in one pass."""
+    """``df`` with the list of rules that fired, in rule order, in one pass.
+
+    Errors a record already has, such as bad types, stay in front.
+    """
     columns = [c for c in df.columns if c != errors]
     joined, looked_up = with_lookups(df, rules)
     nothing = F.array().cast("array<string>")
-    parts = [
+    parts = [F.col(errors)] if errors in df.columns else []
+    parts += [
         F.when(looked_up[i] if i in looked_up else fires(rule), F.array(F.lit(rule.error))).otherwise(nothing)
         for i, rule in enumerate(rules)
     ]

@@ -42,6 +42,11 @@ def test_find_keys_with_an_escaped_name(spark):
     assert rows(n.find_keys(df, "d", "k", ["id"])) == [(1, 0, "3")]
 
 
+def test_the_walk_needs_no_package_on_the_executors():
+    from pyspark import cloudpickle
+    assert n.__name__ in cloudpickle.list_registry_pickle_by_value()
+
+
 def test_unroll(spark):
     df = spark.createDataFrame([(1, [[[1, 2], []], [[3]]]), (2, []), (3, None)], "id int, v array<array<array<int>>>")
     assert rows(n.unroll_list(df, "v", ["id"])) == [(1, 0, 1), (1, 1, 2), (1, 2, 3)]
