@@ -54,14 +54,18 @@ class TableCache:
 
     def __init__(self, spark: SparkSession, frames: list[tuple[DataFrame, str]] = ()):
         self.spark = spark
+        self._kept: dict[str, DataFrame] = {}
         self.add_many(frames)
 
     def _known(self, name: str) -> bool:
         return self.spark.catalog.tableExists(name)
 
     def add(self, name: str, df: DataFrame, keep: bool = False) -> None:
-        """Add or replace a table; ``keep`` caches its rows on the executors."""
-        (df.persist() if keep else df).createOrReplaceTempView(name)
+        """Add or replace a table; ``keep`` caches its rows on the executors until it goes."""
+        self._release(name)
+        if keep:
+            self._kept[name] = df.persist()
+        df.createOrReplaceTempView(name)
 
     def add_many(self, frames: list[tuple[DataFrame, str]], keep: bool = False) -> None:
         for df, name in frames:
@@ -75,9 +79,15 @@ class TableCache:
         missing = [c for c in existing.columns if c not in df.columns]
         if missing:
             raise ValueError(f"cannot append to {name!r}: columns {missing} are missing")
-        self.add(name, existing.unionByName(df.select(*existing.columns)))
+        keep = name in self._kept
+        self.add(name, existing.unionByName(df.select(*existing.columns)), keep)
+
+    def _release(self, name: str) -> None:
+        if name in self._kept:
+            self._kept.pop(name).unpersist()
 
     def delete(self, name: str) -> None:
+        self._release(name)
         self.spark.catalog.dropTempView(name)
 
     def query(self, query: str) -> DataFrame:

@@ -138,3 +138,20 @@ def test_wire_round_trip():
     assert A.from_wire(wire).to_wire() == wire
     with pytest.raises(ValueError, match="unknown aggregation"):
         A("MEDIAN", "m", "f")
+
+
+# fixed values: every aggregation type a stored search may hold
+KINDS = """TERM TERMS NESTED FILTER MINIMUM MAXIMUM AVERAGE COUNT SUM STATS EXTENDED_STATS DATE_HISTOGRAM
+HISTOGRAM RANGE CARDINALITY""".split()
+
+
+@pytest.mark.parametrize("kind", KINDS)
+def test_every_kind_runs_from_json(spark, kind):
+    df = spark.createDataFrame([(1.0, datetime.datetime(2024, 1, 1), [2.0])], "v double, t timestamp, many array<double>")
+    params = {"TERMS": ["v", "t"], "NESTED": "many", "HISTOGRAM": {"field": "v", "interval": 2},
+              "DATE_HISTOGRAM": {"field": "t", "interval": "day"}, "RANGE": {"field": "v", "ranges": [[0, 5]]}}.get(kind, "v")
+    wire = {"type": kind, "name": "n", "params": params, "size": 10, "shardSize": 10, "minDocCount": 0}
+    if kind == "FILTER":
+        wire["queryParam"] = {"mdmFilterType": "RANGE_FILTER", "mdmKey": "v", "mdmValue": [0, 9]}
+    row = aggregate(df, wire)["n"].first().asDict()
+    assert row.get("doc_count", 1) == 1

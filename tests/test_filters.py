@@ -222,3 +222,36 @@ def test_must_and_must_not_share_out_all_records(people):
 
 def test_row_helper(people):
     assert len(rows(people)) == 5
+
+
+# fixed values: every filter type a stored search may hold
+KINDS = """TERM_FILTER BOOL_FILTER TERMS_FILTER MATCH_ALL_FILTER MATCH_FILTER MATCH_ALL_TERMS_FILTER
+MATCH_ANY_TERM_FILTER TERM_FUZZY_FILTER TERMS_FUZZY_FILTER TYPE_FILTER RANGE_FILTER WILDCARD_FILTER
+WILDCARD_CUSTOM_FILTER EXISTS_FILTER SIMPLE_QUERY_STRING MISSING_FILTER GEODISTANCE_FILTER NESTED
+NESTED_MATCH_ALL_TERMS_FILTER NESTED_MATCH_ANY_TERM_FILTER NESTED_TERM_FILTER NESTED_TERMS_FILTER
+NESTED_MATCH_ALL_FILTER NESTED_MATCH_FILTER NESTED_TERM_FUZZY_FILTER NESTED_TERMS_FUZZY_FILTER
+NESTED_RANGE_FILTER NESTED_WILDCARD_FILTER NESTED_WILDCARD_CUSTOM_FILTER NESTED_SIMPLE_QUERY_STRING
+NESTED_GEODISTANCE_FILTER NESTED_EXISTS_FILTER NESTED_MISSING_FILTER""".split()
+
+
+@pytest.mark.parametrize("kind", KINDS)
+def test_every_kind_runs_from_json(spark, kind):
+    element = "k:string,b:boolean,at:struct<lat:double,lon:double>"
+    df = spark.createDataFrame(
+        [(1, "t", ("x", True, (0.0, 0.0)), [("x", True, (0.0, 0.0))]), (2, "u", None, [])],
+        f"id int, mdmEntityType string, one struct<{element}>, many array<struct<{element}>>")
+    wire = {"mdmFilterType": kind}
+    field = "b" if kind == "BOOL_FILTER" else "at" if "GEO" in kind else "k"
+    if kind == "TYPE_FILTER":
+        wire["mdmValue"] = "t"
+    elif kind.startswith("NESTED"):
+        wire |= {"mdmPath": "many", "mdmKey": field}
+    elif kind != "MATCH_ALL_FILTER":
+        wire["mdmKey"] = f"one.{field}"
+    if "GEO" in kind:
+        wire["mdmRangeValues"] = [0.0, 0.0, 0.0, 1.0]
+    elif kind != "TYPE_FILTER" and not any(w in kind for w in ("EXISTS", "MISSING")):
+        several = any(w in kind for w in ("TERMS_FILTER", "TERMS_FUZZY")) and "MATCH" not in kind
+        wire["mdmValue"] = True if field == "b" else ["x", "y"] if several else ["a", "z"] if "RANGE" in kind else "x"
+    expected = {"MATCH_ALL_FILTER": [1, 2], "MISSING_FILTER": [2], "NESTED_MISSING_FILTER": [2]}.get(kind, [1])
+    assert ids(apply_filter(df, wire)) == expected
