@@ -41,24 +41,36 @@ def _total(value: str, by: Sequence[str]) -> Column:
     return F.coalesce(F.sum(value).over(earlier(by)), F.lit(0))
 
 
-def numbered(df: DataFrame, by: Sequence[str], order: Sequence[str], name: str = "row_number") -> DataFrame:
-    """Adds the row's number within its key, from 1."""
-    local = in_slabs(df, by, order).withColumn("_row", F.row_number().over(inside(by, order)))
-    sizes = local.groupBy(*by, "_slab").agg(F.count(F.lit(1)).alias("_rows"))
-    shifts = sizes.select(*by, "_slab", _total("_rows", by).alias("_shift"))
-    return local.join(shifts, [*by, "_slab"]).select(*df.columns, (F.col("_row") + F.col("_shift")).alias(name))
-
-
 def ranked(df: DataFrame, by: Sequence[str], order: Sequence[str], rank_by: Sequence[str]) -> DataFrame:
     """Adds ``row_number`` in ``order``, and ``rank`` and ``dense_rank`` in ``rank_by``, a prefix of it.
 
-    Rows that tie share the smallest row number of their group as rank; the
-    groups themselves are numbered for the dense rank.
+    Rows that tie in ``rank_by`` may be cut apart. A slab whose first group goes
+    on from the slab before is *joined*: that group counts once, and its rank is
+    the place where it began, which may be several slabs back.
     """
-    rows = numbered(df, by, order)
-    groups = rows.groupBy(*by, *rank_by).agg(F.min("row_number").alias("rank"))
-    groups = numbered(groups, by, rank_by, "dense_rank")
-    return rows.join(groups, [*by, *rank_by]).select(*df.columns, "row_number", "rank", "dense_rank")
+    ties = inside(by, rank_by)
+    local = in_slabs(df, by, order).withColumns({
+        "_row": F.row_number().over(inside(by, order)), "_rank": F.rank().over(ties), "_dense": F.dense_rank().over(ties)})
+    group = F.struct(*rank_by)
+    edges = local.groupBy(*by, "_slab").agg(
+        F.count(F.lit(1)).alias("_rows"), F.max("_dense").alias("_groups"), F.max("_rank").alias("_last_rank"),
+        F.min(group).alias("_lo"), F.max(group).alias("_hi"))
+    slabs = Window.partitionBy(*by).orderBy("_slab")
+    upto = slabs.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    edges = edges.withColumns({
+        "_shift": _total("_rows", by),
+        "_joined": F.coalesce(F.lag("_hi").over(slabs) == F.col("_lo"), F.lit(False))})
+    began = F.when(~F.col("_joined") | (F.col("_groups") > 1), F.col("_shift") + F.col("_last_rank"))
+    edges = edges.withColumns({
+        "_dense_shift": _total("_groups", by) - F.sum(F.col("_joined").cast("long")).over(upto),
+        "_began": F.last(began, ignorenulls=True).over(upto)})
+    shifts = edges.select(*by, "_slab", "_shift", "_joined", "_dense_shift", F.lag("_began").over(slabs).alias("_began"))
+    goes_on = F.col("_joined") & (F.col("_dense") == 1)
+    return local.join(shifts, [*by, "_slab"]).select(
+        *df.columns,
+        (F.col("_row") + F.col("_shift")).alias("row_number"),
+        F.when(goes_on, F.col("_began")).otherwise(F.col("_rank") + F.col("_shift")).alias("rank"),
+        (F.col("_dense") + F.col("_dense_shift")).alias("dense_rank"))
 
 
 def running_sum(df: DataFrame, by: Sequence[str], order: Sequence[str], value: str, name: str) -> DataFrame:

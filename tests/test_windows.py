@@ -40,12 +40,15 @@ def test_the_hot_key_is_cut(events):
     assert cut.where("k = 'hot'").select("_slab").distinct().count() > 2
 
 
-def test_ranks(events):
+@pytest.mark.parametrize("spread", [60, 2, 1, 3000])
+def test_ranks(events, spread):
+    """Few times make groups of ties that reach over several slabs."""
+    rows_ = events.withColumn("t", F.col("t") % spread if spread < 3000 else F.col("id"))
     tied = Window.partitionBy("k").orderBy("t")
-    expected = events.withColumns({
+    expected = rows_.withColumns({
         "row_number": F.row_number().over(plain()).cast("long"), "rank": F.rank().over(tied).cast("long"),
         "dense_rank": F.dense_rank().over(tied).cast("long")})
-    assert rows(windows.ranked(events, BY, ORDER, ["t"])) == rows(expected)
+    assert rows(windows.ranked(rows_, BY, ORDER, ["t"])) == rows(expected)
 
 
 def test_running_sum(events):
