@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from goldspan.operators.windows import earlier, in_slabs, inside
+from goldspan.operators.windows import carry, earlier, in_slabs, inside
 
 
 def left_join_many(one: DataFrame, many: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -49,12 +49,13 @@ def latest_before(
     """
     picked = F.struct(F.col(at).alias("_at"), *[F.col(c).alias(f"previous_{c}") for c in columns])
     asking = df.withColumns({"_turn": F.lit(0), "_tie": F.col(tie_break)})
-    given = other.select(by, at, F.lit(1).alias("_turn"), F.col(tie_break).alias("_tie"), picked.alias("_pick"))
+    # a null key equals nothing: such rows ask in vain
+    given = other.where(F.col(by).isNotNull()).select(by, at, F.lit(1).alias("_turn"), F.col(tie_break).alias("_tie"), picked.alias("_pick"))
     order = [at, "_turn", "_tie"]
     rows = in_slabs(asking.unionByName(given, allowMissingColumns=True), [by], order)
     before = inside([by], order).rowsBetween(Window.unboundedPreceding, -1)
     searched = rows.withColumn("_near", F.max("_pick").over(before)).where("_turn = 0")
     newest = rows.groupBy(by, "_slab").agg(F.max("_pick").alias("_newest"))
     carried = newest.select(by, "_slab", F.max("_newest").over(earlier([by])).alias("_carry"))
-    found = searched.join(carried, [by, "_slab"]).withColumn("_best", F.coalesce("_near", "_carry"))
+    found = carry(searched, carried, [by]).withColumn("_best", F.coalesce("_near", "_carry"))
     return found.select(*df.columns, *[f"_best.previous_{c}" for c in columns])

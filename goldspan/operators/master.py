@@ -128,10 +128,16 @@ def stagings_of_connector(df: DataFrame, connector: str, staging: str, name: str
 
 
 def prefixed_staging(df: DataFrame, connectors: DataFrame, prefix: str | None) -> DataFrame:
-    """Staging names qualified by connector name or id (or left as they are)."""
+    """Staging names qualified by connector name or id (or left as they are).
+
+    A connector without a known name leaves the qualified name null.
+    """
     if prefix is None:
         return df.withColumn("qualified", F.col("staging"))
-    if prefix not in ("connector_name", "connector_id"):
+    if prefix == "connector_id":
+        return df.withColumn("qualified", F.concat(F.col("connector_id").cast("string"), F.lit("_"), "staging"))
+    if prefix != "connector_name":
         raise ValueError("prefix is connector_name, connector_id or None")
     known = connectors.select("connector_id", "connector_name").distinct()
-    return df.join(known, "connector_id").withColumn("qualified", F.concat_ws("_", prefix, "staging"))
+    named = df.join(known, "connector_id", "left")
+    return named.withColumn("qualified", F.concat("connector_name", F.lit("_"), "staging")).select(*df.columns, "qualified")

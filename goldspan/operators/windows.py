@@ -17,6 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from goldspan.functions.keys import join_same
 from goldspan.session import stored
 
 # Up to here a sorted head is kept by one task; beyond, rows are counted off in parallel.
@@ -37,6 +38,11 @@ def earlier(by: Sequence[str]):
     return Window.partitionBy(*by).orderBy("_slab").rowsBetween(Window.unboundedPreceding, -1)
 
 
+def carry(rows: DataFrame, shifts: DataFrame, by: Sequence[str]) -> DataFrame:
+    """``rows`` with what their key's earlier slabs add."""
+    return join_same(rows, shifts, [*by, "_slab"])
+
+
 def _total(value: str, by: Sequence[str]) -> Column:
     return F.coalesce(F.sum(value).over(earlier(by)), F.lit(0))
 
@@ -48,25 +54,27 @@ def ranked(df: DataFrame, by: Sequence[str], order: Sequence[str], rank_by: Sequ
     on from the slab before is *joined*: that group counts once, and its rank is
     the place where it began, which may be several slabs back.
     """
-    ties = inside(by, rank_by)
-    local = in_slabs(df, by, order).withColumns({
+    rows, ties = in_slabs(df, by, order), inside(by, rank_by)
+    local = rows.withColumns({
         "_row": F.row_number().over(inside(by, order)), "_rank": F.rank().over(ties), "_dense": F.dense_rank().over(ties)})
     group = F.struct(*rank_by)
-    edges = local.groupBy(*by, "_slab").agg(
-        F.count(F.lit(1)).alias("_rows"), F.max("_dense").alias("_groups"), F.max("_rank").alias("_last_rank"),
+    # counted from the rows, not from their ranks: the windows above run once
+    groups = rows.groupBy(*by, "_slab", *rank_by).agg(F.count(F.lit(1)).alias("_n"))
+    edges = groups.groupBy(*by, "_slab").agg(
+        F.sum("_n").alias("_rows"), F.count(F.lit(1)).alias("_groups"), F.max_by("_n", group).alias("_last"),
         F.min(group).alias("_lo"), F.max(group).alias("_hi"))
     slabs = Window.partitionBy(*by).orderBy("_slab")
     upto = slabs.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     edges = edges.withColumns({
         "_shift": _total("_rows", by),
         "_joined": F.coalesce(F.lag("_hi").over(slabs) == F.col("_lo"), F.lit(False))})
-    began = F.when(~F.col("_joined") | (F.col("_groups") > 1), F.col("_shift") + F.col("_last_rank"))
+    began = F.when(~F.col("_joined") | (F.col("_groups") > 1), F.col("_shift") + F.col("_rows") - F.col("_last") + 1)
     edges = edges.withColumns({
         "_dense_shift": _total("_groups", by) - F.sum(F.col("_joined").cast("long")).over(upto),
         "_began": F.last(began, ignorenulls=True).over(upto)})
     shifts = edges.select(*by, "_slab", "_shift", "_joined", "_dense_shift", F.lag("_began").over(slabs).alias("_began"))
     goes_on = F.col("_joined") & (F.col("_dense") == 1)
-    return local.join(shifts, [*by, "_slab"]).select(
+    return carry(local, shifts, by).select(
         *df.columns,
         (F.col("_row") + F.col("_shift")).alias("row_number"),
         F.when(goes_on, F.col("_began")).otherwise(F.col("_rank") + F.col("_shift")).alias("rank"),
@@ -79,7 +87,7 @@ def running_sum(df: DataFrame, by: Sequence[str], order: Sequence[str], value: s
     local = in_slabs(df, by, order).withColumn("_sum", F.sum(value).over(upto))
     totals = local.groupBy(*by, "_slab").agg(F.sum(value).alias("_slab_sum"))
     shifts = totals.select(*by, "_slab", _total("_slab_sum", by).alias("_shift"))
-    return local.join(shifts, [*by, "_slab"]).select(*df.columns, (F.col("_sum") + F.col("_shift")).alias(name))
+    return carry(local, shifts, by).select(*df.columns, (F.col("_sum") + F.col("_shift")).alias(name))
 
 
 def neighbours(df: DataFrame, by: Sequence[str], order: Sequence[str], columns: Sequence[str]) -> DataFrame:
@@ -95,7 +103,7 @@ def neighbours(df: DataFrame, by: Sequence[str], order: Sequence[str], columns:
         F.min("_lo").over(whole).alias("_first"), F.max("_hi").over(whole).alias("_last"))
     found = {"previous": F.coalesce("_previous", "_from"), "next": F.coalesce("_next", "_to"),
              "first": F.col("_first"), "last": F.col("_last")}
-    return local.join(shifts, [*by, "_slab"]).select(
+    return carry(local, shifts, by).select(
         *df.columns, *[e.getField(c).alias(f"{side}_{c}") for side, e in found.items() for c in columns])
 
 

@@ -18,13 +18,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
-from functools import reduce
-from operator import and_
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from goldspan.functions.keys import join_same
 from goldspan.operators.windows import first_rows
 from goldspan.plans.filters import apply_filter, as_search, record_getter
 
@@ -228,7 +227,7 @@ def _shaped(counted: DataFrame, agg: Aggregation, parents: list[str], keys: list
     if agg.kind in ("HISTOGRAM", "DATE_HISTOGRAM"):
         if agg.min_doc_count == 0:
             on = [*parents, *keys]
-            counted = _grid(counted, agg, parents).join(counted, on, "left").fillna(0, subset=["doc_count"])
+            counted = join_same(_grid(counted, agg, parents), counted, on, "left").fillna(0, subset=["doc_count"])
         else:
             counted = counted.where(F.col("doc_count") >= agg.min_doc_count)
         return counted.orderBy(*parents, *(_order(agg, keys) if agg.sort_by else keys))
@@ -272,9 +271,7 @@ def _level(rows: DataFrame, agg: Aggregation, parents: list[str], path: str, out
         if limited:
             # at most size buckets (per parent): Spark sees the size and decides how to join
             on = [*parents, *keys]
-            chosen = out[path].select(*[F.col(k).alias(f"_kept_{k}") for k in on])
-            same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_kept_{k}")) for k in on])
-            kept = rows.join(chosen, same, "left_semi")
+            kept = join_same(rows, out[path].select(*on), on, "left_semi")
         if agg.kind == "RANGE":
             name = agg.name
             low, high = (
@@ -326,4 +323,4 @@ def nested_buckets(parent: DataFrame, child: DataFrame, keys: list[str], name: s
     """
     inner = [c for c in child.columns if c not in keys]
     folded = child.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(*inner))).alias(name))
-    return parent.join(folded, keys, "left")
+    return join_same(parent, folded, keys, "left")

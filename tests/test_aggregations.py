@@ -121,6 +121,15 @@ def test_range_with_sub_buckets(sales):
     assert rows(out["r.s"]) == [(0.0, 3.0, "a", 2), (0.0, 3.0, "c", 1), (2.0, None, "a", 2), (2.0, None, "b", 1), (2.0, None, "c", 1)]
 
 
+def test_histogram_inside_open_ranges(sales):
+    """Range ends that are null are bucket keys like any other, also where gaps are filled."""
+    agg = A("RANGE", "r", {"field": "price", "ranges": [[None, 3.0], [2.0, None]]}, sub=(
+        A("HISTOGRAM", "h", {"field": "price", "interval": 2}, sub=(A("TERM", "s", "shop", size=1),)),))
+    out = aggregate(sales, agg)
+    assert rows(out["r.h"]) == [(2.0, None, 2.0, 2), (2.0, None, 4.0, 1), (2.0, None, 6.0, 0), (2.0, None, 8.0, 1), (None, 3.0, 0.0, 2), (None, 3.0, 2.0, 2)]
+    assert rows(out["r.h.s"].where("r_to IS NULL")) == [(2.0, None, 2.0, "a", 1), (2.0, None, 4.0, "a", 1), (2.0, None, 8.0, "b", 1)]
+
+
 def test_shard_size_changes_nothing(sales):
     a, b = (aggregate(sales, A("TERM", "s", "shop", shard_size=n))["s"] for n in (1, 100))
     assert rows(a) == rows(b)

@@ -146,6 +146,8 @@ def test_prefix(spark):
     names = spark.createDataFrame([(1, "crm")], "connector_id int, connector_name string")
     got = [m.prefixed_staging(df, names, p).first()["qualified"] for p in (None, "connector_name", "connector_id")]
     assert got == ["s", "crm_s", "1_s"]
+    unknown = spark.createDataFrame([(9, "s"), (None, "s")], "connector_id int, staging string")
+    assert rows(m.prefixed_staging(unknown, names, "connector_name").select("qualified")) == [(None,), (None,)]
     with pytest.raises(ValueError):
         m.prefixed_staging(df, names, "tenant")
 

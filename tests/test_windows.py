@@ -24,7 +24,8 @@ def many_slabs(spark):
 @pytest.fixture(scope="module")
 def events(spark):
     rng = random.Random(11)
-    data = [(i, "hot" if i % 3 else f"k{rng.randrange(40)}", rng.randrange(60), rng.randrange(1000)) for i in range(3000)]
+    keys = [None, *[f"k{n}" for n in range(40)]]
+    data = [(i, "hot" if i % 3 else rng.choice(keys), rng.randrange(60), rng.randrange(1000)) for i in range(3000)]
     return spark.createDataFrame(data, "id int, k string, t int, v int").repartition(6)
 
 
@@ -72,10 +73,11 @@ def test_neighbours_keep_null_values(spark):
 def test_latest_before_is_strict(spark, events):
     asks = events.select("id", "k", "t")
     given = events.where("v > 700").select("id", "k", "t", "v")
+    assert given.where("k IS NULL").count() > 0
     got = latest_before(asks, given, "k", "t", ["id", "v"], "id")
     table = [tuple(r) for r in given.collect()]
     for r in got.collect():
-        before = [(t, i, v) for i, k, t, v in table if k == r["k"] and t < r["t"]]
+        before = [(t, i, v) for i, k, t, v in table if k is not None and k == r["k"] and t < r["t"]]
         best = max(before) if before else None
         assert (r["previous_id"], r["previous_v"]) == ((best[1], best[2]) if best else (None, None))
     assert got.count() == 3000
