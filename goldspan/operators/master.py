@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from goldspan.names import STAGING_TIE_BREAK
 from goldspan.operators.rules import Rule, errors_of
@@ -24,6 +25,14 @@ def check_crosswalk_unique(df: DataFrame, crosswalk: Sequence[str], force: bool
     return df
 
 
+def _holds_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return any(_holds_map(f.dataType) for f in kind)
+    if isinstance(kind, T.ArrayType):
+        return _holds_map(kind.elementType)
+    return isinstance(kind, (T.MapType, T.VariantType))
+
+
 def merge_latest(
     df: DataFrame,
     key: str = "mdmId",
@@ -40,8 +49,13 @@ def merge_latest(
     very many versions sends one row per task through the shuffle.
     """
     rest = sorted(c for c in df.columns if c not in (key, counter))
-    ordered = F.struct(counter, *rest)
-    latest = df.groupBy(key).agg(F.max(ordered).alias("_latest")).select(key, "_latest.*")
+    unordered = [c for c in rest if _holds_map(df.schema[c].dataType)]
+    ordered = F.struct(counter, *[c for c in rest if c not in unordered])
+    if unordered:
+        newest = F.max_by(F.struct(counter, *rest), ordered)  # maps have no order: they come along
+    else:
+        newest = F.max(ordered)
+    latest = df.groupBy(key).agg(newest.alias("_latest")).select(key, "_latest.*")
     if deleted is not None:
         latest = latest.where(~F.coalesce(F.col(deleted), F.lit(False)))
     return latest.select(*df.columns)

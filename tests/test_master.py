@@ -7,7 +7,7 @@ from goldspan.functions import taxid
 from goldspan.operators import envelope, opslog
 from goldspan.operators import master as m
 from goldspan.operators.rules import LOOKUPS, RULES, Rule, errors_of, fires
-from goldspan.names import GOLDEN_METADATA, REJECTED_COLUMNS, STAGING_METADATA
+from goldspan.names import GOLDEN_METADATA, GOLDEN_TIE_BREAK, REJECTED_COLUMNS, STAGING_METADATA
 
 from conftest import rows
 
@@ -124,6 +124,12 @@ def test_merge_does_not_depend_on_arrival(spark):
         assert got == {k: x for k, x in expected.items() if not x[1]}
 
 
+def test_merge_carries_maps(spark):
+    df = spark.createDataFrame([("a", 1, False, {"s": ["1"]}), ("a", 2, False, {"s": ["2"]})],
+                               "mdmId string, mdmStagingCounter long, mdmDeleted boolean, mdmCrosswalk map<string,array<string>>")
+    assert [tuple(r) for r in m.merge_latest(df, counter=GOLDEN_TIE_BREAK).collect()] == [("a", 2, False, {"s": ["2"]})]
+
+
 def test_duplicate_crosswalk(spark):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (2, "a")], "x int, y string")
     assert rows(m.duplicate_keys(df, ["x", "y"])) == [(1, "a", 2)]
