@@ -45,6 +45,7 @@ _STEPS = {
     "week": "interval 7 days", "day": "interval 1 day", "hour": "interval 1 hour",
     "minute": "interval 1 minute", "second": "interval 1 second",
 }
+_MARK = "_by_"
 _BLOCK = 4096  # grid buckets made per exploded row
 
 
@@ -121,9 +122,13 @@ def _metrics(aggs, rows: DataFrame) -> list[Column]:
 
 
 def _keyed(rows: DataFrame, agg: Aggregation) -> tuple[DataFrame, list[str]]:
-    """``rows`` with the bucket key columns added, and their names."""
+    """``rows`` with the bucket key columns added, and their names.
+
+    Keys carry a mark until the end, so that a bucket may be called like a
+    field that a sub-aggregation reads.
+    """
     get = record_getter(rows.columns)
-    n = agg.name
+    n = _MARK + agg.name
     if agg.kind == "TERM":
         return rows.withColumn(n, get(agg.field)).where(F.col(n).isNotNull()), [n]
     if agg.kind == "TERMS":
@@ -139,12 +144,25 @@ def _keyed(rows: DataFrame, agg: Aggregation) -> tuple[DataFrame, list[str]]:
         return rows.withColumn(n, key.cast("timestamp_ntz")).where(F.col(n).isNotNull()), [n]
     # RANGE: a record is repeated once per range that holds it
     value = get(agg.field)
-    members = [
-        F.when(_in_range(value, low, high), F.lit(i)) for i, (low, high) in enumerate(agg.params["ranges"])
-    ]
-    place = f"_{n}_place"
-    rows = rows.withColumn(place, F.explode(F.array_compact(F.array(*members))))
-    return rows, [place]
+    members = [F.when(_in_range(value, low, high), end) for (low, high), end in zip(_ranges(agg), _range_ends(agg))]
+    spread = rows.withColumn("_range", F.explode(F.array_compact(F.array(*members))))
+    return spread.withColumns({f: F.col("_range").getField(f) for f in _range_names(agg)}).drop("_range"), _range_names(agg)
+
+
+def _ranges(agg: Aggregation) -> list[tuple]:
+    """The listed (from, to) pairs, each once."""
+    return list(dict.fromkeys((low, high) for low, high in agg.params["ranges"]))
+
+
+def _range_names(agg: Aggregation) -> list[str]:
+    return [f"{_MARK}{agg.name}_from", f"{_MARK}{agg.name}_to"]
+
+
+def _range_ends(agg: Aggregation) -> list[Column]:
+    """The listed ranges as structs of their two ends."""
+    low, high = _range_names(agg)
+    return [F.struct(F.lit(lo).cast("double").alias(low), F.lit(hi).cast("double").alias(high))
+            for lo, hi in _ranges(agg)]
 
 
 def _in_range(value: Column, low, high) -> Column:
@@ -168,18 +186,10 @@ def _order(agg: Aggregation, keys: list[str]) -> list[Column]:
     return [column.desc_nulls_last() if down else column.asc_nulls_last(), *ties]
 
 
-def _range_frame(counted: DataFrame, agg: Aggregation, parents: list[str]) -> DataFrame:
-    """Counts with the range ends as columns; unhit ranges count 0 at the top level."""
-    n, place = agg.name, f"_{agg.name}_place"
-    listed = [
-        F.struct(F.lit(i).alias(place), F.lit(lo).cast("double").alias(f"{n}_from"), F.lit(hi).cast("double").alias(f"{n}_to"))
-        for i, (lo, hi) in enumerate(agg.params["ranges"])
-    ]
-    ends = counted.sparkSession.range(1).select(F.inline(F.array(*listed)))
-    keep = "left" if agg.min_doc_count == 0 and not parents else "inner"
-    frame = ends.join(counted, place, keep).fillna(0, subset=["doc_count"])
-    rest = [c for c in counted.columns if c not in (*parents, place)]
-    return frame.select(*parents, f"{n}_from", f"{n}_to", *rest)
+def _range_frame(counted: DataFrame, agg: Aggregation) -> DataFrame:
+    """Every listed range with its count, 0 where no record lies in it."""
+    listed = counted.sparkSession.range(1).select(F.inline(F.array(*_range_ends(agg))))
+    return join_same(listed, counted, _range_names(agg), "left").fillna(0, subset=["doc_count"])
 
 
 def _grid(frame: DataFrame, agg: Aggregation, parents: list[str]) -> DataFrame:
@@ -188,7 +198,7 @@ def _grid(frame: DataFrame, agg: Aggregation, parents: list[str]) -> DataFrame:
     Made in two explodes, blocks and then the buckets of a block, so a fine
     grid over a wide span never sits in one array.
     """
-    n = agg.name
+    n = _MARK + agg.name
     # whole rows are compared, not bare keys: a frame read in full here and in
     # the join is one exchange to Spark, worked out once
     row = F.struct(n, *[c for c in frame.columns if c not in (n, *parents)])
@@ -220,10 +230,9 @@ def _grid(frame: DataFrame, agg: Aggregation, parents: list[str]) -> DataFrame:
 def _shaped(counted: DataFrame, agg: Aggregation, parents: list[str], keys: list[str]) -> DataFrame:
     """Empty buckets, the minimum count, the order and the size of one level."""
     if agg.kind == "RANGE":
-        framed = _range_frame(counted, agg, parents)
-        if agg.min_doc_count > 0:
-            framed = framed.where(F.col("doc_count") >= agg.min_doc_count)
-        return framed
+        if agg.min_doc_count == 0 and not parents:
+            return _range_frame(counted, agg)
+        return counted.where(F.col("doc_count") >= agg.min_doc_count)
     if agg.kind in ("HISTOGRAM", "DATE_HISTOGRAM"):
         if agg.min_doc_count == 0:
             on = [*parents, *keys]
@@ -242,58 +251,48 @@ def _shaped(counted: DataFrame, agg: Aggregation, parents: list[str], keys: list
     return counted.orderBy(*parents, *order)
 
 
-def _scoped(rows: DataFrame, agg: Aggregation, parents: list[str]) -> DataFrame:
+def _scoped(rows: DataFrame, agg: Aggregation, parents: list[str], tables) -> DataFrame:
     if agg.kind == "FILTER":
-        return apply_filter(rows, agg.query)
-    get = record_getter(rows.columns)
+        return apply_filter(rows, agg.query, tables)
     element = agg.field.split(".")[-1]
-    others = [p for p in parents if p != element]
     # only the array goes on: its elements take the place of the records
-    return rows.select(*others, F.explode(get(agg.field)).alias(element))
+    return rows.select(*parents, F.explode(record_getter(rows.columns)(agg.field)).alias(element))
 
 
-def _level(rows: DataFrame, agg: Aggregation, parents: list[str], path: str, out: dict) -> None:
+def _level(rows: DataFrame, agg: Aggregation, parents: list[str], path: str, out: dict, tables) -> None:
     if agg.kind in METRICS:
-        grouped = rows.groupBy(*parents) if parents else rows
-        out[path] = grouped.agg(*_metrics([agg], rows))
+        out[path] = rows.groupBy(*parents).agg(*_metrics([agg], rows))
         return
-    buckets = [a for a in agg.sub if a.kind not in METRICS]
     if agg.kind in SCOPES:
-        rows, keys = _scoped(rows, agg, parents), []
+        rows, keys = _scoped(rows, agg, parents, tables), []
     else:
         rows, keys = _keyed(rows, agg)
-    grouped = rows.groupBy(*parents, *keys)
-    counted = grouped.agg(F.count(F.lit(1)).alias("doc_count"), *_metrics(agg.sub, rows))
-    out[path] = counted if agg.kind in SCOPES else _shaped(counted, agg, parents, keys)
-    limited = agg.kind in ("TERM", "TERMS") and agg.size
-    for sub in buckets:
+    on = [*parents, *keys]
+    frame = rows.groupBy(*on).agg(F.count(F.lit(1)).alias("doc_count"), *_metrics(agg.sub, rows))
+    if agg.kind not in SCOPES:
+        frame = _shaped(frame, agg, parents, keys)
+    out[path] = frame.withColumnsRenamed({k: k.removeprefix(_MARK) for k in on})
+    for sub in agg.sub:
+        if sub.kind in METRICS:
+            continue
         kept = rows
-        if limited:
+        if agg.kind in ("TERM", "TERMS") and agg.size:
             # at most size buckets (per parent): Spark sees the size and decides how to join
-            on = [*parents, *keys]
-            kept = join_same(rows, out[path].select(*on), on, "left_semi")
-        if agg.kind == "RANGE":
-            name = agg.name
-            low, high = (
-                F.element_at(F.array(*[F.lit(None if r[i] is None else float(r[i])).cast("double")
-                                       for r in agg.params["ranges"]]), F.col(f"_{name}_place") + 1)
-                for i in (0, 1)
-            )
-            kept = kept.withColumns({f"{name}_from": low, f"{name}_to": high}).drop(f"_{name}_place")
-            keys = [f"{name}_from", f"{name}_to"]
-        _level(kept, sub, [*parents, *keys], f"{path}.{sub.name}", out)
-
-
-def aggregate(df: DataFrame, agg: Aggregation | Mapping) -> dict[str, DataFrame]:
+            kept = join_same(rows, frame.select(*on), on, "left_semi")
+        _level(kept, sub, on, f"{path}.{sub.name}", out, tables)
+
+
+def aggregate(df: DataFrame, agg: Aggregation | Mapping,
+              tables: Mapping[str, DataFrame] | None = None) -> dict[str, DataFrame]:
     """One frame per bucket level, keyed by dotted aggregation names.
 
     A frame holds the keys of its ancestors, its own key, ``doc_count`` and one
-    column per metric below it.
+    column per metric below it. ``tables`` serve value queries in filters.
     """
     if isinstance(agg, Mapping):
         agg = Aggregation.from_wire(agg)
     out: dict[str, DataFrame] = {}
-    _level(df, agg, [], agg.name, out)
+    _level(df, agg, [], agg.name, out, tables)
     return out
 
 
@@ -312,7 +311,7 @@ def run(df: DataFrame, query, tables: Mapping[str, DataFrame] | None = None) ->
         out["metrics"] = metrics(rows, plain)
     for agg in search.aggregations:
         if agg.kind not in METRICS:
-            out.update(aggregate(rows, agg))
+            out.update(aggregate(rows, agg, tables))
     return out
 
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from goldspan.plans.aggregations import Aggregation as A
 from goldspan.plans.aggregations import aggregate, metrics, run
+from goldspan.plans.filters import Predicate as P
 from goldspan.plans.filters import Search, between, term
 
 from conftest import rows
@@ -111,7 +112,7 @@ def test_date_histogram_grid(spark, interval, count):
 
 def test_ranges_overlap_and_are_half_open(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (None,)], "v double")
-    out = aggregate(df, A("RANGE", "r", {"field": "v", "ranges": [[None, 2.0], [1.0, 3.0], [9.0, None]]}))["r"]
+    out = aggregate(df, A("RANGE", "r", {"field": "v", "ranges": [[None, 2.0], [1.0, 3.0], [9.0, None], [1.0, 3.0]]}))["r"]
     assert rows(out.select("r_from", "r_to", "doc_count")) == [(1.0, 3.0, 2), (9.0, None, 0), (None, 2.0, 1)]
 
 
@@ -130,6 +131,21 @@ def test_histogram_inside_open_ranges(sales):
     assert rows(out["r.h.s"].where("r_to IS NULL")) == [(2.0, None, 2.0, "a", 1), (2.0, None, 4.0, "a", 1), (2.0, None, 8.0, "b", 1)]
 
 
+def test_a_bucket_may_be_called_like_a_field(sales):
+    agg = A("TERM", "price", "shop", sub=(A("SUM", "s", "price"), A("TERM", "item", "price", size=1, sub=(A("TERM", "shop", "item"),))))
+    out = aggregate(sales, agg)
+    assert rows(out["price"]) == [("a", 3, 7.0), ("b", 2, 8.0), ("c", 1, 2.0)]
+    assert rows(out["price.item"]) == [("a", 1.0, 1), ("b", 8.0, 1), ("c", 2.0, 1)]
+    assert rows(out["price.item.shop"]) == [("a", 1.0, "x", 1), ("b", 8.0, "x", 1), ("c", 2.0, "z", 1)]
+
+
+def test_filter_scope_with_a_value_query(spark, sales):
+    shops = spark.createDataFrame([("b",), ("c",)], "name string")
+    wanted = P("TERMS_FILTER", "shop", values_field="name", values_query=P("TYPE_FILTER", value="shops"))
+    out = aggregate(sales, A("FILTER", "f", query=wanted, sub=(A("SUM", "s", "price"),)), {"shops": shops})
+    assert rows(out["f"]) == [(3, 10.0)]
+
+
 def test_shard_size_changes_nothing(sales):
     a, b = (aggregate(sales, A("TERM", "s", "shop", shard_size=n))["s"] for n in (1, 100))
     assert rows(a) == rows(b)
