@@ -34,6 +34,7 @@ SLAB_BYTES = 6 << 20
 COUNTERS = 1 << 18  # of the frequency table: 2 MB, whatever the corpus
 SLICE = 1 << 14
 PARTS = 64
+BITS = 1 << 26  # of the table of documents in candidate pairs: 8 MB
 
 
 def shingle_set(text: str | None, size: int) -> np.ndarray:
@@ -128,12 +129,53 @@ def overlap(a: np.ndarray, b: np.ndarray, least: int) -> int:
     return len(np.intersect1d(a, b, assume_unique=True))
 
 
+def _members(ids: DataFrame) -> np.ndarray:
+    """A table of BITS bits with those of the hashed ids (``_id``) set. An id that is in is always told so; with very
+    many ids others are as well, which costs work but changes nothing."""
+    def pack(rows: pd.DataFrame) -> pd.DataFrame:
+        bits = np.zeros(1 << 16, bool)
+        bits[rows["at"].to_numpy() & 0xFFFF] = True
+        return pd.DataFrame({"part": [int(rows["at"].iloc[0]) >> 16], "bits": [np.packbits(bits).tobytes()]})
+
+    places = ids.select(_bit("_id").alias("at")).distinct().withColumn("part", F.shiftright("at", 16))
+    bits = np.zeros(BITS >> 3, np.uint8)
+    for row in places.groupBy("part").applyInPandas(pack, "part int, bits binary").collect():  # BITS bits at most
+        bits[row["part"] << 13:(row["part"] + 1) << 13] = np.frombuffer(row["bits"], np.uint8)
+    return bits
+
+
+def _bit(column: str) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(BITS)).cast("int")
+
+
+def _is_member(bits: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
+
+
 def verify(pairs: DataFrame, texts: DataFrame, size: int, num: int, den: int) -> DataFrame:
-    """Of the pairs (``a``, ``b``), those whose sets are similar enough; each is compared once."""
-    wanted = pairs.select(F.col("a").alias("_id")).unionByName(pairs.select(F.col("b").alias("_id"))).distinct()
-    sets = stored(_shingles(texts.join(wanted, "_id", "left_semi"), size, lambda i, s: (i, s.tobytes()), "_id long, members binary"), "sets")
-    both = pairs.join(sets.select(F.col("_id").alias("b"), F.col("members").alias("of_b")), "b") \
-        .join(sets.select(F.col("_id").alias("a"), F.col("members").alias("of_a")), "a").select("a", "b", "of_a", "of_b")
+    """Of the pairs (``a``, ``b``), those whose sets are similar enough; each is compared once.
+
+    Texts stay where they are: only the sets of documents in a pair move.
+    """
+    in_a, in_b = _members(pairs.select(F.col("a").alias("_id"))), _members(pairs.select(F.col("b").alias("_id")))
+
+    def wanted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            at = batch["_at"].to_numpy()
+            as_a, as_b = _is_member(in_a, at), _is_member(in_b, at)
+            batch = batch.assign(as_a=as_a, as_b=as_b)[as_a | as_b]
+            texts_ = batch["_text"].tolist()
+            for start, end in strides(texts_):
+                part = batch.iloc[start:end]
+                yield pd.DataFrame({"_id": part["_id"], "as_a": part["as_a"], "as_b": part["as_b"],
+                                    "members": [shingle_set(t, size).tobytes() for t in texts_[start:end]]})
+
+    known = texts.where(F.col("_id").isNotNull()).withColumn("_at", _bit("_id"))
+    sets = stored(known.mapInPandas(wanted, "_id long, as_a boolean, as_b boolean, members binary"), "sets")
+    # neither pairs nor sets have a bound, so they are merged at every size; a crowded document's part is split
+    of_b = sets.where("as_b").select(F.col("_id").alias("b"), F.col("members").alias("of_b"))
+    of_a = sets.where("as_a").select(F.col("_id").alias("a"), F.col("members").alias("of_a"))
+    both = pairs.join(of_b.hint("merge"), "b").join(of_a.hint("merge"), "a").select("a", "b", "of_a", "of_b")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
