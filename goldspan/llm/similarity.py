@@ -33,7 +33,7 @@ from goldspan.session import stored
 SLAB_BYTES = 6 << 20
 COUNTERS = 1 << 18  # of the frequency table: 2 MB, whatever the corpus
 SLICE = 1 << 14
-PARTS = 64
+PARTS = 512  # of a set, for the suffix filter: one byte each
 BITS = 1 << 26  # of the table of documents in candidate pairs: 8 MB
 
 
@@ -116,17 +116,17 @@ def _tokens(shingles: np.ndarray, frequencies: np.ndarray) -> np.ndarray:
     return np.sort(often << 40 | (shingles >> np.uint64(24)).astype(np.int64))
 
 
-def overlap(a: np.ndarray, b: np.ndarray, least: int) -> int:
-    """Common members of two sorted sets; less than ``least`` may come out too small.
+def parts_of(shingles: np.ndarray) -> bytes:
+    """How many members fall into each of PARTS fixed ranges of the hashes; 255 stands for any larger number too."""
+    return np.minimum(np.bincount((shingles >> np.uint64(64 - PARTS.bit_length() + 1)).astype(np.int64), minlength=PARTS), 255) \
+        .astype(np.uint8).tobytes()
 
-    The suffix filter first: split at fixed pivots, each part can add no more
-    than its smaller side, and nothing before the sets' ranges meet counts.
-    """
-    pa_, pb = (np.bincount((x >> np.uint64(58)).astype(np.int64), minlength=PARTS) for x in (a, b))
-    most = int(np.minimum(pa_, pb).sum())
-    if most < least:
-        return most
-    return len(np.intersect1d(a, b, assume_unique=True))
+
+def most_overlap(a: bytes, b: bytes, size_a: int, size_b: int) -> int:
+    """The suffix filter: split at fixed pivots, two sets have no more in common than the smaller side of each part."""
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    smaller = np.minimum(x, y)
+    return min(size_a, size_b) if (smaller == 255).any() else int(smaller.sum(dtype=np.int64))
 
 
 def _members(ids: DataFrame) -> np.ndarray:
@@ -167,26 +167,46 @@ def verify(pairs: DataFrame, texts: DataFrame, size: int, num: int, den: int) ->
             texts_ = batch["_text"].tolist()
             for start, end in strides(texts_):
                 part = batch.iloc[start:end]
-                yield pd.DataFrame({"_id": part["_id"], "as_a": part["as_a"], "as_b": part["as_b"],
-                                    "members": [shingle_set(t, size).tobytes() for t in texts_[start:end]]})
+                sets_ = [shingle_set(t, size) for t in texts_[start:end]]
+                yield pd.DataFrame({"_id": part["_id"], "as_a": part["as_a"], "as_b": part["as_b"], "n": [len(x) for x in sets_],
+                                    "parts": [parts_of(x) for x in sets_], "members": [x.tobytes() for x in sets_]})
 
     known = texts.where(F.col("_id").isNotNull()).withColumn("_at", _bit("_id"))
-    sets = stored(known.mapInPandas(wanted, "_id long, as_a boolean, as_b boolean, members binary"), "sets")
-    # neither pairs nor sets have a bound, so they are merged at every size; a crowded document's part is split
-    of_b = sets.where("as_b").select(F.col("_id").alias("b"), F.col("members").alias("of_b"))
-    of_a = sets.where("as_a").select(F.col("_id").alias("a"), F.col("members").alias("of_a"))
-    both = pairs.join(of_b.hint("merge"), "b").join(of_a.hint("merge"), "a").select("a", "b", "of_a", "of_b")
+    sets = stored(known.mapInPandas(wanted, "_id long, as_a boolean, as_b boolean, n long, parts binary, members binary"), "sets")
+
+    def beside(pairs_: DataFrame, sets_: DataFrame, *columns: str) -> DataFrame:
+        # neither pairs nor sets have a bound, so they are merged at every size; a crowded document's part is split
+        of = lambda side: sets_.where(f"as_{side}").select(
+            F.col("_id").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns]).hint("merge")
+        return pairs_.join(of("b"), "b").join(of("a"), "a")
+
+    def possible(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            keep = [most_overlap(x, y, m, n) >= -(-(m + n) * num // (num + den)) for x, y, m, n in zip(
+                batch["parts_a"], batch["parts_b"], batch["n_a"], batch["n_b"])]
+            yield batch.loc[np.array(keep, bool), ["a", "b"]]
+
+    left = stored(beside(pairs, sets.drop("members"), "n", "parts").mapInPandas(possible, "a long, b long"), "possible")
+    by_a, by_b = _members(left.select(F.col("a").alias("_id"))), _members(left.select(F.col("b").alias("_id")))
 
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def still(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            at = batch["_at"].to_numpy()
+            as_a, as_b = batch["as_a"] & _is_member(by_a, at), batch["as_b"] & _is_member(by_b, at)
+            yield batch.assign(as_a=as_a, as_b=as_b)[as_a | as_b].drop(columns="_at")
+
+    moving = sets.drop("n", "parts").withColumn("_at", _bit("_id")).mapInPandas(still, "_id long, as_a boolean, as_b boolean, members binary")
+
+    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             keep = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                least = -(-(len(x) + len(y)) * num // (num + den))
-                keep.append(overlap(x, y, least) >= least)
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            for x, y in zip(batch["members_a"], batch["members_b"]):
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                common = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(den * common >= num * (len(x) + len(y) - common))
+            yield batch.loc[np.array(keep, bool), ["a", "b"]]
 
-    return stored(both.mapInArrow(check, "a long, b long"), "links")
+    return stored(beside(left, moving, "members").mapInPandas(check, "a long, b long"), "links")
 
 
 def similar_documents(df: DataFrame, size: int = 5, num: int = 3, den: int = 4, ident: str = "doc_id", text: str = "text") -> DataFrame:
@@ -197,7 +217,8 @@ def similar_documents(df: DataFrame, size: int = 5, num: int = 3, den: int = 4,
     as one. Documents link when den * intersection >= num * union. A text that is
     null or has no words has an empty set and links with nothing.
     ``component_id`` is the least id reachable by links, itself included. Rows
-    that share an id are one node; a row without id links with nothing and has
+    that share an id but not the text are separate documents, and the id gets
+    the least component of them; a row without id links with nothing and has
     a null component. An empty table gives an empty result; other columns are
     not used. Shingles are compared by 64-bit hashes.
     """
@@ -218,7 +239,7 @@ def similar_documents(df: DataFrame, size: int = 5, num: int = 3, den: int = 4,
             return ident_, n, _tokens(shingles, frequencies)[:n - -(-num * n // den) + 1].tobytes()
 
     prefixes = stored(_shingles(texts, size, prefix, "_id long, n long, tokens binary").join(reps, "_id", "left_semi")
-                      .dropDuplicates(["_id"]).withColumn("slab", F.pmod(F.xxhash64("_id"), F.lit(slabs)).cast("int")), "prefixes")
+                      .withColumn("slab", F.pmod(F.xxhash64("_id"), F.lit(slabs)).cast("int")), "prefixes")
 
     def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -240,13 +261,17 @@ def similar_documents(df: DataFrame, size: int = 5, num: int = 3, den: int = 4,
             tokens = np.frombuffer(tokens, np.int64)
             at = np.flatnonzero(is_told(mix(tokens.astype(np.uint64)), codes, slabs))
             if len(at):
-                out.append((np.full(len(at), ident_), np.full(len(at), n), at, tokens[at]))
-        if not out:
-            return pd.DataFrame(columns=["id", "n", "place", "token"], dtype="int64")
-        return pd.DataFrame(dict(zip(["id", "n", "place", "token"], map(np.concatenate, zip(*out)))))
+                out.append((ident_, n, at.astype(np.int32), tokens[at]))
+        return pd.DataFrame(out, columns=["id", "n", "places", "tokens"])
+
+    holders = stored(prefixes.groupBy("slab").cogroup(told.groupBy("slab")).applyInPandas(
+        shared, "id long, n long, places array<int>, tokens array<long>"), "entries")
+
+    def each(rows: DataFrame) -> DataFrame:
+        found = rows.withColumn("x", F.explode(F.arrays_zip("tokens", "places"))).drop("tokens", "places")
+        return found.withColumns({"token": F.col("x.tokens"), "place": F.col("x.places")}).drop("x")
 
-    entries = stored(prefixes.groupBy("slab").cogroup(told.groupBy("slab")).applyInPandas(
-        shared, "id long, n long, place long, token long"), "entries")
+    entries = each(holders)
 
     def fits(x: str, y: str) -> Column:
         nx, ny, px, py = F.col(f"{x}.n"), F.col(f"{y}.n"), F.col(f"{x}.place"), F.col(f"{y}.place")
@@ -261,8 +286,8 @@ def similar_documents(df: DataFrame, size: int = 5, num: int = 3, den: int = 4,
     links = verify(pairs, texts, size, num, den)
     joined = components(links, "a", "b")
 
-    placed = entries.join(joined, entries["id"] == joined["node"], "left").select(
-        "token", "id", "n", "place", F.coalesce("component", "id").alias("part"))
+    placed = each(holders.join(joined, holders["id"] == joined["node"], "left").select(
+        "id", "n", "tokens", "places", F.coalesce("component", "id").alias("part")))
     per_part = placed.groupBy("token", "part").agg(F.count(F.lit(1)).alias("many"))
     split = per_part.groupBy("token").agg(F.max_by("part", F.struct("many", "part")).alias("main"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
     open_ = stored(placed.join(split.select("token", "main"), "token"), "open")
