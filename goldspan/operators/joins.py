@@ -49,8 +49,8 @@ def latest_before(
     """
     picked = F.struct(F.col(at).alias("_at"), *[F.col(c).alias(f"previous_{c}") for c in columns])
     asking = df.withColumns({"_turn": F.lit(0), "_tie": F.col(tie_break)})
-    # a null key equals nothing: such rows ask in vain
-    given = other.where(F.col(by).isNotNull()).select(by, at, F.lit(1).alias("_turn"), F.col(tie_break).alias("_tie"), picked.alias("_pick"))
+    # a null key equals nothing, and a null time is earlier than none: such rows are not found
+    given = other.where(F.col(by).isNotNull() & F.col(at).isNotNull()).select(by, at, F.lit(1).alias("_turn"), F.col(tie_break).alias("_tie"), picked.alias("_pick"))
     order = [at, "_turn", "_tie"]
     rows = in_slabs(asking.unionByName(given, allowMissingColumns=True), [by], order)
     before = inside([by], order).rowsBetween(Window.unboundedPreceding, -1)

@@ -86,8 +86,10 @@ def running_sum(df: DataFrame, by: Sequence[str], order: Sequence[str], value: s
     upto = inside(by, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = in_slabs(df, by, order).withColumn("_sum", F.sum(value).over(upto))
     totals = local.groupBy(*by, "_slab").agg(F.sum(value).alias("_slab_sum"))
-    shifts = totals.select(*by, "_slab", _total("_slab_sum", by).alias("_shift"))
-    return carry(local, shifts, by).select(*df.columns, (F.col("_sum") + F.col("_shift")).alias(name))
+    # null while the key has no value yet, as in a plain window
+    shifts = totals.select(*by, "_slab", F.sum("_slab_sum").over(earlier(by)).alias("_shift"))
+    total = F.coalesce(F.col("_sum") + F.col("_shift"), "_sum", "_shift")
+    return carry(local, shifts, by).select(*df.columns, total.alias(name))
 
 
 def neighbours(df: DataFrame, by: Sequence[str], order: Sequence[str], columns: Sequence[str]) -> DataFrame:

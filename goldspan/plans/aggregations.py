@@ -79,6 +79,7 @@ class Aggregation:
     @classmethod
     def from_wire(cls, wire: Mapping) -> Aggregation:
         given = {name: wire[w] for name, w in _WIRE.items() if w in wire}
+        given.setdefault("size", 0)  # a request that names no size asks for all buckets
         if "queryParam" in wire:
             given["query"] = as_search(wire["queryParam"])
         return cls(sub=tuple(cls.from_wire(a) for a in wire.get("subAggregations", [])), **given)

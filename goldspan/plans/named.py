@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from goldspan.plans.filters import Search
 
 _PLACEHOLDER = re.compile(r"\{\{(.*?)\}\}")
+_QUOTED = re.compile(r"('(?:[^'\\]|\\.)*')")
 
 
 def parameters(template) -> list[str]:
@@ -49,8 +50,18 @@ def bind_search(template: Mapping, params: Mapping[str, Any]) -> Search:
     return Search.from_wire(_bound(template, params))
 
 
+def _marked_literal(literal: str) -> str:
+    """A quoted text with its placeholders as a concatenation of texts and parameters."""
+    parts = _PLACEHOLDER.split(literal[1:-1])  # text, name, text, name, ..., text
+    pieces = [f"CAST(:{part.strip()} AS STRING)" if i % 2 else f"'{part}'" for i, part in enumerate(parts) if i % 2 or part]
+    return pieces[0] if len(pieces) == 1 else f"concat({', '.join(pieces)})"
+
+
 def run_sql_template(spark: SparkSession, template: str, params: Mapping[str, Any]) -> DataFrame:
-    """A SQL template: placeholders become Spark's named parameter markers."""
+    """A SQL template: placeholders become Spark's named parameter markers, also those inside quoted texts."""
     _checked(template, params)
-    marked = _PLACEHOLDER.sub(lambda m: f":{m.group(1).strip()}", template)
+    parts = _QUOTED.split(template)
+    marked = "".join(
+        (_marked_literal(part) if _PLACEHOLDER.search(part) else part) if i % 2
+        else _PLACEHOLDER.sub(lambda m: f":{m.group(1).strip()}", part) for i, part in enumerate(parts))
     return spark.sql(marked, args=dict(params))

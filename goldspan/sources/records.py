@@ -2,17 +2,38 @@
 
 from __future__ import annotations
 
+import functools
 import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.types import StructType
 
 
+def common_type(a: T.DataType, b: T.DataType) -> T.DataType:
+    """A type that holds the values of both: all fields, the wider number, else text."""
+    if a == b or isinstance(b, T.NullType):
+        return a
+    if isinstance(a, T.NullType):
+        return b
+    if isinstance(a, StructType) and isinstance(b, StructType):
+        types = {f.name: f.dataType for f in a}
+        for field in b:
+            types[field.name] = common_type(types.get(field.name, field.dataType), field.dataType)
+        return StructType([T.StructField(name, kind) for name, kind in types.items()])
+    if isinstance(a, T.ArrayType) and isinstance(b, T.ArrayType):
+        return T.ArrayType(common_type(a.elementType, b.elementType))
+    if isinstance(a, T.NumericType) and isinstance(b, T.NumericType):
+        return T.DoubleType()
+    return T.StringType()
+
+
 def records_frame(spark: SparkSession, data, schema: StructType | str | None = None) -> DataFrame:
     """One frame from a JSON text, a dict, a list of dicts, a pandas or a Spark frame.
 
-    The Python forms are small hand-held payloads. Bulk JSON belongs in files
+    Records may differ: the frame has every field of every record, in a type
+    that holds all its values. The Python forms are small hand-held payloads. Bulk JSON belongs in files
     or in a text column: see ``json_column``.
     """
     if isinstance(data, DataFrame):
@@ -27,7 +48,7 @@ def records_frame(spark: SparkSession, data, schema: StructType | str | None = N
         texts = spark.createDataFrame([(json.dumps(d),) for d in data], "record string")
         if schema is None:
             from goldspan.operators.schema import infer_from_sample
-            schema = infer_from_sample(data[0])
+            schema = functools.reduce(common_type, (infer_from_sample(d) for d in data))
         return json_column(texts, "record", schema)
     return spark.createDataFrame(data, schema=schema)
 

@@ -196,3 +196,21 @@ def test_sizing():
     assert sizing(1 << 30, 8)["spark.sql.shuffle.partitions"] == "16"
     assert sizing(10 << 40, 4000)["spark.sql.shuffle.partitions"] == "81920"
     assert sizing(100 << 40, 4000)["spark.sql.shuffle.partitions"] == "100000"
+
+
+def test_records_of_differing_shape_keep_all_fields(spark):
+    from goldspan.sources.records import records_frame
+    got = records_frame(spark, [{"a": 1, "n": {"x": 1}}, {"a": 2.5, "b": 3, "n": {"y": "z"}}, {"b": "t"}]).collect()
+    assert [(r["a"], r["b"]) for r in got] == [(1.0, None), (2.5, "3"), (None, "t")]
+    assert got[1]["n"]["y"] == "z"
+
+
+def test_quoted_placeholders_are_bound(spark):
+    from goldspan.plans.named import run_sql_template
+    got = run_sql_template(spark, "SELECT '{{p}}' AS a, 'x{{p}}y' AS b, {{n}} + 1 AS c", {"p": "it's", "n": 2}).first()
+    assert tuple(got) == ("it's", "xit'sy", 3)
+
+
+def test_a_request_without_size_asks_for_all_buckets():
+    from goldspan.plans.aggregations import Aggregation
+    assert Aggregation.from_wire({"type": "TERM", "name": "n", "params": "f"}).size == 0

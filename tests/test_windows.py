@@ -121,3 +121,25 @@ def test_batch_slices_with_a_crowded_first_column(spark):
 def test_batch_summary_counts_records_not_requests(spark):
     df = spark.createDataFrame([("b", 1, 5), ("b", 1, 6), ("b", 2, 9), ("c", 1, 1)], "batch_id string, sequence int, at int")
     assert rows(batch_summary(df, started="at", ended="at")) == [("b", 3, 2, 5, 9), ("c", 1, 1, 1, 1)]
+
+
+def test_running_sum_with_nulls_at_slab_edges(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        values = [None if i < 30 or 45 <= i < 62 or i > 90 else i for i in range(100)]
+        df = spark.createDataFrame([(1, i, v) for i, v in enumerate(values)], "k int, o int, v long")
+        got = {r["o"]: r["total"] for r in windows.running_sum(df, ["k"], ["o"], "v", "total").collect()}
+        seen, want = None, {}
+        for i, v in enumerate(values):
+            seen = seen if v is None else (seen or 0) + v
+            want[i] = seen
+        assert got == want
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_a_null_time_is_not_earlier(spark):
+    from goldspan.operators.joins import latest_before
+    asking = spark.createDataFrame([(1, 10, 1)], "k int, t int, i int")
+    other = spark.createDataFrame([(1, None, 1), (1, 10, 2)], "k int, t int, i int")
+    assert [r["previous_i"] for r in latest_before(asking, other, "k", "t", ["i"], "i").collect()] == [None]
