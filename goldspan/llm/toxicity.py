@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from goldspan.llm.words import words_of
+from goldspan.session import stored
 
 FEATURES = 1 << 20
 TOXIC_SAMPLE = 4_000  # confirmed toxic texts learned from, at most
@@ -162,9 +163,34 @@ def train(df: DataFrame, labels: DataFrame, learns: Column, ident: str = "doc_id
     # at most TOXIC_SAMPLE + OTHER_SAMPLE ids of a few bytes
     texts = df.select(ident, F.col(text).alias("_text")).join(F.broadcast(picked), ident).select(
         F.struct(ident, "_is").alias("_key"), "_text")
-    seen = _with_features(texts, "_key", "_text").select("_id._is", f"_id.{ident}", "features").orderBy(ident, "features").toPandas()
-    sets = [np.frombuffer(x, np.int32) for x in seen["features"]]
-    return fit([s for s, p in zip(sets, seen["_is"]) if p], [s for s, p in zip(sets, seen["_is"]) if not p], prior)
+    seen = stored(_with_features(texts, "_key", "_text").select(
+        F.col("_id._is").alias("_is"), F.col(f"_id.{ident}").alias("_id"), "features"), "features")
+    sizes = {r["_is"]: r["n"] for r in seen.groupBy("_is").agg(F.count(F.lit(1)).alias("n")).collect()}
+    share = sizes.get(1, 0) / max(1, sum(sizes.values()))
+
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        of = np.zeros((2, FEATURES), np.int64)
+        for batch in batches:
+            for is_, found in zip(batch["_is"], batch["features"]):
+                of[is_, np.frombuffer(found, np.int32)] += 1
+        used = np.flatnonzero(of.any(0))
+        yield pd.DataFrame({"feature": used, "other": of[0, used], "toxic": of[1, used]})
+
+    # only features that pass the test of ``fit`` come to the driver, and each text's share of them
+    every, expected = F.col("toxic") + F.col("other"), (F.col("toxic") + F.col("other")) * share
+    told = seen.select("_is", "features").mapInPandas(counted, "feature long, other long, toxic long").groupBy("feature").agg(
+        F.sum("other").alias("other"), F.sum("toxic").alias("toxic")).where(every >= LEAST_TEXTS) \
+        .where(F.abs(F.col("toxic") - expected) >= (LEAST_SIGN - 1e-6) * F.sqrt(expected * (1 - share))).select("feature")
+    useful = np.sort(np.array([r[0] for r in told.collect()], np.int32))
+
+    def kept(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch.assign(features=[np.intersect1d(np.frombuffer(f, np.int32), useful, assume_unique=True).tobytes()
+                                         for f in batch["features"]])
+
+    rows = seen.mapInPandas(kept, seen.schema).toPandas().sort_values(["_id", "features"], kind="stable")
+    sets = [np.frombuffer(x, np.int32) for x in rows["features"]]
+    return fit([s for s, p in zip(sets, rows["_is"]) if p], [s for s, p in zip(sets, rows["_is"]) if not p], prior)
 
 
 def score_texts(df: DataFrame, model: Model, text: str = "text", score: str = "toxicity") -> DataFrame:
