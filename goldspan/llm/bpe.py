@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from goldspan.llm.kept import kept
 from goldspan.llm.vocabulary import UnitMemo, Vocabulary, strides, vocabulary
 
 class TrieEncoder:
@@ -107,14 +108,9 @@ class TrieEncoder:
         return [first + b"".join(rest) for first, rest in self.memo.values(texts)]
 
 
-_encoders: dict[str, TrieEncoder] = {}
-
-
 def encoder(path: str) -> TrieEncoder:
     """The worker's encoder for this file; its memo outlives a task."""
-    if path not in _encoders:
-        _encoders[path] = TrieEncoder(vocabulary(path))
-    return _encoders[path]
+    return kept(("encoder", path), lambda: TrieEncoder(vocabulary(path)))
 
 
 class Decoder:
@@ -144,8 +140,8 @@ def _ids_array(coded: list[bytes]) -> pa.ListArray:
 
 
 def _with(batch: pa.RecordBatch, start: int, end: int, schema: pa.Schema, *new: pa.Array) -> pa.RecordBatch:
-    kept = batch.slice(start, end - start)
-    return pa.RecordBatch.from_arrays([*kept.columns, *new], names=[*batch.schema.names, *schema])
+    part = batch.slice(start, end - start)
+    return pa.RecordBatch.from_arrays([*part.columns, *new], names=[*batch.schema.names, *schema])
 
 
 def encode_texts(df: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str | None = None) -> DataFrame:
@@ -182,7 +178,7 @@ def decode_ids(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded"
     schema = T.StructType([*df.schema.fields, T.StructField(text, T.StringType())])
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        back = Decoder(vocabulary(path))
+        back = kept(("decoder", path), lambda: Decoder(vocabulary(path)))
         for batch in batches:
             column = batch.column(batch.schema.names.index(ids))
             found = [None if x is None else back.decode(np.array(x, np.int64)) for x in column.to_pylist()]

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from goldspan.llm.kept import kept
 from goldspan.llm.vocabulary import PIECE, PLAIN, UnitMemo, Vocabulary, strides, vocabulary
 from goldspan.session import stored
 
@@ -58,9 +59,6 @@ class IdsByUnit:
             yield first + b"".join(rest)
 
 
-_encoders: dict[str, IdsByUnit] = {}
-
-
 def cut_documents(df: DataFrame, path: str, capacity: int, end_id: int, id_column: str = "doc_id",
                   text: str = "text", keep_ids: bool = False) -> DataFrame:
     """The pieces of each document: ``piece``, ``start``, ``length`` and ``ids_crc32`` beside ``id_column``.
@@ -78,7 +76,7 @@ def cut_documents(df: DataFrame, path: str, capacity: int, end_id: int, id_colum
     end = np.array([end_id], "<u4").tobytes()
 
     def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        coder = _encoders.get(path) or _encoders.setdefault(path, IdsByUnit(vocabulary(path)))
+        coder = kept(("ids by unit", path), lambda: IdsByUnit(vocabulary(path)))
         for batch in batches:
             names, texts = batch[id_column].tolist(), batch[text].tolist()
             for a, b in strides(texts):

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Encoding, Tokenizer
 
+from goldspan.llm.kept import kept
 from goldspan.llm.vocabulary import UnitMemo, Vocabulary, strides, vocabulary
 
 CHUNK = 32_768
@@ -109,9 +110,6 @@ class LibraryCounter:
         return [found[i] for i in range(len(texts))]
 
 
-_counters: dict[str, LibraryCounter] = {}
-
-
 def count_tokens(df: DataFrame, path: str, text: str = "text", n_tokens: str = "n_tokens") -> DataFrame:
     """``df`` with the number of tokens of the whole ``text`` as ``n_tokens``; one narrow pass, no shuffle.
 
@@ -126,7 +124,7 @@ def count_tokens(df: DataFrame, path: str, text: str = "text", n_tokens: str = "
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _single_threaded()
-        counter = _counters.get(path) or _counters.setdefault(path, LibraryCounter(path))
+        counter = kept(("counter", path), lambda: LibraryCounter(path))
         for batch in batches:
             texts = batch.column(batch.schema.names.index(text)).to_pylist()
             found: list[int] = []

@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from goldspan.llm.kept import kept
+from goldspan.llm.vocabulary import strides
 from goldspan.llm.words import words_of
 from goldspan.session import stored
 
@@ -31,12 +33,13 @@ OTHER_SAMPLE = 16_000  # unlabelled texts learned from, at most
 LEAST_TEXTS = 5  # sample texts a feature is in
 LEAST_SIGN = 5.5  # standard deviations by which it is commoner or rarer in toxic texts
 EPOCHS = 20
+PART = 256  # texts scored at a time
 EDGE = re.compile(rb"^[\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]+|[\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]+$")
 
 
 class FeaturesOfWord(dict):
     """Hashes of a word's lower-case form without marks at its ends, and of its first four, five and six characters
-    (other endings of the same stem), as 32-bit numbers. Kept while a worker lives; bounded."""
+    (other endings of the same stem), as 32-bit numbers. Kept between tasks; bounded."""
 
     def __missing__(self, word: bytes) -> bytes:
         if len(self) >= 400_000:
@@ -48,12 +51,10 @@ class FeaturesOfWord(dict):
         return found
 
 
-_features = FeaturesOfWord()
-
-
 def features(text: str | None) -> np.ndarray:
     """The distinct features of a whole text, sorted."""
-    return np.unique(np.frombuffer(b"".join(map(_features.__getitem__, set(words_of(text, lower=True)))), "<i4"))
+    of_word = kept("features", FeaturesOfWord)
+    return np.unique(np.frombuffer(b"".join(map(of_word.__getitem__, set(words_of(text, lower=True)))), "<i4"))
 
 
 @dataclass
@@ -130,7 +131,9 @@ def fit(toxic: list[np.ndarray], other: list[np.ndarray], prior: float, epochs:
 def _with_features(df: DataFrame, ident: str, text: str) -> DataFrame:
     def found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"_id": batch["_id"], "features": [features(t).tobytes() for t in batch["_text"]]})
+            ids, texts = batch["_id"], batch["_text"].tolist()
+            for start, end in strides(texts):
+                yield pd.DataFrame({"_id": ids[start:end], "features": [features(t).tobytes() for t in texts[start:end]]})
     return df.select(F.col(ident).alias("_id"), F.col(text).alias("_text")).mapInPandas(
         found, T.StructType([T.StructField("_id", df.schema[ident].dataType), T.StructField("features", T.BinaryType())]))
 
@@ -183,12 +186,12 @@ def train(df: DataFrame, labels: DataFrame, learns: Column, ident: str = "doc_id
         .where(F.abs(F.col("toxic") - expected) >= (LEAST_SIGN - 1e-6) * F.sqrt(expected * (1 - share))).select("feature")
     useful = np.sort(np.array([r[0] for r in told.collect()], np.int32))
 
-    def kept(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def useful_only(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield batch.assign(features=[np.intersect1d(np.frombuffer(f, np.int32), useful, assume_unique=True).tobytes()
                                          for f in batch["features"]])
 
-    rows = seen.mapInPandas(kept, seen.schema).toPandas().sort_values(["_id", "features"], kind="stable")
+    rows = seen.mapInPandas(useful_only, seen.schema).toPandas().sort_values(["_id", "features"], kind="stable")
     sets = [np.frombuffer(x, np.int32) for x in rows["features"]]
     return fit([s for s, p in zip(sets, rows["_is"]) if p], [s for s, p in zip(sets, rows["_is"]) if not p], prior)
 
@@ -204,8 +207,9 @@ def score_texts(df: DataFrame, model: Model, text: str = "text", score: str = "t
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(batch.schema.names.index(text)).to_pylist()
-            found = model.score([features(t) for t in texts])
+            column = batch.column(batch.schema.names.index(text))
+            found = [s for at in range(0, len(column), PART)
+                     for s in model.score([features(t) for t in column.slice(at, PART).to_pylist()])]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.float64())], names=[*batch.schema.names, score])
 
     return df.mapInArrow(scored, T.StructType([*df.schema.fields, T.StructField(score, T.DoubleType())]))

@@ -8,11 +8,11 @@ encoded once however often it occurs.
 
 from __future__ import annotations
 
-import functools
 import json
 import re
 from collections.abc import Callable, Iterator
 from typing import Any
+from weakref import WeakValueDictionary
 
 import regex
 from tokenizers import Tokenizer
@@ -99,10 +99,15 @@ class Vocabulary:
         return found
 
 
-@functools.lru_cache(maxsize=4)
+_in_use: WeakValueDictionary[str, Vocabulary] = WeakValueDictionary()
+
+
 def vocabulary(path: str) -> Vocabulary:
-    """The vocabulary of ``path``, read once per Python worker. ``path`` must be installed on every executor."""
-    return Vocabulary(path)
+    """The vocabulary of ``path``, read once as long as the worker uses it. ``path`` must be installed on every executor."""
+    found = _in_use.get(path)
+    if found is None:
+        found = _in_use[path] = Vocabulary(path)
+    return found
 
 
 class UnitMemo:

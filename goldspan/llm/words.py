@@ -10,6 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from goldspan.llm.kept import kept
 from goldspan.session import stored
 
 ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -23,7 +24,7 @@ def words_of(text: str | None, lower: bool = False) -> list[bytes]:
 
 
 class WordHashes(dict):
-    """64-bit hashes of words, kept while a worker lives; bounded."""
+    """64-bit hashes of words, kept between tasks; bounded."""
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= 500_000:
@@ -32,11 +33,8 @@ class WordHashes(dict):
         return found
 
 
-_hashes = WordHashes()
-
-
 def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+    return np.fromiter(map(kept("word hashes", WordHashes).__getitem__, words), np.uint64, len(words))
 
 
 def mix(x: np.ndarray) -> np.ndarray:
