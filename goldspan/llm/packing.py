@@ -59,23 +59,46 @@ class IdsByUnit:
             yield first + b"".join(rest)
 
 
+NUMBERS = {"_slab": "long", "_nth": "long"}
+
+
+class Numbering:
+    """Numbers the pieces of each length in a partition: ``_slab`` is the partition, ``_nth`` the number."""
+
+    def __init__(self, capacity: int):
+        self.seen = np.zeros(capacity + 1, np.int64)
+
+    def added(self, pieces: pd.DataFrame) -> pd.DataFrame:
+        sizes = pieces["length"].to_numpy(np.int64)
+        nth = self.seen[sizes] + pieces.groupby("length").cumcount().to_numpy()
+        self.seen += np.bincount(sizes, minlength=len(self.seen))
+        return pieces.assign(_slab=TaskContext.get().partitionId(), _nth=nth)
+
+
+def _numbered(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, *(T.StructField(n, T.LongType()) for n in NUMBERS)])
+
+
 def cut_documents(df: DataFrame, path: str, capacity: int, end_id: int, id_column: str = "doc_id",
-                  text: str = "text", keep_ids: bool = False) -> DataFrame:
+                  text: str = "text", keep_ids: bool = False, numbered: bool = False) -> DataFrame:
     """The pieces of each document: ``piece``, ``start``, ``length`` and ``ids_crc32`` beside ``id_column``.
 
     A document is the ids of its whole text (null: empty) and ``end_id``. Only
     those longer than ``capacity`` are cut, into pieces of ``capacity`` ids; the
     first piece is shorter where they do not come out even. ``keep_ids`` adds
-    the ids themselves. One narrow pass; other columns of ``df`` are left out.
+    the ids themselves, ``numbered`` the columns that ``pack`` would add in a pass
+    of its own. One narrow pass; other columns of ``df`` are left out.
     """
     fields = [T.StructField(id_column, df.schema[id_column].dataType), T.StructField("piece", T.IntegerType()),
               T.StructField("start", T.LongType()), T.StructField("length", T.LongType()),
               T.StructField("ids_crc32", T.LongType())]
     if keep_ids:
         fields.append(T.StructField("ids", T.ArrayType(T.IntegerType(), False)))
+    schema = T.StructType(fields)
     end = np.array([end_id], "<u4").tobytes()
 
     def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        numbering = Numbering(capacity) if numbered else None
         coder = kept(("ids by unit", path), lambda: IdsByUnit(vocabulary(path)))
         for batch in batches:
             names, texts = batch[id_column].tolist(), batch[text].tolist()
@@ -90,9 +113,10 @@ def cut_documents(df: DataFrame, path: str, capacity: int, end_id: int, id_colum
                         rows.append((name, piece, at, size, zlib.crc32(part),
                                      *([np.frombuffer(part, "<i4")] if keep_ids else [])))
                         at, size = at + size, capacity
-                yield pd.DataFrame(rows, columns=[f.name for f in fields])
+                found = pd.DataFrame(rows, columns=[f.name for f in fields])
+                yield numbering.added(found) if numbering else found
 
-    return df.select(id_column, text).mapInPandas(pieces, T.StructType(fields))
+    return df.select(id_column, text).mapInPandas(pieces, _numbered(schema) if numbered else schema)
 
 
 @dataclass
@@ -168,29 +192,26 @@ def pack(pieces: DataFrame, capacity: int) -> DataFrame:
 
     ``pieces.length`` is 1 to ``capacity`` in every row. Sequences have no gaps
     before their end. Equal lengths are interchangeable, so equal and repeated
-    rows are no special case; an empty table gives an empty one.
+    rows are no special case; an empty table gives an empty one. Pieces that
+    ``cut_documents`` has numbered are not numbered again.
     """
-    own = {"_slab": "long", "_nth": "long"}
-    schema = T.StructType([*pieces.schema.fields, *(T.StructField(n, T.LongType()) for n in own)])
-
-    def numbered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen = np.zeros(capacity + 1, np.int64)  # pieces of each length so far in this partition
+    def number(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        numbering = Numbering(capacity)
         for batch in batches:
-            sizes = batch["length"].to_numpy(np.int64)
-            nth = seen[sizes] + batch.groupby("length").cumcount().to_numpy()
-            seen += np.bincount(sizes, minlength=capacity + 1)
-            yield batch.assign(_slab=TaskContext.get().partitionId(), _nth=nth)
+            yield numbering.added(batch)
 
+    names = [c for c in pieces.columns if c not in NUMBERS]
+    if len(names) == len(pieces.columns):
+        pieces = pieces.mapInPandas(number, _numbered(pieces.schema))
     # both the counts and the places refer to this numbering, so it is stored
-    rows = stored(pieces.mapInPandas(numbered, schema), "pieces")
+    rows = stored(pieces, "pieces")
     per_slab = rows.groupBy("length", "_slab").agg(F.count(F.lit(1)).alias("_rows"))
     before = Window.partitionBy("length").orderBy("_slab").rowsBetween(Window.unboundedPreceding, -1)
     shifts = per_slab.select("length", "_slab", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_shift"))
     # at most one row per length up to the capacity
     lengths = {r["length"]: r["n"] for r in rows.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     runs = {size: [np.array(x, np.int64) for x in (r.first, r.each, r.bin, r.offset)] for size, r in plan(lengths, capacity).items()}
-    names = pieces.columns
-    out = T.StructType([*pieces.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
+    out = T.StructType([*(pieces.schema[n] for n in names), T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
 
     def placed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -209,4 +230,4 @@ def pack(pieces: DataFrame, capacity: int) -> DataFrame:
 
 def pack_documents(df: DataFrame, path: str, capacity: int, end_id: int = 0) -> DataFrame:
     """Documents cut and packed; ``df`` needs ``doc_id`` and ``text``."""
-    return pack(cut_documents(df, path, capacity, end_id), capacity)
+    return pack(cut_documents(df, path, capacity, end_id, numbered=True), capacity)
