@@ -13,11 +13,21 @@ from goldspan.session import stored
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 TOXIC = 0.3
 CAPACITY = 2048
+BATCH = 8 << 20  # bytes of whole texts that go to a Python worker at a time
+
+
+def _small_batches(spark: SparkSession) -> None:
+    """The session's batches for Python hold BATCH bytes at most, or a single longer text: a batch is held by the
+    executor and by the worker, several times over, while the executor's heap is in use. Smaller settings stay."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(name)) > BATCH:
+        spark.conf.set(name, f"{BATCH}b")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score, learned from all labels, is below TOXIC. Rows are judged alone, so repeated
     rows, null and empty texts stay or go by their own score."""
+    _small_batches(spark)
     labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
     model = toxicity.train(docs, labels, F.lit(True))
     return toxicity.score_texts(docs, model, score="_toxicity").where(F.col("_toxicity") < TOXIC).select(*docs.columns)
@@ -26,6 +36,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def one_per_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents joined by a Jaccard similarity of 0.75 of their five-word shingles, the one with the least id.
     Documents without words are no copies of each other; rows without id stay; of rows that share an id all stay or go."""
+    _small_batches(spark)
     found = similarity.similar_documents(docs.select("doc_id", "text"))
     gone = found.where("component_id < doc_id").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
@@ -35,6 +46,7 @@ def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Documents without the words of 13-word windows that also start in a document with a smaller id. Texts that
     lose no word stay as they are, null ones too; a document that loses all of its words goes. ``n_chars`` is set
     anew where the text changed."""
+    _small_batches(spark)
     others = [c for c in docs.columns if c not in ("text", "n_chars")]
     # a row's other columns travel as one, so rows that share an id are not mixed up
     return passages.rewrite(docs, others).select(*docs.columns)
@@ -42,6 +54,7 @@ def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document's pieces and their places in sequences of CAPACITY tokens; a null text is empty."""
+    _small_batches(spark)
     return packing.pack_documents(docs, tokenizer_path("byte_bpe_50k.json"), capacity=CAPACITY)
 
 
