@@ -172,7 +172,7 @@ def _(t: Tables):
     once = windows.neighbours(rows, by, order, ["value"]).select(*rows.columns, F.col("previous_value").alias("v1"))
     twice = windows.neighbours(once, by, order, ["v1"]).select("event_id", "value", "v1", F.col("previous_v1").alias("v2"))
     three = F.array_compact(F.array("value", "v1", "v2"))
-    mean = F.aggregate(three, F.lit(0.0), lambda a, x: a + x) / F.size(three)
+    mean = F.try_divide(F.aggregate(three, F.lit(0.0), lambda a, x: a + x), F.size(three))
     return twice.select("event_id", F.round(mean, 4).alias("mean_of_three"))
 
 

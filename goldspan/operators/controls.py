@@ -138,8 +138,13 @@ def key_ranges(bounds: DataFrame, slices: int) -> DataFrame:
     return b.select(F.posexplode(F.concat(head, middle, tail)).alias("slice", "r")).select("slice", "r.*")
 
 
-def slice_of(key: Column, low: int, high: int, slices: int) -> Column:
-    """The slice number ``key_ranges`` gives a key, by arithmetic instead of a range join."""
+def slice_of(key: Column, low: int | None, high: int | None, slices: int) -> Column:
+    """The slice number ``key_ranges`` gives a key, by arithmetic instead of a range join.
+
+    Null for a null key; a table without keys has no bounds and no slices.
+    """
+    if low is None or high is None:
+        return F.lit(None).cast("int")
     high = low + 1 if high == low else high
     step = (high - low) // slices + 1
     last = -(-(high - low) // step) + 1

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 import sys
 from collections.abc import Iterator
 from typing import Any
@@ -21,6 +22,17 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 _as_json = json.JSONEncoder(ensure_ascii=False).encode
 
 
+def _number(text: str) -> float:
+    found = float(text)
+    if not math.isfinite(found):
+        raise ValueError(f"{text} is no JSON number of double range")
+    return found
+
+
+def _parsed(text: str) -> Any:
+    return json.loads(text, parse_float=_number, parse_constant=_number)
+
+
 def _values_of(node: Any, key: str) -> Iterator[Any]:
     """Values of ``key`` at any depth: a document's own before those inside it."""
     stack = [node]
@@ -37,7 +49,9 @@ def _values_of(node: Any, key: str) -> Iterator[Any]:
 def find_keys(df: DataFrame, column: str, key: str, keep: list[str]) -> DataFrame:
     """Every value of a key at any depth of a JSON column, in document order.
 
-    One row per value: the kept columns, ``position`` and ``value`` as JSON.
+    One row per value: the kept columns, ``position`` and ``value`` as JSON. A
+    text that names the key but is not JSON, or holds numbers beyond double
+    range, is reported: one row with null position and value.
     The depth is open, which no fixed chain of explodes covers, so the walk
     runs on Arrow batches; texts without the quoted key never leave the JVM.
     """
@@ -48,10 +62,14 @@ def find_keys(df: DataFrame, column: str, key: str, keep: list[str]) -> DataFram
         for batch in batches:
             rows, positions, values = [], [], []
             for row, text in enumerate(batch.column(column).to_pylist()):
-                for position, value in enumerate(_values_of(json.loads(text), key)):
+                try:
+                    found = [(position, _as_json(value)) for position, value in enumerate(_values_of(_parsed(text), key))]
+                except (ValueError, RecursionError):
+                    found = [(None, None)]
+                for position, value in found:
                     rows.append(row)
                     positions.append(position)
-                    values.append(_as_json(value))
+                    values.append(value)
             kept = [batch.column(c).take(pa.array(rows, pa.int64())) for c in keep]
             yield pa.RecordBatch.from_arrays(
                 [*kept, pa.array(positions, pa.int64()), pa.array(values, pa.string())], names=schema.names)

@@ -2,29 +2,54 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.errors import AnalysisException, ParseException
 
 
+# functions that call any static method of the JVM
+REFLECTION = {"reflect", "java_method", "try_reflect"}
+
+
 class TableNotFound(LookupError):
     pass
 
 
+def _functions(plan) -> set[str]:
+    """The functions that a parsed plan calls, sub-queries included, in lower case and without their schemas."""
+    found = set()
+
+    def look(node: dict) -> dict:
+        if str(node.get("class", "")).endswith(".UnresolvedFunction"):
+            found.add(node["nameParts"].strip("[]").split(", ")[-1].lower())
+        return node
+
+    json.loads(plan.toJSON(), object_hook=look)
+    return found
+
+
 def check_select(spark: SparkSession, query: str) -> str:
     """The query without a closing semicolon, if it is one SELECT or WITH query.
 
     Spark's own parser decides: whatever cannot stand as a sub-query (inserts,
-    drops, settings, a second statement) is refused.
+    drops, settings, a second statement) is refused, and so are calls of JVM
+    methods, by what the parser found and not by the text.
     """
     text = query.strip().removesuffix(";").strip()
     if not text:
         raise ValueError("the query is empty")
     if text.split(None, 1)[0].split("(")[0].upper() not in ("SELECT", "WITH"):
         raise ValueError("only SELECT and WITH queries are allowed")
+    inside = f"SELECT * FROM (\n{text}\n) AS _q"
     try:
-        spark.sql(f"SELECT * FROM (\n{text}\n) AS _q")
+        called = _functions(spark._jsparkSession.sessionState().sqlParser().parsePlan(inside))
     except ParseException as error:
         raise ValueError("only one SELECT or WITH query is allowed") from error
+    if called & REFLECTION:
+        raise ValueError(f"{', '.join(sorted(called & REFLECTION))} is not allowed in a query")
+    try:
+        spark.sql(inside)
     except AnalysisException as error:
         # duplicate output names are fine for a query, not for a sub-query
         if "AMBIGUOUS" not in str(error.getCondition()) and "ALREADY_EXISTS" not in str(error.getCondition()):

@@ -16,6 +16,7 @@ RANGE includes its lower and excludes its upper end; ranges may overlap.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 from dataclasses import dataclass
 from typing import Any
@@ -45,6 +46,8 @@ _STEPS = {
     "week": "interval 7 days", "day": "interval 1 day", "hour": "interval 1 hour",
     "minute": "interval 1 minute", "second": "interval 1 second",
 }
+_CALENDAR = {"1y": "year", "1q": "quarter", "1M": "month", "1w": "week", "1d": "day", "1h": "hour", "1m": "minute", "1s": "second"}
+_SECONDS = {"s": 1, "m": 60, "h": 3_600, "d": 86_400}
 _MARK = "_by_"
 _BLOCK = 4096  # grid buckets made per exploded row
 
@@ -141,15 +144,42 @@ def _keyed(rows: DataFrame, agg: Aggregation) -> tuple[DataFrame, list[str]]:
         key = F.floor(get(agg.field).cast("double") / width).cast("double") * width
         return rows.withColumn(n, key).where(F.col(n).isNotNull()), [n]
     if agg.kind == "DATE_HISTOGRAM":
-        key = F.date_trunc(agg.params["interval"], get(agg.field))
+        step = _interval(agg)
+        key = F.date_trunc(step, get(agg.field)) if isinstance(step, str) else F.timestamp_seconds(
+            F.floor(F.unix_seconds(get(agg.field).cast("timestamp")) / step) * step)
         return rows.withColumn(n, key.cast("timestamp_ntz")).where(F.col(n).isNotNull()), [n]
     # RANGE: a record is repeated once per range that holds it
     value = get(agg.field)
-    members = [F.when(_in_range(value, low, high), end) for (low, high), end in zip(_ranges(agg), _range_ends(agg))]
+    members = [F.when(_in_range(value, low, high, _range_type(agg)), end) for (low, high), end in zip(_ranges(agg), _range_ends(agg))]
     spread = rows.withColumn("_range", F.explode(F.array_compact(F.array(*members))))
     return spread.withColumns({f: F.col("_range").getField(f) for f in _range_names(agg)}).drop("_range"), _range_names(agg)
 
 
+def _interval(agg: Aggregation) -> str | int:
+    """A date histogram's step: a calendar unit, or seconds from 1970 on (``6h``, ``30m``, ``7d``)."""
+    given = str(agg.params["interval"])
+    unit = _CALENDAR.get(given, given.lower())
+    if unit in _STEPS:
+        return unit
+    fixed = re.fullmatch(r"([1-9][0-9]*)([smhd])", given)
+    if fixed is None:
+        raise ValueError(f"no interval of a date histogram: {given!r}")
+    return int(fixed[1]) * _SECONDS[fixed[2]]
+
+
+def _is_number(end) -> bool:
+    try:
+        float(end)
+    except (TypeError, ValueError):
+        return False
+    return True
+
+
+def _range_type(agg: Aggregation) -> str:
+    """Numbers are compared as such, any other ends as times."""
+    return "double" if all(_is_number(end) for pair in _ranges(agg) for end in pair if end is not None) else "timestamp_ntz"
+
+
 def _ranges(agg: Aggregation) -> list[tuple]:
     """The listed (from, to) pairs, each once."""
     return list(dict.fromkeys((low, high) for low, high in agg.params["ranges"]))
@@ -162,16 +192,16 @@ def _range_names(agg: Aggregation) -> list[str]:
 def _range_ends(agg: Aggregation) -> list[Column]:
     """The listed ranges as structs of their two ends."""
     low, high = _range_names(agg)
-    return [F.struct(F.lit(lo).cast("double").alias(low), F.lit(hi).cast("double").alias(high))
-            for lo, hi in _ranges(agg)]
+    kind = _range_type(agg)
+    return [F.struct(F.lit(lo).cast(kind).alias(low), F.lit(hi).cast(kind).alias(high)) for lo, hi in _ranges(agg)]
 
 
-def _in_range(value: Column, low, high) -> Column:
+def _in_range(value: Column, low, high, kind: str) -> Column:
     test = value.isNotNull()
     if low is not None:
-        test = test & (value >= F.lit(low))
+        test = test & (value >= (F.lit(low) if kind == "double" else F.lit(low).cast(kind)))
     if high is not None:
-        test = test & (value < F.lit(high))
+        test = test & (value < (F.lit(high) if kind == "double" else F.lit(high).cast(kind)))
     return test
 
 
@@ -187,10 +217,11 @@ def _order(agg: Aggregation, keys: list[str]) -> list[Column]:
     return [column.desc_nulls_last() if down else column.asc_nulls_last(), *ties]
 
 
-def _range_frame(counted: DataFrame, agg: Aggregation) -> DataFrame:
-    """Every listed range with its count, 0 where no record lies in it."""
-    listed = counted.sparkSession.range(1).select(F.inline(F.array(*_range_ends(agg))))
-    return join_same(listed, counted, _range_names(agg), "left").fillna(0, subset=["doc_count"])
+def _range_frame(counted: DataFrame, agg: Aggregation, parents: list[str], rows: DataFrame) -> DataFrame:
+    """Every listed range with its count, 0 where no record lies in it; under a parent, for each of its buckets."""
+    above = rows.select(*parents).distinct() if parents else counted.sparkSession.range(1)
+    listed = above.select(*parents, F.inline(F.array(*_range_ends(agg))))
+    return join_same(listed, counted, [*parents, *_range_names(agg)], "left").fillna(0, subset=["doc_count"])
 
 
 def _grid(frame: DataFrame, agg: Aggregation, parents: list[str]) -> DataFrame:
@@ -215,8 +246,15 @@ def _grid(frame: DataFrame, agg: Aggregation, parents: list[str]) -> DataFrame:
         stop = F.least(F.col("_start") + (_BLOCK - 1), F.col("_last"))
         return blocks.select(*parents, F.explode(F.sequence("_start", stop)).alias("_i")).select(
             *parents, (F.col("_i").cast("double") * width).alias(n))
-    step = F.expr(_STEPS[agg.params["interval"]])
-    if agg.params["interval"] in ("hour", "minute", "second"):
+    unit = _interval(agg)
+    if isinstance(unit, int):
+        first, last = (F.floor(F.unix_seconds(F.col(c).cast("timestamp")) / unit) for c in ("_lo", "_hi"))
+        blocks = edges.select(*parents, last.alias("_last"), F.explode(F.sequence(first, last, F.lit(_BLOCK).cast("long"))).alias("_start"))
+        stop = F.least(F.col("_start") + (_BLOCK - 1), F.col("_last"))
+        return blocks.select(*parents, F.explode(F.sequence("_start", stop)).alias("_i")).select(
+            *parents, F.timestamp_seconds(F.col("_i") * unit).cast("timestamp_ntz").alias(n))
+    step = F.expr(_STEPS[unit])
+    if unit in ("hour", "minute", "second"):
         blocks = edges.select(
             *parents, "_lo", "_hi",
             F.explode(F.sequence(F.date_trunc("day", "_lo").cast("timestamp_ntz"), F.col("_hi"),
@@ -228,11 +266,11 @@ def _grid(frame: DataFrame, agg: Aggregation, parents: list[str]) -> DataFrame:
     return edges.select(*parents, F.explode(F.sequence(F.col("_lo"), F.col("_hi"), step)).alias(n))
 
 
-def _shaped(counted: DataFrame, agg: Aggregation, parents: list[str], keys: list[str]) -> DataFrame:
-    """Empty buckets, the minimum count, the order and the size of one level."""
+def _shaped(counted: DataFrame, agg: Aggregation, parents: list[str], keys: list[str], rows: DataFrame) -> DataFrame:
+    """Empty buckets, the minimum count, the order and the size of one level; ``rows``: what its buckets are made of."""
     if agg.kind == "RANGE":
-        if agg.min_doc_count == 0 and not parents:
-            return _range_frame(counted, agg)
+        if agg.min_doc_count == 0:
+            return _range_frame(counted, agg, parents, rows)
         return counted.where(F.col("doc_count") >= agg.min_doc_count)
     if agg.kind in ("HISTOGRAM", "DATE_HISTOGRAM"):
         if agg.min_doc_count == 0:
@@ -264,6 +302,7 @@ def _level(rows: DataFrame, agg: Aggregation, parents: list[str], path: str, out
     if agg.kind in METRICS:
         out[path] = rows.groupBy(*parents).agg(*_metrics([agg], rows))
         return
+    above = rows
     if agg.kind in SCOPES:
         rows, keys = _scoped(rows, agg, parents, tables), []
     else:
@@ -271,7 +310,7 @@ def _level(rows: DataFrame, agg: Aggregation, parents: list[str], path: str, out
     on = [*parents, *keys]
     frame = rows.groupBy(*on).agg(F.count(F.lit(1)).alias("doc_count"), *_metrics(agg.sub, rows))
     if agg.kind not in SCOPES:
-        frame = _shaped(frame, agg, parents, keys)
+        frame = _shaped(frame, agg, parents, keys, above)
     out[path] = frame.withColumnsRenamed({k: k.removeprefix(_MARK) for k in on})
     for sub in agg.sub:
         if sub.kind in METRICS:

@@ -180,3 +180,32 @@ def test_every_kind_runs_from_json(spark, kind):
         wire["queryParam"] = {"mdmFilterType": "RANGE_FILTER", "mdmKey": "v", "mdmValue": [0, 9]}
     row = aggregate(df, wire)["n"].first().asDict()
     assert row.get("doc_count", 1) == 1
+
+
+def test_ranges_under_a_parent_keep_empty_ones(sales):
+    agg = A("TERM", "s", "shop", sub=(A("RANGE", "r", {"field": "price", "ranges": [[0.0, 3.0], [5.0, None]]}),))
+    assert rows(aggregate(sales, agg)["s.r"]) == [
+        ("a", 0.0, 3.0, 2), ("a", 5.0, None, 0), ("b", 0.0, 3.0, 0), ("b", 5.0, None, 1), ("c", 0.0, 3.0, 1), ("c", 5.0, None, 0)]
+
+
+def test_ranges_of_days(spark):
+    df = spark.createDataFrame([("2024-01-01 05:00:00",), ("2024-02-01 00:00:00",), (None,)], "x string").select(
+        F.col("x").cast("timestamp").alias("t"), F.col("x").cast("timestamp").cast("date").alias("d"))
+    for field in ("t", "d"):
+        out = aggregate(df, A("RANGE", "r", {"field": field, "ranges": [["2024-01-01", "2024-02-01"], ["2024-02-01", None], [None, "2020-01-01"]]}))["r"]
+        assert [(r["r_from"] and r["r_from"].month, r["doc_count"]) for r in out.orderBy("r_from").collect()] == [(None, 0), (1, 1), (2, 1)]
+
+
+@pytest.mark.parametrize("interval, keys", [
+    ("6h", [(0, 1), (6, 0), (12, 2)]), ("1h", [(5, 1), *((h, 0) for h in range(6, 13)), (13, 2)]), ("HOUR", [(5, 1), *((h, 0) for h in range(6, 13)), (13, 2)]),
+    ("1d", [(0, 3)])])
+def test_fixed_and_calendar_intervals(spark, interval, keys):
+    df = spark.sql("SELECT explode(array(timestamp'2024-01-01 05:59:59', timestamp'2024-01-01 13:00:00', timestamp'2024-01-01 13:30:00', NULL)) AS t")
+    for least in (0, 1):
+        out = aggregate(df, A("DATE_HISTOGRAM", "h", {"field": "t", "interval": interval}, min_doc_count=least))["h"]
+        assert [(r["h"].hour, r["doc_count"]) for r in out.orderBy("h").collect()] == [k for k in keys if k[1] >= least]
+
+
+def test_an_unknown_interval_is_refused(sales):
+    with pytest.raises(ValueError, match="fortnight"):
+        aggregate(sales, A("DATE_HISTOGRAM", "h", {"field": "shop", "interval": "fortnight"}, min_doc_count=1))

@@ -156,3 +156,9 @@ def test_aggregations_of_a_request(golden):
 def test_all_of_type(golden):
     assert q.all_of_type({"pGolden": golden}, "p").count() == 3
     assert q.all_of_type({"pGolden": golden}, "pGolden").count() == 3
+
+
+def test_a_table_without_keys_has_no_slices(spark):
+    df = spark.createDataFrame([(None,)], "id long")
+    low, high = q.key_bounds(df, "id").first()
+    assert df.select(q.slice_of(F.col("id"), low, high, 7).alias("s")).first()["s"] is None

@@ -89,3 +89,8 @@ def test_feature_contract(spark):
     out = ml.feature_contract(df, ["a"], {"b": 40.0, "c": 0.0})
     assert [(r["b"], r["c"], r["errors"]) for r in out.collect()] == [
         (40.0, 2.0, []), (3.0, -1.0, ["missing:a", "negative:c"]), (-3.0, 0.0, ["negative:a", "negative:b"])]
+
+
+def test_find_keys_reports_texts_that_are_not_json(spark):
+    df = spark.createDataFrame([(1, '{"k": 1'), (2, '{"k": 1e400}'), (3, '{"k": NaN}'), (4, '{"k": 2}'), (5, None), (6, "k")], "id int, d string")
+    assert rows(n.find_keys(df, "d", "k", ["id"])) == [(1, None, None), (2, None, None), (3, None, None), (4, 0, "2")]

@@ -214,3 +214,16 @@ def test_quoted_placeholders_are_bound(spark):
 def test_a_request_without_size_asks_for_all_buckets():
     from goldspan.plans.aggregations import Aggregation
     assert Aggregation.from_wire({"type": "TERM", "name": "n", "params": "f"}).size == 0
+
+
+@pytest.mark.parametrize("query", [
+    "SELECT reflect('java.lang.System', 'getProperty', 'x')", "SELECT transform(array(1), x -> JAVA_METHOD('java.lang.Math', 'abs', x))",
+    "SELECT 1 WHERE EXISTS (SELECT `try_reflect`('java.lang.Math', 'abs', 1))",
+    "WITH x AS (SELECT java_method('java.lang.Math', 'abs', 1) AS b) SELECT * FROM x"])
+def test_calls_of_jvm_methods_are_refused(spark, query):
+    with pytest.raises(ValueError, match="not allowed in a query"):
+        check_select(spark, query)
+
+
+def test_names_and_texts_like_jvm_calls_are_fine(spark):
+    assert spark.sql(check_select(spark, "SELECT reflect, 'reflect(1)' AS t FROM (SELECT 1 AS reflect)")).count() == 1
