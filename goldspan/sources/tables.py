@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from goldspan.session import path_exists, remove_path
 
@@ -13,17 +16,25 @@ def read_table(
     restriction: str | None = None,
     sample_percentage: float | None = None,
     seed: int = 0,
+    sample_key: list[str] | None = None,
 ) -> DataFrame:
     """Rows a SQL condition keeps, a sample of them, and the named columns.
 
     Each option works alone; the restriction may use columns that are not kept.
+    A row is in the sample if the first 32 bits of the MD5 of ``seed`` and its
+    ``sample_key`` (all columns without one), joined by "|", are below the given
+    share, so the sample does not depend on how the table is stored. Rows with
+    equal keys stay or go together; nulls are left out of the joined text.
     """
     if restriction:
         table = table.where(restriction)
     if sample_percentage is not None:
         if not 0 <= sample_percentage <= 100:
             raise ValueError("sample_percentage is between 0 and 100")
-        table = table.sample(fraction=sample_percentage / 100.0, seed=seed)
+        below = math.ceil(sample_percentage / 100 * 2**32)
+        if below < 2**32:
+            key = [F.col(c).cast("string") for c in sample_key] if sample_key else [F.to_json(F.struct("*"))]
+            table = table.where(F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), *key)), 1, 8) < F.lit(f"{below:08x}"))
     return table.select(*columns) if columns else table
 
 

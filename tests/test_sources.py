@@ -77,6 +77,9 @@ def test_read_table_options_work_alone(spark):
     assert read_table(df, ["id"], "g = 1").columns == ["id"]
     n = read_table(df, sample_percentage=30.0, seed=1).count()
     assert 200 < n < 400 and n == read_table(df, sample_percentage=30.0, seed=1).count()
+    spread = read_table(df.repartition(7), sample_percentage=30.0, seed=1, sample_key=["id"])
+    assert rows(spread) == rows(read_table(df.coalesce(1), sample_percentage=30.0, seed=1, sample_key=["id"]))
+    assert read_table(df, sample_percentage=100.0).count() == df.count() and read_table(df, sample_percentage=0.0).count() == 0
     with pytest.raises(ValueError):
         read_table(df, sample_percentage=130.0)
 
