@@ -33,3 +33,13 @@ def test_stages_take_odd_rows(spark):
     for _, stage in corpus_pipeline.STAGES[:3]:
         assert stage(spark, docs.limit(0), SMALL).count() == 0
     assert corpus_pipeline.pack_sequences(spark, docs, SMALL).count() == 5
+
+
+def test_texts_go_to_python_in_small_batches(spark):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    for given, then in (("64m", f"{corpus_pipeline.BATCH}b"), ("1g", f"{corpus_pipeline.BATCH}b"), ("4m", "4m"), ("100", "100")):
+        spark.conf.set(name, given)
+        corpus_pipeline._small_batches(spark)
+        assert spark.conf.get(name) == then
+    spark.conf.set(name, before)
