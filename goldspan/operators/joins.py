@@ -25,16 +25,26 @@ def left_join_many(one: DataFrame, many: DataFrame, on: Sequence[str]) -> DataFr
 def interval_join(df: DataFrame, value: str, intervals: DataFrame, low: str, high: str, width: float) -> DataFrame:
     """Rows of ``df`` with every interval [low, high) that holds their value.
 
-    Both sides meet in cells of ``width``: an interval is repeated once per
-    cell it touches, a row lies in one cell. The join is then an equality on
-    the cell plus the exact test, so Spark hashes it, broadcasts the intervals
-    when they are small and splits crowded cells when they are not.
+    A null end is open; a null value is in no interval. Both sides meet in
+    cells: an interval in those of ``width``, doubled until it touches two or
+    three of them, a row in one cell of each such size. The join is then an
+    equality on the cell plus the exact test, so Spark hashes it, broadcasts
+    the intervals when they are small and splits crowded cells when they are not.
     """
-    cells = F.sequence(F.floor(F.col(low) / width).cast("long"), F.floor(F.col(high) / width).cast("long"))
-    spread = intervals.withColumn("_cell", F.explode(cells))
-    placed = df.withColumn("_cell", F.floor(F.col(value) / width).cast("long"))
-    holds = (F.col(value) >= F.col(low)) & (F.col(value) < F.col(high))
-    return placed.join(spread, "_cell").where(holds).drop("_cell")
+    lo, hi, at = F.col(low), F.col(high), F.col(value)
+    doubled = F.greatest(F.lit(0), F.ceil(F.log2((hi - lo).cast("double") / width)).cast("int"))
+    sized = intervals.where(lo.isNull() | hi.isNull() | (lo < hi)).withColumn(
+        "_level", F.when(lo.isNull() | hi.isNull(), -1).otherwise(doubled))
+    # one row per size: as many as times a width can be doubled, whatever the number of intervals
+    levels = sorted(r["_level"] for r in sized.select("_level").distinct().collect())
+    size = F.lit(float(width)) * F.pow(F.lit(2.0), F.col("_level"))
+    cell = lambda c: F.floor(c / size).cast("long")
+    open_ = F.col("_level") < 0
+    spread = sized.withColumn("_cell", F.explode(F.when(open_, F.array(F.lit(0).cast("long"))).otherwise(F.sequence(cell(lo), cell(hi)))))
+    placed = df.where(at.isNotNull()).withColumn("_level", F.explode(F.array(*map(F.lit, levels)).cast("array<int>"))).withColumn(
+        "_cell", F.when(open_, F.lit(0).cast("long")).otherwise(cell(at)))
+    holds = (lo.isNull() | (at >= lo)) & (hi.isNull() | (at < hi))
+    return placed.join(spread, ["_level", "_cell"]).where(holds).drop("_level", "_cell")
 
 
 def latest_before(

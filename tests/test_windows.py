@@ -143,3 +143,15 @@ def test_a_null_time_is_not_earlier(spark):
     asking = spark.createDataFrame([(1, 10, 1)], "k int, t int, i int")
     other = spark.createDataFrame([(1, None, 1), (1, 10, 2)], "k int, t int, i int")
     assert [r["previous_i"] for r in latest_before(asking, other, "k", "t", ["i"], "i").collect()] == [None]
+
+
+def test_intervals_of_any_width_and_with_open_ends(spark):
+    from goldspan.operators.joins import interval_join
+    ends = [(0.0, 1.0), (0.5, 900.0), (-3.0, 7.5), (None, 2.0), (40.0, None), (None, None), (5.0, 5.0), (9.0, 8.0), (1.0, 1e9), (16.0, 32.0)]
+    values = [-5.0, 0.0, 0.5, 1.0, 2.0, 7.5, 16.0, 31.9, 32.0, 40.0, 900.0, 1e8, None]
+    intervals = spark.createDataFrame([(i, *e) for i, e in enumerate(ends)], "i int, lo double, hi double")
+    rows_ = spark.createDataFrame([(n, v) for n, v in enumerate(values)], "n int, v double")
+    got = sorted((r["n"], r["i"]) for r in interval_join(rows_, "v", intervals, "lo", "hi", 2.0).collect())
+    assert got == [(n, i) for n, v in enumerate(values) for i, (lo, hi) in enumerate(ends)
+                   if v is not None and (lo is None or v >= lo) and (hi is None or v < hi)]
+    assert interval_join(rows_, "v", intervals.limit(0), "lo", "hi", 2.0).count() == 0
