@@ -146,7 +146,6 @@ def test_a_null_time_is_not_earlier(spark):
 
 
 def test_intervals_of_any_width_and_with_open_ends(spark):
-    from goldspan.operators.joins import interval_join
     ends = [(0.0, 1.0), (0.5, 900.0), (-3.0, 7.5), (None, 2.0), (40.0, None), (None, None), (5.0, 5.0), (9.0, 8.0), (1.0, 1e9), (16.0, 32.0)]
     values = [-5.0, 0.0, 0.5, 1.0, 2.0, 7.5, 16.0, 31.9, 32.0, 40.0, 900.0, 1e8, None]
     intervals = spark.createDataFrame([(i, *e) for i, e in enumerate(ends)], "i int, lo double, hi double")
