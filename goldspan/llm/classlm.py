@@ -1,10 +1,12 @@
 """Class-based n-gram language model: Brown classes by the exchange method.
 
 The probability of a word is that of its class after the class before it, times
-that of the word within its class. Counts come from all texts to learn from:
-word counts by a group-by, pair counts among the most frequent words (all others
-stand for their frequency band) likewise. The exchange moves one frequent word
-at a time to the class that makes the counted pairs likeliest.
+that of the word within its class. Counts come from all texts to learn from: word counts by a
+group-by, pair counts likewise. The exchange moves one of the most frequent words
+at a time to the class that makes the counted pairs likeliest; that only seeds
+the classes. Then every counted word goes to its best class by the classes of
+its neighbours in all texts, in rounds. Tasks know the classes of the head words;
+those of the others lie with their pairs, in buckets, and go to neighbours there.
 """
 
 from __future__ import annotations
@@ -16,17 +18,26 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from goldspan.llm.words import words_of
 from goldspan.session import stored
 
-HEAD = 131_072  # most frequent words: every task knows their counts
-MOVED = 1_024  # the most frequent of these: the exchange gives them classes
+BITS = 17
+HEAD = 1 << BITS  # most frequent words: every task knows their counts
+MOVED = 1_024  # the most frequent of these: the exchange seeds the classes with them
 CLASSES = 48
-BANDS = (4_096, 16_384, 65_536)  # ranks at which the classes of the other head words end
+BANDS = (4_096, 16_384, 65_536)  # the exchange sees the other head words by rank, as neighbours only
 ROUNDS = 6
+MOVES = 2  # rounds over all words
+FAR = CLASSES  # where words begin that stand next to no word of a class in the first round
+STOPS = FAR + 1  # the end has a class of its own
+ALL = STOPS + 1
+UNSEEN = ALL  # words never seen: they come where words seen once do
+NONE = 255  # no class yet
+OTHER = 1 << 62  # ids from here on are hashes; below, places in the head
 BACKOFF = 0.02  # weight of the class frequency against the class transition
 END = b""  # no word is empty
 
@@ -87,26 +98,28 @@ def exchange(pairs: np.ndarray, movable: int, classes: int, rounds: int = ROUNDS
     return own
 
 
+def _id(word: bytes) -> int:
+    return OTHER | xxhash.xxh3_64_intdigest(word) >> 2
+
+
 @dataclass
 class ClassModel:
     """What a task needs: bounded by HEAD and CLASSES, whatever the corpus."""
     place: dict[bytes, int]  # head words (and the end) by falling count
     counts: np.ndarray
-    symbol: np.ndarray  # of each head word; the last symbol is that of all other words
-    class_of: np.ndarray  # of each symbol
+    class_of: np.ndarray  # of each head word
     transition: np.ndarray  # log10, by class
-    emission: np.ndarray  # log10, of each head word in its class
+    in_class: np.ndarray  # tokens of each class
     tokens: int
     distinct: int
-    rest_tokens: int
-    rest_distinct: int
 
     def base(self, count: np.ndarray | int):
         return np.log10((count + 1) / (self.tokens + self.distinct + 1))
 
-    def rest_emission(self, count: Column) -> Column:
-        """Of a word that is not in the head: counts plus one, and one more for all words never seen."""
-        return F.log10((count + 1) / F.lit(float(self.rest_tokens + self.rest_distinct + 1)))
+    @property
+    def unseen(self) -> float:
+        """Emission of a word never seen: as if there were as many of them as words seen, and one more."""
+        return -math.log10(self.distinct + 1)
 
 
 def _bands(places: np.ndarray) -> np.ndarray:
@@ -114,22 +127,210 @@ def _bands(places: np.ndarray) -> np.ndarray:
     return np.where(places < MOVED, places, MOVED + np.searchsorted(BANDS, places, "right"))
 
 
-SYMBOLS = MOVED + len(BANDS) + 3  # the bands, all other words, the end
-REST, STOP = SYMBOLS - 2, SYMBOLS - 1
+SYMBOLS = MOVED + len(BANDS) + 2  # the bands, the end
+STOP = SYMBOLS - 1
+
+
+def _pairs(batches: Iterator[pd.DataFrame], place: dict[bytes, int], many: int = 2_000_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Ids of words and of those that follow them, in blocks of about ``many``; an end lies before and after each text."""
+    get, end = place.get, place[END]
+    lines, held = [np.array([end])], 0
+    for batch in batches:
+        for t in batch["_text"]:
+            words = words_of(t, lower=True)
+            line = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
+            for i in np.flatnonzero(line < 0).tolist():
+                line[i] = _id(words[i])
+            lines += [line, [end]]
+            held += len(words) + 1
+            if held >= many:
+                ids = np.concatenate(lines).astype(np.int64)
+                yield ids[:-1], ids[1:]
+                lines, held = [np.array([end])], 0
+    if held:
+        ids = np.concatenate(lines).astype(np.int64)
+        yield ids[:-1], ids[1:]
+
+
+def _cuts(sorted_: np.ndarray) -> Iterator[tuple[int, int]]:
+    edges = np.flatnonzero(np.append(True, sorted_[1:] != sorted_[:-1])).tolist() if len(sorted_) else []
+    yield from zip(edges, [*edges[1:], len(sorted_)])
+
+
+def _summed(code: np.ndarray, n: np.ndarray) -> pd.DataFrame:
+    used, at = np.unique(code, return_inverse=True)
+    return pd.DataFrame({"code": used, "n": np.bincount(at, n, len(used)).astype(np.int64)})
+
+
+def _best(near: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """The likeliest class of words. ``near[w]``: how often each class comes before (ALL numbers) and after it (ALL)."""
+    logs = np.log(table[:ALL, :ALL] + 0.5)
+    often = logs[:, :STOPS], logs[:STOPS].T
+    after = np.log(table[:STOPS, :ALL].sum(1) + 0.5 * ALL)
+    many = near.sum(1)
+    gain = near[:, :ALL] @ often[0] + near[:, ALL:] @ often[1] - many[:, None] * after
+    return np.where(many > 0, gain.argmax(1), FAR).astype(np.uint8)
+
+
+BUCKET = "bucket int, words binary, sizes binary, near binary, sides binary, classes binary, told binary, context binary"
+
+
+def _edges(sent: DataFrame, buckets: int) -> DataFrame:
+    """One row per bucket of words beyond the head: the words, and of each its neighbours by side."""
+    def join(rows: pd.DataFrame) -> pd.DataFrame:
+        word = np.frombuffer(b"".join(rows["words"]), np.int64)
+        near = np.frombuffer(b"".join(rows["near"]), np.int64)
+        side = np.frombuffer(b"".join(rows["sides"]), np.uint8)
+        order = np.argsort(word, kind="stable")
+        words, sizes = np.unique(word, return_counts=True)
+        return pd.DataFrame([(rows["bucket"].iloc[0], words.tobytes(), sizes.tobytes(), near[order].tobytes(), side[order].tobytes(),
+                              bytes([NONE]) * len(words), None, None)], columns=[x.split()[0] for x in BUCKET.split(", ")])
+
+    return stored(sent.groupBy("bucket").applyInPandas(join, BUCKET), "class-edges")
+
+
+def _unpacked(row) -> tuple[np.ndarray, ...]:
+    words, sizes = np.frombuffer(row.words, np.int64), np.frombuffer(row.sizes, np.int64)
+    return words, np.repeat(np.arange(len(words)), sizes), np.frombuffer(row.near, np.int64), np.frombuffer(row.sides, np.uint8), \
+        np.frombuffer(row.classes, np.uint8)
+
+
+def _tell(edges: DataFrame, buckets: int) -> DataFrame:
+    """What words beyond the head tell such neighbours: their class, and the side it lies on."""
+    def told(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for row in batch.itertuples():
+                _, word, near, side, own = _unpacked(row)
+                at = (near >= OTHER) & (own[word] != NONE)
+                target, context = near[at], own[word[at]] + ALL * (1 - side[at])
+                order = np.argsort(target % buckets, kind="stable")
+                target, context = target[order], context[order].astype(np.uint8)
+                for a, b in _cuts(target % buckets):
+                    yield pd.DataFrame([(int(target[a] % buckets), None, None, None, None, None, target[a:b].tobytes(), context[a:b].tobytes())],
+                                       columns=[x.split()[0] for x in BUCKET.split(", ")])
+
+    return edges.mapInPandas(told, BUCKET)
+
+
+GATHERED = BUCKET + ", contexts binary, places binary, numbers binary, seen binary"
+
+
+def _gather(edges: DataFrame, heads: np.ndarray, buckets: int) -> DataFrame:
+    """The buckets with the contexts of each word (word, context, how often) and the class pairs its words begin."""
+    def gathered(rows: pd.DataFrame) -> pd.DataFrame:
+        own_row = next(rows[rows["words"].notna()].itertuples())
+        words, word, near, side, own = _unpacked(own_row)
+        head = near < OTHER
+        near_class = np.full(len(near), NONE, np.uint8)
+        near_class[head] = heads[near[head]]
+        at = near_class != NONE
+        place, context = word[at], near_class[at] + ALL * side[at].astype(np.int64)
+        told = rows[rows["told"].notna()]
+        place = np.append(place, np.searchsorted(words, np.frombuffer(b"".join(told["told"]), np.int64)))
+        context = np.append(context, np.frombuffer(b"".join(told["context"]), np.uint8))
+        code, n = np.unique(place * (2 * ALL) + context, return_counts=True)
+        place, context = code // (2 * ALL), code % (2 * ALL)
+        once = np.bincount(word[side == 0], minlength=len(words)) == 1
+        seen = _class_pairs(place, context, n, own, once)
+        return pd.DataFrame([(own_row.bucket, own_row.words, own_row.sizes, own_row.near, own_row.sides, own_row.classes, None, None,
+                              context.astype(np.uint8).tobytes(), place.astype(np.int32).tobytes(), n.astype(np.int32).tobytes(), seen.tobytes())],
+                            columns=[x.split()[0] for x in GATHERED.split(", ")])
+
+    return stored(edges.unionByName(_tell(edges, buckets)).groupBy("bucket").applyInPandas(gathered, GATHERED), "class-round")
+
+
+def _class_pairs(place: np.ndarray, context: np.ndarray, n: np.ndarray, own: np.ndarray, once: np.ndarray) -> np.ndarray:
+    """Pairs of classes that words begin; those words seen once begin and end also count for UNSEEN."""
+    table = np.zeros((ALL + 1, ALL + 1))
+    after = context >= ALL
+    have = own[place] != NONE
+    a = after & have
+    np.add.at(table, (own[place[a]], context[a] - ALL), n[a])
+    a = after & once[place]
+    np.add.at(table, (UNSEEN, context[a] - ALL), n[a])
+    a = ~after & once[place]
+    np.add.at(table, (context[a], UNSEEN), n[a])
+    return table
+
+
+def _moved(gathered: DataFrame, table: np.ndarray) -> DataFrame:
+    def move(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for row in batch.itertuples():
+                own = np.frombuffer(row.classes, np.uint8).copy()
+                place = np.frombuffer(row.places, np.int32)
+                context, n = np.frombuffer(row.contexts, np.uint8), np.frombuffer(row.numbers, np.int32)
+                for a in range(0, len(own), 50_000):  # bounds the dense table
+                    i, j = np.searchsorted(place, (a, a + 50_000))
+                    near = np.zeros((len(own[a:a + 50_000]), 2 * ALL))
+                    near[place[i:j] - a, context[i:j]] = n[i:j]
+                    own[a:a + 50_000] = _best(near, table)
+                yield pd.DataFrame([(row.bucket, row.words, row.sizes, row.near, row.sides, own.tobytes(), None, None)],
+                                   columns=[x.split()[0] for x in BUCKET.split(", ")])
+
+    return gathered.mapInPandas(move, BUCKET)
+
+
+def _head_contexts(both: DataFrame, edges: DataFrame, heads: np.ndarray) -> DataFrame:
+    """``code`` (place in the head * 2 ALL + context) and ``n``, of pairs within the head and of those with other words."""
+    def of_pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            left, right = batch["code"].to_numpy() >> BITS, batch["code"].to_numpy() & (1 << BITS) - 1
+            n = batch["n"].to_numpy()
+            a, b = heads[right] != NONE, heads[left] != NONE
+            yield _summed(np.append(left[a] * (2 * ALL) + ALL + heads[right[a]], right[b] * (2 * ALL) + heads[left[b]]), np.append(n[a], n[b]))
+
+    def of_edges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for row in batch.itertuples():
+                _, word, near, side, own = _unpacked(row)
+                a = (near < OTHER) & (own[word] != NONE)
+                yield _summed(near[a] * (2 * ALL) + own[word[a]] + ALL * (1 - side[a].astype(np.int64)), np.ones(a.sum()))
+
+    found = both.mapInPandas(of_pairs, "code long, n long").unionByName(edges.mapInPandas(of_edges, "code long, n long"))
+    return stored(found.groupBy("code").agg(F.sum("n").alias("n")), "class-heads")
+
+
+def _heads_of(contexts: DataFrame, table: np.ndarray, many: int, end: int) -> np.ndarray:
+    def move(rows: pd.DataFrame) -> pd.DataFrame:
+        code = rows["code"].to_numpy()
+        words, place = np.unique(code // (2 * ALL), return_inverse=True)
+        near = np.zeros((len(words), 2 * ALL))
+        near[place, code % (2 * ALL)] = rows["n"]
+        return pd.DataFrame({"place": words, "class": _best(near, table).astype(np.int32)})
+
+    parts = contexts.groupBy(F.expr(f"code div {2 * ALL} % 256").alias("_part")).applyInPandas(move, "place long, class int").toPandas()  # HEAD rows at most
+    heads = np.full(many, FAR, np.uint8)
+    heads[parts["place"].to_numpy(np.int64)] = parts["class"].to_numpy(np.uint8)
+    heads[end] = STOPS
+    return heads
+
+
+def _table_of(contexts: DataFrame, gathered: DataFrame, heads: np.ndarray, once: np.ndarray) -> np.ndarray:
+    """Pairs of classes in all texts."""
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((ALL + 1, ALL + 1))
+        for batch in batches:
+            code, n = batch["code"].to_numpy(), batch["n"].to_numpy()
+            total += _class_pairs(code // (2 * ALL), code % (2 * ALL), n, heads, once)
+        yield pd.DataFrame({"seen": [total.tobytes()]})
+
+    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield pd.DataFrame({"seen": [sum((np.frombuffer(x) for batch in batches for x in batch["seen"]), np.zeros((ALL + 1) ** 2)).tobytes()]})
+
+    parts = contexts.mapInPandas(count, "seen binary").unionByName(gathered.select("seen").mapInPandas(add, "seen binary")).collect()
+    return sum((np.frombuffer(x["seen"]) for x in parts), np.zeros((ALL + 1) ** 2)).reshape(ALL + 1, ALL + 1)  # a small table per task
 
 
 def train(df: DataFrame, learns: Column, ident: str = "doc_id", text: str = "text") -> tuple[ClassModel, DataFrame]:
-    """The model of the texts where ``learns`` holds, and the counts of all their words (``word``, ``c``)."""
+    """The model of the texts where ``learns`` holds, and all their words (``word``, ``c``) with their ``class``."""
     texts = df.where(learns).select(F.col(text).alias("_text"))
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             seen: Counter = Counter({END: len(batch)})
-            held = 0
             for t in batch["_text"]:
-                words = words_of(t, lower=True)
-                seen.update(words)
-                held += len(words)
+                seen.update(words_of(t, lower=True))
                 if len(seen) > 1_000_000:  # bounds a batch of long texts
                     yield pd.DataFrame({"word": list(seen), "c": list(seen.values())})
                     seen = Counter()
@@ -142,56 +343,98 @@ def train(df: DataFrame, learns: Column, ident: str = "doc_id", text: str = "tex
     words = [bytes(w) for w in head["word"]]
     number = head["c"].to_numpy(np.int64)
     place = {w: i for i, w in enumerate(words)}
-    symbol = np.append(_bands(np.arange(len(words))), REST)
-    if END in place:
-        symbol[place[END]] = STOP
-
-    def paired(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    if not words:
+        return ClassModel(place, number, np.zeros(0, np.uint8), np.full((ALL + 1, ALL + 1), -math.log10(ALL + 1)), np.zeros(ALL + 1), 0, 0), \
+            counts.withColumn("class", F.lit(UNSEEN))
+    if END not in place:  # texts of so many words that the end is rare: it stands last
+        place[END] = len(words) - 1
+        del place[words[-1]]
+        words[-1], number[-1] = END, counts.where(F.col("word") == F.lit(bytearray(END))).first()["c"]
+    end = place[END]
+    rest, rest_tokens = distinct - len(words), int(tokens - number.sum())
+    buckets = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), rest // 100_000, rest_tokens // 1_000_000)
+
+    def inside(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for left, right in _pairs(batches, place):
+            a = (left < OTHER) & (right < OTHER)
+            code, n = np.unique(left[a] << BITS | right[a], return_counts=True)
+            yield pd.DataFrame({"code": code, "n": n})
+
+    def outside(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for left, right in _pairs(batches, place):
+            a, b = right >= OTHER, left >= OTHER
+            word, near = np.append(right[a], left[b]), np.append(left[a], right[b])
+            side = np.repeat(np.array([0, 1], np.uint8), (a.sum(), b.sum()))
+            order = np.lexsort((word, word % buckets))
+            word, near, side = word[order], near[order], side[order]
+            for x, y in _cuts(word % buckets):
+                yield pd.DataFrame([(int(word[x] % buckets), word[x:y].tobytes(), near[x:y].tobytes(), side[x:y].tobytes())],
+                                   columns=["bucket", "words", "near", "sides"])
+
+    both = stored(texts.mapInPandas(inside, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")), "class-pairs")
+    edges = _edges(texts.mapInPandas(outside, "bucket int, words binary, near binary, sides binary"), buckets)
+    symbol = _bands(np.arange(len(words)))
+    symbol[end] = STOP
+
+    def seeded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table = np.zeros(SYMBOLS * SYMBOLS, np.int64)
-        rest = len(words)
         for batch in batches:
-            for t in batch["_text"]:
-                found = words_of(t, lower=True)
-                line = symbol[np.fromiter((place.get(w, rest) for w in found), np.int64, len(found))]
-                line = np.concatenate([[STOP], line, [STOP]])
-                codes, many = np.unique(line[:-1] * SYMBOLS + line[1:], return_counts=True)
-                table[codes] += many
+            code = batch["code"].to_numpy()
+            np.add.at(table, symbol[code >> BITS] * SYMBOLS + symbol[code & (1 << BITS) - 1], batch["n"].to_numpy())
         used = np.flatnonzero(table)
         yield pd.DataFrame({"code": used, "n": table[used]})
 
     pairs = np.zeros(SYMBOLS * SYMBOLS)
     # SYMBOLS squared numbers at most
-    found = texts.mapInPandas(paired, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).toPandas()
+    found = both.mapInPandas(seeded, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).toPandas()
     pairs[found["code"].to_numpy(np.int64)] = found["n"]
-    pairs = pairs.reshape(SYMBOLS, SYMBOLS)
-    class_of = exchange(pairs, MOVED, CLASSES)
-    member = np.zeros((SYMBOLS, class_of.max() + 1))
-    member[np.arange(SYMBOLS), class_of] = 1
-    table = member.T @ pairs @ member + 0.5  # half a pair more each, so that none is impossible
+    seeds = exchange(pairs.reshape(SYMBOLS, SYMBOLS), MOVED, CLASSES)
+    heads = np.full(len(words), NONE, np.uint8)
+    heads[:MOVED] = seeds[:min(MOVED, len(words))]
+    heads[end] = STOPS
+    for i in range(MOVES + 1):
+        gathered = _gather(edges, heads, buckets)
+        contexts = _head_contexts(both, edges, heads)
+        table = _table_of(contexts, gathered, heads, number == 1)
+        if i < MOVES:
+            edges, heads = _moved(gathered, table), _heads_of(contexts, table, len(words), end)
+    in_class = np.bincount(heads, number, ALL + 1)
+
+    def listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for row in batch.itertuples():
+                yield pd.DataFrame({"id": np.frombuffer(row.words, np.int64), "class": np.frombuffer(row.classes, np.uint8).astype(np.int32)})
+
+    def others(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rare = batch[[bytes(w) not in place for w in batch["word"]]]
+            yield rare.assign(id=np.fromiter((_id(bytes(w)) for w in rare["word"]), np.int64, len(rare)))
+
+    rare = counts.mapInPandas(others, "word binary, c long, id long")
+    classed = stored(rare.join(gathered.select("words", "classes").mapInPandas(listed, "id long, class int"), "id").select("word", "c", "class"), "classes")
+    for r in classed.groupBy("class").agg(F.sum("c").alias("c")).collect():
+        in_class[r["class"]] += r["c"]
+    table = table + 0.5  # half a pair more each, so that none is impossible
     often = table.sum(0) / table.sum()
     transition = np.log10((1 - BACKOFF) * table / table.sum(1, keepdims=True) + BACKOFF * often)
-    of_word = class_of[symbol[:-1]] if len(words) else np.zeros(0, int)
-    in_class = np.bincount(of_word, number, len(often))
-    emission = np.log10(number / in_class[of_word]) if len(words) else np.zeros(0)
-    return ClassModel(place, number, symbol, class_of, transition, emission, int(tokens), int(distinct),
-                      int(tokens - number.sum()), int(distinct - len(words))), counts
+    return ClassModel(place, number, heads, transition, in_class, int(tokens), int(distinct)), classed
 
 
-def score_texts(df: DataFrame, model: ClassModel, counts: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFrame:
+def score_texts(df: DataFrame, model: ClassModel, classed: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFrame:
     """``ident``, ``n_tokens``, ``n_known``, ``base_score``, ``score`` (log10) of every whole text, its end included.
 
-    Head words are scored where the text lies; the others, per text and distinct
-    word, meet their counts in a join.
+    Pairs of head words are scored where the text lies; the others wait until
+    the text's other words have met their counts and classes in a join.
     """
-    rest = len(model.counts)
+    rest, end = len(model.counts), model.place.get(END)
     base = np.append(model.base(model.counts), 0.0)
-    emission = np.append(model.emission, 0.0)
-    class_of = model.class_of[model.symbol]
-    stop, end = int(model.class_of[STOP]), model.place.get(END)
+    emission = np.append(np.log10(model.counts / model.in_class[model.class_of]), 0.0) if rest else np.zeros(1)
+    class_of = np.append(model.class_of.astype(np.int64), 0)
     if end is None:  # nothing learned: the end is a word never seen
-        end_base = end_emission = math.log10(1 / (model.tokens + model.distinct + 1))
+        end_base = end_emission = model.unseen
+        stop = UNSEEN
     else:
-        end_base, end_emission = float(base[end]), float(emission[end])
+        end_base, end_emission, stop = float(base[end]), float(emission[end]), STOPS
 
     def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         get = model.place.get
@@ -200,30 +443,52 @@ def score_texts(df: DataFrame, model: ClassModel, counts: DataFrame, ident: str
             for row, t in zip(batch["_row"], batch["_text"]):
                 words = words_of(t, lower=True)
                 at = np.fromiter((get(w, rest) for w in words), np.int64, len(words))
-                line = np.concatenate([[stop], class_of[at], [stop]])
-                others = Counter(words[i] for i in np.flatnonzero(at == rest).tolist())
-                out.append((row, len(words) + 1, len(words) + (end is not None) - sum(others.values()),
-                            float(base[at].sum()) + end_base, float(emission[at].sum() + model.transition[line[:-1], line[1:]].sum()) + end_emission,
-                            list(others), list(others.values())))
-            yield pd.DataFrame(out, columns=["_row", "n_tokens", "_known", "_base", "_score", "_words", "_many"])
+                others: dict = {}
+                line = class_of[at]
+                for i in np.flatnonzero(at == rest).tolist():  # below 0: which of the other words
+                    line[i] = -1 - others.setdefault(words[i], len(others))
+                many = np.bincount(-1 - line[line < 0], minlength=len(others))
+                line = np.concatenate([[stop], line, [stop]])
+                left, right = line[:-1], line[1:]
+                now = (left >= 0) & (right >= 0)
+                open_ = np.stack([left[~now], right[~now]]).astype(np.int32)
+                out.append((row, len(words) + 1, int((at != rest).sum()) + (end is not None),
+                            float(base[at].sum()) + end_base, float(emission[at].sum() + model.transition[left[now], right[now]].sum()) + end_emission,
+                            list(others), many.tolist(), open_.tobytes()))
+            yield pd.DataFrame(out, columns=["_row", "n_tokens", "_known", "_base", "_score", "_words", "_many", "_open"])
 
     # rows are told apart by a number of their own, as ids may be null or repeated; it is fixed by storing it
     numbered = df.select(F.col(ident).alias("_ident"), F.monotonically_increasing_id().alias("_row"), F.col(text).alias("_text"))
     lines = stored(numbered.select(F.struct("_row", "_ident").alias("_row"), "_text").mapInPandas(
         scored, f"_row struct<_row:long,_ident:{df.schema[ident].dataType.simpleString()}>, n_tokens long, _known long, "
-                "_base double, _score double, _words array<binary>, _many array<long>").select("_row.*", "n_tokens", "_known", "_base", "_score", "_words", "_many"), "scored")
-    each = lines.select("_row", F.explode(F.arrays_zip("_words", "_many")).alias("_x")).select(
-        "_row", F.col("_x._words").alias("word"), F.col("_x._many").alias("_n"))
-    met = each.join(counts, "word", "left").withColumn("_c", F.coalesce("c", F.lit(0)))
+                "_base double, _score double, _words array<binary>, _many array<long>, _open binary").select(
+                    "_row.*", "n_tokens", "_known", "_base", "_score", "_words", "_many", "_open"), "scored")
+    each = lines.select("_row", F.posexplode(F.arrays_zip("_words", "_many")).alias("_at", "_x")).select(
+        "_row", "_at", F.col("_x._words").alias("word"), F.col("_x._many").alias("_n"))
+    met = each.join(classed, "word", "left").withColumns({"_c": F.coalesce("c", F.lit(0)), "_class": F.coalesce("class", F.lit(UNSEEN))})
+    in_class = F.element_at(F.array(*[F.lit(float(x)) for x in model.in_class]), F.col("_class") + 1)
     added = met.groupBy("_row").agg(
         F.sum(F.when(F.col("_c") > 0, F.col("_n")).otherwise(0)).alias("_more"),
         F.sum(F.col("_n") * F.log10((F.col("_c") + 1) / F.lit(float(model.tokens + model.distinct + 1)))).alias("_more_base"),
-        F.sum(F.col("_n") * model.rest_emission(F.col("_c"))).alias("_more_score"))
+        F.sum(F.col("_n") * F.when(F.col("_c") > 0, F.log10(F.col("_c") / in_class)).otherwise(F.lit(model.unseen))).alias("_more_score"),
+        F.collect_list(F.struct("_at", F.col("_class").cast("int").alias("_class"))).alias("_classes"))
+
+    def closed(places: pd.Series, classes: pd.Series, pairs: pd.Series) -> pd.Series:
+        out = []
+        for p, c, x in zip(places, classes, pairs):
+            of = np.zeros(len(p) if p is not None else 0, np.int64)
+            if len(of):
+                of[np.asarray(p)] = c
+            both = np.frombuffer(x, np.int32).reshape(2, -1).astype(np.int64)
+            both[both < 0] = of[-1 - both[both < 0]]
+            out.append(float(model.transition[both[0], both[1]].sum()))
+        return pd.Series(out, dtype="float64")
+
     none = F.lit(0)
-    return lines.join(added, "_row", "left").select(
+    return lines.drop("_words", "_many").join(added, "_row", "left").select(
         F.col("_ident").alias(ident), "n_tokens", (F.col("_known") + F.coalesce("_more", none)).alias("n_known"),
         (F.col("_base") + F.coalesce("_more_base", none)).alias("base_score"),
-        (F.col("_score") + F.coalesce("_more_score", none)).alias("score"))
+        (F.col("_score") + F.coalesce("_more_score", none) + F.pandas_udf(closed, "double")("_classes._at", "_classes._class", "_open")).alias("score"))
 
 
 def scores(df: DataFrame, parts: int = 7, held: int = 2) -> DataFrame:
@@ -237,7 +502,7 @@ def scores(df: DataFrame, parts: int = 7, held: int = 2) -> DataFrame:
     """
     part = F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts
     held_out = F.coalesce(part == held, F.lit(False))
-    model, counts = train(df, ~held_out)
-    return score_texts(df, model, counts).select(
+    model, classed = train(df, ~held_out)
+    return score_texts(df, model, classed).select(
         "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"),
         "base_score", "score")

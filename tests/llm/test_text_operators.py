@@ -10,6 +10,7 @@ from pathlib import Path
 import numpy as np
 import pytest
 from public_tokenizers import path as tokenizer_path
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
@@ -209,6 +210,32 @@ def test_class_model_counts_and_beats_the_base(spark):
     assert classlm.scores(documents(spark, ["a"]).limit(0)).count() == 0
 
 
+def test_words_beyond_the_head_get_classes_by_their_neighbours(spark, monkeypatch):
+    monkeypatch.setattr(classlm, "HEAD", 41)
+    monkeypatch.setattr(classlm, "MOVED", 41)
+    rng = random.Random(3)
+    names, verbs = [f"n{i}" for i in range(20)], [f"v{i}" for i in range(20)]
+    texts = [" ".join(x for _ in range(20) for x in (rng.choice(names), rng.choice(verbs))) for _ in range(60)]
+    texts += [f"{rng.choice(names)} w{i % 30} x{i % 30} {rng.choice(verbs)}" for i in range(120)]  # w stands like v, x like n
+    df = documents(spark, texts)
+    model, classed = classlm.train(df, F.lit(True))
+    got = {bytes(r["word"]).decode(): r["class"] for r in classed.collect()}
+    assert set(got) == {f"{k}{i}" for k in "wx" for i in range(30)}
+    of = lambda word: int(model.class_of[model.place[word.encode()]])
+    classes = {k: {of(f"{k}{i}") for i in range(20)} for k in "nv"}
+    assert not classes["n"] & classes["v"]
+    assert all(c in classes["v" if w[0] == "w" else "n"] for w, c in got.items())
+    lines = [t.split() for t in texts]
+    counts = {w: sum(line.count(w) for line in lines) for w in {w for line in lines for w in line}}
+    both = {**got, **{w.decode(): of(w.decode()) for w in model.place if w}}
+    tokens = {k: sum(n for w, n in counts.items() if both[w] == k) for k in set(both.values())}
+    scores = {r["doc_id"]: r["score"] for r in classlm.score_texts(df, model, classed).collect()}
+    for i in (0, 60, 70, 179):  # against the sum over the words
+        path = [classlm.STOPS, *[both[w] for w in lines[i]], classlm.STOPS]
+        want = sum(np.log10(counts[w] / tokens[both[w]]) for w in lines[i]) + sum(model.transition[a, b] for a, b in zip(path, path[1:]))
+        assert abs(scores[i] - want) < 1e-6
+
+
 def test_exchange_separates_what_follows_each_other():
     pairs = np.zeros((7, 7))
     for a in range(3):
