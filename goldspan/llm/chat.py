@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from goldspan.operators.windows import sequence_numbers
+
 # The markers of the template; any text is allowed between them.
 OPEN, BREAK, CLOSE = "<|im_start|>", "\n", "<|im_end|>\n"
 
@@ -82,6 +84,36 @@ def swapped_replies(df: DataFrame) -> DataFrame:
         "conv_id", "n_prompt_turns", "prompt", "chosen_text", "chosen_mask", "rejected_text", "rejected_mask")
 
 
+def _replies(turns: Column) -> Column:
+    """The places of the replies, from 1."""
+    return F.filter(F.transform(turns, lambda t, i: F.when(t["role"] == "assistant", i + 1)), lambda x: x.isNotNull())
+
+
+def branched_replies(df: DataFrame) -> DataFrame:
+    """Preference pairs from plain conversations, of every conversation with a reply and the next one that has a reply
+    (in the order of ids, after the last the first).
+
+    Chosen is the conversation up to its last reply. Rejected leaves it at one of its replies, picked by a hash of the
+    id, and goes on as the next one does from its reply of that number (its last if it has fewer) to its last reply.
+    Equal conversations state no preference.
+    """
+    ids = df.where((F.col("role") == "assistant") & F.col("conv_id").isNotNull() & F.col("turn").isNotNull()).select("conv_id").distinct()
+    rows, shifts = sequence_numbers(ids, ["conv_id"])
+    # one row per range partition: spark.sql.shuffle.partitions bounds its size
+    numbered = rows.join(F.broadcast(shifts), "_slab").select("conv_id", (F.col("_row") + F.col("_shift")).alias("_number"), "_total")
+    following = numbered.select(F.col("conv_id").alias("_next"), F.pmod(F.col("_number") - 1, F.col("_total")).alias("_number"))
+    nexts = numbered.join(following, "_number").select("conv_id", "_next")
+    talks = turns_of(df).withColumn("_replies", _replies(F.col("turns"))).where(F.size("_replies") > 0).select(
+        "conv_id", F.slice("turns", F.lit(1), F.element_at("_replies", -1)).alias("chosen"), "_replies")
+    others = talks.select(F.col("conv_id").alias("_next"), F.col("chosen").alias("_other"), F.col("_replies").alias("_others"))
+    which = (F.crc32(F.col("conv_id").cast("string").cast("binary")) % F.size("_replies")).cast("int")
+    pairs = talks.join(nexts, "conv_id").join(others, "_next").withColumn("_which", which + 1).withColumn("rejected", F.concat(
+        F.slice("chosen", F.lit(1), F.element_at("_replies", F.col("_which")) - 1),
+        F.slice("_other", F.element_at("_others", F.least("_which", F.size("_others"))), F.size("_other"))))
+    return preference_pairs(pairs).select(
+        "conv_id", "n_prompt_turns", "prompt", "chosen_text", "chosen_mask", "rejected_text", "rejected_mask")
+
+
 SQL = """
 WITH t AS (
   SELECT DISTINCT conv_id, turn, coalesce(role, 'user') AS role, coalesce(text, '') AS text

@@ -54,6 +54,10 @@ def op9_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.swapped_replies(_table(spark, sf_dir, "conversations"))
 
 
+def op9_branched_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.branched_replies(_table(spark, sf_dir, "conversations"))
+
+
 def op10_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.near_copies(_table(spark, sf_dir, "embeddings"), least=0.98).select(
         "vec_id", "n_links", "component_id", F.col("kept"))
@@ -61,7 +65,8 @@ def op10_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_bpe_round_trip, op2_pack_documents, op3_similar_documents, op4_token_counts, op5_top_k, op6_remove_passages,
-    op7_toxicity, op8_class_lm, op9_preference_pairs, op10_near_copies)}
+    op7_toxicity, op8_class_lm, op9_preference_pairs, op9_branched_pairs,
+    op10_near_copies)}
 
 ORACLES: dict[str, str] = {
     "op3_similar_documents": similarity.SQL, "op5_top_k": search.SQL, "op6_remove_passages": passages.SQL,

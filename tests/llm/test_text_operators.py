@@ -264,6 +264,31 @@ def test_preference_pairs(spark):
     assert chat.swapped_replies(rows.limit(0)).count() == 0
 
 
+def test_every_conversation_with_a_reply_is_paired(spark):
+    # even ids only, replies of one's own, one to three of them, and a conversation without a reply
+    talks = {i: [(r, f"{r} {i} {k}") for k in range(1 + i // 2 % 3) for r in ("user", "assistant")] for i in range(0, 60, 2)}
+    talks[33] = [("user", "alone")]
+    talks[70] = [*talks[4], ("user", "after")]
+    rows = [(i, k, r, t) for i, turns in talks.items() for k, (r, t) in enumerate(turns)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {r["conv_id"]: r for r in chat.branched_replies(df).collect()}
+    ids = [i for i in sorted(talks) if i != 33]
+    assert sorted(got) == ids
+    show = lambda turns: "".join(f"<|im_start|>{r}\n{t}<|im_end|>\n" for r, t in turns)
+    for i, j in zip(ids, ids[1:] + ids[:1]):
+        a, b = (t[:-1] if t[-1][0] == "user" else t for t in (talks[i], talks[j]))
+        k = zlib.crc32(str(i).encode()) % (len(a) // 2)
+        p, q = 2 * k + 1, 2 * min(k, len(b) // 2 - 1) + 1
+        r = got[i]
+        assert (r["n_prompt_turns"], r["prompt"]) == (p, show(a[:p]))
+        assert (r["chosen_text"], r["rejected_text"]) == (show(a[p:]), show(b[q:]))
+        for side, turns in (("chosen", a[p:]), ("rejected", b[q:])):
+            learned = [r[f"{side}_text"][int(s):int(e)] for s, e in (x.split(":") for x in r[f"{side}_mask"].split(","))]
+            assert learned == [t + "<|im_end|>\n" for role, t in turns if role == "assistant"]
+    assert any(r["chosen_mask"].count(",") for r in got.values()) and any(r["rejected_mask"].count(",") for r in got.values())
+    assert chat.branched_replies(df.limit(0)).count() == 0
+
+
 def test_digest_columns(spark):
     got = bpe.digests(bpe.encode_texts(documents(spark, ["a b"]).drop("ids"), FILE, decoded="decoded")).first()
     ids = Tokenizer.from_file(FILE).encode("a b").ids
