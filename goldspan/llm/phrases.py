@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,7 +20,8 @@ from pyspark.sql import functions as F
 from goldspan.llm import quotient
 from goldspan.session import stored
 
-SHARD_BYTES = 16 << 20  # text of a shard
+SHARD_CHARS = 8 << 20  # text of a shard, more if its last text is longer
+TEXTS = 64  # texts taken from a batch at a time
 CHUNK_BYTES = 1 << 20  # text split into words at a time
 CUT_BITS = 6  # ranges a filter is cut into, and shards that are merged at a time
 WORDS_A_BUCKET = 100_000
@@ -56,34 +58,38 @@ SHARDS = "shard long, lang string, n_words long, words array<string>, counts arr
 def shards(df: DataFrame, text: str, lang: str) -> DataFrame:
     """A row for each shard of texts and language: its distinct words, how often each occurs, and its texts as places
     in that list (unsigned 32-bit numbers; 0 stands for the end of a piece). Stored, so that shards keep their texts."""
-    def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    kinds = pa.schema([("shard", pa.int64()), ("lang", pa.string()), ("n_words", pa.int64()), ("words", pa.list_(pa.string())),
+                       ("counts", pa.list_(pa.int64())), ("text", pa.binary())])
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId() << 32
         kept: dict[str, tuple[_Words, list[np.ndarray]]] = {}
         held = 0
 
-        def flushed() -> pd.DataFrame:
-            rows = []
+        def flushed() -> Iterator[pa.RecordBatch]:
             for name, (numbers, found) in kept.items():
                 places = np.concatenate(found)
-                counts = np.bincount(places, minlength=len(numbers))
-                words = [w.decode() for w in numbers]
-                rows.append((shard, name, int(counts[1:].sum()), words[1:], counts[1:].tolist(), places.tobytes()))
-            return pd.DataFrame(rows, columns=["shard", "lang", "n_words", "words", "counts", "text"])
+                counts = np.bincount(places, minlength=len(numbers))[1:]
+                ends = pa.array([0, len(counts)], pa.int32())
+                words = pa.ListArray.from_arrays(ends, pa.array(list(numbers)[1:], pa.string()))
+                yield pa.RecordBatch.from_arrays([pa.array([shard]), pa.array([name]), pa.array([int(counts.sum())]), words,
+                                                  pa.ListArray.from_arrays(ends, pa.array(counts, pa.int64())), pa.array([places.tobytes()])], schema=kinds)
+            kept.clear()
 
         for batch in batches:
-            for one, name in zip(batch["_text"], batch["_lang"]):
-                numbers, found = kept.setdefault(name, (_Words({b".": _BREAK}), []))
-                found += word_numbers(one, numbers)
-                held += len(one or "")
-                if held >= SHARD_BYTES:
-                    yield flushed()
+            for at in range(0, len(batch), TEXTS):
+                part = batch.slice(at, TEXTS).to_pydict()
+                for one, name in zip(part["_text"], part["_lang"]):
+                    numbers, found = kept.setdefault(name, (_Words({b".": _BREAK}), []))
+                    found += word_numbers(one, numbers)
+                    held += len(one or "")
+                if held >= SHARD_CHARS:
+                    yield from flushed()
                     shard, held = shard + 1, 0
-                    kept.clear()
-        if kept:
-            yield flushed()
+        yield from flushed()
 
     texts = df.select(F.col(text).alias("_text"), F.coalesce(lang, F.lit("und")).alias("_lang"))
-    return stored(texts.mapInPandas(split, SHARDS), "phrase-shards")
+    return stored(texts.mapInArrow(split, SHARDS), "phrase-shards")
 
 
 def frequent_words(cut: DataFrame, least: int) -> tuple[DataFrame, int]:
