@@ -8,7 +8,7 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldspan.llm import bpe, chat, classlm, neighbours, packing, passages, phrases, search, similarity, tokens, toxicity
+from goldspan.llm import bpe, chat, classlm, codes, neighbours, packing, passages, phrases, search, similarity, tokens, toxicity, vantage
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -63,6 +63,14 @@ def op10_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
         "vec_id", "n_links", "component_id", F.col("kept"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.codes(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vantage.nearest(_table(spark, sf_dir, "embeddings"), k=20, every=20)
+
+
 def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(_table(spark, sf_dir, "documents"), least=100, longest=5, top=2000)
 
@@ -70,9 +78,9 @@ def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_bpe_round_trip, op2_pack_documents, op3_similar_documents, op4_token_counts, op5_top_k, op6_remove_passages,
     op7_toxicity, op8_class_lm, op9_preference_pairs, op9_branched_pairs,
-    op10_near_copies, op13_phrases)}
+    op10_near_copies, op11_vector_codes, op12_nearest, op13_phrases)}
 
 ORACLES: dict[str, str] = {
     "op3_similar_documents": similarity.SQL, "op5_top_k": search.SQL, "op6_remove_passages": passages.SQL,
     "op9_preference_pairs": chat.SQL, "op10_near_copies": neighbours.SQL,
-    "op13_phrases": phrases.SQL}
+    "op11_vector_codes": codes.SQL, "op13_phrases": phrases.SQL}
