@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from goldspan.jobs.base import Tables, job
@@ -166,14 +168,46 @@ def _(t: Tables):
 @job("sql_window_rows", """SELECT event_id, round(avg(value) OVER (PARTITION BY user_id ORDER BY ts, event_id
      ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 4) AS mean_of_three FROM events""")
 def _(t: Tables):
-    """A frame of three rows: the row, the one before, and the one before that."""
+    """A frame of three rows: the row and the two before."""
     rows = t.events.select("event_id", "user_id", "ts", "value")
-    by, order = ["user_id"], ["ts", "event_id"]
-    once = windows.neighbours(rows, by, order, ["value"]).select(*rows.columns, F.col("previous_value").alias("v1"))
-    twice = windows.neighbours(once, by, order, ["v1"]).select("event_id", "value", "v1", F.col("previous_v1").alias("v2"))
-    three = F.array_compact(F.array("value", "v1", "v2"))
-    mean = F.try_divide(F.aggregate(three, F.lit(0.0), lambda a, x: a + x), F.size(three))
-    return twice.select("event_id", F.round(mean, 4).alias("mean_of_three"))
+    out = windows.framed(rows, ["user_id"], ["ts", "event_id"], {"mean_of_three": ("avg", "value")}, -2, 0)
+    return out.select("event_id", F.round("mean_of_three", 4).alias("mean_of_three"))
+
+
+@job("sql_window_open", """SELECT event_id, round(avg(value) OVER w, 4) AS mean, min(value) OVER w AS least,
+     count(value) OVER (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN 5 FOLLOWING AND UNBOUNDED FOLLOWING) AS to_come
+     FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 3 FOLLOWING)""")
+def _(t: Tables):
+    """Frames that start with the key's first row or end with its last one; the few event types are crowded keys."""
+    rows = t.events.select("event_id", "event_type", "ts", "value")
+    by, order = ["event_type"], ["ts", "event_id"]
+    out = windows.framed(rows, by, order, {"mean": ("avg", "value"), "least": ("min", "value")}, None, 3)
+    out = windows.framed(out, by, order, {"to_come": ("count", "value")}, 5, None)
+    return out.select("event_id", F.round("mean", 4).alias("mean"), "least", "to_come")
+
+
+@job("sql_window_near", """SELECT event_id, round(sum(value) OVER f, 4) AS around, min(value) OVER f AS least,
+     max(value) OVER (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN 30 PRECEDING AND 3 PRECEDING) AS before
+     FROM events WINDOW f AS (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN 1 PRECEDING AND 4 FOLLOWING)""")
+def _(t: Tables):
+    """Frames of a few rows around the row or before it."""
+    rows = t.events.select("event_id", "event_type", "ts", "value")
+    by, order = ["event_type"], ["ts", "event_id"]
+    out = windows.framed(rows, by, order, {"around": ("sum", "value"), "least": ("min", "value")}, -1, 4)
+    out = windows.framed(out, by, order, {"before": ("max", "value")}, -30, -3)
+    return out.select("event_id", F.round("around", 4).alias("around"), "least", "before")
+
+
+@job("sql_window_range", """SELECT event_id, round(sum(value) OVER w, 4) AS week, round(avg(value) OVER w, 4) AS mean, max(value) OVER w AS most,
+     count(*) OVER (PARTITION BY event_type ORDER BY ts RANGE BETWEEN UNBOUNDED PRECEDING AND INTERVAL 1 HOUR FOLLOWING) AS so_far
+     FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts RANGE BETWEEN INTERVAL 7 DAYS PRECEDING AND CURRENT ROW)""")
+def _(t: Tables):
+    """Frames of a span of time, over the few event types."""
+    rows = t.events.select("event_id", "event_type", "ts", "value")
+    values = {"week": ("sum", "value"), "mean": ("avg", "value"), "most": ("max", "value")}
+    out = windows.framed_by_value(rows, ["event_type"], "ts", values, -timedelta(days=7), 0)
+    out = windows.framed_by_value(out, ["event_type"], "ts", {"so_far": ("count", "event_id")}, None, timedelta(hours=1))
+    return out.select("event_id", F.round("week", 4).alias("week"), F.round("mean", 4).alias("mean"), "most", "so_far")
 
 
 # --- order, sets, composition -------------------------------------------------------------------

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from goldspan.operators.windows import carry, earlier, in_slabs, inside
+from goldspan.operators.windows import by_slabs, carry, earlier, inside
 
 
 def left_join_many(one: DataFrame, many: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -53,19 +53,26 @@ def latest_before(
     """Each row of ``df`` with the newest strictly earlier row of ``other`` for its key.
 
     Both tables are laid in one order, at equal times the asking rows first, so
-    that every picked row before a row is strictly earlier. The search runs per
-    key and slab (see ``operators.windows``); one row per key and slab carries
-    the newest row of the slabs before. ``tie_break`` is unique in each table.
+    that every picked row before a row is strictly earlier. Crowded keys are
+    searched slab by slab (see ``operators.windows``), and one row per slab
+    carries the newest row of the slabs before. ``tie_break`` is unique in each table.
     """
     picked = F.struct(F.col(at).alias("_at"), *[F.col(c).alias(f"previous_{c}") for c in columns])
     asking = df.withColumns({"_turn": F.lit(0), "_tie": F.col(tie_break)})
     # a null key equals nothing, and a null time is earlier than none: such rows are not found
     given = other.where(F.col(by).isNotNull() & F.col(at).isNotNull()).select(by, at, F.lit(1).alias("_turn"), F.col(tie_break).alias("_tie"), picked.alias("_pick"))
     order = [at, "_turn", "_tie"]
-    rows = in_slabs(asking.unionByName(given, allowMissingColumns=True), [by], order)
-    before = inside([by], order).rowsBetween(Window.unboundedPreceding, -1)
-    searched = rows.withColumn("_near", F.max("_pick").over(before)).where("_turn = 0")
-    newest = rows.groupBy(by, "_slab").agg(F.max("_pick").alias("_newest"))
-    carried = newest.select(by, "_slab", F.max("_newest").over(earlier([by])).alias("_carry"))
-    found = carry(searched, carried, [by]).withColumn("_best", F.coalesce("_near", "_carry"))
+    before = (Window.unboundedPreceding, -1)
+
+    def plain(rows: DataFrame) -> DataFrame:
+        window = Window.partitionBy(by).orderBy(*order).rowsBetween(*before)
+        return rows.withColumn("_best", F.max("_pick").over(window)).where("_turn = 0")
+
+    def cut(rows: DataFrame) -> DataFrame:
+        searched = rows.withColumn("_near", F.max("_pick").over(inside([by], order).rowsBetween(*before))).where("_turn = 0")
+        newest = rows.groupBy(by, "_slab").agg(F.max("_pick").alias("_newest"))
+        carried = newest.select(by, "_slab", F.max("_newest").over(earlier([by])).alias("_carry"))
+        return carry(searched, carried, [by]).withColumn("_best", F.coalesce("_near", "_carry")).drop("_near", "_carry")
+
+    found = by_slabs(asking.unionByName(given, allowMissingColumns=True), [by], order, plain, cut)
     return found.select(*df.columns, *[f"_best.previous_{c}" for c in columns])

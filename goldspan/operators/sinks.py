@@ -18,14 +18,14 @@ def batch_slices(df: DataFrame, order: Sequence[str], step_size: int = 500) -> D
     """``df`` cut into consecutive slices of ``step_size`` rows in ``order``, a total order.
 
     Adds ``sequence`` (from 1), and ``cumulative`` (records up to and with the
-    slice). Rows are numbered inside sorted range partitions and shifted by the
-    sizes of the partitions before; there is no single-task sort.
+    slice). Rows are numbered inside slabs of the order and shifted by the sizes
+    of the slabs before; there is no single-task sort.
     """
     if step_size < 1:
         raise ValueError("step_size is at least 1")
     rows, shifts = sequence_numbers(df, order)
     sequence = F.floor((F.col("_row") + F.col("_shift")) / step_size).cast("long") + 1
-    # one row per range partition: spark.sql.shuffle.partitions bounds its size
+    # one row per slab: windows.SLABS bounds its size
     shifted = rows.join(F.broadcast(shifts), "_slab").withColumn("sequence", sequence)
     return shifted.select(
         *df.columns, "sequence", F.least(F.col("sequence") * step_size, F.col("_total")).alias("cumulative"))

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from goldspan.functions.keys import join_same
-from goldspan.operators.windows import first_rows
+from goldspan.operators.windows import Sort, first_rows, orderings
 from goldspan.plans.filters import apply_filter, as_search, record_getter
 
 METRICS = {
@@ -205,16 +205,14 @@ def _in_range(value: Column, low, high, kind: str) -> Column:
     return test
 
 
-def _order(agg: Aggregation, keys: list[str]) -> list[Column]:
+def _order(agg: Aggregation, keys: list[str]) -> list[Sort]:
     by = (agg.sort_by or "").lstrip("_")
     down = (agg.sort_order or "").upper() == "DESC"
-    ties = [F.col(k).asc() for k in keys]
     if by in ("key", "term"):
-        return [F.col(k).desc() if down else F.col(k).asc() for k in keys]
+        return [Sort(k, down) for k in keys]
     if by == "":
         by, down = "count", True
-    column = F.col("doc_count" if by == "count" else by)
-    return [column.desc_nulls_last() if down else column.asc_nulls_last(), *ties]
+    return [Sort("doc_count" if by == "count" else by, down, nulls_last=True), *map(Sort, keys)]
 
 
 def _range_frame(counted: DataFrame, agg: Aggregation, parents: list[str], rows: DataFrame) -> DataFrame:
@@ -278,16 +276,16 @@ def _shaped(counted: DataFrame, agg: Aggregation, parents: list[str], keys: list
             counted = join_same(_grid(counted, agg, parents), counted, on, "left").fillna(0, subset=["doc_count"])
         else:
             counted = counted.where(F.col("doc_count") >= agg.min_doc_count)
-        return counted.orderBy(*parents, *(_order(agg, keys) if agg.sort_by else keys))
+        return counted.orderBy(*parents, *(orderings(_order(agg, keys)) if agg.sort_by else keys))
     if agg.min_doc_count > 1:
         counted = counted.where(F.col("doc_count") >= agg.min_doc_count)
     order = _order(agg, keys)
     if not parents:
-        return first_rows(counted, order, agg.size) if agg.size else counted.orderBy(*order)
+        return first_rows(counted, order, agg.size) if agg.size else counted.orderBy(*orderings(order))
     if agg.size:
-        rank = F.row_number().over(Window.partitionBy(*parents).orderBy(*order))
+        rank = F.row_number().over(Window.partitionBy(*parents).orderBy(*orderings(order)))
         counted = counted.withColumn("_rank", rank).where(F.col("_rank") <= agg.size).drop("_rank")
-    return counted.orderBy(*parents, *order)
+    return counted.orderBy(*parents, *orderings(order))
 
 
 def _scoped(rows: DataFrame, agg: Aggregation, parents: list[str], tables) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 
 from goldspan.names import VALUES
 from goldspan.operators import controls
-from goldspan.operators.windows import first_rows
+from goldspan.operators.windows import Sort, first_rows, orderings
 from goldspan.plans.aggregations import run
 from goldspan.plans.filters import Search, apply_filter, as_search, record_getter, route
 from goldspan.sources.lake import map_batches
@@ -58,14 +58,13 @@ def find(
     ties = order or ["mdmId"]
     if sort_by or offset is not None or max_hits != math.inf:
         field = [record_getter(rows.columns)(sort_by)] if sort_by else []
-        down = sort_order.upper() == "DESC"
-        total = [*[f.desc_nulls_last() if down else f.asc_nulls_last() for f in field], *ties]
+        total = [*[Sort(f, sort_order.upper() == "DESC", nulls_last=True) for f in field], *ties]
         if offset is not None:
             rows = first_rows(rows, total, int(min(page_size, max_hits)), offset)
         elif max_hits != math.inf:
             rows = first_rows(rows, total, int(max_hits))
         else:
-            rows = rows.orderBy(*total)
+            rows = rows.orderBy(*orderings(total))
     if fields:
         rows = controls.pick_fields(rows, fields)
     elif only_hits and VALUES in rows.columns:

@@ -1,6 +1,7 @@
 """Slabbed windows against plain ones, with one key that holds most rows."""
 
 import random
+from datetime import timedelta
 
 import pytest
 from pyspark.sql import Window
@@ -36,9 +37,142 @@ def plain():
     return Window.partitionBy("k").orderBy("t", "id")
 
 
-def test_the_hot_key_is_cut(events):
-    cut = windows.in_slabs(events, BY, ORDER)
-    assert cut.where("k = 'hot'").select("_slab").distinct().count() > 2
+@pytest.fixture
+def eight(monkeypatch):
+    """The hot key falls into at least eight slabs."""
+    plain_cut = windows.cut_of
+    monkeypatch.setattr(windows, "cut_of", lambda df, by, order, slabs=None, **limits: plain_cut(df, by, order, slabs or 16, **limits))
+
+
+def test_the_hot_key_is_cut(events, eight):
+    cut = windows.cut_of(events, BY, ORDER)
+    slabs = windows.with_slab(events, cut)
+    sizes = [r["count"] for r in slabs.where("k = 'hot'").groupBy("_slab").count().collect()]
+    assert len(sizes) >= 8 and max(sizes) < 500
+    # the others are not cut
+    assert [r[0] for r in slabs.where("k <> 'hot' OR k IS NULL").select("_slab").distinct().collect()] == [0]
+    # along the order
+    edges = slabs.where("k = 'hot'").groupBy("_slab").agg(F.min(F.struct(*ORDER)).alias("lo"), F.max(F.struct(*ORDER)).alias("hi")).orderBy("_slab").collect()
+    assert all(a["hi"] < b["lo"] for a, b in zip(edges, edges[1:]))
+
+
+def test_nothing_is_stored_and_no_plan_pairs_all_rows(events, eight, monkeypatch):
+    import goldspan.session
+    monkeypatch.setattr(goldspan.session, "stored", lambda *a: pytest.fail("stored"))
+    out = windows.framed(events, BY, ORDER, {"s": ("sum", "v")}, -3, 0)
+    plan = out._jdf.queryExecution().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+KINDS = [("int", 5), ("bigint", -(2 ** 60)), ("double", float("nan")), ("double", -0.5), ("string", "o'Ö\\n"), ("string", "x" * 500), ("boolean", True),
+         ("date", "2024-02-29"), ("timestamp", "2024-10-27 00:30:00"), ("timestamp_ntz", "2024-03-31 02:30:00.000001"), ("decimal(20,3)", "12345.678"), ("binary", "ab")]
+
+
+@pytest.mark.parametrize("kind, value", KINDS)
+def test_keys_and_orders_of_any_type(spark, kind, value):
+    """A hot key of this type, and an order column of it with nulls; the zone has a repeated hour."""
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        one = F.lit(value).cast(kind)
+        df = spark.range(600).select("id", F.when(F.col("id") % 5 > 0, one).alias("k"), F.when(F.col("id") % 3 > 0, one).alias("o")).repartition(5)
+        got = windows.ranked(df, ["k"], ["o", "id"], ["o"])
+        placed, tied = Window.partitionBy("k").orderBy("o", "id"), Window.partitionBy("k").orderBy("o")
+        want = df.select("id", F.row_number().over(placed).alias("n"), F.rank().over(tied).alias("r"), F.dense_rank().over(tied).alias("d"))
+        assert rows(got.select("id", "row_number", "rank", "dense_rank")) == rows(want)
+        assert len(windows.cut_of(df, ["k"], ["o", "id"]).bounds) > 4
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+FRAMES = [(-2, 0), (0, 0), (-1, 4), (2, 5), (-30, -3), (None, 0), (None, 3), (None, -4), (0, None), (-3, None), (6, None), (None, None), (-400, 0)]
+FUNCTIONS = {"s": ("sum", "x"), "n": ("count", "x"), "lo": ("min", "x"), "hi": ("max", "x"), "mean": ("avg", "x")}
+
+
+def nulled(events):
+    return events.withColumn("x", F.when(F.col("v") % 4 > 0, F.col("v")))
+
+
+@pytest.mark.parametrize("start, end", FRAMES)
+def test_frames_of_rows(events, eight, start, end):
+    low = Window.unboundedPreceding if start is None else start
+    high = Window.unboundedFollowing if end is None else end
+    w = plain().rowsBetween(low, high)
+    data = nulled(events)
+    want = data.select("*", *[getattr(F, f)(c).over(w).alias(n) for n, (f, c) in FUNCTIONS.items()])
+    assert rows(windows.framed(data, BY, ORDER, FUNCTIONS, start, end).select(want.columns)) == rows(want)
+
+
+def test_frames_of_rows_over_short_slabs(spark, monkeypatch):
+    """Slabs shorter than the frame: rows of several slabs meet in it."""
+    plain_cut = windows.cut_of
+    monkeypatch.setattr(windows, "cut_of", lambda df, by, order, **_: plain_cut(df, by, order, 200))
+    df = spark.range(400).select(F.lit("k").alias("k"), "id", (F.col("id") * 37 % 101).alias("x"))
+    assert len(windows.cut_of(df, ["k"], ["id"]).bounds) > 60
+    for start, end in [(-20, 0), (-9, 12), (3, 15), (None, 9), (-11, None), (None, -13), (14, None)]:
+        w = Window.partitionBy("k").orderBy("id").rowsBetween(Window.unboundedPreceding if start is None else start, Window.unboundedFollowing if end is None else end)
+        want = df.select("*", *[getattr(F, f)(c).over(w).alias(n) for n, (f, c) in FUNCTIONS.items()])
+        assert rows(windows.framed(df, ["k"], ["id"], FUNCTIONS, start, end).select(want.columns)) == rows(want)
+
+
+RANGES = [(-3, 0), (0, 0), (0, 4), (-2, 2), (3, 9), (-12, -5), (None, 0), (None, 5), (None, -4), (0, None), (-6, None), (4, None), (None, None), (-500, 0)]
+
+
+@pytest.mark.parametrize("start, end", RANGES)
+def test_frames_of_values(spark, events, eight, start, end):
+    """Many rows share a value; some have none."""
+    data = nulled(events).withColumn("at", F.when(F.col("t") != 7, F.col("t") * 3 + F.col("v") % 3))
+    low = Window.unboundedPreceding if start is None else start
+    high = Window.unboundedFollowing if end is None else end
+    w = Window.partitionBy("k").orderBy("at").rangeBetween(low, high)
+    want = data.select("*", *[getattr(F, f)(c).over(w).alias(n) for n, (f, c) in FUNCTIONS.items()])
+    assert rows(windows.framed_by_value(data, BY, "at", FUNCTIONS, start, end).select(want.columns)) == rows(want)
+
+
+@pytest.mark.parametrize("kind", ["date", "timestamp", "timestamp_ntz"])
+def test_frames_of_time(spark, eight, kind):
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        times = "timestamp'2024-10-20 00:00:00' + make_interval(0, 0, 0, 0, CAST(id % 400 AS INT))" if kind != "date" else "date'2024-01-01' + CAST(id % 90 AS INT)"
+        df = spark.range(2000).selectExpr("id", "IF(id % 5 = 0, id % 7, -1) AS k", f"CAST({times} AS {kind}) AS at")
+        days = 7 if kind == "date" else timedelta(days=1, hours=5)
+        got = windows.framed_by_value(df, ["k"], "at", {"n": ("count", "id"), "s": ("sum", "id")}, -days, 0)
+        table = [tuple(r) for r in df.selectExpr("id", "k", "unix_date(at)" if kind == "date" else "unix_seconds(CAST(at AS TIMESTAMP))").collect()]
+        if kind == "timestamp_ntz":
+            table = [(i, k, i % 400 * 3600) for i, k, _ in table]  # a wall clock knows no repeated hour
+            if df.selectExpr("count(DISTINCT at)").first()[0] < 400:
+                table = [tuple(r) for r in df.selectExpr("id", "k", "timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', at)").collect()]
+        width = 7 if kind == "date" else int(days.total_seconds())
+        for i, n, s in got.select("id", "n", "s").collect():
+            _, k, at = table[i]
+            near = [j for j, l, t in table if l == k and at - width <= t <= at]
+            assert (n, s) == (len(near), sum(near))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_frames_that_make_no_sense(events):
+    with pytest.raises(ValueError):
+        windows.framed(events, BY, ORDER, {"x": ("median", "v")})
+    with pytest.raises(ValueError):
+        windows.framed(events, BY, ORDER, {"x": ("sum", "v")}, 2, 1)
+    with pytest.raises(ValueError):
+        windows.framed_by_value(events, BY, "k", {"x": ("sum", "v")}, -1, 0)
+
+
+@pytest.mark.parametrize("down", [False, True])
+def test_deep_pages_of_a_crowded_value_tile_the_table(spark, monkeypatch, down):
+    """Most rows tie in the sorted column, one is null; pages neither overlap nor leave a row out."""
+    monkeypatch.setattr(windows, "DEEP", 50)
+    df = spark.range(1000).select(F.when(F.col("id") != 500, F.col("id") % 10 > 0).alias("flag"), "id", F.create_map(F.lit("a"), "id").alias("m")).repartition(4)
+    order = [windows.Sort(F.col("flag"), down, nulls_last=True)]
+    want = [r["id"] for r in df.orderBy(F.col("flag").desc_nulls_last() if down else F.col("flag").asc_nulls_last(), "id").collect()]
+    got = [r["id"] for at in range(0, 1000, 130) for r in windows.first_rows(df, order, 130, at).collect()]
+    assert got == want
+
+
+def test_shallow_pages_take_ties_by_the_other_columns(spark):
+    df = spark.createDataFrame([(1, "b", [2]), (1, "a", [3]), (1, "a", [1])], "k int, x string, l array<int>")
+    assert [tuple(r) for n in range(3) for r in windows.first_rows(df, ["k"], 1, n).collect()] == [(1, "a", [1]), (1, "a", [3]), (1, "b", [2])]
 
 
 @pytest.mark.parametrize("spread", [60, 2, 1, 3000])
@@ -106,7 +240,7 @@ def test_batch_slices(spark, n, step):
 
 @pytest.mark.parametrize("n, offset", [(100, 0), (100, 950), (5000, 0), (10, 2995), (0, 5)])
 def test_deep_heads_equal_shallow_ones(events, monkeypatch, n, offset):
-    order = [F.col("v").desc(), F.col("id")]
+    order = [windows.Sort("v", down=True), "id"]
     shallow = [tuple(r) for r in windows.first_rows(events, order, n, offset).collect()]
     monkeypatch.setattr(windows, "DEEP", -1)
     assert [tuple(r) for r in windows.first_rows(events, order, n, offset).collect()] == shallow
