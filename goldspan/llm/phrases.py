@@ -30,6 +30,20 @@ _ENDS = bytes.maketrans(b".,;:!?\n\x0b\x0c\r", b"." * 10)
 _BREAK = 0  # a shard's number for the end of a piece
 
 
+_CODEC = pa.Codec("zstd", compression_level=1)
+
+
+def squeezed(numbers: np.ndarray) -> bytes:
+    """Unsigned numbers in as few bytes as the greatest needs, compressed."""
+    size = next(n for n in (1, 2, 4, 8) if int(numbers.max(initial=0)) < 1 << 8 * n)
+    return bytes([size]) + len(numbers).to_bytes(8, "little") + _CODEC.compress(numbers.astype(f"<u{size}").tobytes(), asbytes=True)
+
+
+def unsqueezed(blob: bytes) -> np.ndarray:
+    size, many = blob[0], int.from_bytes(blob[1:9], "little")
+    return np.frombuffer(_CODEC.decompress(blob[9:], size * many), f"<u{size}")
+
+
 class _Words(dict):
     """Numbers of words in the order in which they first occur."""
 
@@ -57,7 +71,7 @@ SHARDS = "shard long, lang string, n_words long, words array<string>, counts arr
 
 def shards(df: DataFrame, text: str, lang: str) -> DataFrame:
     """A row for each shard of texts and language: its distinct words, how often each occurs, and its texts as places
-    in that list (unsigned 32-bit numbers; 0 stands for the end of a piece). Stored, so that shards keep their texts."""
+    in that list (``squeezed``; 0 stands for the end of a piece). Stored, so that shards keep their texts."""
     kinds = pa.schema([("shard", pa.int64()), ("lang", pa.string()), ("n_words", pa.int64()), ("words", pa.list_(pa.string())),
                        ("counts", pa.list_(pa.int64())), ("text", pa.binary())])
 
@@ -73,7 +87,7 @@ def shards(df: DataFrame, text: str, lang: str) -> DataFrame:
                 ends = pa.array([0, len(counts)], pa.int32())
                 words = pa.ListArray.from_arrays(ends, pa.array(list(numbers)[1:], pa.string()))
                 yield pa.RecordBatch.from_arrays([pa.array([shard]), pa.array([name]), pa.array([int(counts.sum())]), words,
-                                                  pa.ListArray.from_arrays(ends, pa.array(counts, pa.int64())), pa.array([places.tobytes()])], schema=kinds)
+                                                  pa.ListArray.from_arrays(ends, pa.array(counts, pa.int64())), pa.array([squeezed(places)])], schema=kinds)
             kept.clear()
 
         for batch in batches:
@@ -105,20 +119,24 @@ def frequent_words(cut: DataFrame, least: int) -> tuple[DataFrame, int]:
     return words, max(1, (buckets * width - 1).bit_length())
 
 
-STATE = "shard long, place binary, id binary, last binary"
+STATE = "shard long, starts binary, id binary, last binary"
 
 
-def _state(shard: int, place: np.ndarray, ident: np.ndarray, last: np.ndarray) -> pd.DataFrame:
-    """The frequent phrases of one length in a shard: where each starts, its id, the id of its last word."""
-    return pd.DataFrame([(shard, place.astype(np.uint32).tobytes(), ident.astype(np.uint64).tobytes(), last.astype(np.uint32).tobytes())],
-                        columns=["shard", "place", "id", "last"])
+def _state(shard: int, place: np.ndarray, ident: np.ndarray, last: np.ndarray | None) -> pd.DataFrame:
+    """The frequent phrases of one length in a shard: a bit for each place (does one start there?), their ids, and the
+    ids of their last words (empty for single words, which are their own)."""
+    starts = np.zeros(int(place.max(initial=-1)) + 1, np.uint8)
+    starts[place] = 1
+    return pd.DataFrame([(shard, squeezed(np.packbits(starts)), squeezed(ident), b"" if last is None else squeezed(last))],
+                        columns=["shard", "starts", "id", "last"])
 
 
-def _grams(place: bytes, ident: bytes, last: bytes, word_bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _grams(starts: bytes, ident: bytes, last: bytes, word_bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Phrases one word longer whose first words and whose last words are frequent: places, packed numbers, last words."""
-    place, ident, last = np.frombuffer(place, np.uint32), np.frombuffer(ident, np.uint64), np.frombuffer(last, np.uint32)
+    place, ident = np.flatnonzero(np.unpackbits(unsqueezed(starts))), unsqueezed(ident)
+    last = unsqueezed(last) if last else ident
     at = np.flatnonzero(np.diff(place) == 1)
-    return place[at], ident[at] << np.uint64(word_bits) | last[at + 1], last[at + 1]
+    return place[at], ident[at].astype(np.uint64) << np.uint64(word_bits) | last[at + 1], last[at + 1]
 
 
 def _words_of_shards(cut: DataFrame, words: DataFrame) -> DataFrame:
@@ -131,7 +149,7 @@ def _words_of_shards(cut: DataFrame, words: DataFrame) -> DataFrame:
         places, ids, at = [], [], 0
         for lang, text in zip(texts["lang"], texts["text"]):
             own = known[known["lang"] == lang]
-            text = np.frombuffer(text, np.uint32)
+            text = unsqueezed(text)
             table = np.full(max(int(text.max(initial=0)), int(own["_place"].max()) + 1 if len(own) else 0) + 1, -1, np.int64)
             table[own["_place"].to_numpy(np.int64) + 1] = own["id"]
             found = table[text]
@@ -140,8 +158,8 @@ def _words_of_shards(cut: DataFrame, words: DataFrame) -> DataFrame:
             ids.append(found[here])
             at += len(text) + 1
         if not len(texts):
-            return pd.DataFrame(columns=["shard", "place", "id", "last"])
-        return _state(texts["shard"].iloc[0], np.concatenate(places), np.concatenate(ids), np.concatenate(ids))
+            return pd.DataFrame(columns=["shard", "starts", "id", "last"])
+        return _state(texts["shard"].iloc[0], np.concatenate(places), np.concatenate(ids), None)
 
     grouped = cut.select("shard", "lang", "text").groupBy("shard").cogroup(told.groupBy("shard"))
     return stored(grouped.applyInPandas(numbered, STATE), "phrase-state")
@@ -155,8 +173,8 @@ def _filters(state: DataFrame, word_bits: int, bits: int) -> DataFrame:
     """Each shard's filter of its phrases, cut into ranges; stored."""
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for shard, place, ident, last in zip(batch["shard"], batch["place"], batch["id"], batch["last"]):
-                _, grams, _ = _grams(place, ident, last, word_bits)
+            for shard, starts, ident, last in zip(batch["shard"], batch["starts"], batch["id"], batch["last"]):
+                _, grams, _ = _grams(starts, ident, last, word_bits)
                 parts = quotient.cut(*quotient.counted(grams, bits), bits, CUT_BITS)
                 yield pd.DataFrame([(shard, p, f) for p, f in parts], columns=["node", "range", "filter"])
 
@@ -242,9 +260,9 @@ def _longer(state: DataFrame, nodes: int, word_bits: int, id_bits: int, least: i
 
     def advance(states: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         if not len(states) or not len(answers):
-            return pd.DataFrame(columns=["shard", "place", "id", "last"])
+            return pd.DataFrame(columns=["shard", "starts", "id", "last"])
         row = states.iloc[0]
-        place, grams, last = _grams(row["place"], row["id"], row["last"], word_bits)
+        place, grams, last = _grams(row["starts"], row["id"], row["last"], word_bits)
         keys = np.concatenate([np.uint64(p) << rest | np.frombuffer(k, np.uint64) for p, k in zip(answers["range"], answers["keys"])])
         ids = np.concatenate([np.frombuffer(i, np.uint64) for i in answers["ids"]])
         order = np.argsort(keys)
