@@ -13,10 +13,10 @@ from goldspan.sources.lake import map_batches
 
 @job("fn_find_keys", """
 WITH e AS (SELECT event_id, user_id, json_extract_string(props, '$.k') AS k FROM events)
-SELECT event_id, CAST(0 AS BIGINT) AS position, '{"k": ' || user_id || ', "b": [{"k": "' || event_id || '"}, {"c": [[{"k": [1, 2]}]]}]}' AS value FROM e
+SELECT event_id, CAST(0 AS BIGINT) AS position, '{"k":' || user_id || ',"b":[{"k":"' || event_id || '"},{"c":[[{"k":[1,2]}]]}]}' AS value FROM e
 UNION ALL SELECT event_id, 1, CAST(user_id AS VARCHAR) FROM e
 UNION ALL SELECT event_id, 2, '"' || event_id || '"' FROM e
-UNION ALL SELECT event_id, 3, '[1, 2]' FROM e
+UNION ALL SELECT event_id, 3, '[1,2]' FROM e
 UNION ALL SELECT event_id, 4, k FROM e""")
 def _(t: Tables):
     """A key that holds an object with the same key inside, in lists of lists, and beside it."""

@@ -2,81 +2,81 @@
 
 from __future__ import annotations
 
-import json
-import math
-import sys
-from collections.abc import Iterator
-from typing import Any
-
-import pyarrow as pa
-from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from goldspan.session import stored
 
-# functions of this module travel to the executors whole: they need no copy of the package
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-# one encoder for all values: json.dumps with options builds one per call
-_as_json = json.JSONEncoder(ensure_ascii=False).encode
+_END = "the text ends here 5f0c21d7"  # second element of a list whose first one is the text: nothing follows it
 
 
-def _number(text: str) -> float:
-    found = float(text)
-    if not math.isfinite(found):
-        raise ValueError(f"{text} is no JSON number of double range")
-    return found
+def _json_of(column: str) -> Column:
+    """The JSON text, trimmed, or null if it is none: no single value, or a number beyond double range."""
+    text = F.trim(F.col(column), F.lit(" \t\r\n"))
+    listed = F.expr("CAST(_listed AS ARRAY<VARIANT>)")
+    single = (F.size(listed) == 2) & (F.try_variant_get(F.col("_listed"), "$[1]", "string") == _END)
+    # digits or exponents that long are rare: only then the numbers outside of strings are looked at
+    long_ = text.rlike("[eE][+]?[0-9]{3}|[0-9]{309}")
+    numbers = F.regexp_extract_all(F.regexp_replace(text, r'"(?:[^"\\]++|\\.)*+"', '""'), F.lit(r"-?[0-9][0-9.]*(?:[eE][-+]?[0-9]+)?"), F.lit(0))
+    beyond = long_ & F.exists(numbers, lambda x: F.abs(x.cast("double")) == float("inf"))
+    return F.when(F.coalesce(single, F.lit(False)) & ~F.coalesce(beyond, F.lit(False)), text)
 
 
-def _parsed(text: str) -> Any:
-    return json.loads(text, parse_float=_number, parse_constant=_number)
+def _children() -> Column:
+    """Of a document or list in ``_node``: place, key (null in a list) and JSON text of what it holds, in its order."""
+    def held(kind: str) -> Column:
+        plain, typed = (F.from_json("_node", kind.format(t)) for t in ("string", "variant"))
+        keys, plain, typed = (F.map_keys(plain), F.map_values(plain), F.map_values(typed)) if kind.startswith("map") else (None, plain, typed)
+        # only strings lose their quotes in a text column
+        texts = F.zip_with(plain, typed, lambda p, v: F.when(F.schema_of_variant(v) == "STRING", F.to_json(v)).otherwise(F.coalesce(p, F.lit("null"))))
+        if keys is None:
+            return F.transform(texts, lambda t, i: F.struct(i.alias("place"), F.lit(None).cast("string").alias("key"), t.alias("text")))
+        pairs = F.arrays_zip(keys.alias("key"), texts.alias("text"))
+        return F.transform(pairs, lambda p, i: F.struct(i.alias("place"), p["key"].alias("key"), p["text"].alias("text")))
 
-
-def _values_of(node: Any, key: str) -> Iterator[Any]:
-    """Values of ``key`` at any depth: a document's own before those inside it."""
-    stack = [node]
-    while stack:
-        here = stack.pop()
-        if isinstance(here, dict):
-            if key in here:
-                yield here[key]
-            stack.extend(reversed(list(here.values())))
-        elif isinstance(here, list):
-            stack.extend(reversed(here))
+    return F.when(F.col("_node").startswith("{"), held("map<string,{}>")).otherwise(held("array<{}>"))
 
 
 def find_keys(df: DataFrame, column: str, key: str, keep: list[str]) -> DataFrame:
     """Every value of a key at any depth of a JSON column, in document order.
 
-    One row per value: the kept columns, ``position`` and ``value`` as JSON. A
-    text that names the key but is not JSON, or holds numbers beyond double
-    range, is reported: one row with null position and value.
-    The depth is open, which no fixed chain of explodes covers, so the walk
-    runs on Arrow batches; texts without the quoted key never leave the JVM.
+    One row per value: the kept columns, ``position`` (from 0; a document's own
+    value before those inside it) and ``value`` as JSON without blanks. A text
+    that names the key but is not JSON, repeats a key within one document, or
+    holds numbers beyond double range, is reported: one row with null position
+    and value. Null texts, and those that do not name the key, give no row.
+
+    The documents are opened level by level until nothing is left that names the
+    key: each level's finds and what is still to be opened are stored, so a
+    level costs one pass over what the level before left.
     """
-    schema = T.StructType([*[df.schema[c] for c in keep], T.StructField("position", T.LongType()),
-                           T.StructField("value", T.StringType())])
-
-    def walk(batches):
-        for batch in batches:
-            rows, positions, values = [], [], []
-            for row, text in enumerate(batch.column(column).to_pylist()):
-                try:
-                    found = [(position, _as_json(value)) for position, value in enumerate(_values_of(_parsed(text), key))]
-                except (ValueError, RecursionError):
-                    found = [(None, None)]
-                for position, value in found:
-                    rows.append(row)
-                    positions.append(position)
-                    values.append(value)
-            kept = [batch.column(c).take(pa.array(rows, pa.int64())) for c in keep]
-            yield pa.RecordBatch.from_arrays(
-                [*kept, pa.array(positions, pa.int64()), pa.array(values, pa.string())], names=schema.names)
-
-    # a key may be written with escapes, so texts with a backslash go on too
-    candidates = df.where(F.col(column).contains(f'"{key}"') | F.col(column).contains("\\"))
-    return candidates.select(*keep, column).mapInArrow(walk, schema)
+    def may_hold(text: Column) -> Column:
+        # a key may be written with escapes, so texts with a backslash go on too
+        return text.contains(f'"{key}"') | text.contains("\\")
+
+    kept = F.struct(*[F.col(c) for c in keep]).alias("_kept")
+    candidates = df.where(may_hold(F.col(column))).select(kept, F.col(column).alias("_text")).withColumn(
+        "_listed", F.try_parse_json(F.concat(F.lit("["), "_text", F.lit(f', "{_END}"]'))))
+    opened = stored(candidates.select(
+        "_kept", F.monotonically_increasing_id().alias("_doc"), F.array().cast("array<int>").alias("_path"), _json_of("_text").alias("_node")), "find-keys")
+    broken = opened.where("_node IS NULL").select("_kept.*", F.lit(None).cast("long").alias("position"), F.lit(None).cast("string").alias("value"))
+    found, nodes = [], opened.where(F.col("_node").rlike("^[{\\[]"))
+    while not nodes.isEmpty():
+        each = nodes.select("_kept", "_doc", "_path", F.explode(_children()).alias("_child"))
+        text = F.col("_child.text")
+        level = stored(each.select(
+            "_kept", "_doc", "_path", F.col("_child.place").alias("_place"), text.alias("_text"), F.coalesce(F.col("_child.key") == key, F.lit(False)).alias("_found"),
+            (text.rlike("^[{\\[]") & may_hold(text)).alias("_open")).where("_found OR _open"), "find-keys")
+        found.append(level.where("_found").select("_kept", "_doc", F.concat("_path", F.array(F.lit(-1))).alias("_path"), "_text"))
+        nodes = level.where("_open").select("_kept", "_doc", F.concat("_path", F.array("_place")).alias("_path"), F.col("_text").alias("_node"))
+    if not found:
+        return broken
+    place = F.row_number().over(Window.partitionBy("_doc").orderBy("_path")).cast("long") - 1
+    values = reduce(DataFrame.unionByName, found).select("_kept.*", place.alias("position"), F.col("_text").alias("value"))
+    return values.unionByName(broken)
 
 
 def unroll(column: Column, kind: T.DataType) -> Column:

@@ -42,9 +42,46 @@ def test_find_keys_with_an_escaped_name(spark):
     assert rows(n.find_keys(df, "d", "k", ["id"])) == [(1, 0, "3")]
 
 
-def test_the_walk_needs_no_package_on_the_executors():
-    from pyspark import cloudpickle
-    assert n.__name__ in cloudpickle.list_registry_pickle_by_value()
+HARD = [
+    {"z": {"k": 1}, "b": [{"y": [], "k": {"q": 1, "k": "in"}}], "a": {"k": -1.5}}, {"k": "{\"k\": 1}"}, {"k": ["[", "{\"k\": 2}", None, True, 1.0]},
+    [[[[{"k": [{"k": []}]}]]]], {"k\"": 1, "x": {"k": "\\"}}, {"a.b'c": {"k": "é\n\u0001"}}, {"": {"k": 9007199254740993}}, {"k": 12345678901234567890123456789012345678901234567890},
+    {"k": {}}, {"x": "k", "y": ["k"]}, {"k": " "}, {"x": {"x": {"x": {"x": {"x": {"k": {"x": {"k": 3}}}}}}}},
+]
+
+
+def test_find_keys_in_document_order(spark):
+    """Keys out of alphabetical order, texts that look like JSON, keys with quotes and dots, great numbers."""
+    df = spark.createDataFrame([(i, json.dumps(d, ensure_ascii=i % 2 == 0, indent=i % 3 or None)) for i, d in enumerate(HARD)], "id int, d string")
+    got = n.find_keys(df, "d", "k", ["id"]).orderBy("id", "position").collect()
+    assert [(r["id"], r["position"], json.loads(r["value"])) for r in got] == [(i, p, v) for i, d in enumerate(HARD) for p, v in enumerate(brute(d, "k"))]
+    assert all(r["value"] == json.dumps(json.loads(r["value"]), ensure_ascii=False, separators=(",", ":")) for r in got)
+
+
+def test_find_keys_leaves_the_jvm_nowhere(spark):
+    df = spark.createDataFrame([(i, json.dumps(d)) for i, d in enumerate(HARD)], "id int, d string")
+    plan = n.find_keys(df, "d", "k", ["id"])._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_find_keys_when_there_is_nothing(spark):
+    df = spark.createDataFrame([(1, None, 2), (2, '{"x": 1}', 3), (3, '{"x": "k"}', 3)], "id int, d string, _node int")
+    out = n.find_keys(df, "d", "k", ["id", "_node"])
+    assert out.columns == ["id", "_node", "position", "value"] and out.count() == 0
+    assert n.find_keys(df.limit(0), "d", "k", ["id"]).count() == 0
+    same = spark.createDataFrame([(1, '{"k": [{"k": 1}]}')] * 3, "id int, d string")
+    assert rows(n.find_keys(same, "d", "k", ["id"])) == sorted([(1, 0, '[{"k":1}]'), (1, 1, "1")] * 3, key=lambda r: [(False, str(x)) for x in r])
+
+
+@pytest.mark.parametrize("text", ['{"k": 1} x', '{"k": 1}{"k": 2}', '{"k": 1}, {"k": 2}', '{"k": 1}], [{"k": 2}', "{'k': \"k\"}", '{"k": 1, "k": 2}', '{"x": {"k": 1, "k": 2}}',
+                                  '{"k": 01}', '{"k": Infinity}', '{"k": -1E999}', '{"k": 1, "x": ' + "9" * 400 + '}', '{"k": }', '"k" "k"', '\\'])
+def test_find_keys_reports(spark, text):
+    assert rows(n.find_keys(spark.createDataFrame([(1, text)], "id int, d string"), "d", "k", ["id"])) == [(1, None, None)]
+
+
+def test_find_keys_takes_texts_that_only_look_long(spark):
+    """A string with a great exponent is a string; 1e300 is a number."""
+    df = spark.createDataFrame([(1, '{"k": "1e999", "x": "\\"9e999"}'), (2, '{"k": 1e300}'), (3, '{"k": 1e-999}')], "id int, d string")
+    assert [json.loads(r["value"]) for r in n.find_keys(df, "d", "k", ["id"]).orderBy("id").collect()] == ["1e999", 1e300, 0.0]
 
 
 def test_unroll(spark):
