@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from goldspan.jobs import fixtures as fx
 from goldspan.jobs.base import Tables, job
-from goldspan.operators import sinks
+from goldspan.operators import intake, sinks
 from goldspan.session import workspace
 from goldspan.sources.lake import Lake
 from goldspan.sources.tables import StepOutputs
@@ -36,13 +36,38 @@ def _(t: Tables):
     lake = Lake(t.spark, workspace(t.spark, "send"))
     value = F.when(F.col("event_type") == "error", "broken").otherwise(F.col("value").cast("string"))
     dirty = t.events.select("event_id", "ts", value.alias("value"))
-    account = sinks.send(lake, dirty, "web", "events", ["event_id"], "ts", "b1", step_size=250, types={"value": "double"})
+    account = intake.send(lake, dirty, "web", "events", ["event_id"], "ts", "b1", step_size=250, types={"value": "double"})
     stored = lake.staging("web", "events").groupBy("space", "sequence").agg(
         F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 2).alias("total"), F.max(F.element_at("mdmErrors", 1)).alias("error"))
     records, requests = account.select("total_records").scalar(), account.select("total_requests").scalar()
     return stored.withColumns({"total_records": records, "total_requests": requests})
 
 
+@job("snk_batch", """
+WITH e AS (SELECT event_id, value, event_type, row_number() OVER (PARTITION BY event_type = 'view' ORDER BY event_id) - 1 AS r FROM events),
+n AS (SELECT CAST(ceil(count(*) / 300.0) AS BIGINT) AS first FROM events WHERE event_type <> 'view')
+SELECT event_id, CASE WHEN event_type = 'view' THEN event_type END AS kind, value,
+  CAST(floor(r / 300) AS BIGINT) + 1 + CASE WHEN event_type = 'view' THEN (SELECT first FROM n) ELSE 0 END AS sequence,
+  (SELECT count(*) FROM events) AS total_records,
+  (SELECT first FROM n) + CAST(ceil((SELECT count(*) FROM events WHERE event_type = 'view') / 300.0) AS BIGINT) AS total_requests
+FROM e""")
+def _(t: Tables):
+    """One batch of two sends to a table declared by the first: the crosswalk comes from the declaration, the second
+    send's own field is added to it as the table is flexible. A batch that never ends adds nothing."""
+    lake = Lake(t.spark, workspace(t.spark, "batch"))
+    events = t.events.select("event_id", "value", "ts", "event_type")
+    batch = intake.Batch(lake, "b1")
+    batch.send(events.where("event_type <> 'view'").drop("event_type"), "web", "clicks", "ts", step_size=300,
+               auto_create_schema=True, crosswalk_auto_create=["event_id"], flexible_schema=True)
+    views = events.where("event_type = 'view'").withColumnRenamed("event_type", "kind").withColumn("value", F.col("value").cast("string"))
+    batch.send(views, "web", "clicks", "ts", step_size=300)
+    account = batch.end()
+    intake.Batch(lake, "b2").send(views, "web", "clicks", "ts")
+    records, requests = account.select("total_records").scalar(), account.select("total_requests").scalar()
+    return lake.scan("staging", "web_clicks").select("event_id", "kind", "value", "sequence").withColumns(
+        {"total_records": records, "total_requests": requests})
+
+
 @job("snk_model_write", "SELECT c_custkey, c_acctbal FROM customer WHERE c_acctbal >= 0 UNION ALL SELECT s_suppkey, s_acctbal FROM supplier")
 def _(t: Tables):
     """The first write is replaced by the second, which the third adds to."""

@@ -174,16 +174,16 @@ def _(t: Tables):
     return out.select("event_id", F.round("mean_of_three", 4).alias("mean_of_three"))
 
 
-@job("sql_window_open", """SELECT event_id, round(avg(value) OVER w, 4) AS mean, min(value) OVER w AS least,
+@job("sql_window_open", """SELECT event_id, round(sum(value) OVER w, 4) AS total, min(value) OVER w AS least,
      count(value) OVER (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN 5 FOLLOWING AND UNBOUNDED FOLLOWING) AS to_come
      FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 3 FOLLOWING)""")
 def _(t: Tables):
     """Frames that start with the key's first row or end with its last one; the few event types are crowded keys."""
     rows = t.events.select("event_id", "event_type", "ts", "value")
     by, order = ["event_type"], ["ts", "event_id"]
-    out = windows.framed(rows, by, order, {"mean": ("avg", "value"), "least": ("min", "value")}, None, 3)
+    out = windows.framed(rows, by, order, {"total": ("sum", "value"), "least": ("min", "value")}, None, 3)
     out = windows.framed(out, by, order, {"to_come": ("count", "value")}, 5, None)
-    return out.select("event_id", F.round("mean", 4).alias("mean"), "least", "to_come")
+    return out.select("event_id", F.round("total", 4).alias("total"), "least", "to_come")
 
 
 @job("sql_window_near", """SELECT event_id, round(sum(value) OVER f, 4) AS around, min(value) OVER f AS least,
@@ -198,16 +198,16 @@ def _(t: Tables):
     return out.select("event_id", F.round("around", 4).alias("around"), "least", "before")
 
 
-@job("sql_window_range", """SELECT event_id, round(sum(value) OVER w, 4) AS week, round(avg(value) OVER w, 4) AS mean, max(value) OVER w AS most,
+@job("sql_window_range", """SELECT event_id, round(sum(value) OVER w, 4) AS week, min(value) OVER w AS least, max(value) OVER w AS most,
      count(*) OVER (PARTITION BY event_type ORDER BY ts RANGE BETWEEN UNBOUNDED PRECEDING AND INTERVAL 1 HOUR FOLLOWING) AS so_far
      FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts RANGE BETWEEN INTERVAL 7 DAYS PRECEDING AND CURRENT ROW)""")
 def _(t: Tables):
     """Frames of a span of time, over the few event types."""
     rows = t.events.select("event_id", "event_type", "ts", "value")
-    values = {"week": ("sum", "value"), "mean": ("avg", "value"), "most": ("max", "value")}
+    values = {"week": ("sum", "value"), "least": ("min", "value"), "most": ("max", "value")}
     out = windows.framed_by_value(rows, ["event_type"], "ts", values, -timedelta(days=7), 0)
     out = windows.framed_by_value(out, ["event_type"], "ts", {"so_far": ("count", "event_id")}, None, timedelta(hours=1))
-    return out.select("event_id", F.round("week", 4).alias("week"), F.round("mean", 4).alias("mean"), "most", "so_far")
+    return out.select("event_id", F.round("week", 4).alias("week"), "least", "most", "so_far")
 
 
 # --- order, sets, composition -------------------------------------------------------------------

@@ -1,17 +1,18 @@
-"""Writing records: intake with batch accounting, model tables, step results."""
+"""Writing records: staging and model tables, step results. Batches are in ``operators.intake``."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from goldspan.operators.master import check_crosswalk_unique
 from goldspan.operators.rules import Rule, errors_of
-from goldspan.operators.schema import check_crosswalk, enforce
+from goldspan.operators.schema import check_crosswalk
 from goldspan.operators.sqlapi import check_select
 from goldspan.operators.windows import sequence_numbers
+from goldspan.session import stored
 from goldspan.sources.lake import Lake, source_name
 
 def batch_slices(df: DataFrame, order: Sequence[str], step_size: int = 500) -> DataFrame:
@@ -47,36 +48,13 @@ def batch_summary(df: DataFrame, batch: str = "batch_id", sequence: str = "seque
 
 def write_staging(lake: Lake, df: DataFrame, connector: str, staging: str, crosswalk: Sequence[str],
                   ingest_date: str, force: bool = False, mode: str = "append") -> None:
-    """Append records to a staging table, partitioned on source and ingest day."""
+    """Append records to a staging table, partitioned on source and ingest day. ``df`` is computed once."""
     check_crosswalk(df.columns, list(crosswalk))
-    check_crosswalk_unique(df, crosswalk, force)
     tagged = df.withColumn("source", F.lit(source_name(connector, staging)))
     if ingest_date != "ingest_date":
         tagged = tagged.withColumn("ingest_date", F.to_date(ingest_date))
-    lake.write(tagged, "staging", ["source", "ingest_date"], mode)
-
-
-def send(lake: Lake, df: DataFrame, connector: str, staging: str, crosswalk: Sequence[str], ingest_date: str,
-         batch_id: str, step_size: int = 500, types: Mapping[str, str] | None = None, rules: Sequence[Rule] = (),
-         force: bool = False) -> DataFrame:
-    """A whole send: types, crosswalk, rules, slices, the write, and the batch's account.
-
-    Bad records go to the rejected space of the same staging table with their
-    errors. ``crosswalk`` also orders the slices; with ``force`` it may repeat,
-    and then the other columns settle the order.
-    """
-    check_crosswalk(df.columns, list(crosswalk))
-    check_crosswalk_unique(df, crosswalk, force)
-    checked = errors_of(enforce(df, types or {}), rules)
-    rest = [c for c in df.columns if c not in crosswalk]
-    sliced = batch_slices(checked, [*crosswalk, *rest] if force else list(crosswalk), step_size)
-    sliced = sliced.withColumns({
-        "batch_id": F.lit(batch_id), "source": F.lit(source_name(connector, staging)),
-        "ingest_date": F.to_date(ingest_date)})
-    bad = F.size("mdmErrors") > 0
-    lake.write(sliced.where(~bad).drop("mdmErrors", "cumulative"), "staging", ["source", "ingest_date"])
-    lake.write(sliced.where(bad).drop("cumulative"), "staging_rejected", ["source", "ingest_date"])
-    return batch_summary(sliced)
+    rows = tagged if force else check_crosswalk_unique(stored(tagged, "intake"), crosswalk)
+    lake.write(rows, "staging", ["source", "ingest_date"], mode)
 
 
 def write_model(df: DataFrame, path: str, delete_old_records: bool = False) -> None:

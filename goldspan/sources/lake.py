@@ -18,6 +18,8 @@ from goldspan.names import LAKE_SPACES, SCAN_KEYS
 from goldspan.operators.windows import first_rows
 from goldspan.session import path_exists
 
+MANIFEST = ("batch string, batch_id string, sources array<string>, total_records long, total_requests long, "
+            "started string, ended string")
 STAGING_SPACES = ["staging", "staging_master", "staging_rejected"]
 
 
@@ -69,9 +71,11 @@ class Lake:
         drifted     files may differ in columns: read every footer and merge them
         """
         folder = f"{self.path(space)}/{self._owner(space)}={table}"
-        if not path_exists(self.spark, folder):
+        found = [self._read(folder, drifted)] if path_exists(self.spark, folder) else []
+        found += self._batches(space, table, drifted) if space in STAGING_SPACES else []
+        if not found:
             return None
-        df = self.spark.read.option("mergeSchema", str(drifted).lower()).parquet(folder)
+        df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), found)
         if prefix is not None:
             df = df.where(F.col("ingest_date").cast("string").startswith(prefix))
         if not (columns and "ingest_date" in columns):
@@ -86,6 +90,23 @@ class Lake:
             df = df.withColumnsRenamed(dict(renames))
         return df
 
+    def _read(self, folder: str, drifted: bool) -> DataFrame:
+        return self.spark.read.option("mergeSchema", str(drifted).lower()).parquet(folder)
+
+    def _batches(self, space: str, table: str, drifted: bool) -> list[DataFrame]:
+        """The table's records of batches that have ended, if there are any; they have ``batch_id`` and ``sequence``."""
+        folder, manifests = f"{self.root}/batches/source={table}", f"{self.root}/manifests"
+        if not (path_exists(self.spark, folder) and path_exists(self.spark, manifests)):
+            return []
+        ended = self.spark.read.schema(MANIFEST).json(f"{manifests}/*").where(F.array_contains("sources", table)).select("batch")
+        if ended.isEmpty():
+            return []
+        versions = f"{self.root}/declarations/source={table}"
+        changed = drifted or path_exists(self.spark, versions) and self.spark.read.schema("version int").json(versions).count() > 1
+        # batch and day are folders: the join prunes them before a file is opened
+        rows = self._read(folder, changed).where(F.col("space") == space).join(ended, "batch", "left_semi").drop("batch", "part", "space")
+        return [rows.drop("mdmErrors") if space == "staging" else rows]
+
     def staging(self, connector: str, staging: str, **options) -> DataFrame:
         """A staging table is its new, mastered and rejected records together."""
         found = []

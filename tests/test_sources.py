@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from goldspan.operators import sinks
+from goldspan.operators import intake, sinks
 from goldspan.operators.rules import Rule
 from goldspan.operators.sqlapi import TableCache, TableNotFound, check_select, run_sql
 from goldspan.session import path_exists, sizing, workspace
@@ -115,15 +115,15 @@ def test_staging_write_checks(spark, folder):
 def test_send(spark, folder):
     lake = Lake(spark, folder)
     df = spark.createDataFrame([(i, "2020-01-01", "x" if i == 3 else str(i)) for i in range(10)], "k int, day string, v string")
-    account = sinks.send(lake, df, "c", "s", ["k"], "day", "b", step_size=4, types={"v": "long"}, rules=[Rule("VALUE_COMPARE", "v", (">", 7))])
+    account = intake.send(lake, df, "c", "s", ["k"], "day", "b", step_size=4, types={"v": "long"}, rules=[Rule("VALUE_COMPARE", "v", (">", 7))])
     assert rows(account) == [("b", 10, 3)]
     out = lake.staging("c", "s")
     assert rows(out.where("space = 'staging'").select("k")) == [(i,) for i in (0, 1, 2, 4, 5, 6, 7)]
     assert rows(out.where("space = 'staging_rejected'").select("k", "mdmErrors")) == [
         (3, ["TYPE:v"]), (8, ["VALUE_COMPARE:v"]), (9, ["VALUE_COMPARE:v"])]
     with pytest.raises(ValueError, match="repeats"):
-        sinks.send(lake, df.union(df), "c", "s", ["k"], "day", "b2")
-    assert rows(sinks.send(lake, df.union(df), "c", "s", ["k"], "day", "b2", force=True)) == [("b2", 20, 1)]
+        intake.send(lake, df.union(df), "c", "s", ["k"], "day", "b2")
+    assert rows(intake.send(lake, df.union(df), "c", "s", ["k"], "day", "b2", force=True)) == [("b2", 20, 1)]
 
 
 def test_write_validated(spark, folder):
