@@ -2,34 +2,35 @@
 
 Texts become numbers of frequent words. A phrase of n words is counted where both of its (n-1)-word phrases are frequent;
 its packed number (that of its first n-1 words and that of its last word) goes into the counting quotient filter of its
-shard of texts. Sorted filters are cut into ranges of quotients and merged over the shards, 64 at a time, so a frequent
+shard of texts. Sorted filters are cut into ranges of quotients and merged over the shards, 256 at a time, so a frequent
 phrase reaches a merge once per shard. The merge that sees all shards tells them which of their phrases are frequent.
+Single words, which have no numbers yet, are merged and told in the same way, in ranges of their hashes.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from goldspan.llm import quotient
-from goldspan.session import stored
+from goldspan.session import stored, workspace
 
 SHARD_CHARS = 8 << 20  # text of a shard, more if its last text is longer
 TEXTS = 64  # texts taken from a batch at a time
 CHUNK_BYTES = 1 << 20  # text split into words at a time
-CUT_BITS = 6  # ranges a filter is cut into, and shards that are merged at a time
-WORDS_A_BUCKET = 100_000
+CUT_BITS = 8  # ranges a filter is cut into, and shards that are merged at a time
 SALTS = 64
 _ENDS = bytes.maketrans(b".,;:!?\n\x0b\x0c\r", b"." * 10)
 _BREAK = 0  # a shard's number for the end of a piece
-
-
 _CODEC = pa.Codec("zstd", compression_level=1)
 
 
@@ -44,7 +45,183 @@ def unsqueezed(blob: bytes) -> np.ndarray:
     return np.frombuffer(_CODEC.decompress(blob[9:], size * many), f"<u{size}")
 
 
-class _Words(dict):
+# --- filters of numbers and of words ------------------------------------------------------
+
+class Numbers(NamedTuple):
+    """Counting quotient filters of keys of ``bits`` bits, cut into 2^cut_bits ranges at a time."""
+
+    bits: int
+    cut_bits: int
+
+    def unpacked(self, blob: bytes):
+        return quotient.unpacked(blob)
+
+    def merged(self, filters: list):
+        return quotient.merged(filters)
+
+    def cut(self, keys, counts, depth: int) -> list[tuple[int, bytes]]:
+        """The filters of the ranges, of a filter that has been cut ``depth`` times."""
+        return quotient.cut(keys, counts, self.bits - self.cut_bits * depth, self.cut_bits)
+
+    def told(self, keys, own, leaf: bool) -> tuple[np.ndarray, bytes]:
+        """Which of ``keys`` a node's filter holds, and these as the node is told them."""
+        held = np.isin(keys, own, assume_unique=True)
+        return held, keys[held].tobytes()
+
+    def answered(self, ranges, blobs, depth: int):
+        """What a node was told for the ranges it cut itself into."""
+        rest = np.uint64(self.bits - self.cut_bits * (depth + 1))
+        return np.concatenate([np.uint64(r & ((1 << self.cut_bits) - 1)) << rest | np.frombuffer(b, np.uint64) for r, b in zip(ranges, blobs)])
+
+    def blob(self, keys) -> bytes:
+        return keys.tobytes()
+
+
+class Words(NamedTuple):
+    """Counts of words (each with its language), in ranges of a hash."""
+
+    cut_bits: int
+
+    def packed(self, keys: pa.Array, counts: np.ndarray) -> bytes:
+        texts = self.blob(keys)
+        return len(texts).to_bytes(8, "little") + texts + squeezed(counts)
+
+    def blob(self, keys: pa.Array) -> bytes:
+        lengths = squeezed(pc.binary_length(keys).to_numpy(zero_copy_only=False))
+        data = b"".join(keys.to_pylist())
+        return len(lengths).to_bytes(8, "little") + len(data).to_bytes(8, "little") + lengths + _CODEC.compress(data, asbytes=True)
+
+    def keys(self, blob: bytes) -> pa.Array:
+        at = 16 + int.from_bytes(blob[:8], "little")
+        ends = np.concatenate([[0], np.cumsum(unsqueezed(blob[16:at]), dtype=np.int64)]).astype(np.int32)
+        data = _CODEC.decompress(blob[at:], int.from_bytes(blob[8:16], "little"))
+        return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(data)])
+
+    def unpacked(self, blob: bytes):
+        end = 8 + int.from_bytes(blob[:8], "little")
+        return self.keys(blob[8:end]), unsqueezed(blob[end:]).astype(np.int64)
+
+    def merged(self, filters: list):
+        both = pa.concat_tables([pa.table({"key": k, "n": pa.array(c)}) for k, c in filters]).group_by("key").aggregate([("n", "sum")])
+        return both["key"].combine_chunks(), both["n_sum"].to_numpy()
+
+    def cut(self, keys, counts, depth: int) -> list[tuple[int, bytes]]:
+        shift, mask = 32 - self.cut_bits * (depth + 1), (1 << self.cut_bits) - 1
+        part = np.fromiter((zlib.crc32(k) >> shift & mask for k in keys.to_pylist()), np.int64, len(keys))
+        order = np.argsort(part, kind="stable")
+        keys, counts, part = keys.take(pa.array(order)), counts[order], part[order]
+        edges = np.flatnonzero(np.diff(part, prepend=-1))
+        return [(int(part[at]), self.packed(keys.slice(at, end - at), counts[at:end])) for at, end in zip(edges, [*edges[1:], len(part)])]
+
+    def told(self, keys, own, leaf: bool) -> tuple[np.ndarray, bytes]:
+        """A shard is told its words by their places in its own list."""
+        places = pc.index_in(keys, value_set=own)
+        held = pc.is_valid(places).to_numpy(zero_copy_only=False)
+        if leaf:
+            return held, squeezed(places.drop_null().to_numpy().astype(np.uint32))
+        return held, self.blob(keys.filter(pa.array(held)))
+
+    def answered(self, ranges, blobs, depth: int):
+        return pa.concat_arrays([self.keys(b) for b in blobs])
+
+
+FILTERS = "node long, range long, filter binary"
+TOLD = "node long, range long, keys binary, ids binary, counts binary"  # counts: of all shards, with node null
+
+
+def _above(nodes: int) -> F.Column:
+    """The node in which a node's filters are merged with those of about 255 others."""
+    return F.pmod(F.xxhash64("node"), F.lit(-(-nodes >> CUT_BITS) or 1))
+
+
+def _merge(filters: DataFrame, nodes: int, kind: Numbers | Words, depth: int) -> DataFrame:
+    """Filters merged over groups of nodes and cut further; stored."""
+    def merge(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        both = kind.merged([kind.unpacked(f) for f in rows["filter"]])
+        return pd.DataFrame([(key[0], key[1] << CUT_BITS | p, f) for p, f in kind.cut(*both, depth)], columns=["node", "range", "filter"])
+
+    return stored(filters.groupBy(_above(nodes).alias("_node"), "range").applyInPandas(merge, FILTERS), "phrase-filters")
+
+
+def _settle(filters: DataFrame, kind: Numbers | Words, least: int, leaf: bool) -> DataFrame:
+    """The last merge, of all nodes: each range's frequent keys with their counts (node null), and for each node those
+    that it holds. ids: range and rank within it. Stored."""
+    def settle(rows: pd.DataFrame) -> pd.DataFrame:
+        part, each = int(rows["range"].iloc[0]), [kind.unpacked(f) for f in rows["filter"]]
+        keys, counts = kind.merged(each)
+        often = counts >= least
+        keys, counts = keys.filter(pa.array(often)) if isinstance(keys, pa.Array) else keys[often], counts[often]
+        ids = np.uint64(part << 32) | np.arange(len(keys), dtype=np.uint64)
+        out = [(None, part, kind.blob(keys), ids.tobytes(), counts.astype(np.int64).tobytes())] if len(keys) else []
+        for node, (own, _) in zip(rows["node"], each):
+            held, blob = kind.told(keys, own, leaf)
+            if held.any():
+                out.append((node, part, blob, ids[held].tobytes(), b""))
+        return pd.DataFrame(out, columns=["node", "range", "keys", "ids", "counts"]).astype({"node": "Int64"})
+
+    return stored(filters.groupBy("range").applyInPandas(settle, TOLD), "phrase-counts")
+
+
+def _tell(told: DataFrame, filters: DataFrame, nodes: int, kind: Numbers | Words, depth: int) -> DataFrame:
+    """What the nodes merged from ``filters`` (cut ``depth`` + 1 times) were told, handed on to the nodes that held them."""
+    def tell(answers: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(answers):
+            keys = kind.answered(answers["range"], answers["keys"], depth + 1)
+            ids = np.concatenate([np.frombuffer(i, np.uint64) for i in answers["ids"]])
+            for node, part, own in zip(rows["node"], rows["range"], rows["filter"]):
+                held, blob = kind.told(keys, kind.unpacked(own)[0], depth == 0)
+                if held.any():
+                    out.append((node, part, blob, ids[held].tobytes(), b""))
+        return pd.DataFrame(out, columns=["node", "range", "keys", "ids", "counts"])
+
+    above = told.groupBy("node", F.shiftright("range", CUT_BITS).alias("_range"))
+    below = filters.groupBy(_above(nodes).alias("node"), F.col("range").alias("_range"))
+    return above.cogroup(below).applyInPandas(tell, TOLD)
+
+
+class Counted(NamedTuple):
+    """``whole``: rows of frequent keys; ``told``: rows for the shards that hold them; ``ids_of``: ids as stored there to
+    final ones, of ``bits`` bits; ``depth``: how often ranges were cut."""
+
+    whole: DataFrame
+    told: DataFrame
+    rank_bits: int
+    depth: int
+
+    @property
+    def bits(self) -> int:
+        return CUT_BITS * self.depth + self.rank_bits
+
+    def ids_of(self):
+        rank = self.rank_bits
+        return lambda blob: (x := np.frombuffer(blob, np.uint64)) >> np.uint64(32) << np.uint64(rank) | x & np.uint64((1 << 32) - 1)
+
+
+def rounds(nodes: int) -> list[int]:
+    """Number of nodes before each round of merging; the last round leaves one."""
+    below = [nodes]
+    while below[-1] > 1 << CUT_BITS:
+        below.append(-(-below[-1] >> CUT_BITS))
+    return below
+
+
+def count_over_shards(filters: DataFrame, nodes: int, kind: Numbers | Words, least: int) -> Counted:
+    """Shards' filters, each cut once, merged round by round; what all of them hold ``least`` times is told to them."""
+    below, levels = rounds(nodes), [filters]
+    for depth, many in enumerate(below[:-1]):
+        levels.append(_merge(levels[-1], many, kind, depth + 1))
+    settled = _settle(levels[-1], kind, least, len(below) == 1)
+    whole, told = settled.where("node IS NULL"), settled.where("node IS NOT NULL")
+    most = whole.agg(F.max(F.octet_length("ids") / 8)).first()[0] or 1
+    for depth in range(len(below) - 2, -1, -1):
+        told = _tell(told, levels[depth], below[depth], kind, depth)
+    return Counted(whole, told, max(1, (int(most) - 1).bit_length()), len(below))
+
+
+# --- texts ------------------------------------------------------------------------------
+
+class _Numbered(dict):
     """Numbers of words in the order in which they first occur."""
 
     def __missing__(self, word: bytes) -> int:
@@ -52,7 +229,7 @@ class _Words(dict):
         return found
 
 
-def word_numbers(text: str | None, numbers: _Words) -> Iterator[np.ndarray]:
+def word_numbers(text: str | None, numbers: _Numbered) -> Iterator[np.ndarray]:
     """Numbers of a text's words, a chunk at a time, with ``_BREAK`` between pieces and at the end."""
     data = (text or "").encode().lower().translate(_ENDS)
     at = 0
@@ -66,60 +243,65 @@ def word_numbers(text: str | None, numbers: _Words) -> Iterator[np.ndarray]:
     yield np.array([_BREAK], np.uint32)
 
 
-SHARDS = "shard long, lang string, n_words long, words array<string>, counts array<long>, text binary"
+SHARDS = "kind string, node long, range long, lang string, n long, filter binary, starts binary"
 
 
 def shards(df: DataFrame, text: str, lang: str) -> DataFrame:
-    """A row for each shard of texts and language: its distinct words, how often each occurs, and its texts as places
-    in that list (``squeezed``; 0 stands for the end of a piece). Stored, so that shards keep their texts."""
-    kinds = pa.schema([("shard", pa.int64()), ("lang", pa.string()), ("n_words", pa.int64()), ("words", pa.list_(pa.string())),
-                       ("counts", pa.list_(pa.int64())), ("text", pa.binary())])
-
+    """Texts cut into shards, stored by kind of row: ``words``, the filters of a shard's words (word, space, language);
+    ``text``, its texts as places in the list of these, from 1 (``_BREAK`` ends a piece), and where each range of the list
+    starts; ``total``, the word occurrences of a language."""
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId() << 32
-        kept: dict[str, tuple[_Words, list[np.ndarray]]] = {}
-        held = 0
+        kept: dict[str, tuple[_Numbered, list[np.ndarray]]] = {}
+        held, kind = 0, Words(CUT_BITS)
 
         def flushed() -> Iterator[pa.RecordBatch]:
+            rows, keys, counts, texts = [], [], [], []
             for name, (numbers, found) in kept.items():
-                places = np.concatenate(found)
-                counts = np.bincount(places, minlength=len(numbers))[1:]
-                ends = pa.array([0, len(counts)], pa.int32())
-                words = pa.ListArray.from_arrays(ends, pa.array(list(numbers)[1:], pa.string()))
-                yield pa.RecordBatch.from_arrays([pa.array([shard]), pa.array([name]), pa.array([int(counts.sum())]), words,
-                                                  pa.ListArray.from_arrays(ends, pa.array(counts, pa.int64())), pa.array([squeezed(places)])], schema=kinds)
+                own = np.concatenate(found)
+                many = np.bincount(own, minlength=len(numbers))[1:]
+                texts.append(np.where(own == _BREAK, 0, own + np.uint32(len(keys))))
+                keys += [w + b" " + name.encode() for w in list(numbers)[1:]]
+                counts.append(many)
+                rows.append(("total", shard, None, name, int(many.sum()), None, None))
+                found.clear()
+            keys, counts = pa.array(keys, pa.binary()), np.concatenate(counts)
+            starts, place = np.zeros((1 << CUT_BITS) + 1, np.uint32), np.zeros(len(keys) + 1, np.uint32)
+            at = 0
+            for part, blob in kind.cut(keys, counts, 0):
+                own = kind.unpacked(blob)[0]
+                place[pc.index_in(own, value_set=keys).to_numpy() + 1] = np.arange(at + 1, at + 1 + len(own))
+                starts[part] = at
+                at += len(own)
+                rows.append(("words", shard, part, None, None, blob, None))
+            rows.append(("text", shard, None, None, None, squeezed(place[np.concatenate(texts)]), squeezed(starts)))
+            for row in rows:
+                yield pa.RecordBatch.from_pylist([dict(zip(kinds.names, row))], schema=kinds)
             kept.clear()
 
         for batch in batches:
             for at in range(0, len(batch), TEXTS):
                 part = batch.slice(at, TEXTS).to_pydict()
                 for one, name in zip(part["_text"], part["_lang"]):
-                    numbers, found = kept.setdefault(name, (_Words({b".": _BREAK}), []))
+                    numbers, found = kept.setdefault(name, (_Numbered({b".": _BREAK}), []))
                     found += word_numbers(one, numbers)
                     held += len(one or "")
                 if held >= SHARD_CHARS:
                     yield from flushed()
                     shard, held = shard + 1, 0
-        yield from flushed()
+        if kept:
+            yield from flushed()
 
+    kinds = pa.schema([("kind", pa.string()), ("node", pa.int64()), ("range", pa.int64()), ("lang", pa.string()), ("n", pa.int64()),
+                       ("filter", pa.binary()), ("starts", pa.binary())])
+    path = workspace(df.sparkSession, "phrase-shards")
     texts = df.select(F.col(text).alias("_text"), F.coalesce(lang, F.lit("und")).alias("_lang"))
-    return stored(texts.mapInArrow(split, SHARDS), "phrase-shards")
-
-
-def frequent_words(cut: DataFrame, least: int) -> tuple[DataFrame, int]:
-    """``id``, ``lang``, ``word``, ``f`` of the words that occur ``least`` times in a language, and the bits of an id."""
-    each = cut.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("_e"))
-    found = stored(each.groupBy("lang", F.col("_e.words").alias("word")).agg(F.sum("_e.counts").alias("f")).where(F.col("f") >= least), "phrase-words")
-    buckets = max(1, -(-found.count() // WORDS_A_BUCKET))
-    place = Window.partitionBy("_bucket").orderBy("lang", "word")
-    numbered = stored(found.withColumn("_bucket", F.pmod(F.xxhash64("lang", "word"), F.lit(buckets)))
-                      .withColumn("_nth", F.row_number().over(place) - 1), "phrase-words")
-    width = 1 + (numbered.agg(F.max("_nth")).first()[0] or 0)
-    words = numbered.select((F.col("_bucket") * width + F.col("_nth")).cast("long").alias("id"), "lang", "word", "f")
-    return words, max(1, (buckets * width - 1).bit_length())
+    texts.mapInArrow(split, SHARDS).write.partitionBy("kind").parquet(path)
+    return df.sparkSession.read.schema(SHARDS).parquet(path)
 
 
 STATE = "shard long, starts binary, id binary, last binary"
+_NO_STATE = ["shard", "starts", "id", "last"]
 
 
 def _state(shard: int, place: np.ndarray, ident: np.ndarray, last: np.ndarray | None) -> pd.DataFrame:
@@ -127,8 +309,7 @@ def _state(shard: int, place: np.ndarray, ident: np.ndarray, last: np.ndarray |
     ids of their last words (empty for single words, which are their own)."""
     starts = np.zeros(int(place.max(initial=-1)) + 1, np.uint8)
     starts[place] = 1
-    return pd.DataFrame([(shard, squeezed(np.packbits(starts)), squeezed(ident), b"" if last is None else squeezed(last))],
-                        columns=["shard", "starts", "id", "last"])
+    return pd.DataFrame([(shard, squeezed(np.packbits(starts)), squeezed(ident), b"" if last is None else squeezed(last))], columns=_NO_STATE)
 
 
 def _grams(starts: bytes, ident: bytes, last: bytes, word_bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -139,134 +320,69 @@ def _grams(starts: bytes, ident: bytes, last: bytes, word_bits: int) -> tuple[np
     return place[at], ident[at].astype(np.uint64) << np.uint64(word_bits) | last[at + 1], last[at + 1]
 
 
-def _words_of_shards(cut: DataFrame, words: DataFrame) -> DataFrame:
+def _words_of_shards(cut: DataFrame, counted: Counted) -> DataFrame:
     """The state of the frequent words, stored."""
-    each = cut.select("shard", "lang", F.posexplode("words").alias("_place", "word"))
-    told = each.join(words.select("lang", "word", "id"), ["lang", "word"]).select("shard", "lang", "_place", "id") \
-        .toDF("shard", "lang", "_place", "id")  # new columns, as both sides come from one table
+    ids_of = counted.ids_of()
 
     def numbered(texts: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        places, ids, at = [], [], 0
-        for lang, text in zip(texts["lang"], texts["text"]):
-            own = known[known["lang"] == lang]
-            text = unsqueezed(text)
-            table = np.full(max(int(text.max(initial=0)), int(own["_place"].max()) + 1 if len(own) else 0) + 1, -1, np.int64)
-            table[own["_place"].to_numpy(np.int64) + 1] = own["id"]
-            found = table[text]
-            here = np.flatnonzero(found >= 0)
-            places.append(here + at)
-            ids.append(found[here])
-            at += len(text) + 1
         if not len(texts):
-            return pd.DataFrame(columns=["shard", "starts", "id", "last"])
-        return _state(texts["shard"].iloc[0], np.concatenate(places), np.concatenate(ids), None)
+            return pd.DataFrame(columns=_NO_STATE)
+        text, starts = unsqueezed(texts["filter"].iloc[0]), unsqueezed(texts["starts"].iloc[0]).astype(np.int64)
+        table = np.full(int(text.max(initial=0)) + 1, -1, np.int64)
+        for part, places, ids in zip(known["range"], known["keys"], known["ids"]):
+            table[starts[part] + 1 + unsqueezed(places)] = ids_of(ids)
+        found = table[text]
+        here = np.flatnonzero(found >= 0)
+        return _state(texts["node"].iloc[0], here, found[here], None)
 
-    grouped = cut.select("shard", "lang", "text").groupBy("shard").cogroup(told.groupBy("shard"))
-    return stored(grouped.applyInPandas(numbered, STATE), "phrase-state")
+    texts = cut.where("kind = 'text'").select("node", "filter", "starts").groupBy("node")
+    return stored(texts.cogroup(counted.told.groupBy("node")).applyInPandas(numbered, STATE), "phrase-state")
 
 
-FILTERS = "node long, range long, filter binary"
-TOLD = "node long, range long, keys binary, ids binary, counts binary"  # counts: of all shards, with node null
+def _word_table(counted: Counted) -> DataFrame:
+    """``id``, ``lang``, ``word``, ``f`` of the frequent words; stored."""
+    ids_of = counted.ids_of()
+
+    def table(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for keys, ids, counts in zip(batch["keys"], batch["ids"], batch["counts"]):
+                words = [k.decode().split(" ", 1) for k in Words(CUT_BITS).keys(keys).to_pylist()]
+                yield pd.DataFrame({"id": ids_of(ids).astype(np.int64), "lang": [w[1] for w in words], "word": [w[0] for w in words],
+                                    "f": np.frombuffer(counts, np.int64)})
+
+    return stored(counted.whole.mapInPandas(table, "id long, lang string, word string, f long"), "phrase-words")
 
 
-def _filters(state: DataFrame, word_bits: int, bits: int) -> DataFrame:
+def _filters(state: DataFrame, word_bits: int, kind: Numbers) -> DataFrame:
     """Each shard's filter of its phrases, cut into ranges; stored."""
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for shard, starts, ident, last in zip(batch["shard"], batch["starts"], batch["id"], batch["last"]):
-                _, grams, _ = _grams(starts, ident, last, word_bits)
-                parts = quotient.cut(*quotient.counted(grams, bits), bits, CUT_BITS)
+                parts = kind.cut(*quotient.counted(_grams(starts, ident, last, word_bits)[1], kind.bits), 0)
                 yield pd.DataFrame([(shard, p, f) for p, f in parts], columns=["node", "range", "filter"])
 
     return stored(state.mapInPandas(count, FILTERS), "phrase-filters")
 
 
-def _above(nodes: int) -> F.Column:
-    """The node in which a node's filters are merged with those of about 63 others."""
-    return F.pmod(F.xxhash64("node"), F.lit(-(-nodes >> CUT_BITS) or 1))
-
-
-def _merge(filters: DataFrame, nodes: int, bits: int) -> DataFrame:
-    """Filters of ``bits`` bits merged over groups of nodes and cut further; stored."""
-    def merge(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        both = quotient.merged([quotient.unpacked(f) for f in rows["filter"]])
-        parts = quotient.cut(*both, bits, CUT_BITS)
-        return pd.DataFrame([(key[0], key[1] << CUT_BITS | p, f) for p, f in parts], columns=["node", "range", "filter"])
-
-    return stored(filters.groupBy(_above(nodes).alias("_node"), "range").applyInPandas(merge, FILTERS), "phrase-filters")
-
-
-def _settle(filters: DataFrame, least: int) -> DataFrame:
-    """The last merge, of all nodes: each range's frequent keys with their counts (node null), and for each node those
-    that it holds. ids: range and rank within it. Stored."""
-    def settle(rows: pd.DataFrame) -> pd.DataFrame:
-        part, each = int(rows["range"].iloc[0]), [quotient.unpacked(f) for f in rows["filter"]]
-        keys, counts = quotient.merged(each)
-        keys, counts = keys[counts >= least], counts[counts >= least]
-        ids = np.uint64(part << 32) | np.arange(len(keys), dtype=np.uint64)
-        out = [(None, part, keys.tobytes(), ids.tobytes(), counts.tobytes())] if len(keys) else []
-        for node, (own, _) in zip(rows["node"], each):
-            held = np.isin(keys, own, assume_unique=True)
-            if held.any():
-                out.append((node, part, keys[held].tobytes(), ids[held].tobytes(), b""))
-        return pd.DataFrame(out, columns=["node", "range", "keys", "ids", "counts"]).astype({"node": "Int64"})
-
-    return stored(filters.groupBy("range").applyInPandas(settle, TOLD), "phrase-counts")
-
-
-def _tell(told: DataFrame, filters: DataFrame, nodes: int, bits: int) -> DataFrame:
-    """What the nodes merged from ``filters`` (of ``bits`` bits) were told, handed on to the nodes that held them."""
-    rest = np.uint64(bits - CUT_BITS)
-
-    def tell(answers: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
-        keys = [np.uint64(p & ((1 << CUT_BITS) - 1)) << rest | np.frombuffer(k, np.uint64) for p, k in zip(answers["range"], answers["keys"])]
-        out = []
-        if keys:
-            keys, ids = np.concatenate(keys), np.concatenate([np.frombuffer(i, np.uint64) for i in answers["ids"]])
-            for node, part, own in zip(rows["node"], rows["range"], rows["filter"]):
-                held = np.isin(keys, quotient.unpacked(own)[0], assume_unique=True)
-                if held.any():
-                    out.append((node, part, keys[held].tobytes(), ids[held].tobytes(), b""))
-        return pd.DataFrame(out, columns=["node", "range", "keys", "ids", "counts"])
-
-    above = told.groupBy("node", F.shiftright("range", CUT_BITS).alias("_range"))
-    below = filters.groupBy(_above(nodes).alias("node"), F.col("range").alias("_range"))
-    return above.cogroup(below).applyInPandas(tell, TOLD)
-
-
 def _longer(state: DataFrame, nodes: int, word_bits: int, id_bits: int, least: int) -> tuple[DataFrame, DataFrame, int]:
     """From the frequent phrases of one length to those one word longer: state, table of ``id``, ``first`` (id of the
     words but the last), ``word`` (id of the last), ``f``, and the bits of an id."""
-    below = [nodes]
-    while below[-1] > 1 << CUT_BITS:
-        below.append(-(-below[-1] >> CUT_BITS))
-    bits = max(id_bits + word_bits, CUT_BITS * len(below) + 1)
+    bits = max(id_bits + word_bits, CUT_BITS * len(rounds(nodes)) + 1)
     if bits > quotient.MOST_BITS:
         raise ValueError(f"{id_bits} bits of phrases and {word_bits} bits of words do not fit into {quotient.MOST_BITS}")
-    levels = [_filters(state, word_bits, bits)]
-    for depth, many in enumerate(below[:-1]):
-        levels.append(_merge(levels[-1], many, bits - CUT_BITS * (depth + 1)))
-    settled = _settle(levels[-1], least)
-    whole = settled.where("node IS NULL")
-    most = whole.agg(F.max(F.octet_length("ids") / 8)).first()[0] or 1
-    rank_bits = max(1, (int(most) - 1).bit_length())
-    told = settled.where("node IS NOT NULL")
-    for depth in range(len(below) - 2, -1, -1):
-        told = _tell(told, levels[depth], below[depth], bits - CUT_BITS * (depth + 1))
-    rest, top = np.uint64(bits - CUT_BITS), bits - CUT_BITS * len(below)
-
-    def idents(ids: np.ndarray) -> np.ndarray:
-        return ids >> np.uint64(32) << np.uint64(rank_bits) | ids & np.uint64((1 << 32) - 1)
+    kind = Numbers(bits, CUT_BITS)
+    counted = count_over_shards(_filters(state, word_bits, kind), nodes, kind, least)
+    ids_of, rest, top = counted.ids_of(), np.uint64(bits - CUT_BITS), bits - CUT_BITS * counted.depth
 
     def advance(states: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         if not len(states) or not len(answers):
-            return pd.DataFrame(columns=["shard", "starts", "id", "last"])
+            return pd.DataFrame(columns=_NO_STATE)
         row = states.iloc[0]
         place, grams, last = _grams(row["starts"], row["id"], row["last"], word_bits)
         keys = np.concatenate([np.uint64(p) << rest | np.frombuffer(k, np.uint64) for p, k in zip(answers["range"], answers["keys"])])
-        ids = np.concatenate([np.frombuffer(i, np.uint64) for i in answers["ids"]])
+        ids = np.concatenate([ids_of(i) for i in answers["ids"]])
         order = np.argsort(keys)
-        keys, ids = keys[order], idents(ids[order])
+        keys, ids = keys[order], ids[order]
         own = quotient.permuted(grams, bits)
         at = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
         found = keys[at] == own
@@ -276,24 +392,25 @@ def _longer(state: DataFrame, nodes: int, word_bits: int, id_bits: int, least: i
         for batch in batches:
             for part, keys, ids, counts in zip(batch["range"], batch["keys"], batch["ids"], batch["counts"]):
                 grams = quotient.restored(np.uint64(part << top) | np.frombuffer(keys, np.uint64), bits)
-                yield pd.DataFrame({"id": idents(np.frombuffer(ids, np.uint64)).astype(np.int64),
-                                    "first": (grams >> np.uint64(word_bits)).astype(np.int64),
-                                    "word": (grams & np.uint64((1 << word_bits) - 1)).astype(np.int64),
-                                    "f": np.frombuffer(counts, np.int64)})
+                yield pd.DataFrame({"id": ids_of(ids).astype(np.int64), "first": (grams >> np.uint64(word_bits)).astype(np.int64),
+                                    "word": (grams & np.uint64((1 << word_bits) - 1)).astype(np.int64), "f": np.frombuffer(counts, np.int64)})
 
-    next_state = state.groupBy("shard").cogroup(told.withColumnRenamed("node", "shard").groupBy("shard")).applyInPandas(advance, STATE)
-    return next_state, whole.mapInPandas(table, "id long, first long, word long, f long"), CUT_BITS * len(below) + rank_bits
+    told = counted.told.withColumnRenamed("node", "shard")
+    next_state = state.groupBy("shard").cogroup(told.groupBy("shard")).applyInPandas(advance, STATE)
+    return next_state, counted.whole.mapInPandas(table, "id long, first long, word long, f long"), counted.bits
 
 
 def phrase_counts(df: DataFrame, text: str = "text", lang: str = "lang", least: int = 100, longest: int = 5) -> tuple[DataFrame, DataFrame]:
     """Frequent phrases (``lang``, ``phrase``, ``size``, ``f``; words joined by one space), single words included, and
-    ``lang``, ``n``: all word occurrences. Both stored. See ``collocations`` for words and pieces."""
+    ``lang``, ``n``: all word occurrences. See ``collocations`` for words and pieces."""
     cut = shards(df, text, lang)
-    totals = stored(cut.groupBy("lang").agg(F.sum("n_words").alias("n")).where("n > 0"), "phrase-totals")
-    words, word_bits = frequent_words(cut, least)
+    totals = cut.where("kind = 'total'").groupBy("lang").agg(F.sum("n").alias("n")).where("n > 0")
+    nodes = cut.where("kind = 'text'").count()
+    filters = cut.where("kind = 'words'").select("node", "range", "filter")
+    counted = count_over_shards(filters, nodes, Words(CUT_BITS), least)
+    words, word_bits = _word_table(counted), counted.bits
     level = words.select("id", "lang", F.col("word").alias("phrase"), F.lit(1).alias("size"), "f")
-    found, state, id_bits = [level], _words_of_shards(cut, words), word_bits
-    nodes = state.count()
+    found, state, id_bits = [level], _words_of_shards(cut, counted), word_bits
     names = words.select(F.col("id").alias("word"), F.col("word").alias("_word"))
     for size in range(2, longest + 1):
         state, counts, id_bits = _longer(state, nodes, word_bits, id_bits, least)

@@ -6,6 +6,7 @@ from collections import Counter
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
@@ -48,14 +49,12 @@ def texts(seed=1):
                                                       (203, " \t ", "fr"), (204, "b a " * 400, "en"), (205, ".,;:!?" * 9, "en")]
 
 
-@pytest.mark.parametrize("shard_chars, fan", [(1 << 20, 6), (150, 2)])
+@pytest.mark.parametrize("shard_chars, fan", [(1 << 20, 8), (150, 2), (400, 3)])
 def test_same_as_brute_force(spark, monkeypatch, shard_chars, fan):
-    """Also with many shards, whose filters take several rounds to merge, and texts split at every few characters."""
+    """Also with many shards, whose filters take several rounds to merge."""
     monkeypatch.setattr(phrases, "SHARD_CHARS", shard_chars)
     monkeypatch.setattr(phrases, "CUT_BITS", fan)
-    monkeypatch.setattr(phrases, "CHUNK_BYTES", 64)
     monkeypatch.setattr(phrases, "TEXTS", 3)
-    monkeypatch.setattr(phrases, "WORDS_A_BUCKET", 4)
     rows = texts()
     df = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "1 AS shard", "2 AS phrase", "3 AS f", "4 AS node")
     got = sorted(tuple(r) for r in phrases.collocations(df, least=6, longest=4, top=25).collect())
@@ -63,6 +62,29 @@ def test_same_as_brute_force(spark, monkeypatch, shard_chars, fan):
     assert got == want and len(want) > 40
 
 
+def test_texts_are_split_between_words(monkeypatch):
+    text = "Aé b.c  d\te,f\x0bg" * 50 + "x" * 300
+    whole, parts = phrases._Numbered({b".": 0}), phrases._Numbered({b".": 0})
+    want = np.concatenate(list(phrases.word_numbers(text, whole)))
+    monkeypatch.setattr(phrases, "CHUNK_BYTES", 7)
+    found = list(phrases.word_numbers(text, parts))
+    assert len(found) > 20 and (np.concatenate(found) == want).all() and whole == parts
+    assert [list(x) for x in phrases.word_numbers(None, whole)] == [[0]]
+
+
+def test_filters_of_words():
+    kind = phrases.Words(2)
+    keys = pa.array([w.encode() for w in ("a en", "b\n en", "é \n", "a de", " ", "")])
+    counts = np.array([1, 2, 300, 1 << 40, 5, 6])
+    back = kind.unpacked(kind.packed(keys, counts))
+    assert back[0].equals(keys) and (back[1] == counts).all()
+    parts = [kind.unpacked(f) for _, f in kind.cut(keys, counts, 1)]
+    merged = kind.merged([*parts, (keys, counts)])
+    assert dict(zip(merged[0].to_pylist(), merged[1])) == dict(zip(keys.to_pylist(), 2 * counts))
+    held, blob = kind.told(keys, pa.array([b"x", b"a de", b"", b"a en"]), True)
+    assert list(held) == [True, False, False, True, False, True] and list(phrases.unsqueezed(blob)) == [3, 1, 2]
+
+
 def test_nothing_to_find(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert phrases.collocations(none).columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
