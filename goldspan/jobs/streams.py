@@ -70,6 +70,21 @@ def _(t: Tables):
     return sub.info()
 
 
+@job("str_bounded", """SELECT 'delivered' AS state, count(*) FILTER (event_id % 5 < 3) AS n_records, CAST(3 AS BIGINT) AS n_batches FROM events
+     UNION ALL SELECT 'discarded', count(*) FILTER (event_id % 5 >= 3), CAST(2 AS BIGINT) FROM events""")
+def _(t: Tables):
+    """Three files come in three batches, two more are passed over in two."""
+    folder, root = workspace(t.spark, "arrivals"), workspace(t.spark, "subscription")
+    sub = Subscription(t.spark, folder, root, "web", "event", max_files=1)
+    for file in range(5):
+        # one file a time: the number of files is what this query is about
+        t.events.where(F.col("event_id") % 5 == file).repartition(1).write.mode("append").parquet(folder)
+        if file == 2:
+            sub.play()
+    sub.clear()
+    return sub.batches().groupBy("state").agg(F.sum("n_records").alias("n_records"), F.count(F.lit(1)).alias("n_batches"))
+
+
 @job("str_intake", f"""SELECT CASE WHEN ts < TIMESTAMP '{MIDDLE}' THEN 0 ELSE 1 END AS batch_id, count(*) AS total_records,
      count(*) FILTER (value < 2) AS rejected, count(DISTINCT event_type) AS total_requests FROM events GROUP BY 1""")
 def _(t: Tables):
@@ -89,19 +104,17 @@ def _(t: Tables):
      (SELECT *, max("mdmCounterForEntity") OVER (PARTITION BY "mdmId") AS top, bool_or("mdmDeleted") OVER (PARTITION BY "mdmId", "mdmCounterForEntity") AS gone FROM staged)
      WHERE "mdmCounterForEntity" = top AND NOT gone GROUP BY 1""")
 def _(t: Tables):
-    """Records in two arrivals, the base compacted in between."""
-    folder = workspace(t.spark, "arrivals")
-    table = streams.LatestTable(t.spark, workspace(t.spark, "latest"))
+    """Records in two arrivals, compacted in between; each step starts anew and knows nothing but the folder."""
+    folder, root = workspace(t.spark, "arrivals"), workspace(t.spark, "latest")
     # equal counters of an id are settled in favour of the deleted record, so the SQL can say the same
     rows = fx.staged(t).select("mdmId", "mdmCounterForEntity", "mdmDeleted", "mdmLastUpdated")
-    base = None
     for late in (False, True):
         after = F.col("mdmLastUpdated") >= F.to_timestamp(F.lit("1998-06-01")).cast("timestamp_ntz")
         rows.where(after if late else ~after).write.mode("append").parquet(folder)
-        table.feed(stream_of(t.spark, folder))
+        streams.LatestTable(t.spark, root).feed(stream_of(t.spark, folder))
         if not late:
-            base = table.compact()
-    return table.read(base).select("mdmId", "mdmCounterForEntity")
+            streams.LatestTable(t.spark, root).compact()
+    return streams.LatestTable(t.spark, root).read().select("mdmId", "mdmCounterForEntity")
 
 
 @job("str_dedupe", "SELECT event_id, user_id, event_type, value FROM events")

@@ -10,11 +10,23 @@ from pyspark.sql import functions as F
 from goldspan.session import is_file
 
 
-def stream_of(spark: SparkSession, path: str, schema=None, max_files: int | None = None) -> DataFrame:
-    """A parquet folder, or one parquet file, as a stream of its files."""
+# What a micro-batch reads at most, unless the caller says otherwise: a backlog of any size comes in pieces.
+BATCH_BYTES = 32 << 30
+
+
+def stream_of(spark: SparkSession, path: str, schema=None, max_files: int | None = None, max_bytes: int | None = None) -> DataFrame:
+    """A parquet folder, or one parquet file, as a stream of its files.
+
+    A micro-batch takes ``max_files`` files or about ``max_bytes`` (default:
+    ``BATCH_BYTES``), whichever is given; at least one file.
+    """
+    if max_files and max_bytes:
+        raise ValueError("a batch is bounded by files or by bytes")
     reader = spark.readStream.schema(schema if schema is not None else spark.read.parquet(path).schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    else:
+        reader = reader.option("maxBytesPerTrigger", max_bytes or BATCH_BYTES)
     if is_file(spark, path):
         folder, name = path.rsplit("/", 1)
         return reader.option("pathGlobFilter", name).parquet(folder)

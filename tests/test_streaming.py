@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from goldspan.operators.rules import Rule
-from goldspan.session import workspace
+from goldspan.session import path_exists, workspace
 from goldspan.streaming import jobs
 from goldspan.streaming.sources import run_available, stream_of, write_batch
 from goldspan.streaming.subscription import Subscription
@@ -58,18 +58,143 @@ VERSIONS = "mdmId string, mdmCounterForEntity long, mdmDeleted boolean"
 
 
 def test_latest_table(spark, folder):
-    table = jobs.LatestTable(spark, workspace(spark, "latest"))
+    """Every step starts anew and knows nothing but the folder."""
+    root = workspace(spark, "latest")
+    table = lambda: jobs.LatestTable(spark, root)
+    with pytest.raises(ValueError, match="not been fed"):
+        table().read()
     send(spark, folder, [("a", 1, False), ("a", 2, False), ("b", 1, False), ("c", 9, True)], VERSIONS)
-    table.feed(stream_of(spark, folder))
-    assert rows(table.read()) == [("a", 2, False), ("b", 1, False)]
+    table().feed(stream_of(spark, folder))
+    assert rows(table().read()) == [("a", 2, False), ("b", 1, False)]
     send(spark, folder, [("a", 1, False), ("b", 2, True), ("c", 3, False), ("d", 1, False)], VERSIONS)
-    table.feed(stream_of(spark, folder))
-    assert rows(table.read()) == [("a", 2, False), ("d", 1, False)]  # a late version of c does not bring it back
-    base = table.compact()
-    assert rows(table.read(base)) == rows(table.read())
+    table().feed(stream_of(spark, folder))
+    assert rows(table().read()) == [("a", 2, False), ("d", 1, False)]  # a late version of c does not bring it back
+    before = table().read()
+    table().compact()
+    assert rows(table().read()) == rows(before) == [("a", 2, False), ("d", 1, False)]  # also for a reader that has begun
+    assert table().state().deltas == () and table().state().last == 1
     send(spark, folder, [("c", 10, False)], VERSIONS)
+    table().feed(stream_of(spark, folder))
+    assert len(table().state().deltas) == 1
+    want = [("a", 2, False), ("c", 10, False), ("d", 1, False)]
+    assert rows(table().read()) == want
+    table().compact()
+    assert rows(table().read()) == want
+
+
+def files(spark, root):
+    return sorted({"/" + "/".join(f.split("/")[-3:-1]) 
+                   for kind in ("bases", "deltas") if path_exists(spark, f"{root}/{kind}") for f in spark.read.parquet(f"{root}/{kind}/*").inputFiles()})
+
+
+def test_compaction_removes_what_it_covers(spark, folder):
+    root = workspace(spark, "latest")
+    table = jobs.LatestTable(spark, root)
+    for i in range(6):
+        send(spark, folder, [(f"k{i}", 1, False), ("all", i, False)], VERSIONS)
+        table.feed(stream_of(spark, folder))
+        if i % 2:
+            table.compact()
+    state = table.state()
+    assert state.deltas == () and state.last == 5 and table.read().count() == 7
+    # the base, and what the state before the last compaction consisted of: a base and two deltas
+    assert len(files(spark, root)) == 4 and f"/{state.base}" in files(spark, root)
+    assert len(table._versions()) == 2
+
+
+def test_a_delta_that_was_not_published_is_not_read(spark, folder, monkeypatch):
+    """The batch dies behind its delta; it is replayed, and a replay of a batch that is in adds nothing."""
+    root = workspace(spark, "latest")
+    table = jobs.LatestTable(spark, root)
+    send(spark, folder, [("a", 1, False)], VERSIONS)
     table.feed(stream_of(spark, folder))
-    assert rows(table.read(base)) == rows(table.read(table.compact(base))) == [("a", 2, False), ("c", 10, False), ("d", 1, False)]
+    send(spark, folder, [("a", 2, False), ("b", 1, False)], VERSIONS)
+    with monkeypatch.context() as m:
+        m.setattr(jobs.LatestTable, "_publish", lambda self, change: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(Exception):
+            table.feed(stream_of(spark, folder))
+    assert rows(table.read()) == [("a", 1, False)] and len(files(spark, root)) == 2
+    table.feed(stream_of(spark, folder))
+    assert rows(table.read()) == [("a", 2, False), ("b", 1, False)]
+    published = table.state()
+    with monkeypatch.context() as m:  # a batch that ended but whose end the checkpoint does not know
+        m.setattr(jobs, "run_available", lambda stream, each, *a: each(spark.createDataFrame([("z", 9, False)], VERSIONS), published.last))
+        table.feed(None)
+    assert table.state() == published
+
+
+def test_two_writers_of_a_version(spark, folder, monkeypatch):
+    """A batch arrives while the table is compacted: neither is lost. A version that was begun and never ended is replaced."""
+    root = workspace(spark, "latest")
+    table = jobs.LatestTable(spark, root)
+    send(spark, folder, [("a", 1, False)], VERSIONS)
+    table.feed(stream_of(spark, folder))
+    plain_merge = jobs.merge_latest
+
+    def slow(df, *a, **b):
+        monkeypatch.setattr(jobs, "merge_latest", plain_merge)
+        send(spark, folder, [("b", 1, False)], VERSIONS)
+        jobs.LatestTable(spark, root).feed(stream_of(spark, folder))
+        return plain_merge(df, *a, **b)
+
+    monkeypatch.setattr(jobs, "merge_latest", slow)
+    table.compact()
+    assert rows(table.read()) == [("a", 1, False), ("b", 1, False)] and len(table.state().deltas) == 1
+    spark.range(0).write.json(f"{root}/manifests/version={table.state().version + 1}")
+    table.compact()
+    assert table.state().deltas == () and rows(table.read()) == [("a", 1, False), ("b", 1, False)]
+
+
+def test_three_files_come_in_three_batches(spark, folder):
+    root = workspace(spark, "sub")
+    for i in range(3):
+        send(spark, folder, [(i, i)] * (i + 1))
+    seen = []
+    sub = Subscription(spark, folder, root, "c", "m", max_files=1)
+    sub.play(lambda batch, i: seen.append((i, batch.count())))
+    assert [i for i, _ in seen] == [0, 1, 2] and sorted(n for _, n in seen) == [1, 2, 3]
+    assert rows(sub.batches().select("n_records", "state")) == [(1, "delivered"), (2, "delivered"), (3, "delivered")]
+    small = Subscription(spark, folder, root, "c2", "m", max_bytes=1)
+    small.play()
+    assert small.batches().count() == 3 and small.delivered().count() == 6
+    with pytest.raises(ValueError):
+        stream_of(spark, folder, max_files=1, max_bytes=1 << 30)
+
+
+def test_a_delivery_that_dies_in_the_middle_goes_on_there(spark, folder):
+    root = workspace(spark, "sub")
+    for i in range(4):
+        send(spark, folder, [(i, i)])
+    seen = []
+
+    def callback(batch, i):
+        if len(seen) == 2:
+            seen.append(None)
+            raise RuntimeError("down")
+        seen.extend(r["id"] for r in batch.collect())
+
+    sub = Subscription(spark, folder, root, "c", "m", max_files=1)
+    with pytest.raises(Exception):
+        sub.play(callback)
+    sub.play(callback)
+    assert sorted(x for x in seen if x is not None) == [0, 1, 2, 3] and rows(sub.info()) == [(4, 0, 0)]
+
+
+def test_clear_reads_no_column(spark, folder, monkeypatch):
+    from goldspan.streaming import subscription
+    for i in range(3):
+        send(spark, folder, [(i, i)] * 2)
+    queries = []
+    run = subscription.run_available
+    monkeypatch.setattr(subscription, "run_available", lambda *a: queries.append(run(*a)))
+    sub = Subscription(spark, folder, workspace(spark, "sub"), "c", "m", max_files=2)
+    sub.clear()
+    assert rows(sub.info()) == [(0, 6, 0)] and sub.batches().count() == 2
+    plan = queries[0]._jsq.explainInternal(False)
+    assert "ReadSchema: struct<>" in plan
+    send(spark, folder, [(9, 9)])
+    sub.play()
+    assert rows(sub.delivered()) == [(9, 9)]
 
 
 def test_a_replayed_batch_replaces_itself(spark, folder):
