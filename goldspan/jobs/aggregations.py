@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from goldspan.jobs import fixtures as fx
 from goldspan.jobs.base import Tables, job
 from goldspan.plans.aggregations import Aggregation as A
-from goldspan.plans.aggregations import aggregate, metrics, nested_buckets, run
+from goldspan.plans.aggregations import aggregate, bucket_order, metrics, nested_buckets, run
 from goldspan.plans.filters import Search, between, term
 
 
@@ -40,6 +40,33 @@ def _(t: Tables):
     return out.withColumn("last_line", F.col("last_line").cast("long"))
 
 
+@job("agg_nested_paths", """
+WITH l AS (SELECT lang, n_chars, unnest(string_split(text, chr(10))) AS line FROM documents),
+w AS (SELECT lang, n_chars, length(line) AS n, unnest(string_split(line, ' ')) AS word FROM l)
+SELECT lang, count(*) AS doc_count, CAST(sum(n_chars) AS BIGINT) AS chars, CAST(max(n) AS INTEGER) AS longest, max(word) AS last_word FROM w GROUP BY 1""")
+def _(t: Tables):
+    """Words of lines of documents: an array inside an array, with fields of the line and of the document."""
+    lines = F.transform(F.split("text", "\n"), lambda x: F.struct(
+        F.length(x).alias("n"), F.transform(F.split(x, " "), lambda w: F.struct(w.alias("word"))).alias("words")))
+    agg = A("NESTED", "words", "lines.words", sub=(A("TERM", "lang", "lang", size=0, sub=(
+        A("SUM", "chars", "n_chars"), A("MAXIMUM", "longest", "lines.n"), A("MAXIMUM", "last_word", "lines.words.word"))),))
+    return aggregate(t.documents.select("lang", "n_chars", lines.alias("lines")), agg)["words.lang"]
+
+
+@job("agg_tree", """
+WITH c AS (SELECT l_returnflag AS flag, CAST(date_trunc('month', l_shipdate) AS TIMESTAMP) AS month, l_linenumber AS line, count(*) AS doc_count,
+             round(avg(l_quantity), 4) AS mean, max(l_tax) AS tax FROM lineitem GROUP BY 1, 2, 3),
+f AS (SELECT l_returnflag AS flag, count(*) AS n FROM lineitem GROUP BY 1 QUALIFY row_number() OVER (ORDER BY count(*) DESC, flag) <= 2)
+SELECT flag, strftime(month, '%Y-%m') AS month, line, doc_count, mean, tax FROM c JOIN f USING (flag)
+QUALIFY row_number() OVER (PARTITION BY flag, month ORDER BY doc_count DESC, line) <= 2""")
+def _(t: Tables):
+    """Three levels out of one pass: the two largest return flags, their months, the two largest line numbers of each."""
+    agg = A("TERM", "flag", "l_returnflag", size=2, sub=(A("DATE_HISTOGRAM", "month", {"field": "l_shipdate", "interval": "month"}, sub=(
+        A("SUM", "price", "l_extendedprice"), A("TERM", "line", "l_linenumber", size=2, sub=(A("AVERAGE", "mean", "l_quantity"), A("MAXIMUM", "tax", "l_tax"))))),))
+    out = aggregate(t.lineitem, agg)["flag.month.line"]
+    return out.withColumns({"month": F.date_format("month", "yyyy-MM"), "mean": F.round("mean", 4)})
+
+
 @job("agg_filter", """SELECT count(*) AS doc_count, round(avg(l_quantity), 4) AS q, count(DISTINCT l_suppkey) AS suppliers
      FROM lineitem WHERE l_returnflag = 'R' AND l_discount >= 0.05""")
 def _(t: Tables):
@@ -151,11 +178,11 @@ WITH c AS (SELECT o_orderstatus AS status, o_orderpriority AS priority, count(*)
            FROM orders GROUP BY 1, 2),
 k AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY status ORDER BY doc_count DESC, priority) <= 2),
 p AS (SELECT o_orderstatus AS status, count(*) AS doc_count, round(avg(o_totalprice), 2) AS mean_price FROM orders GROUP BY 1)
-SELECT p.status, p.doc_count, p.mean_price, string_agg(priority || ':' || k.doc_count, ';' ORDER BY priority) AS priorities
+SELECT p.status, p.doc_count, p.mean_price, string_agg(priority || ':' || k.doc_count, ';' ORDER BY k.doc_count DESC, priority) AS priorities
 FROM p JOIN k USING (status) GROUP BY ALL""")
 def _(t: Tables):
     levels = aggregate(t.orders, SUB)
-    folded = nested_buckets(levels["status"], levels["status.priority"], ["status"], "priorities")
+    folded = nested_buckets(levels["status"], levels["status.priority"], ["status"], "priorities", bucket_order(SUB.sub[1]))
     shown = F.array_join(F.transform("priorities", lambda p: F.concat_ws(":", p["priority"], p["doc_count"])), ";")
     return rounded(folded.withColumn("priorities", shown), "mean_price")
 

@@ -2,9 +2,11 @@
 
 An aggregation is a *metric* (one value or a fixed set of values), a *bucket*
 (one row per key) or a *scope* (FILTER narrows the records, NESTED moves to the
-elements of an array). Sub-aggregations that are metrics become extra columns
-of the same groupBy; sub-buckets become a finer groupBy of their own, limited
-to the buckets their parent kept.
+elements of an array, also of one inside another). Sub-aggregations that are metrics become extra columns
+of the same groupBy. Buckets in buckets are counted once at the finest level,
+the levels above are merged from that; each level is limited to the buckets its
+parent kept. What cannot be merged (ranges, scopes, distinct counts, variances)
+is a groupBy of its own.
 
 Rules: records with a null key form no bucket. ``size`` limits TERM and TERMS
 (0 keeps all), ranked by count and then key unless ``sort_by`` says otherwise;
@@ -17,16 +19,20 @@ RANGE includes its lower and excludes its upper end; ranges may overlap.
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import (ArrayType, BooleanType, DateType, DecimalType, NumericType, StringType, TimestampNTZType,
+                               TimestampType)
 
 from goldspan.functions.keys import join_same
+from goldspan.names import VALUES
 from goldspan.operators.windows import Sort, first_rows, orderings
 from goldspan.plans.filters import apply_filter, as_search, record_getter
+from goldspan.session import stored
 
 METRICS = {
     "MINIMUM", "MAXIMUM", "AVERAGE", "COUNT", "SUM", "STATS", "EXTENDED_STATS", "CARDINALITY",
@@ -41,15 +47,13 @@ _WIRE = {
     "sort_by": "sortBy", "sort_order": "sortOrder",
 }
 
-_STEPS = {
-    "year": "interval 1 year", "quarter": "interval 3 months", "month": "interval 1 month",
-    "week": "interval 7 days", "day": "interval 1 day", "hour": "interval 1 hour",
-    "minute": "interval 1 minute", "second": "interval 1 second",
-}
+_MONTHS = {"year": 12, "quarter": 3, "month": 1}
+_STEP_SECONDS = {"week": 604_800, "day": 86_400, "hour": 3_600, "minute": 60, "second": 1}
 _CALENDAR = {"1y": "year", "1q": "quarter", "1M": "month", "1w": "week", "1d": "day", "1h": "hour", "1m": "minute", "1s": "second"}
 _SECONDS = {"s": 1, "m": 60, "h": 3_600, "d": 86_400}
 _MARK = "_by_"
 _BLOCK = 4096  # grid buckets made per exploded row
+_SALTS = 32
 
 
 @dataclass(frozen=True)
@@ -125,8 +129,8 @@ def _metrics(aggs, rows: DataFrame) -> list[Column]:
     return [c for a in aggs if a.kind in METRICS for c in _metric_columns(a, get(a.field))]
 
 
-def _keyed(rows: DataFrame, agg: Aggregation) -> tuple[DataFrame, list[str]]:
-    """``rows`` with the bucket key columns added, and their names.
+def _key_columns(rows: DataFrame, agg: Aggregation) -> tuple[dict[str, Column], list[str]]:
+    """The bucket key columns of a record, null where it is in no bucket, and their names.
 
     Keys carry a mark until the end, so that a bucket may be called like a
     field that a sub-aggregation reads.
@@ -134,22 +138,27 @@ def _keyed(rows: DataFrame, agg: Aggregation) -> tuple[DataFrame, list[str]]:
     get = record_getter(rows.columns)
     n = _MARK + agg.name
     if agg.kind == "TERM":
-        return rows.withColumn(n, get(agg.field)).where(F.col(n).isNotNull()), [n]
+        return {n: get(agg.field)}, [n]
     if agg.kind == "TERMS":
         fields = agg.params["field"] if isinstance(agg.params, Mapping) else agg.params
         names = {f"{n}_{f.removesuffix('.raw').split('.')[-1]}": get(f) for f in fields}
-        return rows.withColumns(names).dropna(subset=list(names)), list(names)
+        return names, list(names)
     if agg.kind == "HISTOGRAM":
         width = agg.params["interval"]
-        key = F.floor(get(agg.field).cast("double") / width).cast("double") * width
-        return rows.withColumn(n, key).where(F.col(n).isNotNull()), [n]
-    if agg.kind == "DATE_HISTOGRAM":
-        step = _interval(agg)
-        key = F.date_trunc(step, get(agg.field)) if isinstance(step, str) else F.timestamp_seconds(
-            F.floor(F.unix_seconds(get(agg.field).cast("timestamp")) / step) * step)
-        return rows.withColumn(n, key.cast("timestamp_ntz")).where(F.col(n).isNotNull()), [n]
-    # RANGE: a record is repeated once per range that holds it
-    value = get(agg.field)
+        return {n: F.floor(get(agg.field).cast("double") / width).cast("double") * width}, [n]
+    step = _interval(agg)
+    key = F.date_trunc(step, get(agg.field)) if isinstance(step, str) else F.timestamp_seconds(
+        F.floor(F.unix_seconds(get(agg.field).cast("timestamp")) / step) * step)
+    return {n: key.cast("timestamp_ntz")}, [n]
+
+
+def _keyed(rows: DataFrame, agg: Aggregation) -> tuple[DataFrame, list[str]]:
+    """``rows`` with the bucket key columns added, and their names."""
+    if agg.kind != "RANGE":
+        columns, names = _key_columns(rows, agg)
+        return rows.withColumns(columns).dropna(subset=names), names
+    # a record is repeated once per range that holds it
+    value = record_getter(rows.columns)(agg.field)
     members = [F.when(_in_range(value, low, high, _range_type(agg)), end) for (low, high), end in zip(_ranges(agg), _range_ends(agg))]
     spread = rows.withColumn("_range", F.explode(F.array_compact(F.array(*members))))
     return spread.withColumns({f: F.col("_range").getField(f) for f in _range_names(agg)}).drop("_range"), _range_names(agg)
@@ -159,7 +168,7 @@ def _interval(agg: Aggregation) -> str | int:
     """A date histogram's step: a calendar unit, or seconds from 1970 on (``6h``, ``30m``, ``7d``)."""
     given = str(agg.params["interval"])
     unit = _CALENDAR.get(given, given.lower())
-    if unit in _STEPS:
+    if unit in _MONTHS or unit in _STEP_SECONDS:
         return unit
     fixed = re.fullmatch(r"([1-9][0-9]*)([smhd])", given)
     if fixed is None:
@@ -225,8 +234,9 @@ def _range_frame(counted: DataFrame, agg: Aggregation, parents: list[str], rows:
 def _grid(frame: DataFrame, agg: Aggregation, parents: list[str]) -> DataFrame:
     """Every bucket between the first and the last one, per parent.
 
-    Made in two explodes, blocks and then the buckets of a block, so a fine
-    grid over a wide span never sits in one array.
+    Made in two explodes, blocks of steps and then the steps of a block, so a
+    fine grid over a wide span never sits in one array; the blocks are dealt out
+    in between, so that no task makes the grid of a whole span alone.
     """
     n = _MARK + agg.name
     # whole rows are compared, not bare keys: a frame read in full here and in
@@ -234,34 +244,23 @@ def _grid(frame: DataFrame, agg: Aggregation, parents: list[str]) -> DataFrame:
     row = F.struct(n, *[c for c in frame.columns if c not in (n, *parents)])
     edges = frame.groupBy(*parents).agg(F.min(row).getField(n).alias("_lo"), F.max(row).getField(n).alias("_hi"))
     edges = edges.where(F.col("_lo").isNotNull())
-    if agg.kind == "HISTOGRAM":
+    step = None if agg.kind == "HISTOGRAM" else _interval(agg)
+    if step is None:
         width = agg.params["interval"]
         first, last = (F.round(F.col(c) / width).cast("long") for c in ("_lo", "_hi"))
-        blocks = edges.select(
-            *parents, last.alias("_last"),
-            F.explode(F.sequence(first, last, F.lit(_BLOCK).cast("long"))).alias("_start"),
-        )
-        stop = F.least(F.col("_start") + (_BLOCK - 1), F.col("_last"))
-        return blocks.select(*parents, F.explode(F.sequence("_start", stop)).alias("_i")).select(
-            *parents, (F.col("_i").cast("double") * width).alias(n))
-    unit = _interval(agg)
-    if isinstance(unit, int):
-        first, last = (F.floor(F.unix_seconds(F.col(c).cast("timestamp")) / unit) for c in ("_lo", "_hi"))
-        blocks = edges.select(*parents, last.alias("_last"), F.explode(F.sequence(first, last, F.lit(_BLOCK).cast("long"))).alias("_start"))
-        stop = F.least(F.col("_start") + (_BLOCK - 1), F.col("_last"))
-        return blocks.select(*parents, F.explode(F.sequence("_start", stop)).alias("_i")).select(
-            *parents, F.timestamp_seconds(F.col("_i") * unit).cast("timestamp_ntz").alias(n))
-    step = F.expr(_STEPS[unit])
-    if unit in ("hour", "minute", "second"):
-        blocks = edges.select(
-            *parents, "_lo", "_hi",
-            F.explode(F.sequence(F.date_trunc("day", "_lo").cast("timestamp_ntz"), F.col("_hi"),
-                                 F.expr("interval 1 day"))).alias("_day"))
-        inner = blocks.select(
-            *parents, "_lo", "_hi",
-            F.explode(F.sequence(F.col("_day"), F.col("_day") + F.expr("interval 1 day") - step, step)).alias(n))
-        return inner.where(F.col(n).between(F.col("_lo"), F.col("_hi"))).select(*parents, n)
-    return edges.select(*parents, F.explode(F.sequence(F.col("_lo"), F.col("_hi"), step)).alias(n))
+        key = F.col("_i").cast("double") * width
+    elif step in _MONTHS:
+        first, last = F.lit(0).cast("long"), F.floor(F.round(F.months_between("_hi", "_lo")) / _MONTHS[step])
+        key = F.col("_lo") + F.make_ym_interval(F.lit(0), (F.col("_i") * _MONTHS[step]).cast("int"))
+    else:
+        seconds = step if isinstance(step, int) else _STEP_SECONDS[step]
+        apart = F.timestamp_diff("SECOND", F.col("_lo"), F.col("_hi"))
+        first, last = F.lit(0).cast("long"), F.floor(apart / seconds)
+        key = F.col("_lo") + F.make_dt_interval(F.floor(F.col("_i") * seconds / 86_400).cast("int"), F.lit(0), F.lit(0), F.pmod(F.col("_i") * seconds, F.lit(86_400)).cast("decimal(18,6)"))
+    blocks = edges.select(*parents, "_lo", last.alias("_last"), F.explode(F.sequence(first, last, F.lit(_BLOCK).cast("long"))).alias("_start"))
+    stop = F.least(F.col("_start") + (_BLOCK - 1), F.col("_last"))
+    dealt = blocks.repartition(*parents, "_start")
+    return dealt.select(*parents, "_lo", F.explode(F.sequence("_start", stop)).alias("_i")).select(*parents, key.alias(n))
 
 
 def _shaped(counted: DataFrame, agg: Aggregation, parents: list[str], keys: list[str], rows: DataFrame) -> DataFrame:
@@ -283,41 +282,150 @@ def _shaped(counted: DataFrame, agg: Aggregation, parents: list[str], keys: list
     if not parents:
         return first_rows(counted, order, agg.size) if agg.size else counted.orderBy(*orderings(order))
     if agg.size:
-        rank = F.row_number().over(Window.partitionBy(*parents).orderBy(*orderings(order)))
-        counted = counted.withColumn("_rank", rank).where(F.col("_rank") <= agg.size).drop("_rank")
+        # a parent may have very many buckets: the first of each salt, then the first of those
+        for keys_of in ([*parents, F.pmod(F.xxhash64(*keys), F.lit(_SALTS))], parents):
+            rank = F.row_number().over(Window.partitionBy(*keys_of).orderBy(*orderings(order)))
+            counted = counted.withColumn("_rank", rank).where(F.col("_rank") <= agg.size).drop("_rank")
     return counted.orderBy(*parents, *orderings(order))
 
 
-def _scoped(rows: DataFrame, agg: Aggregation, parents: list[str], tables) -> DataFrame:
-    if agg.kind == "FILTER":
-        return apply_filter(rows, agg.query, tables)
-    element = agg.field.split(".")[-1]
-    # only the array goes on: its elements take the place of the records
-    return rows.select(*parents, F.explode(record_getter(rows.columns)(agg.field)).alias(element))
+def _elements(rows: DataFrame, path: str) -> DataFrame:
+    """A row for each element of the array at ``path``; arrays on the way are opened too, one generator each.
+
+    An element takes the place of its array, so its fields go by their full
+    paths, and the fields of the record and of the elements above stay in reach.
+    The last part of the path names the element as well, where no column does.
+    """
+    parts = path.split(".")
+    if parts[0] == VALUES and VALUES not in rows.columns:
+        parts = parts[1:]  # a flat table
+    for depth in range(1, len(parts) + 1):
+        here = F.col(".".join(f"`{p}`" for p in parts[:depth]))
+        if not isinstance(rows.select(here).schema[0].dataType, ArrayType):
+            continue
+        opened = rows.withColumn("_element", F.explode(here))
+        if depth == 1:
+            rows = opened.withColumn(parts[0], F.col("_element"))
+        else:
+            rows = opened.withColumn(parts[0], F.col(f"`{parts[0]}`").withField(".".join(f"`{p}`" for p in parts[1:depth]), F.col("_element")))
+        rows = rows.drop("_element")
+    if len(parts) > 1 and parts[-1] not in rows.columns:
+        rows = rows.withColumn(parts[-1], F.col(".".join(f"`{p}`" for p in parts)))
+    return rows
+
+
+def _scoped(rows: DataFrame, agg: Aggregation, tables) -> DataFrame:
+    return apply_filter(rows, agg.query, tables) if agg.kind == "FILTER" else _elements(rows, agg.field)
+
+
+# --- buckets in buckets -----------------------------------------------------------
 
+# A metric that can be worked out of partial results of finer buckets.
+_PARTS = {"MINIMUM": ("min",), "MAXIMUM": ("max",), "COUNT": ("count",), "SUM": ("sum",), "AVERAGE": ("sum", "count"),
+          "STATS": ("count", "min", "max", "sum")}
+_MERGED = {"min": F.min, "max": F.max, "sum": F.sum, "count": F.sum}
+_KEYED_ONCE = {"TERM", "TERMS", "HISTOGRAM", "DATE_HISTOGRAM"}  # a record is in one bucket at most
 
-def _level(rows: DataFrame, agg: Aggregation, parents: list[str], path: str, out: dict, tables) -> None:
+
+def _mergeable(agg: Aggregation, rows: DataFrame) -> bool:
+    if agg.kind not in _KEYED_ONCE:
+        return False
+    get = record_getter(rows.columns)
+    plain = (NumericType, StringType, DateType, TimestampType, TimestampNTZType, BooleanType)
+    for m in agg.sub:
+        if m.kind in METRICS:
+            kind = rows.select(get(m.field)).schema[0].dataType if m.kind in _PARTS else None
+            # the mean of decimals has a type of its own
+            if not isinstance(kind, plain) or isinstance(kind, DecimalType) and m.kind in ("AVERAGE", "STATS"):
+                return False
+    return True
+
+
+def _chain(agg: Aggregation, rows: DataFrame) -> list[Aggregation]:
+    """The bucket and its first sub-bucket, and so on, as far as their results can be merged."""
+    found = []
+    while agg is not None and _mergeable(agg, rows):
+        found.append(agg)
+        agg = next((s for s in agg.sub if s.kind not in METRICS), None)
+    return found
+
+
+class _Partials:
+    """The levels of a chain of buckets, counted in one pass over the records at the finest level, and stored.
+
+    Coarser levels are merged from that: a record without a key of a finer
+    level still counts on the levels above.
+    """
+
+    def __init__(self, rows: DataFrame, chain: list[Aggregation], parents: list[str]):
+        get = record_getter(rows.columns)
+        wanted = dict.fromkeys((part, m.field) for a in chain for m in a.sub if m.kind in METRICS for part in _PARTS[m.kind])
+        self.names = {key: f"_part{i}" for i, key in enumerate(wanted)}
+        values = {f"_value{i}": get(field) for i, field in enumerate(dict.fromkeys(f for _, f in wanted))}
+        value_of = dict(zip(dict.fromkeys(f for _, f in wanted), values))
+        keyed, self.keys = rows.withColumns(values) if values else rows, []
+        for a in chain:
+            columns, keys = _key_columns(keyed, a)
+            keyed = keyed.withColumns(columns)
+            self.keys.append(keys)
+        parts = [getattr(F, part)(value_of[field]).alias(name) for (part, field), name in self.names.items()]
+        keyed = keyed.dropna(subset=self.keys[0])
+        finest = keyed.groupBy(*parents, *[k for keys in self.keys for k in keys]).agg(F.count(F.lit(1)).alias("_count"), *parts)
+        self.frame = stored(finest, "buckets")
+
+    def level(self, depth: int, agg: Aggregation, parents: list[str], kept: DataFrame | None) -> DataFrame:
+        """Counts and metrics of the level; ``kept``: the buckets of the nearest limited level above that are left."""
+        keys = self.keys[depth]
+        rows = self.frame.dropna(subset=keys)
+        if kept is not None:
+            rows = join_same(rows, kept, kept.columns, "left_semi")
+        merged = [_MERGED[part](name).alias(name) for (part, _), name in self.names.items()]
+        found = rows.groupBy(*parents, *keys).agg(F.sum("_count").alias("doc_count"), *merged)
+        return found.select(*parents, *keys, "doc_count", *[c for m in agg.sub if m.kind in METRICS for c in self._metric(m)])
+
+    def _metric(self, m: Aggregation) -> list[Column]:
+        part = lambda kind: F.col(self.names[kind, m.field])
+        mean = lambda: F.try_divide(part("sum").cast("double"), part("count"))
+        if m.kind == "AVERAGE":
+            return [mean().alias(m.name)]
+        if m.kind == "STATS":
+            return [c.alias(f"{m.name}_{n}") for n, c in (("count", part("count")), ("min", part("min")), ("max", part("max")), ("avg", mean()), ("sum", part("sum")))]
+        return [part(_PARTS[m.kind][0]).alias(m.name)]
+
+
+def _level(rows: DataFrame, agg: Aggregation, parents: list[str], path: str, out: dict, tables,
+           partials: _Partials | None = None, depth: int = 0, above: DataFrame | None = None) -> None:
+    """Fills ``out`` with the frame of ``agg`` and those below it.
+
+    ``rows``: the records in the buckets of the levels above; ``partials``: the
+    one pass over them, if this level is part of a chain that has begun.
+    """
     if agg.kind in METRICS:
         out[path] = rows.groupBy(*parents).agg(*_metrics([agg], rows))
         return
-    above = rows
+    source = rows
+    chain = _chain(agg, rows) if partials is None else []
+    if len(chain) > 1:
+        partials, depth, above = _Partials(rows, chain, parents), 0, None
     if agg.kind in SCOPES:
-        rows, keys = _scoped(rows, agg, parents, tables), []
+        rows, keys = _scoped(rows, agg, tables), []
     else:
         rows, keys = _keyed(rows, agg)
     on = [*parents, *keys]
-    frame = rows.groupBy(*on).agg(F.count(F.lit(1)).alias("doc_count"), *_metrics(agg.sub, rows))
+    if partials is not None:
+        frame = partials.level(depth, agg, parents, above)
+    else:
+        frame = rows.groupBy(*on).agg(F.count(F.lit(1)).alias("doc_count"), *_metrics(agg.sub, rows))
     if agg.kind not in SCOPES:
-        frame = _shaped(frame, agg, parents, keys, above)
+        frame = _shaped(frame, agg, parents, keys, source)
     out[path] = frame.withColumnsRenamed({k: k.removeprefix(_MARK) for k in on})
-    for sub in agg.sub:
-        if sub.kind in METRICS:
-            continue
-        kept = rows
-        if agg.kind in ("TERM", "TERMS") and agg.size:
-            # at most size buckets (per parent): Spark sees the size and decides how to join
-            kept = join_same(rows, frame.select(*on), on, "left_semi")
-        _level(kept, sub, on, f"{path}.{sub.name}", out, tables)
+    limited = agg.kind in ("TERM", "TERMS") and agg.size
+    below = [s for s in agg.sub if s.kind not in METRICS]
+    for sub in below:
+        # at most size buckets (per parent): Spark sees the size and decides how to join
+        kept = join_same(rows, frame.select(*on), on, "left_semi") if limited else rows
+        goes_on = partials is not None and sub is below[0] and depth + 1 < len(partials.keys)
+        _level(kept, sub, on, f"{path}.{sub.name}", out, tables, partials if goes_on else None, depth + 1, frame.select(*on) if limited else above)
 
 
 def aggregate(df: DataFrame, agg: Aggregation | Mapping,
@@ -353,11 +461,24 @@ def run(df: DataFrame, query, tables: Mapping[str, DataFrame] | None = None) ->
     return out
 
 
-def nested_buckets(parent: DataFrame, child: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """Child buckets folded into their parent row as an array of structs.
+def nested_buckets(parent: DataFrame, child: DataFrame, keys: list[str], name: str, order: Sequence[str | Sort] = ()) -> DataFrame:
+    """Child buckets folded into their parent row as an array of structs, in ``order``, then by their columns.
 
+    ``bucket_order`` gives the order in which an aggregation ranks its buckets.
     Both sides are limited frames (``size`` rows per level), so the array is.
     """
     inner = [c for c in child.columns if c not in keys]
-    folded = child.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(*inner))).alias(name))
-    return join_same(parent, folded, keys, "left")
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*orderings(order), *inner))
+    placed = child.withColumn("_place", place)
+    folded = placed.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("_place", *inner))).alias("_found"))
+    bare = F.transform("_found", lambda b: F.struct(*[b[c].alias(c) for c in inner]))
+    return join_same(parent, folded.select(*keys, bare.alias(name)), keys, "left")
+
+
+def bucket_order(agg: Aggregation) -> list[Sort]:
+    """The order of an aggregation's buckets, by the columns of its frame."""
+    if agg.kind in ("TERM", "TERMS"):
+        fields = agg.params["field"] if agg.kind == "TERMS" and isinstance(agg.params, Mapping) else agg.params
+        keys = [agg.name] if agg.kind == "TERM" else [f"{agg.name}_{f.removesuffix('.raw').split('.')[-1]}" for f in fields]
+        return _order(agg, keys)
+    return _order(agg, [agg.name]) if agg.sort_by and agg.kind != "RANGE" else []

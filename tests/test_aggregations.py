@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from goldspan.plans.aggregations import Aggregation as A
-from goldspan.plans.aggregations import aggregate, metrics, run
+from goldspan.plans import aggregations as plans
+from goldspan.plans.aggregations import aggregate, bucket_order, metrics, nested_buckets, run
 from goldspan.plans.filters import Predicate as P
 from goldspan.plans.filters import Search, between, term
 
@@ -209,3 +210,94 @@ def test_fixed_and_calendar_intervals(spark, interval, keys):
 def test_an_unknown_interval_is_refused(sales):
     with pytest.raises(ValueError, match="fortnight"):
         aggregate(sales, A("DATE_HISTOGRAM", "h", {"field": "shop", "interval": "fortnight"}, min_doc_count=1))
+
+
+@pytest.fixture(scope="module")
+def orders(spark):
+    """A hot parent, keys that are null on any level, nulls among the values."""
+    return spark.range(6000).selectExpr(
+        "IF(id % 3 > 0, 'hot', IF(id % 7 = 0, NULL, concat('p', id % 11))) AS parent", "IF(id % 5 = 0, NULL, id * id % 700) AS child",
+        "timestamp'2024-01-01 00:00:00' + make_interval(0, 0, 0, CAST(id % 40 AS INT)) AS at", "IF(id % 4 = 0, NULL, (id * 37 % 1001) / 4) AS price",
+        "CAST(id % 9 AS INT) AS n", "CAST(id % 13 AS DECIMAL(10,2)) AS d")
+
+
+TREES = [
+    A("TERM", "p", "parent", size=3, sub=(A("SUM", "s", "price"), A("TERM", "c", "child", size=4, sub=(A("AVERAGE", "m", "price"), A("MINIMUM", "lo", "n"))))),
+    A("TERM", "p", "parent", size=0, sub=(A("STATS", "s", "price"), A("DATE_HISTOGRAM", "d", {"field": "at", "interval": "week"}, sub=(
+        A("COUNT", "k", "price"), A("TERMS", "c", ["child", "n"], size=3, sort_by="s", sort_order="DESC", sub=(A("SUM", "s", "n"),)))),)),
+    A("HISTOGRAM", "h", {"field": "price", "interval": 25}, min_doc_count=1, sub=(A("TERM", "p", "parent", size=2, min_doc_count=3, sub=(A("TERM", "n", "n", size=2),)),)),
+    # the limit of the first level holds for the third, also where the second has none
+    A("TERM", "p", "parent", size=2, sub=(A("HISTOGRAM", "h", {"field": "n", "interval": 3}, sub=(A("TERM", "c", "child", size=2),)),)),
+    # siblings, and levels that cannot be merged below ones that can
+    A("TERM", "p", "parent", size=2, sub=(A("TERM", "n", "n", size=2), A("TERM", "c", "child", size=2), A("RANGE", "r", {"field": "price", "ranges": [[0, 90], [50, None]]}))),
+    A("TERM", "p", "parent", size=2, sub=(A("TERM", "n", "n", size=3, sub=(A("EXTENDED_STATS", "e", "price"), A("TERM", "c", "child", size=1))),)),
+    A("TERM", "p", "parent", size=2, sub=(A("SUM", "s", "d"), A("TERM", "n", "n", size=3, sub=(A("AVERAGE", "m", "d"),)))),
+]
+
+
+@pytest.mark.parametrize("tree", TREES)
+def test_one_pass_gives_what_a_pass_for_each_level_gives(orders, tree, monkeypatch):
+    merged = {path: rows(f) for path, f in aggregate(orders, tree).items()}
+    monkeypatch.setattr(plans, "_chain", lambda *a: [])
+    plain = aggregate(orders, tree)
+    assert merged.keys() == plain.keys() and all(len(v) > 1 for v in merged.values())
+    for path, f in plain.items():
+        for got, want in zip(merged[path], rows(f), strict=True):
+            assert got == tuple(pytest.approx(x) if isinstance(x, float) else x for x in want)
+
+
+def test_two_levels_read_the_records_once(spark, orders, folder):
+    orders.write.parquet(folder)
+    out = aggregate(spark.read.parquet(folder), TREES[0])
+    for frame in out.values():
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert folder.rsplit("/", 1)[1] not in plan and "FileScan parquet" in plan  # what is read is the one pass, not the records
+
+
+def test_a_parent_of_very_many_buckets(spark):
+    """Its buckets are ranked by salt first: no task sees all of them."""
+    df = spark.range(30000).selectExpr("1 AS p", "id AS c").union(spark.range(100).selectExpr("1", "id + 500"))
+    out = aggregate(df, A("TERM", "p", "p", sub=(A("TERM", "c", "c", size=60),)))["p.c"]
+    assert [r["c"] for r in out.collect()] == list(range(500, 560))
+    assert out._jdf.queryExecution().toString().count("row_number() windowspec") >= 2
+
+
+def test_folded_buckets_keep_their_order(spark):
+    df = spark.createDataFrame([("a", k) for k, n in (("x", 1), ("y", 3), ("z", 2)) for _ in range(n)] + [("b", "q")], "p string, c string")
+    tree = A("TERM", "p", "p", sub=(A("TERM", "c", "c"),))
+    out = aggregate(df, tree)
+    folded = nested_buckets(out["p"], out["p.c"], ["p"], "inner", bucket_order(tree.sub[0]))
+    assert [(r["p"], [tuple(b) for b in r["inner"]]) for r in folded.orderBy("p").collect()] == [("a", [("y", 3), ("z", 2), ("x", 1)]), ("b", [("q", 1)])]
+    by_key = nested_buckets(out["p"], out["p.c"], ["p"], "inner")
+    assert [b["c"] for b in by_key.orderBy("p").first()["inner"]] == ["x", "y", "z"]
+
+
+def test_nested_scope_inside_an_array_inside_a_struct(spark):
+    df = spark.createDataFrame([
+        (1, 10, ([([("x", 1), ("y", 2)], "u"), ([("x", 3)], "v")],)), (2, 20, ([([], "w"), (None, "w")],)), (3, 30, (None,)), (4, 40, ([([("x", 9)], "u")],))],
+        "id int, price int, s struct<l: array<struct<m: array<struct<k: string, n: int>>, t: string>>>")
+    agg = A("NESTED", "e", "s.l.m", sub=(
+        A("SUM", "n", "s.l.m.n"), A("SUM", "prices", "price"), A("TERM", "k", "s.l.m.k", sub=(A("SUM", "prices", "price"), A("TERM", "t", "s.l.t"))), A("MAXIMUM", "short", "m.n")))
+    out = aggregate(df, agg)
+    assert rows(out["e"]) == [(4, 15, 70, 9)]
+    assert rows(out["e.k"]) == [("x", 3, 60), ("y", 1, 10)]
+    assert rows(out["e.k.t"]) == [("x", "u", 2), ("x", "v", 1), ("y", "u", 1)]
+    # step by step, the scope of the inner array inside that of the outer one
+    steps = A("NESTED", "l", "s.l", sub=(A("COUNT", "t", "s.l.t"), A("NESTED", "m", "s.l.m", sub=(A("SUM", "n", "s.l.m.n"), A("SUM", "p", "price")))))
+    out = aggregate(df, steps)
+    assert rows(out["l"]) == [(5, 5)] and rows(out["l.m"]) == [(4, 15, 70)]
+
+
+@pytest.mark.parametrize("interval", ["month", "quarter", "year", "week", "day", "hour", "90m"])
+def test_grids_are_dealt_out_in_blocks(spark, monkeypatch, interval):
+    monkeypatch.setattr(plans, "_BLOCK", 5)
+    df = spark.sql("SELECT explode(array(timestamp_ntz'2023-03-26 00:30:00', timestamp_ntz'2024-05-01 23:00:00')) AS t")
+    got = aggregate(df, A("DATE_HISTOGRAM", "h", {"field": "t", "interval": interval}))["h"].collect()
+    keys = [r["h"] for r in got]
+    months = {"month": 1, "quarter": 3, "year": 12}.get(interval)
+    if months:
+        assert [(b.year - a.year) * 12 + b.month - a.month for a, b in zip(keys, keys[1:])] == [months] * (len(keys) - 1)
+    else:
+        step = {"week": 7 * 86400, "day": 86400, "hour": 3600, "90m": 5400}[interval]
+        assert {(b - a).total_seconds() for a, b in zip(keys, keys[1:])} == {step}
+    assert got[0]["doc_count"] == got[-1]["doc_count"] == 1 and sum(r["doc_count"] for r in got) == 2
