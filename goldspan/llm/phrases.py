@@ -105,11 +105,16 @@ class Words(NamedTuple):
         both = pa.concat_tables([pa.table({"key": k, "n": pa.array(c)}) for k, c in filters]).group_by("key").aggregate([("n", "sum")])
         return both["key"].combine_chunks(), both["n_sum"].to_numpy()
 
-    def cut(self, keys, counts, depth: int) -> list[tuple[int, bytes]]:
+    def ordered(self, keys, depth: int) -> tuple[np.ndarray, np.ndarray]:
+        """The order of the ranges, and the range of each word in that order."""
         shift, mask = 32 - self.cut_bits * (depth + 1), (1 << self.cut_bits) - 1
         part = np.fromiter((zlib.crc32(k) >> shift & mask for k in keys.to_pylist()), np.int64, len(keys))
         order = np.argsort(part, kind="stable")
-        keys, counts, part = keys.take(pa.array(order)), counts[order], part[order]
+        return order, part[order]
+
+    def cut(self, keys, counts, depth: int) -> list[tuple[int, bytes]]:
+        order, part = self.ordered(keys, depth)
+        keys, counts = keys.take(pa.array(order)), counts[order]
         edges = np.flatnonzero(np.diff(part, prepend=-1))
         return [(int(part[at]), self.packed(keys.slice(at, end - at), counts[at:end])) for at, end in zip(edges, [*edges[1:], len(part)])]
 
@@ -266,14 +271,11 @@ def shards(df: DataFrame, text: str, lang: str) -> DataFrame:
                 rows.append(("total", shard, None, name, int(many.sum()), None, None))
                 found.clear()
             keys, counts = pa.array(keys, pa.binary()), np.concatenate(counts)
-            starts, place = np.zeros((1 << CUT_BITS) + 1, np.uint32), np.zeros(len(keys) + 1, np.uint32)
-            at = 0
-            for part, blob in kind.cut(keys, counts, 0):
-                own = kind.unpacked(blob)[0]
-                place[pc.index_in(own, value_set=keys).to_numpy() + 1] = np.arange(at + 1, at + 1 + len(own))
-                starts[part] = at
-                at += len(own)
-                rows.append(("words", shard, part, None, None, blob, None))
+            order, part = kind.ordered(keys, 0)
+            place = np.zeros(len(keys) + 1, np.uint32)
+            place[order + 1] = np.arange(1, len(keys) + 1)
+            starts = np.searchsorted(part, np.arange((1 << CUT_BITS) + 1))
+            rows += [("words", shard, p, None, None, f, None) for p, f in kind.cut(keys, counts, 0)]
             rows.append(("text", shard, None, None, None, squeezed(place[np.concatenate(texts)]), squeezed(starts)))
             for row in rows:
                 yield pa.RecordBatch.from_pylist([dict(zip(kinds.names, row))], schema=kinds)
