@@ -159,6 +159,23 @@ def _(t: Tables):
     return apply_filter(t.orders, search, {"customer": t.customer}).select("o_orderkey", "o_custkey")
 
 
+FIRSTS_SQL = f"{fx.LINES_SQL}, firsts AS (SELECT lang, head FROM line JOIN documents USING (doc_id) WHERE no = 1)"
+
+
+@job("bool_nested_values", f"""WITH {FIRSTS_SQL} SELECT doc_id, source FROM documents d
+     WHERE EXISTS (SELECT 1 FROM line WHERE line.doc_id = d.doc_id AND head IN (SELECT head FROM firsts WHERE lang = 'de'))
+       AND NOT EXISTS (SELECT 1 FROM line WHERE line.doc_id = d.doc_id AND head IN (SELECT head FROM firsts WHERE lang = 'es'))""")
+def _(t: Tables):
+    """Documents with some line that starts like a German document does, and none that starts like a Spanish one."""
+    firsts = fx.lined(t, "head").join(t.documents.select("doc_id", "lang"), "doc_id").select("lang", F.col("lines")[0]["head"].alias("head"))
+
+    def starts_like(lang: str) -> P:
+        return P("NESTED_TERMS_FILTER", "head", path="lines", values_field="head", values_query=Search(must=[has_type("firsts"), term("lang", lang)]))
+
+    search = Search(must=[starts_like("de")], must_not=[starts_like("es")])
+    return apply_filter(fx.lined(t, "head"), search, {"firsts": firsts}).select("doc_id", "source")
+
+
 @job("flagship", """
 SELECT c_mktsegment AS by_segment, count(*) AS doc_count, round(sum(o_totalprice), 2) AS total
 FROM orders JOIN customer ON o_custkey = c_custkey

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from goldspan.jobs.base import Tables, job
 from goldspan.operators import nested as n
-from goldspan.sources.lake import map_batches
+from goldspan.sources.lake import map_batches, map_files
 
 
 @job("fn_find_keys", """
@@ -58,15 +58,17 @@ def _(t: Tables):
     return map_batches(pages, page, "event_id long, value double, event_type string")
 
 
-@job("udf_file_callback", "SELECT o_orderkey, o_orderstatus || '/' || o_orderpriority AS label FROM orders WHERE o_totalprice > 250000")
+@job("udf_file_callback", """SELECT o_orderkey, o_orderstatus || '/' || o_orderpriority AS label, place FROM
+     (SELECT *, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS place FROM orders) WHERE o_totalprice > 250000""")
 def _(t: Tables):
-    """A user's function on the frames of a file scan; its result replaces them."""
+    """A user's function on the frame of a file: it ranks the file's rows, which takes all of them."""
     def file_frame(frame: pd.DataFrame) -> pd.DataFrame:
-        kept = frame[frame["o_totalprice"] > 250000]
-        return pd.DataFrame({"o_orderkey": kept["o_orderkey"], "label": kept["o_orderstatus"] + "/" + kept["o_orderpriority"]})
+        ranked = frame.sort_values(["o_totalprice", "o_orderkey"], ascending=[False, True], ignore_index=True)
+        kept = ranked[ranked["o_totalprice"] > 250000]
+        return pd.DataFrame({"o_orderkey": kept["o_orderkey"], "label": kept["o_orderstatus"] + "/" + kept["o_orderpriority"], "place": kept.index + 1})
 
     columns = t.orders.select("o_orderkey", "o_totalprice", "o_orderstatus", "o_orderpriority")
-    return map_batches(columns, file_frame, "o_orderkey long, label string")
+    return map_files(columns, file_frame, "o_orderkey long, label string, place long")
 
 
 @job("udf_step", """SELECT c_mktsegment, count(*) AS n, round(sum(c_acctbal), 2) AS balance FROM customer

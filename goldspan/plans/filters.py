@@ -20,6 +20,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from goldspan.functions import geo, text
 from goldspan.names import VALUES
@@ -160,6 +161,21 @@ def record_getter(columns: list[str]) -> Getter:
     return get
 
 
+def table_getter(df: DataFrame) -> Getter:
+    """``record_getter`` of a table: an array below other arrays is one list of all its elements."""
+    plain = record_getter(df.columns)
+
+    def get(path: str) -> Column:
+        column = plain(path)
+        if "." not in path:
+            return column
+        kind = df.select(column).schema[0].dataType
+        while isinstance(kind, ArrayType) and isinstance(kind.elementType, ArrayType):
+            column, kind = F.flatten(F.array_compact(column)), kind.elementType
+        return column
+    return get
+
+
 def element_getter(element: Column, path: str) -> Getter:
     def get(key: str) -> Column:
         inner = key[len(path) + 1:] if key.startswith(path + ".") else key
@@ -278,8 +294,10 @@ def _geodistance(c: Column, p: Predicate) -> Column:
     else:
         lat, lon = span[0], span[1]
         span = span[2:]
-    km = geo.distance_km(c.getField("lat"), c.getField("lon"), lat, lon)
-    return _within(km, Predicate("RANGE_FILTER", value=span))
+    point = (c.getField("lat"), c.getField("lon"), float(lat), float(lon))
+    exact = _within(geo.distance_km(*point), Predicate("RANGE_FILTER", value=span))
+    high = _bounds(Predicate("RANGE_FILTER", value=span))[1]
+    return exact if high is None else geo.band(*point, float(high)) & exact
 
 
 def _nested(get: Getter, p: Predicate) -> Column:
@@ -361,16 +379,33 @@ def apply_filter(df: DataFrame, query, tables: Mapping[str, DataFrame] | None =
     semi-join under must, an anti-join under must_not and a flagged left join
     under should. The value side is made distinct first, so a frequent value
     costs one row; whether it is broadcast is left to Spark's size check.
+
+    Under a nested path some element has to hold one of the values. Records
+    are told apart by the set of values their elements hold: each set is
+    opened once, and the sets that hold a value are joined back to the records.
     """
     search = as_search(query)
-    get = record_getter(df.columns)
+    get = table_getter(df)
     columns = df.columns
 
     def values_of(p: Predicate, name: str) -> DataFrame:
+        """The values to be joined with ``joined(p)``; for a nested path, the sets of values that hold one."""
         source, sub = route(as_search(p.values_query), tables, df)
         kept = apply_filter(source, sub, tables)
-        value = record_getter(source.columns)(p.values_field)
-        return kept.select(value.alias(name)).where(F.col(name).isNotNull()).distinct()
+        value = table_getter(source)(p.values_field)
+        values = kept.select(value.alias(name)).where(F.col(name).isNotNull()).distinct()
+        if not p.kind.startswith("NESTED"):
+            return values
+        held = df.select(joined(p).alias("_held")).where(F.size("_held") > 0).distinct()
+        opened = held.withColumn("_value", F.explode("_held"))
+        return opened.join(values, F.col("_value") == F.col(name), "left_semi").select(F.col("_held").alias(name)).distinct()
+
+    def joined(p: Predicate) -> Column:
+        if not p.kind.startswith("NESTED"):
+            return get(p.key)
+        if not p.path:
+            raise ValueError(f"cannot evaluate {p.to_wire()}")
+        return F.array_sort(F.array_distinct(F.array_compact(F.transform(get(p.path), lambda e: element_getter(e, p.path)(p.key)))))
 
     plain = {part: [p for p in getattr(search, part) if p.values_query is None]
              for part in ("must", "must_not")}
@@ -379,15 +414,15 @@ def apply_filter(df: DataFrame, query, tables: Mapping[str, DataFrame] | None =
     for i, p in enumerate(search.must):
         if p.values_query is not None:
             name = f"_must_{i}"
-            out = out.join(values_of(p, name), get(p.key) == F.col(name), "left_semi")
+            out = out.join(values_of(p, name), joined(p) == F.col(name), "left_semi")
     for i, p in enumerate(search.must_not):
         if p.values_query is not None:
             name = f"_must_not_{i}"
-            out = out.join(values_of(p, name), get(p.key) == F.col(name), "left_anti")
+            out = out.join(values_of(p, name), joined(p) == F.col(name), "left_anti")
     for i, p in enumerate(search.should):
         if p.values_query is not None:
             name = f"_should_{i}"
-            out = out.join(values_of(p, name), get(p.key) == F.col(name), "left")
+            out = out.join(values_of(p, name), joined(p) == F.col(name), "left")
             flags[id(p)] = F.col(name).isNotNull()
 
     rest = Search(plain["must"], plain["must_not"], search.should,

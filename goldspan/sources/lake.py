@@ -20,6 +20,7 @@ from goldspan.session import path_exists
 
 MANIFEST = ("batch string, batch_id string, sources array<string>, total_records long, total_requests long, "
             "started string, ended string")
+FILE = "_file"
 STAGING_SPACES = ["staging", "staging_master", "staging_rejected"]
 
 
@@ -66,8 +67,8 @@ class Lake:
         columns     kept columns; the record keys are always added
         prefix      leading part of the ingest date: a year, a month or a day
         renames     old name -> new name, after the scan
-        max_hits    first N records in key order
-        callback    function on pandas batches, with ``callback_schema`` as its result
+        callback    function on each file's records as one pandas frame, after the renames; ``callback_schema`` is its result
+        max_hits    first N records in key order, of what the callback left
         drifted     files may differ in columns: read every footer and merge them
         """
         folder = f"{self.path(space)}/{self._owner(space)}={table}"
@@ -75,19 +76,21 @@ class Lake:
         found += self._batches(space, table, drifted) if space in STAGING_SPACES else []
         if not found:
             return None
+        if callback is not None:
+            found = [part.withColumn(FILE, F.col("_metadata.file_path")) for part in found]
         df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), found)
         if prefix is not None:
             df = df.where(F.col("ingest_date").cast("string").startswith(prefix))
         if not (columns and "ingest_date" in columns):
             df = df.drop("ingest_date")
         if columns is not None:
-            df = df.select(*with_keys(columns))
-        if max_hits is not None:
-            df = first_records(df, max_hits)
-        if callback is not None:
-            df = map_batches(df, callback, callback_schema or df.schema)
+            df = df.select(*with_keys(columns), *([FILE] if callback is not None else []))
         if renames:
             df = df.withColumnsRenamed(dict(renames))
+        if callback is not None:
+            df = map_files(df, callback, callback_schema, FILE)
+        if max_hits is not None:
+            df = first_records(df, max_hits)
         return df
 
     def _read(self, folder: str, drifted: bool) -> DataFrame:
@@ -141,8 +144,26 @@ def first_records(df: DataFrame, n: int) -> DataFrame:
     return first_rows(df, keys, n)
 
 
+def map_files(df: DataFrame, callback: Callable, schema=None, file: str | None = None) -> DataFrame:
+    """``callback(pandas frame) -> pandas frame`` on all rows of a file at once, whatever Arrow batches they come in.
+
+    ``df`` scans files, or has the file's name in the column ``file``, which the
+    callback does not see. A file is one group: its writer bounds its size.
+    The rows keep the order they have in the file.
+    """
+    if file is None:
+        file, df = FILE, df.withColumn(FILE, F.col("_metadata.file_path"))
+    rest = [c for c in df.columns if c != file]
+    placed = df.withColumn("_place", F.monotonically_increasing_id())
+
+    def run(frame):
+        return callback(frame.sort_values("_place", ignore_index=True)[rest])
+
+    return placed.groupBy(file).applyInPandas(run, schema or df.select(*rest).schema)
+
+
 def map_batches(df: DataFrame, callback: Callable, schema) -> DataFrame:
-    """``callback(pandas frame) -> pandas frame`` on every batch of every file."""
+    """``callback(pandas frame) -> pandas frame`` on every Arrow batch of a result, its page."""
     def run(batches):
         for batch in batches:
             yield callback(batch)

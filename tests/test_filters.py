@@ -255,3 +255,84 @@ def test_every_kind_runs_from_json(spark, kind):
         wire["mdmValue"] = True if field == "b" else ["x", "y"] if several else ["a", "z"] if "RANGE" in kind else "x"
     expected = {"MATCH_ALL_FILTER": [1, 2], "MISSING_FILTER": [2], "NESTED_MISSING_FILTER": [2]}.get(kind, [1])
     assert ids(apply_filter(df, wire)) == expected
+
+
+# --- nested values queries, arrays below arrays, bands ------------------------------------
+
+@pytest.fixture(scope="module")
+def baskets(spark):
+    return spark.createDataFrame([
+        (1, [("a", [("x", 1), ("y", 2)]), ("b", [])]), (2, [("b", [("z", 3)])]), (3, []), (4, None), (5, [(None, None), ("c", [(None, 9)])]),
+        (6, [("a", [("x", 1)])]), (7, [("b", [("z", 3)])])], "id int, l array<struct<k: string, m: array<struct<w: string, n: int>>>>")
+
+
+def wanted(kind, key, path, *values):
+    return P(kind, key, path=path, values_field="v", values_query=Search(must=[has_type("lists"), terms("v", values)]))
+
+
+@pytest.mark.parametrize("part, values, ids", [
+    ("must", ["a"], [1, 6]), ("must", ["b", "c", "none"], [1, 2, 5, 7]), ("must", ["none"], []),
+    ("must_not", ["a"], [2, 3, 4, 5, 7]), ("must_not", ["none"], [1, 2, 3, 4, 5, 6, 7]), ("should", ["c"], [5]), ("should", ["a", "c"], [1, 5, 6])])
+def test_nested_values_queries(spark, baskets, part, values, ids):
+    lists = {"lists": spark.createDataFrame([(v,) for v in ["a", "b", "c", "c", None, "q"]], "v string")}
+    out = apply_filter(baskets, Search(**{part: [wanted("NESTED_TERMS_FILTER", "k", "l", *values)]}), lists)
+    assert out.columns == baskets.columns and sorted(r["id"] for r in out.collect()) == ids
+    both = Search(should=[wanted("NESTED_TERM_FILTER", "l.k", "l", *values), term("id", 3)], minimum_should_match=1)
+    if part == "should":
+        assert sorted(r["id"] for r in apply_filter(baskets, both, lists).collect()) == sorted([*ids, 3])
+
+
+def test_nested_paths_below_another_array(spark, baskets):
+    lists = {"lists": spark.createDataFrame([("z",), ("x",)], "v string")}
+    find = lambda p: sorted(r["id"] for r in apply_filter(baskets, Search(must=[p]), lists).collect())
+    assert find(wanted("NESTED_TERMS_FILTER", "w", "l.m", "z", "q")) == [2, 7]
+    assert find(P("NESTED_TERM_FILTER", "l.m.w", "x", path="l.m")) == [1, 6]
+    assert find(P("NESTED_RANGE_FILTER", "n", path="l.m", range_values=[2, 3])) == [1, 2, 7]
+    assert find(P("NESTED_MISSING_FILTER", "w", path="l.m")) == [3, 4, 5]
+    assert find(P("NESTED_MATCH_ALL_FILTER", path="l.m")) == [1, 2, 5, 6, 7]
+    with pytest.raises(ValueError):
+        find(P("NESTED_TERMS_FILTER", "w", values_field="v", values_query=has_type("lists")))
+
+
+def test_the_values_of_a_nested_query_may_lie_below_an_array_themselves(baskets):
+    own = P("NESTED_TERMS_FILTER", "w", path="l.m", values_field="first", values_query=Search(must=[has_type("other")]))
+    other = baskets.where("id = 6").selectExpr("l[0].m[0].w AS first")
+    assert sorted(r["id"] for r in apply_filter(baskets, own, {"other": other}).collect()) == [1, 6]
+
+
+def kilometres(a, b, c, d):
+    import math
+    a, b, c, d = map(math.radians, (a, b, c, d))
+    h = math.sin((a - c) / 2) ** 2 + math.cos(a) * math.cos(c) * math.sin((b - d) / 2) ** 2
+    return 2 * 6371.0 * math.asin(math.sqrt(min(1.0, h)))
+
+
+@pytest.mark.parametrize("centre", [(0.0, 0.0), (0.0, 179.5), (10.0, -179.9), (89.5, 20.0), (-90.0, 0.0), (60.0, 180.0), (-33.0, 151.0), (45.0, -540.5), (80.0, 539.0)])
+@pytest.mark.parametrize("high", [0.0, 30.0, 500.0, 4000.0, 25000.0])
+def test_bands_lose_no_point(spark, points_on_a_globe, centre, high):
+    frame, points = points_on_a_globe
+    near = P("GEODISTANCE_FILTER", "at", {"lat": centre[0], "lon": centre[1]}, range_values=[0.0, high])
+    got = sorted(r["i"] for r in apply_filter(frame, near).collect())
+    # points at the very edge may fall on either side
+    sure = [i for i, (a, b) in enumerate(points) if kilometres(a, b, *centre) <= high - 1e-6]
+    maybe = {i for i, (a, b) in enumerate(points) if kilometres(a, b, *centre) <= high + 1e-6}
+    assert set(sure) <= set(got) <= maybe
+
+
+@pytest.fixture(scope="module")
+def points_on_a_globe(spark):
+    import random
+    rng = random.Random(5)
+    points = [(lat, lon) for lat in (-90.0, -89.9, -33.0, 0.0, 10.0, 45.0, 60.0, 89.4, 90.0) for lon in (-180.0, -179.99, -0.1, 0.0, 0.2, 20.0, 151.1, 179.4, 180.0, 181.0, -180.6, 359.9)]
+    points += [(rng.uniform(-90, 90), rng.uniform(-180, 180)) for _ in range(400)] + [(rng.uniform(50, 90), rng.uniform(170, 190)) for _ in range(100)]
+    points += [(95.0, 0.0), (-91.0, 170.0)]
+    frame = spark.createDataFrame([(i, p) for i, p in enumerate(points)], "i int, at struct<lat: double, lon: double>")
+    return frame.union(spark.createDataFrame([(-1, None), (-2, (None, 3.0)), (-3, (1.0, None))], frame.schema)), points
+
+
+def test_the_band_reaches_the_scan(spark, points_on_a_globe, folder):
+    points_on_a_globe[0].write.parquet(folder)
+    near = P("GEODISTANCE_FILTER", "at", {"lat": 10.0, "lon": 20.0}, range_values=[0.0, 100.0])
+    plan = apply_filter(spark.read.parquet(folder), near)._jdf.queryExecution().executedPlan().toString()
+    pushed = plan.split("PushedFilters: [")[1]
+    assert "GreaterThanOrEqual(at.lat" in pushed and "LessThanOrEqual(at.lon" in pushed

@@ -230,3 +230,34 @@ def test_calls_of_jvm_methods_are_refused(spark, query):
 
 def test_names_and_texts_like_jvm_calls_are_fine(spark):
     assert spark.sql(check_select(spark, "SELECT reflect, 'reflect(1)' AS t FROM (SELECT 1 AS reflect)")).count() == 1
+
+
+def test_a_file_callback_sees_whole_files(spark, folder):
+    """Two files of several Arrow batches each; the callback ranks the rows within a file, after the renames, before the limit."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        lake = Lake(spark, folder)
+        for start in (0, 1000):
+            part = spark.range(start, start + 700).select(
+                F.col("id").alias("mdmCounterForEntity"), F.col("id").cast("string").alias("mdmId"), (F.col("id") * 7919 % 1009).alias("v-1"),
+                F.lit("m").alias("name"), F.lit("2024-01-01").alias("ingest_date")).coalesce(1)
+            part.write.mode("append").partitionBy("name", "ingest_date").parquet(lake.path("golden"))
+        seen = lambda f: f.assign(rank=f["v"].rank().astype(int), n=len(f)).drop(columns="v")
+        out = lake.scan("golden", "m", columns=["v-1"], renames={"v-1": "v"}, callback=seen,
+                        callback_schema="mdmCounterForEntity long, mdmId string, rank long, n long")
+        want = []
+        for start in (0, 1000):
+            values = sorted((i * 7919 % 1009, i) for i in range(start, start + 700))
+            want += [(i, str(i), r + 1, 700) for r, (_, i) in enumerate(values)]
+        assert sorted(tuple(r) for r in out.collect()) == sorted(want)
+        few = lake.scan("golden", "m", columns=["v-1"], renames={"v-1": "v"}, max_hits=5, callback=lambda f: f[f["v"] % 2 == 0])
+        assert [r["mdmCounterForEntity"] for r in few.collect()] == [i for i in [*range(700), *range(1000, 1700)] if i * 7919 % 1009 % 2 == 0][:5]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_a_file_callback_keeps_the_order_of_the_file(spark, folder):
+    from goldspan.sources.lake import map_files
+    spark.range(500).orderBy(F.desc("id")).coalesce(1).write.parquet(folder)
+    first = map_files(spark.read.parquet(folder), lambda f: f.head(3))
+    assert [r["id"] for r in first.collect()] == [499, 498, 497] and first.columns == ["id"]
