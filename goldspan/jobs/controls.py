@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from goldspan.jobs import fixtures as fx
 from goldspan.jobs.base import Tables, job
 from goldspan.operators import controls as q
+from goldspan.operators.deletes import DeletableTable
 from goldspan.plans.aggregations import run
-from goldspan.plans.filters import Search, apply_filter, between, term
+from goldspan.plans.filters import Predicate, Search, apply_filter, between, has_type, term
 from goldspan.plans.request import aggregations, find
 from goldspan.plans.named import bind_search, run_sql_template
 from goldspan.session import workspace
@@ -76,6 +77,22 @@ def _(t: Tables):
     return left.select("c_custkey", "c_mktsegment", "c_acctbal")
 
 
+@job("qry_delete_marks", """
+SELECT o_orderkey, o_totalprice, (SELECT count(*) FROM orders WHERE o_orderstatus = 'P' OR o_custkey IN
+  (SELECT c_custkey FROM customer WHERE c_mktsegment = 'FURNITURE')) AS gone FROM orders
+WHERE o_orderstatus <> 'P' AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'FURNITURE')""")
+def _(t: Tables):
+    """Orders deleted by a field and by values from another table, folded in between; no record is rewritten for a delete."""
+    table = DeletableTable(t.spark, workspace(t.spark, "orders"))
+    table.append(t.orders.where("o_orderkey % 2 = 0"))
+    table.append(t.orders.where("o_orderkey % 2 <> 0"))
+    gone = table.delete(term("o_orderstatus", "P"))
+    table.fold()
+    segment = Search(must=[has_type("customer"), term("c_mktsegment", "FURNITURE")])
+    gone += table.delete(Predicate("TERMS_FILTER", "o_custkey", values_field="c_custkey", values_query=segment), {"customer": t.customer})
+    return table.read().select("o_orderkey", "o_totalprice", F.lit(gone).cast("long").alias("gone"))
+
+
 @job("qry_delete_golden", """
 WITH base AS (SELECT o_orderkey, o_orderstatus,
                 CASE WHEN o_orderpriority <> '3-MEDIUM' THEN o_orderdate END AS updated FROM orders)
@@ -126,7 +143,7 @@ def _(t: Tables):
 @job("qry_parallel_scan", "SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem WHERE l_linestatus = 'O'")
 def _(t: Tables):
     kept = apply_filter(t.lineitem, term("l_linestatus", "O")).select("l_orderkey", "l_linenumber", "l_extendedprice")
-    return q.range_scan(kept, "l_orderkey", 16)
+    return q.range_scan(kept, "l_orderkey", 16).drop("slice")
 
 
 @job("qry_rejected_of_staging", """SELECT 'o' || o_orderkey AS "mdmId", o_totalprice AS price_total, o_orderpriority AS price_class

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from goldspan.names import VALUES
-from goldspan.operators.windows import first_rows
-from goldspan.plans.filters import apply_filter, as_search, condition, record_getter
+from goldspan.operators.windows import cut_of, first_rows, with_slab
+from goldspan.plans.filters import apply_filter, decided, record_getter
 from goldspan.session import workspace
 
 
@@ -66,27 +66,24 @@ def record_errors(df: DataFrame, key: str = "mdmId", errors: str = "mdmErrors")
     return df.where(F.size(errors) > 0).select(key, errors)
 
 
-def survivors(df: DataFrame, query) -> DataFrame:
-    """What is left after deleting every record the search matches.
+def survivors(df: DataFrame, query, tables=None) -> DataFrame:
+    """What is left after deleting every record the search matches; its values may come from other tables.
 
     An undecided (null) match keeps the record.
     """
-    search = as_search(query)
-    if any(p.values_query is not None for p in [*search.must, *search.must_not, *search.should]):
-        raise ValueError("a delete cannot take its values from another query")
-    doomed = condition(search, record_getter(df.columns))
-    return df.where(~F.coalesce(doomed, F.lit(False)))
+    return decided(df, query, tables).where(~F.col("_matches")).drop("_matches")
 
 
-def delete_to(df: DataFrame, query, path: str) -> tuple[DataFrame, int]:
-    """Write the survivors to a new path: the table as it is now, and how many went.
+def delete_to(df: DataFrame, query, path: str, tables=None) -> tuple[DataFrame, int]:
+    """Write the survivors to a new path: the table as it is now, and how many went, counted in the same pass.
 
     Files are never rewritten in place: a failed job leaves the old table whole.
+    ``operators.deletes`` deletes without writing the survivors.
     """
-    before = df.count()
-    survivors(df, query).write.mode("errorifexists").parquet(path)
-    after = df.sparkSession.read.parquet(path)
-    return after, before - after.count()
+    seen = Observation()
+    counted = decided(df, query, tables).observe(seen, F.count_if("_matches").alias("gone"))
+    counted.where(~F.col("_matches")).drop("_matches").write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path), seen.get["gone"]
 
 
 def delete_model_records(tables: dict[str, DataFrame], model: str, now) -> dict[str, DataFrame]:
@@ -153,14 +150,17 @@ def slice_of(key: Column, low: int | None, high: int | None, slices: int) -> Col
 
 
 def range_scan(df: DataFrame, key: str, slices: int) -> DataFrame:
-    """The whole table split on key ranges, one range per task.
+    """The whole table with the range of the key each row lies in, as ``slice``; nothing is moved.
 
-    Boundaries come from a sample of the keys, so busy key regions get narrow
-    ranges, which equal-width slices do not.
+    Bounds come from a sample of the keys, so busy key regions get narrow
+    ranges, which equal-width slices do not. The number of ranges is about
+    ``slices``; rows without a key lie in the first.
     """
     if not 0 < slices < 9999:
         raise ValueError("slices is between 1 and 9998")
-    return df.repartitionByRange(slices, key)
+    cut = cut_of(df, [], [key], slices)
+    first = min((i + 1 for i, b in enumerate(cut.bounds) if b[0] != 2), default=1)
+    return with_slab(df, cut, name="slice").withColumn("slice", F.greatest(F.col("slice"), F.lit(first)) - first)
 
 
 def rejected_of_staging(rejected: DataFrame, source: str, fields: list[str]) -> DataFrame:

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from goldspan.functions.keys import join_same
 from goldspan.names import STAGING_TIE_BREAK
 from goldspan.operators.rules import Rule, errors_of
 from goldspan.operators.schema import spark_type
@@ -43,19 +44,25 @@ def merge_latest(
 
     Golden records are told apart by ``names.GOLDEN_TIE_BREAK`` instead.
 
-    Equal counters are settled by the remaining columns in name order, so the
-    result never depends on the order of arrival. It is an aggregate, not a
-    window: each task first reduces its own rows to one per id, and an id with
-    very many versions sends one row per task through the shuffle.
+    Equal counters are settled by the remaining columns in name order (the
+    greatest, nulls least, maps and the like by their JSON), so the result never
+    depends on the order of arrival. The greatest counter and how often it
+    occurs come from hash aggregates over id and counter alone; the records are
+    hashed to that, and only those that tie are sorted. An id with very many
+    versions, tied or not, is reduced in each task before it meets itself.
     """
     rest = sorted(c for c in df.columns if c not in (key, counter))
-    unordered = [c for c in rest if _holds_map(df.schema[c].dataType)]
-    ordered = F.struct(counter, *[c for c in rest if c not in unordered])
-    if unordered:
-        newest = F.max_by(F.struct(counter, *rest), ordered)  # maps have no order: they come along
-    else:
-        newest = F.max(ordered)
-    latest = df.groupBy(key).agg(newest.alias("_latest")).select(key, "_latest.*")
+    counts = df.groupBy(key, counter).agg(F.count(F.lit(1)).alias("_times"))
+    greatest = counts.groupBy(key).agg(F.max(counter).alias(counter))
+    top = join_same(counts, greatest, [key, counter]).hint("shuffle_hash")
+    alone, tied = (join_same(df, top.where(F.col("_times") == 1 if single else F.col("_times") > 1), [key, counter]).select(key, counter, *rest)
+                   for single in (True, False))
+    order = [(F.to_json(F.struct(c)) if _holds_map(df.schema[c].dataType) else F.col(c)).desc_nulls_last() for c in rest]
+    plain = [c for c in rest if not _holds_map(df.schema[c].dataType)]
+    salt = F.pmod(F.xxhash64(*plain), F.lit(32)) if plain else F.lit(0)
+    for by in ([key, salt], [key]):  # the first of each salt, then the first of those
+        tied = tied.withColumn("_nth", F.row_number().over(Window.partitionBy(*by).orderBy(*order or [F.lit(1)]))).where("_nth = 1").drop("_nth")
+    latest = alone.unionByName(tied)
     if deleted is not None:
         latest = latest.where(~F.coalesce(F.col(deleted), F.lit(False)))
     return latest.select(*df.columns)

@@ -385,8 +385,23 @@ def apply_filter(df: DataFrame, query, tables: Mapping[str, DataFrame] | None =
     opened once, and the sets that hold a value are joined back to the records.
     """
     search = as_search(query)
-    get = table_getter(df)
     columns = df.columns
+    out, condition_ = _joined(df, search, tables, joins=True)
+    return out.where(condition_).select(*[f"`{c}`" for c in columns]) if out.columns != columns else out.where(condition_)
+
+
+def decided(df: DataFrame, query, tables: Mapping[str, DataFrame] | None = None, name: str = "_matches") -> DataFrame:
+    """``df`` with whether each record matches the search; an undecided (null) match is none. See ``apply_filter``."""
+    out, condition_ = _joined(df, as_search(query), tables, joins=False)
+    return out.select(*[f"`{c}`" for c in df.columns], _surely(condition_).alias(name))
+
+
+def _joined(df: DataFrame, search: Search, tables: Mapping[str, DataFrame] | None, joins: bool) -> tuple[DataFrame, Column]:
+    """``df`` joined with the values that predicates take from other tables, and the condition that is left.
+
+    ``joins``: under must and must_not the joins drop the records themselves; else all are flagged.
+    """
+    get = table_getter(df)
 
     def values_of(p: Predicate, name: str) -> DataFrame:
         """The values to be joined with ``joined(p)``; for a nested path, the sets of values that hold one."""
@@ -407,32 +422,17 @@ def apply_filter(df: DataFrame, query, tables: Mapping[str, DataFrame] | None =
             raise ValueError(f"cannot evaluate {p.to_wire()}")
         return F.array_sort(F.array_distinct(F.array_compact(F.transform(get(p.path), lambda e: element_getter(e, p.path)(p.key)))))
 
-    plain = {part: [p for p in getattr(search, part) if p.values_query is None]
-             for part in ("must", "must_not")}
-    out = df
-    flags: dict[int, Column] = {}
-    for i, p in enumerate(search.must):
-        if p.values_query is not None:
-            name = f"_must_{i}"
-            out = out.join(values_of(p, name), joined(p) == F.col(name), "left_semi")
-    for i, p in enumerate(search.must_not):
-        if p.values_query is not None:
-            name = f"_must_not_{i}"
-            out = out.join(values_of(p, name), joined(p) == F.col(name), "left_anti")
-    for i, p in enumerate(search.should):
-        if p.values_query is not None:
-            name = f"_should_{i}"
-            out = out.join(values_of(p, name), joined(p) == F.col(name), "left")
-            flags[id(p)] = F.col(name).isNotNull()
-
-    rest = Search(plain["must"], plain["must_not"], search.should,
-                  minimum_should_match=search.minimum_should_match)
-
-    def test(p):
-        return flags[id(p)] if id(p) in flags else matches(p, get)
-
-    out = out.where(condition(rest, get, test))
-    return out.select(*[f"`{c}`" for c in columns]) if flags else out
+    out, flags = df, {}
+    for part, how in (("must", "left_semi"), ("must_not", "left_anti"), ("should", "left")):
+        for i, p in enumerate(getattr(search, part)):
+            if p.values_query is None:
+                continue
+            name = f"_{part}_{i}"
+            dropped = joins and part != "should"
+            out = out.join(values_of(p, name), joined(p) == F.col(name), how if dropped else "left")
+            flags[id(p)] = F.lit(part == "must") if dropped else F.col(name).isNotNull()
+
+    return out, condition(search, get, lambda p: flags[id(p)] if id(p) in flags else matches(p, get))
 
 
 # --- short forms --------------------------------------------------------------

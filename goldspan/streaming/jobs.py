@@ -3,16 +3,15 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Sequence
-from typing import NamedTuple
+from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from goldspan.operators.master import merge_latest
 from goldspan.operators.rules import Rule, errors_of
-from goldspan.session import path_exists, remove_path
+from goldspan.session import remove_path
+from goldspan.sources.manifest import Manifest, State
 from goldspan.streaming.sources import disk_backed_state, event_time, run_available, write_batch
 
 
@@ -28,76 +27,45 @@ def intake(stream: DataFrame, rules: Sequence[Rule], root: str, errors: str = "m
     return stream.sparkSession.read.parquet(f"{root}/records")
 
 
-class State(NamedTuple):
-    """What a latest-record table consists of: folders of the base and of the deltas behind it, and the last batch in them."""
-
-    version: int = 0
-    base: str | None = None
-    deltas: tuple[str, ...] = ()
-    last: int = -1
-
-
 class LatestTable:
     """The newest record per id of a stream.
 
     A micro-batch is reduced to its newest record per id and stored as a delta:
     a batch costs its own size, not the table's. Reading merges base and deltas;
-    ``compact`` folds the deltas into a new base.
-
-    A manifest names base, deltas and last batch. Each new version of it is one
-    file that appears in one rename, after what it names; so a reader, a restart
-    or a batch that is replayed finds the table as of some version, whatever
-    failed meanwhile. One stream feeds a table; it may be compacted at the same time.
+    ``compact`` folds the deltas into a new base. A manifest names the base, the
+    deltas behind it and the last batch that is in. One stream feeds a table; it
+    may be compacted at the same time.
     """
 
     def __init__(self, spark: SparkSession, root: str, key: str = "mdmId", counter: str = "mdmCounterForEntity",
                  deleted: str | None = "mdmDeleted"):
         self.spark, self.root = spark, root.rstrip("/")
         self.key, self.counter, self.deleted = key, counter, deleted
-
-    def _versions(self) -> list[State]:
-        """All versions that are still there; few, as compaction removes the older ones."""
-        folder = f"{self.root}/manifests"
-        if not path_exists(self.spark, folder):
-            return []
-        found = self.spark.read.schema("base string, deltas array<string>, last long, version int").json(folder).collect()
-        return sorted(State(r["version"], r["base"], tuple(r["deltas"]), r["last"]) for r in found)
+        self.manifest = Manifest(spark, f"{self.root}/manifests", "base string, deltas array<string>, last long", {"base": None, "deltas": [], "last": -1})
 
     def state(self) -> State:
-        return max(self._versions(), default=State())
-
-    def _publish(self, change: Callable[[State], State]) -> State:
-        """Writes the next version, made from the latest one; again, if another writer was faster."""
-        for _ in range(20):
-            before = self.state()
-            after = change(before)._replace(version=before.version + 1)
-            row = self.spark.createDataFrame([(after.base, list(after.deltas), after.last)], "base string, deltas array<string>, last long")
-            try:
-                row.coalesce(1).write.mode("errorifexists").json(f"{self.root}/manifests/version={after.version}")
-                return after
-            except AnalysisException as error:
-                if error.getCondition() != "PATH_ALREADY_EXISTS":
-                    raise
-                if self.state().version == before.version:  # a version that was begun and never ended
-                    remove_path(self.spark, f"{self.root}/manifests/version={after.version}")
-        raise RuntimeError(f"{self.root}: other writers were always faster")
+        return self.manifest.latest()[1]
 
     def feed(self, stream: DataFrame) -> None:
         def each(batch: DataFrame, batch_id: int) -> None:
-            if batch_id <= self.state().last:
+            if batch_id <= self.state()["last"]:
                 return  # replayed: it is in already
-            # deleted winners stay in the delta: they must beat older versions
-            newest = merge_latest(batch, self.key, self.counter, deleted=None)
-            folder = f"deltas/{batch_id}-{uuid.uuid4().hex[:8]}"
-            newest.write.parquet(f"{self.root}/{folder}")
-            self._publish(lambda s: s._replace(deltas=(*s.deltas, folder), last=batch_id))
+            batch.persist()  # the merge reads it several times
+            try:
+                # deleted winners stay in the delta: they must beat older versions
+                newest = merge_latest(batch, self.key, self.counter, deleted=None)
+                folder = f"deltas/{batch_id}-{uuid.uuid4().hex[:8]}"
+                newest.write.parquet(f"{self.root}/{folder}")
+            finally:
+                batch.unpersist()
+            self.manifest.publish(lambda s: {**s, "deltas": [*s["deltas"], folder], "last": batch_id})
 
         run_available(stream, each, f"{self.root}/checkpoint")
 
     def _rows(self, state: State) -> DataFrame:
-        if state.version == 0:
+        parts = [f"{self.root}/{f}" for f in (state["base"], *state["deltas"]) if f]
+        if not parts:
             raise ValueError(f"{self.root} has not been fed yet")
-        parts = [f"{self.root}/{f}" for f in (state.base, *state.deltas) if f]
         return self.spark.read.parquet(*parts)
 
     def read(self) -> DataFrame:
@@ -109,17 +77,17 @@ class LatestTable:
         What the state before this one consists of stays, for readers that have
         begun; what only older versions name is removed, and those versions too.
         """
-        old = self._versions()
-        before = max(old, default=State())
+        old = self.manifest.versions()
+        number, before = self.manifest.latest()
         folder = f"bases/{uuid.uuid4().hex[:8]}"
         merge_latest(self._rows(before), self.key, self.counter, deleted=None).write.parquet(f"{self.root}/{folder}")
-        after = self._publish(lambda s: s._replace(base=folder, deltas=tuple(d for d in s.deltas if d not in before.deltas)))
-        needed = {f for s in (before, after) for f in (s.base, *s.deltas)}
-        for state in old:
-            if state.version < before.version:
-                for name in {state.base, *state.deltas} - needed - {None}:
+        _, after = self.manifest.publish(lambda s: {**s, "base": folder, "deltas": [d for d in s["deltas"] if d not in before["deltas"]]})
+        needed = {f for s in (before, after) for f in (s["base"], *s["deltas"])}
+        for version, state in old.items():
+            if version < number:
+                for name in {state["base"], *state["deltas"]} - needed - {None}:
                     remove_path(self.spark, f"{self.root}/{name}")
-                remove_path(self.spark, f"{self.root}/manifests/version={state.version}")
+                self.manifest.remove(version)
         return after
 
 

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from goldspan.operators import controls as q
+from goldspan.operators.deletes import DeletableTable, FoldedMeanwhile
 from goldspan.plans.filters import Predicate, Search, between, has_type, term
 from goldspan.plans.named import bind_search, parameters, run_sql_template
 from goldspan.plans.request import aggregations, find
@@ -43,6 +44,11 @@ def test_range_scan_keeps_every_row(spark):
     df = spark.range(1000).selectExpr("id", "CASE WHEN id < 400 THEN 7 ELSE id END AS k")
     out = q.range_scan(df, "k", 10)
     assert out.count() == 1000 and out.select("id").distinct().count() == 1000
+    ranges = out.groupBy("slice").agg(F.min("k").alias("lo"), F.max("k").alias("hi"), F.count(F.lit(1)).alias("n")).orderBy("slice").collect()
+    assert [r["slice"] for r in ranges] == list(range(len(ranges))) and 5 < len(ranges) <= 11
+    assert all(a["hi"] < b["lo"] for a, b in zip(ranges, ranges[1:])) and max(r["n"] for r in ranges[1:]) < 250
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()  # nothing is moved
+    assert q.range_scan(df.limit(0), "k", 10).count() == 0
     with pytest.raises(ValueError):
         q.range_scan(df, "k", 9999)
 
@@ -162,3 +168,89 @@ def test_a_table_without_keys_has_no_slices(spark):
     df = spark.createDataFrame([(None,)], "id long")
     low, high = q.key_bounds(df, "id").first()
     assert df.select(q.slice_of(F.col("id"), low, high, 7).alias("s")).first()["s"] is None
+
+
+# --- deletes ------------------------------------------------------------------------------
+
+def by_values(values_field="c"):
+    return Predicate("TERMS_FILTER", "v", values_field=values_field, values_query=Search(must=[has_type("lists")]))
+
+
+@pytest.mark.parametrize("part", ["must", "must_not", "should"])
+def test_a_delete_takes_values_from_another_table(spark, folder, part):
+    df = spark.createDataFrame([(1, 5), (2, None), (3, 9), (4, 5), (5, 7)], "id int, v int")
+    lists = {"lists": spark.createDataFrame([(5,), (5,), (None,), (9,)], "c int")}
+    left, gone = q.delete_to(df, Search(**{part: [by_values()]}), folder, lists)
+    doomed = {"must": {1, 3, 4}, "should": {1, 3, 4}, "must_not": {2, 5}}[part]
+    assert {r["id"] for r in left.collect()} == {1, 2, 3, 4, 5} - doomed and gone == len(doomed)
+    assert left.columns == ["id", "v"]
+    table = DeletableTable(spark, folder + "-marked")
+    table.append(df)
+    assert table.delete(Search(**{part: [by_values()]}), lists) == len(doomed)
+    assert {r["id"] for r in table.read().collect()} == {1, 2, 3, 4, 5} - doomed
+
+
+def test_deletes_by_marks(spark, folder):
+    table = DeletableTable(spark, folder)
+    with pytest.raises(ValueError, match="no records"):
+        table.read()
+    table.append(spark.range(100).select("id", (F.col("id") % 10).alias("v")).repartition(3))
+    assert table.delete(term("v", 3)) == 10 and table.delete(term("v", 3)) == 0  # they are gone already
+    table.append(spark.range(100, 110).select("id", F.lit(3).cast("long").alias("v"), F.lit("x").alias("more")))
+    assert table.read().where("v = 3").count() == 10 and table.read().count() == 100
+    assert table.delete(between("id", 50, 104)) == 50
+    expected = [i for i in range(110) if i < 50 and i % 10 != 3 or i > 104]
+    assert sorted(r["id"] for r in table.read().collect()) == expected
+    before = table.read()
+    table.fold()
+    assert sorted(r["id"] for r in table.read().collect()) == sorted(r["id"] for r in before.collect()) == expected
+    assert table.manifest.latest()[1]["marks"] == [] and len(table.manifest.latest()[1]["parts"]) == 1
+    table.append(spark.range(1).select("id", F.lit(9).cast("long").alias("v")))
+    assert table.delete(term("v", 9)) == 1 + len([i for i in expected if i % 10 == 9 and i < 50])
+    table.fold()
+    table.fold()
+    assert table.read().where("v = 9").count() == 0 and len(table.manifest.versions()) == 2
+
+
+def test_a_delete_that_dies_deletes_nothing(spark, folder, monkeypatch):
+    from goldspan.sources.manifest import Manifest
+    table = DeletableTable(spark, folder)
+    table.append(spark.range(10))
+    with monkeypatch.context() as m:
+        m.setattr(Manifest, "publish", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            table.delete(between("id", 0, 4))
+    assert table.read().count() == 10 and table.delete(between("id", 0, 4)) == 5
+
+
+def test_a_fold_that_is_overtaken_by_a_delete_is_made_again(spark, folder, monkeypatch):
+    table = DeletableTable(spark, folder)
+    table.append(spark.range(10))
+    table.delete(term("id", 1))
+    live = DeletableTable._live
+
+    def slow(self, state):
+        monkeypatch.setattr(DeletableTable, "_live", live)
+        DeletableTable(spark, folder).delete(term("id", 2))
+        return live(self, state)
+
+    monkeypatch.setattr(DeletableTable, "_live", slow)
+    with pytest.raises(FoldedMeanwhile):
+        table.fold()
+    assert table.read().count() == 8
+    table.fold()
+    assert table.read().count() == 8
+
+
+def test_a_delete_reads_the_table_once(spark, folder):
+    """The survivors are counted where they are written."""
+    spark.range(1000).write.parquet(folder)
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+
+    df = spark.read.parquet(folder).mapInPandas(count, "id long")
+    assert q.delete_to(df, between("id", 0, 99), folder + "-left")[1] == 100 and seen.value == 1000

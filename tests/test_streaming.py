@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from goldspan.operators.rules import Rule
 from goldspan.session import path_exists, workspace
+from goldspan.sources.manifest import Manifest
 from goldspan.streaming import jobs
 from goldspan.streaming.sources import run_available, stream_of, write_batch
 from goldspan.streaming.subscription import Subscription
@@ -72,10 +73,10 @@ def test_latest_table(spark, folder):
     before = table().read()
     table().compact()
     assert rows(table().read()) == rows(before) == [("a", 2, False), ("d", 1, False)]  # also for a reader that has begun
-    assert table().state().deltas == () and table().state().last == 1
+    assert table().state()["deltas"] == [] and table().state()["last"] == 1
     send(spark, folder, [("c", 10, False)], VERSIONS)
     table().feed(stream_of(spark, folder))
-    assert len(table().state().deltas) == 1
+    assert len(table().state()["deltas"]) == 1
     want = [("a", 2, False), ("c", 10, False), ("d", 1, False)]
     assert rows(table().read()) == want
     table().compact()
@@ -96,10 +97,10 @@ def test_compaction_removes_what_it_covers(spark, folder):
         if i % 2:
             table.compact()
     state = table.state()
-    assert state.deltas == () and state.last == 5 and table.read().count() == 7
+    assert state["deltas"] == [] and state["last"] == 5 and table.read().count() == 7
     # the base, and what the state before the last compaction consisted of: a base and two deltas
-    assert len(files(spark, root)) == 4 and f"/{state.base}" in files(spark, root)
-    assert len(table._versions()) == 2
+    assert len(files(spark, root)) == 4 and f"/{state['base']}" in files(spark, root)
+    assert len(table.manifest.versions()) == 2
 
 
 def test_a_delta_that_was_not_published_is_not_read(spark, folder, monkeypatch):
@@ -110,7 +111,7 @@ def test_a_delta_that_was_not_published_is_not_read(spark, folder, monkeypatch):
     table.feed(stream_of(spark, folder))
     send(spark, folder, [("a", 2, False), ("b", 1, False)], VERSIONS)
     with monkeypatch.context() as m:
-        m.setattr(jobs.LatestTable, "_publish", lambda self, change: (_ for _ in ()).throw(OSError("lost")))
+        m.setattr(Manifest, "publish", lambda self, change: (_ for _ in ()).throw(OSError("lost")))
         with pytest.raises(Exception):
             table.feed(stream_of(spark, folder))
     assert rows(table.read()) == [("a", 1, False)] and len(files(spark, root)) == 2
@@ -118,7 +119,7 @@ def test_a_delta_that_was_not_published_is_not_read(spark, folder, monkeypatch):
     assert rows(table.read()) == [("a", 2, False), ("b", 1, False)]
     published = table.state()
     with monkeypatch.context() as m:  # a batch that ended but whose end the checkpoint does not know
-        m.setattr(jobs, "run_available", lambda stream, each, *a: each(spark.createDataFrame([("z", 9, False)], VERSIONS), published.last))
+        m.setattr(jobs, "run_available", lambda stream, each, *a: each(spark.createDataFrame([("z", 9, False)], VERSIONS), published["last"]))
         table.feed(None)
     assert table.state() == published
 
@@ -139,10 +140,10 @@ def test_two_writers_of_a_version(spark, folder, monkeypatch):
 
     monkeypatch.setattr(jobs, "merge_latest", slow)
     table.compact()
-    assert rows(table.read()) == [("a", 1, False), ("b", 1, False)] and len(table.state().deltas) == 1
-    spark.range(0).write.json(f"{root}/manifests/version={table.state().version + 1}")
+    assert rows(table.read()) == [("a", 1, False), ("b", 1, False)] and len(table.state()["deltas"]) == 1
+    spark.range(0).write.json(f"{root}/manifests/version={table.manifest.latest()[0] + 1}")
     table.compact()
-    assert table.state().deltas == () and rows(table.read()) == [("a", 1, False), ("b", 1, False)]
+    assert table.state()["deltas"] == [] and rows(table.read()) == [("a", 1, False), ("b", 1, False)]
 
 
 def test_three_files_come_in_three_batches(spark, folder):
