@@ -28,12 +28,15 @@ from goldspan.llm.kept import kept
 from goldspan.llm.vocabulary import PIECE, PLAIN, UnitMemo, Vocabulary, strides, vocabulary
 from goldspan.session import stored
 
+CHUNK = 16_384  # characters encoded at a time
+
 
 class IdsByUnit:
     """The ids of texts as little-endian unsigned 32-bit numbers.
 
-    Units are encoded by a rank table with the same merges; those with unusual
-    characters or special strings by the file's own library.
+    Texts are encoded whole by a rank table with the same merges. Those with
+    unusual characters or special strings go unit by unit, and the units that
+    have them through the file's own library.
     """
 
     def __init__(self, words: Vocabulary):
@@ -54,9 +57,32 @@ class IdsByUnit:
         return [own[by_rank(u)].tobytes() if p and u else np.array(next(rest).ids, "<u4").tobytes() if not p else b""
                 for u, p in zip(units, plain)]
 
+    def is_plain(self, text: str) -> bool:
+        return bool(PLAIN.fullmatch(text)) and not any(s in text for s in self.words.special)
+
+    def whole(self, text: str) -> bytes:
+        """Of a plain text, some thousand characters at a time: cut where a single space opens a word, which begins a piece."""
+        parts, at = [], 0
+        while len(text) - at > CHUNK:
+            end = text.find(" ", at + CHUNK)
+            while 0 <= end and (text[end - 1].isspace() or text[end + 1:end + 2].isspace() or end + 1 == len(text)):
+                end = text.find(" ", end + 1)
+            if end < 0:
+                break
+            parts.append(text[at:end])
+            at = end
+        found = [self.ranked.encode_to_numpy(part, disallowed_special=()) for part in [*parts, text[at:]] if part]
+        return self.id_of_rank[np.concatenate(found)].tobytes() if found else b""
+
     def encode(self, texts: list[str]) -> Iterator[bytes]:
-        for first, rest in self.memo.values(texts):
-            yield first + b"".join(rest)
+        plain = [self.is_plain(t) for t in texts]
+        others = self.memo.values([t for t, p in zip(texts, plain) if not p])
+        for text, p in zip(texts, plain):
+            if p:
+                yield self.whole(text)
+            else:
+                first, rest = next(others)
+                yield first + b"".join(rest)
 
 
 NUMBERS = {"_slab": "long", "_nth": "long"}
