@@ -55,9 +55,18 @@ def preference_pairs(df: DataFrame, chosen: str = "chosen", rejected: str = "rej
     role's texts and their closing markers. ``n_prompt_turns`` counts the shared
     turns. A pair whose conversations are equal, or of which one is null, states
     no preference and is left out; if one is the start of the other, its
-    completion is empty. An empty table gives an empty one.
+    completion is empty. A null role is ``user``, a null text empty, and a null
+    turn is both. An empty table gives an empty one, repeated rows are rendered
+    each for itself. Columns that have the name of a new one are refused.
     """
-    a, b = F.col(chosen), F.col(rejected)
+    taken = {"prompt", "n_prompt_turns", "chosen_text", "rejected_text", "chosen_mask", "rejected_mask"} & set(df.columns)
+    if taken:
+        raise ValueError(f"columns {sorted(taken)} are there already")
+    def whole(t: Column) -> Column:
+        return F.struct(F.coalesce(t["role"], F.lit("user")).alias("role"), F.coalesce(t["text"], F.lit("")).alias("text"))
+
+    df = df.withColumns({"_a": F.transform(chosen, whole), "_b": F.transform(rejected, whole)})
+    a, b = F.col("_a"), F.col("_b")
     shorter = F.least(F.size(a), F.size(b))
     places = F.when(shorter > 0, F.sequence(F.lit(1), shorter)).otherwise(F.array().cast("array<int>"))
     differs = F.filter(places, lambda i: F.element_at(a, i) != F.element_at(b, i))
@@ -68,7 +77,7 @@ def preference_pairs(df: DataFrame, chosen: str = "chosen", rejected: str = "rej
     return cut.withColumns({
         "prompt": _text(F.col("_prompt")), "chosen_text": _text(F.col("_chosen")), "chosen_mask": _spans(F.col("_chosen"), trained),
         "rejected_text": _text(F.col("_rejected")), "rejected_mask": _spans(F.col("_rejected"), trained),
-    }).drop("_prompt", "_chosen", "_rejected")
+    }).drop("_prompt", "_chosen", "_rejected", "_a", "_b")
 
 
 def swapped_replies(df: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from goldspan.llm.graph import components
-from goldspan.llm.vectors import dimension, is_whole, matrix, sample, unpack
+from goldspan.llm.vectors import is_whole, matrix, sample, unpack, widths
 from goldspan.session import stored
 
 TREES = 6
@@ -97,10 +98,10 @@ def near_copies(df: DataFrame, least: float, ident: str = "vec_id", vector: str
     """``vec_id``, ``n_links``, ``component_id``, ``kept``: one row per row of ``df``.
 
     Only vectors with equal labels that are not null are compared, by cosine in
-    double precision; pairs with cosine of at least ``least`` link. Vectors that
-    are null, zero, empty, hold a null or non-finite component, or whose length
-    is not that of the vector with the least id link with nothing, nor do rows
-    without id. Equal vectors of a label are one class, compared once, so repeated
+    double precision; pairs with cosine of at least ``least`` link. Vectors meet
+    those of their own length: each length has its own forest. Vectors that are
+    null, zero, empty or hold a null or non-finite component link with nothing,
+    nor do rows without id. Equal vectors of a label are one class, compared once, so repeated
     rows are copies of each other; rows that share an id but not the vector each
     have the links of their own vector. ``n_links`` counts other rows linked directly, each once,
     however many leaves hold the pair. ``component_id`` is the least id
@@ -111,9 +112,15 @@ def near_copies(df: DataFrame, least: float, ident: str = "vec_id", vector: str
     for the measured recall). A leaf of any size is compared whole, in blocks.
     """
     rows = df.select(F.col(ident).cast("long").alias("_id"), F.col(vector).cast("array<double>").alias("_v"), F.col(label).cast("long").alias("_label"))
-    _, width = dimension(rows.where(F.col("_id").isNotNull()), "_v", "_id")
-    usable = is_whole("_v") & F.col("_id").isNotNull() & F.col("_label").isNotNull() & (F.size("_v") == width) \
-        & F.exists("_v", lambda x: x != 0)
+    usable = is_whole("_v") & F.col("_id").isNotNull() & F.col("_label").isNotNull() & F.exists("_v", lambda x: x != 0)
+    alone = rows.where(~F.coalesce(usable, F.lit(False))).select("_id", F.lit(0).cast("long").alias("n_links"), F.col("_id").alias("component_id"))
+    parts = [_linked(rows.where(usable & (F.size("_v") == width)), width, least) for width in widths(rows.where(usable), "_v")]
+    return reduce(DataFrame.unionByName, parts, alone).select(
+        F.col("_id").alias("vec_id"), "n_links", "component_id", (F.col("_id") == F.col("component_id")).alias("kept"))
+
+
+def _linked(rows: DataFrame, width: int, least: float) -> DataFrame:
+    """``_id``, ``n_links``, ``component_id`` of vectors of one length."""
 
     def keyed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -122,7 +129,7 @@ def near_copies(df: DataFrame, least: float, ident: str = "vec_id", vector: str
             yield pd.DataFrame({"_id": batch["_id"], "_label": batch["_label"], "_x": packed,
                                 "_key": [hashlib.blake2b(p, digest_size=16).digest() for p in packed]})
 
-    members = stored(rows.where(usable).mapInPandas(keyed, "_id long, _label long, _x binary, _key binary"), "vectors")
+    members = stored(rows.mapInPandas(keyed, "_id long, _label long, _x binary, _key binary"), "vectors")
     # a crowded vector becomes one row in each task before the shuffle
     classes = stored(members.groupBy("_label", "_key").agg(
         F.min("_id").alias("_id"), F.count(F.lit(1)).alias("_n"), F.first("_x").alias("_x")), "classes")
@@ -192,11 +199,7 @@ def near_copies(df: DataFrame, least: float, ident: str = "vec_id", vector: str
         .join(of_classes.select(F.col("node").alias("_class"), "component"), "_class", "left") \
         .select("_label", "_key", (F.coalesce("_links", F.lit(0)) + F.col("_n") - 1).alias("n_links"),
                 F.coalesce("component", "_class").alias("component_id"))
-    linked = members.select("_id", "_label", "_key").join(per_class, ["_label", "_key"]).select("_id", "n_links", "component_id")
-    alone = rows.where(~F.coalesce(usable, F.lit(False))).select("_id", F.lit(0).cast("long").alias("n_links"), F.col("_id").alias("component_id"))
-    return linked.unionByName(alone).select(F.col("_id").alias("vec_id"), "n_links", "component_id",
-                                            (F.col("_id") == F.col("component_id")).alias("kept"))
-
+    return members.select("_id", "_label", "_key").join(per_class, ["_label", "_key"]).select("_id", "n_links", "component_id")
 
 
 SQL = """

@@ -9,13 +9,14 @@ their caps until no cap reaches the k-th best score, so none is missed.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from goldspan.llm.vectors import dimension, is_whole, matrix, sample, unpack
+from goldspan.llm.vectors import is_whole, matrix, sample, unpack, widths
 
 PIVOTS = 48
 SAMPLE = 2_048  # rows from which pivots are chosen and first thresholds taken
@@ -77,16 +78,25 @@ def top_k(df: DataFrame, k: int, every: int, ident: str = "vec_id", vector: str
     Queries are the rows whose id is divisible by ``every``; candidates are all
     rows but those with the query's own id. A component x counts as
     floor(``scale`` * x). Ties go to the smaller id; with fewer candidates all
-    are returned. Vectors that are null, empty, hold a null or non-finite
-    component, or whose length is not that of the vector with the least id take
-    no part, nor do rows without id. Rows with the same id are separate
-    candidates. Scores beyond 64 bits are set to the nearest 64-bit number.
+    are returned. Vectors meet those of their own length: each length has its
+    own pivots. Vectors that are null, empty or hold a null or non-finite
+    component take no part, nor do rows without id. Rows with the same id are
+    separate candidates. Scores beyond 64 bits are set to the nearest 64-bit number.
     Other columns are not used; an empty table gives an empty result.
     """
-    spark = df.sparkSession
-    many, width = dimension(df.where(F.col(ident).isNotNull()), vector, ident)
-    whole = df.where(F.col(ident).isNotNull() & is_whole(vector) & (F.size(vector) == width)) \
+    whole = df.where(F.col(ident).isNotNull() & is_whole(vector)) \
         .select(F.col(ident).cast("long").alias("_id"), F.col(vector).cast("array<double>").alias("_v"))
+    parts = [_found(whole.where(F.size("_v") == width), many, width, k, every, scale) for width, many in widths(whole, "_v").items()]
+    if not parts:
+        return df.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    found = reduce(DataFrame.unionByName, parts)
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _found(whole: DataFrame, many: int, width: int, k: int, every: int, scale: float) -> DataFrame:
+    """For each query of one length its best rows within each block: ``query_id``, ``vec_id``, ``score``."""
+    spark = whole.sparkSession
     seen = sample(whole, "_id", SAMPLE)
     seen_rows = np.floor(scale * matrix(seen["_v"])).reshape(len(seen), width)
     seen_ids = seen["_id"].to_numpy(np.int64)
@@ -137,9 +147,7 @@ def top_k(df: DataFrame, k: int, every: int, ident: str = "vec_id", vector: str
                     out += [(q_ids[at + i], a, b) for a, b in zip(got, score)]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype("int64")
 
-    found = queries.groupBy("_c", "_q").cogroup(rows.groupBy("_c", "_q")).applyInPandas(cell, "query_id long, vec_id long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return queries.groupBy("_c", "_q").cogroup(rows.groupBy("_c", "_q")).applyInPandas(cell, "query_id long, vec_id long, score long")
 
 
 SQL = """

@@ -1,4 +1,4 @@
-"""Vectors that can be compared: not null, of one length, all components finite."""
+"""Vectors that can be compared with others of their length: not null, all components finite."""
 
 from __future__ import annotations
 
@@ -15,10 +15,10 @@ def is_whole(vector: str) -> Column:
     return value.isNotNull() & (F.size(value) > 0) & ~F.coalesce(odd, F.lit(True))
 
 
-def dimension(df: DataFrame, vector: str, ident: str) -> tuple[int, int]:
-    """Number of vectors and their length: that of the one with the least id."""
-    found = df.where(is_whole(vector)).agg(F.count(F.lit(1)), F.min_by(F.size(vector), F.col(ident))).first()
-    return found[0], found[1] or 0
+def widths(df: DataFrame, vector: str) -> dict[int, int]:
+    """How many vectors there are of each length; one row for each length comes to the driver."""
+    found = df.where(is_whole(vector)).groupBy(F.size(vector).alias("width")).agg(F.count(F.lit(1)).alias("many")).collect()
+    return {r["width"]: r["many"] for r in sorted(found)}
 
 
 def sample(df: DataFrame, ident: str, rows: int) -> pd.DataFrame:

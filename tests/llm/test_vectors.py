@@ -90,3 +90,25 @@ def test_components(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(60, 50), (50, 60), (70, 70), (None, 1)], "a long, b long")
     got = {r["node"]: r["component"] for r in components(links, "a", "b").collect()}
     assert got == {**{i: 0 for i in range(1, 41)}, 60: 50}
+
+
+def test_vectors_of_each_length_meet(spark, monkeypatch):
+    """One vector of another length at the least id, a second length with pairs of its own, and a lone one."""
+    monkeypatch.setattr(neighbours, "LEAF", 16)
+    rng = np.random.default_rng(1)
+    plane = [(i, [1.0, float(np.float32(0.001 * i))], 0, 0.0) for i in range(1, 120)]
+    space = [(i, [float(x) for x in rng.normal(size=3).astype(np.float32)], 0, 0.0) for i in (0, 200, 250, 300)] + [(301, [1.0, 2.0, 3.0], 1, 0.0), (302, [2.0, 4.0, 6.0], 1, 0.0)]
+    rows = [*plane, *space, (400, [1.0] * 5, 0, 0.0)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    usable = [(i, [math.floor(256 * x) for x in v]) for i, v, _, _ in rows]
+    want = []
+    for q, v in usable:
+        if q % 50 == 0:
+            best = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in usable if i != q and len(w) == len(v))[:5]
+            want += [(q, r + 1, i, -s) for r, (s, i) in enumerate(best)]
+    assert sorted(tuple(r) for r in search.top_k(df, 5, 50).collect()) == sorted(want)
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in neighbours.near_copies(df, 0.98).collect()}
+    links = {i: [j for j, w, m, _ in rows if j != i and m == l and len(w) == len(v) and
+                 np.dot(v, w) / math.sqrt(np.dot(v, v) * np.dot(w, w)) >= 0.98] for i, v, l, _ in rows}
+    assert {i: n for i, (n, _) in got.items()} == {i: len(x) for i, x in links.items()}
+    assert got[302] == (1, 301) and got[1][0] > 100 and got[400] == (0, 400)
