@@ -11,6 +11,7 @@ from goldspan.operators import master as m
 from goldspan.operators import envelope, opslog
 from goldspan.operators.rules import Rule, errors_of
 from goldspan.operators.sinks import write_validated
+from goldspan.plans.filters import Predicate, Search, has_type, term
 from goldspan.session import workspace
 
 
@@ -144,6 +145,22 @@ def _(t: Tables):
     return rows.groupBy("record_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
 
 
+@job("mdm_reprocess_filter", """
+WITH r AS (SELECT o_orderkey, o_totalprice, o_orderpriority, CASE o_orderstatus WHEN 'P' THEN 'Rejected' ELSE 'Golden' END AS kind,
+             o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING') AS picked FROM orders)
+SELECT CASE WHEN NOT picked THEN kind WHEN o_totalprice > 200000 OR o_orderpriority = '5-LOW' THEN 'Rejected' ELSE 'Golden' END AS kind,
+  count(*) AS n, round(sum(o_totalprice), 2) AS total FROM r GROUP BY 1""")
+def _(t: Tables):
+    """Orders of some customers, golden and rejected alike, are checked by new rules and move to where they belong now."""
+    tables = {"orderGolden": t.orders.where("o_orderstatus <> 'P'"), "orderRejected": t.orders.where("o_orderstatus = 'P'"), "customer": t.customer}
+    segment = Search(must=[has_type("customer"), term("c_mktsegment", "BUILDING")])
+    picked = Search(must=[Predicate("TERMS_FILTER", "o_custkey", values_field="c_custkey", values_query=segment)])
+    rules = [Rule("VALUE_COMPARE", "o_totalprice", (">", 200000.0)), Rule("EQUALS", "o_orderpriority", ("5-LOW",))]
+    after = m.reprocess_model(tables, "order", rules, query=picked)
+    both = after.golden.select("o_totalprice", F.lit("Golden").alias("kind")).unionByName(after.rejected.select("o_totalprice", F.lit("Rejected").alias("kind")))
+    return both.groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+
+
 @job("mdm_reject_report", f"""WITH {CHECKED_SQL} SELECT c_mktsegment, error, count(*) AS n FROM
      (SELECT c_mktsegment, unnest(string_split(errors, ';')) AS error FROM checked WHERE errors <> '') GROUP BY 1, 2""")
 def _(t: Tables):

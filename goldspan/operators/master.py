@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -13,6 +14,8 @@ from goldspan.functions.keys import join_same
 from goldspan.names import STAGING_TIE_BREAK
 from goldspan.operators.rules import Rule, errors_of
 from goldspan.operators.schema import spark_type
+from goldspan.plans.filters import decided
+from goldspan.session import workspace
 
 
 def duplicate_keys(df: DataFrame, crosswalk: Sequence[str]) -> DataFrame:
@@ -115,6 +118,52 @@ def reprocess_records(tables: Mapping[str, DataFrame], model: str, record_type:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+class Reprocessed(NamedTuple):
+    """Records that pass now and those that do not (with their errors), each with the ``record_type`` it had, and the
+    model's tables afterwards."""
+
+    accepted: DataFrame
+    failed: DataFrame
+    golden: DataFrame
+    rejected: DataFrame
+
+
+def reprocess_model(
+    tables: Mapping[str, DataFrame], model: str, rules: Sequence[Rule], copy_or_move: str = "move", record_type: str = "ALL",
+    query=None, errors: str = "mdmErrors",
+) -> Reprocessed:
+    """Check a model's Golden or Rejected records, or both, again; ``query`` picks those it matches.
+
+    A move takes the picked records out of their tables: what passes is golden
+    afterwards, what does not is rejected. A copy leaves both tables as they
+    are. The query may take values from other ``tables``. The rules run once:
+    the records are stored by outcome, and every result is read from there.
+    """
+    if copy_or_move not in ("copy", "move"):
+        raise ValueError("copy_or_move is copy or move")
+    other = {"Golden": "Rejected", "Rejected": "Golden"}.get(record_type)
+    rows = reprocess_records(tables, model, record_type)
+    old = f"{errors}_before"
+    rows = rows.withColumnRenamed(errors, old) if errors in rows.columns else rows.withColumn(old, F.lit(None).cast("array<string>"))
+    picked = decided(rows, query, tables, "_picked") if query is not None else rows.withColumn("_picked", F.lit(True))
+    checked = errors_of(picked, rules, errors)
+    outcome = F.when(~F.col("_picked"), "left").when(F.size(errors) > 0, "failed").otherwise("accepted")
+    path = workspace(rows.sparkSession, "reprocess")
+    settled = checked.withColumn("outcome", outcome).drop("_picked")
+    settled.write.partitionBy("outcome").parquet(path)
+    stored_ = rows.sparkSession.read.schema(settled.schema).parquet(path)
+    part = lambda name: stored_.where(F.col("outcome") == name).drop("outcome")
+    accepted, failed = part("accepted").drop(errors, old), part("failed").drop(old)
+    if copy_or_move == "copy":
+        return Reprocessed(accepted, failed, tables[model + "Golden"], tables[model + "Rejected"])
+    stay = {k: part("left").where(F.col("record_type") == k).drop("record_type", errors).withColumnRenamed(old, errors) for k in ("Golden", "Rejected")}
+    if other:
+        stay[other] = tables[model + other]
+    golden = stay["Golden"].drop(errors).unionByName(accepted.drop("record_type"), allowMissingColumns=True)
+    rejected = stay["Rejected"].unionByName(failed.drop("record_type"), allowMissingColumns=True)
+    return Reprocessed(accepted, failed, golden, rejected)
+
+
 def reject_report(rejected: DataFrame, by: Sequence[str] = (), errors: str = "mdmErrors") -> DataFrame:
     return rejected.select(*by, F.explode(errors).alias("error")).groupBy(*by, "error").agg(
         F.count(F.lit(1)).alias("n"))

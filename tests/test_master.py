@@ -7,6 +7,7 @@ from goldspan.functions import taxid
 from goldspan.operators import envelope, opslog
 from goldspan.operators import master as m
 from goldspan.operators.rules import LOOKUPS, RULES, Rule, errors_of, fires
+from goldspan.plans.filters import Predicate, Search, has_type
 from goldspan.names import GOLDEN_METADATA, GOLDEN_TIE_BREAK, REJECTED_COLUMNS, STAGING_METADATA
 
 from conftest import rows
@@ -206,3 +207,27 @@ def test_task_rollup(spark):
     assert rows(out) == [("a", "COMPLETED", 1, False, True), ("b", "CANCELED", 2, True, True), ("c", "RUNNING", 0, False, False)]
     assert rows(opslog.all_done(out)) == [(3, 1, 1, False)]
     assert rows(opslog.all_done(out.where("task <> 'c'"))) == [(2, 1, 1, True)]
+
+
+@pytest.mark.parametrize("record_type, picked", [("ALL", {1, 2, 3, 11, 12}), ("Golden", {1, 2, 3}), ("Rejected", {11, 12})])
+def test_reprocess_a_model(spark, record_type, picked):
+    golden = spark.createDataFrame([(1, 5), (2, 50), (3, None), (4, 50)], "id int, v int")
+    rejected = spark.createDataFrame([(11, 5, ["OLD:v"]), (12, 60, ["OLD:v"]), (13, 5, ["OLD:v"])], "id int, v int, mdmErrors array<string>")
+    tables = {"mGolden": golden, "mRejected": rejected, "lists": spark.createDataFrame([(1,), (2,), (3,), (11,), (12,)], "k int")}
+    rules = [Rule("VALUE_COMPARE", "v", (">", 10))]
+    wanted = Search(must=[Predicate("TERMS_FILTER", "id", values_field="k", values_query=Search(must=[has_type("lists")]))])
+    out = m.reprocess_model(tables, "m", rules, "move", record_type, wanted)
+    values = {1: 5, 2: 50, 3: None, 4: 50, 11: 5, 12: 60, 13: 5}
+    bad = {i for i in picked if (values[i] or 0) > 10}
+    assert {r["id"]: r["record_type"] for r in out.accepted.collect()} == {i: "Golden" if i < 10 else "Rejected" for i in picked - bad}
+    assert {r["id"]: r["mdmErrors"] for r in out.failed.collect()} == {i: ["VALUE_COMPARE:v"] for i in bad}
+    assert out.golden.columns == ["id", "v"] and {r["id"] for r in out.golden.collect()} == ({1, 2, 3, 4} - picked) | (picked - bad)
+    after = {r["id"]: r["mdmErrors"] for r in out.rejected.collect()}
+    assert after == {**{i: ["OLD:v"] for i in {11, 12, 13} - picked}, **{i: ["VALUE_COMPARE:v"] for i in bad}}
+    copied = m.reprocess_model(tables, "m", rules, "copy", record_type, wanted)
+    assert {r["id"] for r in copied.accepted.collect()} == picked - bad and {r["id"] for r in copied.failed.collect()} == bad
+    assert rows(copied.golden) == rows(golden) and rows(copied.rejected) == rows(rejected)
+    with pytest.raises(ValueError):
+        m.reprocess_model(tables, "m", rules, "swap")
+    everything = m.reprocess_model(tables, "m", [], record_type="ALL")
+    assert everything.golden.count() == 7 and everything.rejected.count() == 0

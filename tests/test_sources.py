@@ -261,3 +261,17 @@ def test_a_file_callback_keeps_the_order_of_the_file(spark, folder):
     spark.range(500).orderBy(F.desc("id")).coalesce(1).write.parquet(folder)
     first = map_files(spark.read.parquet(folder), lambda f: f.head(3))
     assert [r["id"] for r in first.collect()] == [499, 498, 497] and first.columns == ["id"]
+
+
+@pytest.mark.parametrize("values, kind", [
+    ([9007199254740993, 1.5], "decimal(38,1)"), ([9007199254740992, 1.5], "double"), ([9007199254740993, 1e-30], "string"), ([2 ** 63, 1], "decimal(38,0)"),
+    ([10 ** 40, 1], "string"), ([-(2 ** 63), 2 ** 53 + 1], "bigint"), ([1, 0.25, None], "double"), ([10 ** 400, 1.5], "string"), ([2 ** 60 + 1, -0.001, None], "decimal(38,3)")])
+def test_whole_numbers_beside_doubles_keep_their_digits(spark, values, kind):
+    from decimal import Decimal
+    from goldspan.sources.records import records_frame
+    df = records_frame(spark, [{"i": i, "a": v, "in": {"l": [v]}} for i, v in enumerate(values)])
+    assert dict(df.dtypes)["a"] == kind and dict(df.select("in.l").dtypes)["l"] == f"array<{kind}>"
+    for r in df.collect():
+        want = values[r["i"]]
+        for got in (r["a"], r["in"]["l"][0]):
+            assert (got is None) == (want is None) and (want is None or Decimal(str(got)) == Decimal(repr(want)))
