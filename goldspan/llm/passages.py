@@ -188,17 +188,16 @@ def rewrite(df: DataFrame, carried: list[str], length: int = 13, ident: str = "d
     """The rows of ``df`` with shortened texts: ``carried`` columns, ``text``, ``n_chars``.
 
     As ``remove_passages``, but a text that loses no word is left as it is, with
-    its ``n_chars``, and a row that loses all its words goes.
+    its ``n_chars``, and one that loses all its words becomes empty.
     """
     schema = T.StructType([T.StructField("_text", T.StringType()), T.StructField("_changed", T.BooleanType()),
                            T.StructField("_more", T.StructType([T.StructField("_", T.IntegerType(), False),
                                                                 *(df.schema[c] for c in [*carried, n_chars])]))])
 
     def rows(found: pd.DataFrame, words, covered) -> pd.DataFrame:
-        keep = np.array([not (len(c) and c.all()) for c in covered], bool)
         texts = [_kept(w, c) if c.any() else t for w, c, t in zip(words, covered, found["_text"])]
         return pd.DataFrame({"_text": pd.Series(texts, dtype=object), "_changed": pd.Series([bool(c.any()) for c in covered], dtype=bool),
-                             "_more": found["_more"].to_numpy()}, columns=["_text", "_changed", "_more"])[keep]
+                             "_more": found["_more"].to_numpy()}, columns=["_text", "_changed", "_more"])
 
     found = _of_all(df, length, ident, text, [*carried, n_chars], rows, schema)
     size = F.when(F.col("_changed"), F.length("_text")).otherwise(F.col(f"_more.{n_chars}")).cast(df.schema[n_chars].dataType)
