@@ -44,8 +44,8 @@ def one_per_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the words of 13-word windows that also start in a document with a smaller id. Texts that
-    lose no word stay as they are, null ones too; a document that loses all of its words goes. ``n_chars`` is set
-    anew where the text changed."""
+    lose no word stay as they are, null ones too; a document that loses all of its words stays with an empty text.
+    ``n_chars`` is set anew where the text changed."""
     _small_batches(spark)
     others = [c for c in docs.columns if c not in ("text", "n_chars")]
     # a row's other columns travel as one, so rows that share an id are not mixed up
