@@ -239,8 +239,8 @@ def codes(df: DataFrame, ident: str = "vec_id", vector: str = "embedding", label
     """
     books = train(df, ident, vector)
     coded = stored(encode(df, books, ident, vector, label), "codes")
-    each = coded.groupBy("_label").agg(F.least(F.sum(F.col("error").cast("decimal(38,0)")), F.lit(GREATEST).cast("decimal(38,0)")).cast("long").alias("label_error")) \
-        .toDF("_of", "label_error")
+    total = F.sum(F.col("error").cast("decimal(38,0)"))
+    each = coded.groupBy("_label").agg(F.when(total > GREATEST, GREATEST).otherwise(total.cast("long")).alias("label_error")).toDF("_of", "label_error")
     digests = F.lit(None).cast("string")
     for width, book in books.items():
         digests = F.when(F.col("_width") == width, digest(book)).otherwise(digests)

@@ -71,7 +71,8 @@ def test_codes(spark, spread):
 
 
 def test_one_large_vector_among_small_ones(spark):
-    rows = [*vectors(40), (2000, [3.0e38] + [-1.0e30] * 31, 1, "x"), (-1, [2.0 ** 40 + 0.5] * 32, 1, "x")]
+    single = lambda v: [float(np.float32(x)) for x in v]
+    rows = [*vectors(40), (2000, single([3.0e38] + [-1.0e30] * 31), 1, "x"), (-1, single([2.0 ** 40 + 2.0 ** 18] * 32), 1, "x")]
     got = [tuple(r) for r in codes.codes(spark.createDataFrame(rows, SCHEMA)).collect()]
     assert sorted(got, key=key) == sorted(coded(rows), key=key)
 
@@ -83,6 +84,7 @@ def test_codes_by_length(spark):
     got = [tuple(r) for r in codes.codes(spark.createDataFrame(short + long + odd, SCHEMA)).collect()]
     want = [r[:3] + (r[4],) for r in coded(short) + coded(long)] + [(9000, None, None, None), (9001, None, None, None)]
     assert sorted((r[:3] + (r[4],) for r in got), key=key) == sorted(want, key=key)
+    assert all(r[3] is not None for r in got if r[1] is not None)
     labels = defaultdict(int)
     for r, label in [(r, {x[0]: x[2] for x in short + long if x[0] is not None}.get(r[0])) for r in got if r[0] is not None and r[2] is not None]:
         labels[label] += r[2]
@@ -124,7 +126,7 @@ def test_factor_one_is_exact(spark, monkeypatch):
     monkeypatch.setattr(vantage, "SHARD", 70)
     monkeypatch.setattr(vantage, "LEAF", 4)
     monkeypatch.setattr(vantage, "QUERY_BLOCK", 3)
-    rows = [(i, [x * (1 + (i or 0) % 5) for x in v] if v and whole(v) else v, label, c) for i, v, label, c in vectors(300, 6)]
+    rows = [(i, [float(np.float32(x * (1 + (i or 0) % 5))) for x in v] if v and whole(v) else v, label, c) for i, v, label, c in vectors(300, 6)]
     rows += [(20, rows[8][1], 0, "x"), (5000, [1.0, 2.0], 0, "x"), (5001, [1.0, 1.0], 0, "x"), (5002, [], 0, "x")]
     got = sorted(tuple(r) for r in vantage.nearest(spark.createDataFrame(rows, SCHEMA).selectExpr("*", "1 AS shard", "2 AS row"), 7, 10, 1.0).collect())
     want = best(rows, 7, 10)
