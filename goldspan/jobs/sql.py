@@ -10,6 +10,7 @@ from goldspan.jobs.base import Tables, job
 from goldspan.operators import windows
 from goldspan.operators.joins import interval_join, latest_before, left_join_many
 from goldspan.operators.sqlapi import TableCache, check_select, run_sql
+from goldspan.session import stored
 
 
 def sql_job(name: str, tables: str, text: str, twin: str | None = None) -> None:
@@ -181,7 +182,8 @@ def _(t: Tables):
     """Frames that start with the key's first row or end with its last one; the few event types are crowded keys."""
     rows = t.events.select("event_id", "event_type", "ts", "value")
     by, order = ["event_type"], ["ts", "event_id"]
-    out = windows.framed(rows, by, order, {"total": ("sum", "value"), "least": ("min", "value")}, None, 3)
+    # a stored result is worked out once, not for each reading by the next frames
+    out = stored(windows.framed(rows, by, order, {"total": ("sum", "value"), "least": ("min", "value")}, None, 3), "frames")
     out = windows.framed(out, by, order, {"to_come": ("count", "value")}, 5, None)
     return out.select("event_id", F.round("total", 4).alias("total"), "least", "to_come")
 
@@ -193,7 +195,7 @@ def _(t: Tables):
     """Frames of a few rows around the row or before it."""
     rows = t.events.select("event_id", "event_type", "ts", "value")
     by, order = ["event_type"], ["ts", "event_id"]
-    out = windows.framed(rows, by, order, {"around": ("sum", "value"), "least": ("min", "value")}, -1, 4)
+    out = stored(windows.framed(rows, by, order, {"around": ("sum", "value"), "least": ("min", "value")}, -1, 4), "frames")
     out = windows.framed(out, by, order, {"before": ("max", "value")}, -30, -3)
     return out.select("event_id", F.round("around", 4).alias("around"), "least", "before")
 

@@ -49,13 +49,12 @@ class Sort(NamedTuple):
             return self.value.desc_nulls_last()
         return self.value.asc_nulls_last() if self.nulls_last else self.value.asc_nulls_first()
 
-    def before(self, place: str, bound, kind: str) -> str:
+    def before(self, place: str, bound: str) -> str:
         """SQL: the value at ``place`` comes before the bound."""
-        last = self.down or self.nulls_last
-        if bound is None:
-            return f"{place} IS NOT NULL" if last else "FALSE"
-        less = f"{place} {'>' if self.down else '<'} {_literal(bound, kind)}"
-        return f"coalesce({less}, {'FALSE' if last else 'TRUE'})"
+        less = f"{place} {'>' if self.down else '<'} {bound}"
+        if self.down or self.nulls_last:
+            return f"IF({bound} IS NULL, {place} IS NOT NULL, coalesce({less}, FALSE))"
+        return f"({bound} IS NOT NULL AND coalesce({less}, TRUE))"
 
 
 class Cut(NamedTuple):
@@ -76,6 +75,8 @@ def orderings(order: Sequence[str | Sort]) -> list[Column]:
 
 
 def _literal(value, kind: str) -> str:
+    if value is None:
+        return f"CAST(NULL AS {kind})"
     if isinstance(value, (bytes, bytearray)):
         return f"X'{bytes(value).hex()}'"
     if kind == "string":
@@ -91,12 +92,10 @@ def _places(df: DataFrame, columns: list[Sort]) -> DataFrame:
     return found.withColumns(times) if times else found
 
 
-def cut_of(df: DataFrame, by: Sequence[str], order: Sequence[str | Sort], slabs: int | None = None, least_rows: int = 1,
-           least_span: float = 0) -> Cut:
+def cut_of(df: DataFrame, by: Sequence[str], order: Sequence[str | Sort], slabs: int | None = None, least_rows: int = 1) -> Cut:
     """Where to cut the crowded keys of ``df``: those with more than two slabs' share of the sampled rows.
 
-    ``least_rows`` and ``least_span`` keep a slab from getting smaller than so
-    many rows, or than so wide a span of the last order column, a number.
+    ``least_rows`` keeps a slab from getting smaller than so many rows.
     """
     slabs = min(SLABS, slabs or max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     columns = [*_sorts(by), *_sorts(order)]
@@ -113,12 +112,10 @@ def cut_of(df: DataFrame, by: Sequence[str], order: Sequence[str | Sort], slabs:
         key, end = rows[at][:n], at
         while end < len(rows) and _same(rows[end][:n], key):
             end += 1
-        inner, last = [], -math.inf
+        inner = []
         for i in range(at + step, end - step // 2, step):
-            near = least_span and (rows[i][-1] is None or rows[i][-1] < last + least_span)
-            if not near and not _same(rows[i], rows[i - 1]):
+            if not _same(rows[i], rows[i - 1]):
                 inner.append((*key, 1, *(v[:LONG_TEXT] if isinstance(v, str) else v for v in rows[i][n:])))
-                last = rows[i][-1] if least_span else last
         if end - at > 2 * step and inner:
             none = (None,) * len(order)
             bounds += [(*key, 0, *none), *inner, (*key, 2, *none)]
@@ -130,48 +127,44 @@ def _same(a: tuple, b: tuple) -> bool:
     return all(x == y or (x != x and y != y) for x, y in zip(a, b))
 
 
-def with_slab(df: DataFrame, cut: Cut, order: Sequence[Column] | None = None, name: str = "_slab") -> DataFrame:
+def with_slab(df: DataFrame, cut: Cut, name: str = "_slab") -> DataFrame:
     """``df`` with the row's slab, 0 for keys that are not cut; the slabs of a key are numbered in a row along its order.
 
-    The search is a tree of comparisons as deep as the logarithm of the number
-    of bounds. ``order``: other values in place of the order columns.
+    The bounds are one array, searched by halves: what is planned and compiled does not grow with their number.
     """
     if not cut.bounds:
         return df.withColumn(name, F.lit(0))
-    by, columns = cut.by, [*cut.columns[:cut.by], *(map(Sort, order) if order else cut.columns[cut.by:])]
-    rows = _places(df, columns)
-
-    def is_before(bound: tuple) -> str:
-        """SQL: the row comes before the bound."""
-        if bound[by] != 1:  # all rows of the key lie behind its start and before its end
-            text = "FALSE" if bound[by] == 0 else "TRUE"
-        else:
-            text = "FALSE"
-            for i in range(len(columns) - 1, by - 1, -1):
-                text = _then(cut.columns[i], i, bound[i + 1], cut.types[i], text)
-        for i in range(by - 1, -1, -1):
-            text = _then(cut.columns[i], i, bound[i], cut.types[i], text)
-        return text
-
+    by, many = cut.by, len(cut.bounds)
+
+    def struct(values: list[str], kind: int) -> str:
+        named = [f"'c{i}', nullif({v}, NULL)" for i, v in enumerate(values)]  # may be null on both sides: no cast of the struct for each comparison
+        return f"named_struct({', '.join([*named[:by], f"'kind', {kind}", *named[by:]])})"
+
+    def literal(bound: tuple) -> str:
+        return struct([_literal(v, kind) for v, kind in zip([*bound[:by], *bound[by + 1:]], cut.types)], bound[by])
+
+    here = "get(_bounds, _behind + _step - 1)"
+
+    def then(i: int, rest: str) -> str:
+        """SQL: before the bound in this column, or equal there and ``rest``."""
+        place, bound = f"_here{i}", f"{here}.c{i}"
+        return f"({cut.columns[i].before(place, bound)} OR ({place} <=> {bound} AND {rest}))"
+
+    text = "FALSE"
+    for i in range(len(cut.columns) - 1, by - 1, -1):
+        text = then(i, text)
+    # all rows of the key lie behind its start and before its end
+    text = f"({here}.kind = 2 OR {here}.kind = 1 AND {text})"
+    for i in range(by - 1, -1, -1):
+        text = then(i, text)
+    if not any(c.down or c.nulls_last for c in cut.columns):  # the order of structs, in one comparison
+        text = f"{here} > {struct([f'_here{i}' for i in range(len(cut.columns))], 1)}"
+    steps = ", ".join(str(1 << i) for i in range(many.bit_length() - 1, -1, -1))
+    found = f"aggregate(array({steps}), 0, (_behind, _step) -> IF(_behind + _step <= {many} AND NOT {text}, _behind + _step, _behind))"
     # behind bound i lies slab i + 1, unless the bound ends its key
-    behind = [0, *(0 if b[by] == 2 else i + 1 for i, b in enumerate(cut.bounds))]
-
-    def tree(low: int, high: int) -> str:
-        if low == high:
-            return str(behind[low])
-        middle = (low + high) // 2
-        return f"CASE WHEN {is_before(cut.bounds[middle])} THEN {tree(low, middle)} ELSE {tree(middle + 1, high)} END"
-
-    return rows.withColumn(name, F.expr(tree(0, len(cut.bounds)))).drop(*[f"_here{i}" for i in range(len(columns))])
-
-
-def _then(column: Sort, i: int, bound, kind: str, rest: str) -> str:
-    """SQL: before the bound in this column, or equal there and ``rest``."""
-    before = column.before(f"_here{i}", bound, kind)
-    if rest == "FALSE":
-        return before
-    same = f"_here{i} IS NULL" if bound is None else f"_here{i} <=> {_literal(bound, kind)}"
-    return f"({before} OR ({same} AND {rest}))"
+    slabs = ", ".join(["0", *("0" if b[by] == 2 else str(i + 1) for i, b in enumerate(cut.bounds))])
+    rows = _places(df, cut.columns).withColumn("_bounds", F.expr(f"array({', '.join(map(literal, cut.bounds))})"))
+    return rows.withColumn(name, F.expr(f"get(array({slabs}), {found})")).drop("_bounds", *[f"_here{i}" for i in range(len(cut.columns))])
 
 
 def by_slabs(df: DataFrame, by: Sequence[str], order: Sequence[str], plain: Callable[[DataFrame], DataFrame],
@@ -188,6 +181,15 @@ def inside(by: Sequence[str], order: Sequence[str]):
     return Window.partitionBy(*by, "_slab").orderBy(*order)
 
 
+def _rows_of(by: Sequence[str], order: Sequence[str], start: int | None, end: int | None):
+    """Rows of the key from ``start`` to ``end``. Spark goes through a frame that ends with the last row anew for each row;
+    one that starts with the first row only grows. So the former is the latter in the opposite order."""
+    if start is not None and end is None:
+        return Window.partitionBy(*by).orderBy(*[F.desc_nulls_last(c) for c in order]).rowsBetween(Window.unboundedPreceding, -start)
+    return Window.partitionBy(*by).orderBy(*order).rowsBetween(
+        Window.unboundedPreceding if start is None else start, Window.unboundedFollowing if end is None else end)
+
+
 def earlier(by: Sequence[str]):
     """Of one row per key and slab: the slabs before this one."""
     return Window.partitionBy(*by).orderBy("_slab").rowsBetween(Window.unboundedPreceding, -1)
@@ -297,16 +299,13 @@ def framed(df: DataFrame, by: Sequence[str], order: Sequence[str], values: Mappi
     if start is not None and end is not None and start > end:
         raise ValueError("a frame starts no later than it ends")
     parts = _parts(values)
-    low = Window.unboundedPreceding if start is None else start
-    high = Window.unboundedFollowing if end is None else end
     reach = max(0, -(start or 0)) + max(0, end or 0)
 
     def over(rows: DataFrame, window) -> DataFrame:
         return rows.withColumns({name: _partial(*key).over(window) for name, key in parts.items()})
 
     def plain(rows: DataFrame) -> DataFrame:
-        found = over(rows, Window.partitionBy(*by).orderBy(*order).rowsBetween(low, high))
-        return found.select(*df.columns, *_results(parts, values))
+        return over(rows, _rows_of(by, order, start, end)).select(*df.columns, *_results(parts, values))
 
     def cut(rows: DataFrame) -> DataFrame:
         if start is not None and end is not None:
@@ -336,9 +335,7 @@ def _open(rows: DataFrame, by: Sequence[str], order: Sequence[str], parts: Mappi
     """Frames without a first or a last row: the slab's own part, and what all slabs on the open sides hold. A closed
     side that is not the row itself is added by a short frame behind it, or taken from the row where it ends."""
     side = 0 if start is None and end is None else (end if start is None else start)
-    low = Window.unboundedPreceding if start is None else 0
-    high = Window.unboundedFollowing if end is None else 0
-    local = over(rows, inside(by, order).rowsBetween(low, high))
+    local = over(rows, _rows_of([*by, "_slab"], order, None if start is None else 0, None if end is None else 0))
     totals = rows.groupBy(*by, "_slab").agg(*[_partial(*key).alias(f"_slab{name}") for name, key in parts.items()])
     more = {}
     for name, (kind, _) in parts.items():
@@ -375,8 +372,9 @@ def framed_by_value(df: DataFrame, by: Sequence[str], at: str, values: Mapping[s
     of equal ``at`` share a frame, so they are merged first, and the frames run over distinct values. Rows whose ``at`` is
     null share a frame of their own, and lie in those without a first row, as in a plain window (nulls first).
 
-    A slab is at least as wide as a bounded frame, so a row is copied to few slabs, and a frame wider than most of a key
-    is one task's work.
+    No frame is gone through value by value: the line is laid out in blocks as wide as a bounded frame, which then is the
+    end of one block and the start of the next. Where the frames end is asked among the values themselves, by rows
+    without values of their own; the sums from a block's start, and to its end, are open frames over rows.
     """
     parts = _parts(values)
     kind = df.schema[at].dataType
@@ -393,46 +391,33 @@ def framed_by_value(df: DataFrame, by: Sequence[str], at: str, values: Mapping[s
     if low is not None and high is not None and low > high:
         raise ValueError("a frame starts no later than it ends")
     groups = df.withColumn("_at", place.cast("long")).groupBy(*by, "_at").agg(*[_partial(*key).alias(n) for n, key in parts.items()])
-    merge = {n: _MERGE[k](n) for n, (k, _) in parts.items()}
-    frame = (Window.unboundedPreceding if low is None else int(low), Window.unboundedFollowing if high is None else int(high))
-
-    def plain(rows: DataFrame) -> DataFrame:
-        window = Window.partitionBy(*by).orderBy("_at").rangeBetween(*frame)
-        return rows.withColumns({n: m.over(window) for n, m in merge.items()})
-
-    def cut(rows: DataFrame, where: Cut) -> DataFrame:
-        # a row is in the frames of the rows from its own place less ``high`` to less ``low``
-        skip = [int(high is not None and low is None and high < 0), int(low is not None and high is None and low > 0)]
-        at_slab = F.col("_slab")
-        first = with_slab(rows, where, [F.col("_at") - (high or 0)], "_first")
-        both = with_slab(first, where, [F.col("_at") - (low or 0)], "_last")
-        from_ = F.least("_first", at_slab) if high is not None else at_slab - skip[1]
-        upto = F.greatest("_last", at_slab) if low is not None else at_slab + skip[0]
-        copies = both.withColumn("_own", at_slab).withColumn("_slab", F.explode(F.sequence(from_, upto))).drop("_first", "_last")
-        window = inside(by, ["_at"]).rangeBetween(*frame)
-        local = copies.withColumns({n: m.over(window) for n, m in merge.items()}).where("_own = _slab").drop("_own")
-        if low is not None and high is not None:
-            return local
-        totals = rows.groupBy(*by, "_slab").agg(*[m.alias(f"_slab{n}") for n, m in merge.items()])
-        slabs = Window.partitionBy(*by).orderBy("_slab")
-        more = {}
-        for n, (k, _) in parts.items():
-            sides = []
-            if low is None:
-                sides.append(_MERGE[k](f"_slab{n}").over(slabs.rangeBetween(Window.unboundedPreceding, -1 - skip[0])))
-            if high is None:
-                sides.append(_MERGE[k](f"_slab{n}").over(slabs.rangeBetween(1 + skip[1], Window.unboundedFollowing)))
-            more[f"_more{n}"] = sides[0] if len(sides) == 1 else _merged(k, *sides)
-        found = carry(local, totals.select(*by, "_slab", *[c.alias(n) for n, c in more.items()]), by)
-        return found.withColumns({n: _merged(k, F.col(n), F.col(f"_more{n}")) for n, (k, _) in parts.items()}).drop(*more)
-
-    span = max([0, *(abs(x) for x in (low, high) if x is not None), (high - low) if low is not None and high is not None else 0])
-    where = cut_of(groups, by, ["_at"], least_span=float(span) if span else 0)
-    if not where.bounds:
-        found = plain(groups)
+    merge = {n: _MERGE[k] for n, (k, _) in parts.items()}
+    running = {f"_run{n}": ("sum" if k == "count" else k, n) for n, (k, _) in parts.items()}
+    block = []
+
+    def asked(offset: int, probe: int) -> DataFrame:
+        """The sums up to (``probe`` 1) or from (-1) the places that lie ``offset`` behind those of the values."""
+        asks = F.lit(True)
+        if block and probe > 0:  # a frame that starts with a block is that block
+            asks = F.coalesce((F.col("_at") + low) % wide != 0, F.lit(False))
+        none = [F.lit(None).cast(groups.schema[n].dataType).alias(n) for n in parts]
+        itself = F.struct("_at", F.lit(0).alias("_probe"), F.lit(None).cast("long").alias("_own"), *parts)
+        its_probe = F.struct((F.col("_at") + offset).alias("_at"), F.lit(probe).alias("_probe"), F.col("_at").alias("_own"), *none)
+        both = groups.select(*by, F.explode(F.when(asks, F.array(itself, its_probe)).otherwise(F.array(itself))).alias("_x")).select(*by, "_x.*")
+        if block:  # rounded down
+            both = both.withColumn("_block", F.expr(f"_at div {wide}L - int(_at % {wide}L < 0)"))
+        found = framed(both, [*by, *block], ["_at", "_probe"], running, None if probe > 0 else 0, 0 if probe > 0 else None)
+        return found.where(F.col("_probe") != 0).select(*by, F.col("_own").alias("_at"), *[F.col(f"_run{n}").alias(n) for n in parts])
+
+    if low is None and high is None:
+        found = framed(groups, by, ["_at"], running, None, None).select(*by, "_at", *[F.col(f"_run{n}").alias(n) for n in parts])
+    elif low is None:
+        found = asked(int(high), 1)
+    elif high is None:
+        found = asked(int(low), -1)
     else:
-        rows = with_slab(groups, where)
-        found = plain(rows.where("_slab = 0").drop("_slab")).unionByName(cut(rows.where("_slab > 0"), where).drop("_slab"))
+        wide, block = int(high) - int(low) + 1, ["_block"]
+        found = asked(int(low), -1).unionByName(asked(int(high), 1)).groupBy(*by, "_at").agg(*[m(n).alias(n) for n, m in merge.items()])
     keyed = join_same(df.withColumn("_at", place.cast("long")), found, [*by, "_at"])
     return keyed.select(*df.columns, *_results(parts, values))
 

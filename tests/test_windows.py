@@ -288,3 +288,19 @@ def test_intervals_of_any_width_and_with_open_ends(spark):
     assert got == [(n, i) for n, v in enumerate(values) for i, (lo, hi) in enumerate(ends)
                    if v is not None and (lo is None or v >= lo) and (hi is None or v < hi)]
     assert interval_join(rows_, "v", intervals.limit(0), "lo", "hi", 2.0).count() == 0
+
+
+@pytest.mark.parametrize("start, end", [(0, None), (6, None), (-3, None)])
+def test_frames_up_to_the_last_row_only_grow(events, eight, start, end):
+    """Spark goes through a frame from the row to the last one anew for each row."""
+    out = windows.framed(events, BY, ORDER, {"n": ("count", "v")}, start, end)
+    plan = out._jdf.queryExecution().analyzed().toString().lower()
+    assert "currentrow$(), unboundedfollowing$()" not in plan
+
+
+def test_many_bounds_make_no_larger_plan(spark, monkeypatch):
+    """The bounds are one array: what is compiled is the same for 30 and for 300 slabs."""
+    df = spark.range(4000).select(F.lit("k").alias("k"), "id")
+    nodes = [windows.with_slab(df, windows.cut_of(df, ["k"], ["id"], n))._jdf.queryExecution().analyzed().toString().lower().count("if ")
+             for n in (30, 300)]
+    assert nodes[0] == nodes[1] > 0
