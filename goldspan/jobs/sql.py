@@ -207,7 +207,7 @@ def _(t: Tables):
     """Frames of a span of time, over the few event types."""
     rows = t.events.select("event_id", "event_type", "ts", "value")
     values = {"week": ("sum", "value"), "least": ("min", "value"), "most": ("max", "value")}
-    out = windows.framed_by_value(rows, ["event_type"], "ts", values, -timedelta(days=7), 0)
+    out = stored(windows.framed_by_value(rows, ["event_type"], "ts", values, -timedelta(days=7), 0), "frames")
     out = windows.framed_by_value(out, ["event_type"], "ts", {"so_far": ("count", "event_id")}, None, timedelta(hours=1))
     return out.select("event_id", F.round("week", 4).alias("week"), "least", "most", "so_far")
 

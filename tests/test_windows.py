@@ -304,3 +304,9 @@ def test_many_bounds_make_no_larger_plan(spark, monkeypatch):
     nodes = [windows.with_slab(df, windows.cut_of(df, ["k"], ["id"], n))._jdf.queryExecution().analyzed().toString().lower().count("if ")
              for n in (30, 300)]
     assert nodes[0] == nodes[1] > 0
+
+
+def test_frames_of_values_are_not_gone_through(events, eight):
+    """A frame of values that slides is gone through anew for each value: there is none in the plan."""
+    out = windows.framed_by_value(events, BY, "t", {"s": ("sum", "v"), "lo": ("min", "v")}, -20, 0)
+    assert "RangeFrame" not in out._jdf.queryExecution().analyzed().toString()
