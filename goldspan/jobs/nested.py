@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from goldspan.jobs.base import Tables, job
 from goldspan.operators import nested as n
-from goldspan.sources.lake import map_batches, map_files
+from goldspan.sources.lake import map_batches, map_file_pages
 
 
 @job("fn_find_keys", """
@@ -61,14 +63,17 @@ def _(t: Tables):
 @job("udf_file_callback", """SELECT o_orderkey, o_orderstatus || '/' || o_orderpriority AS label, place FROM
      (SELECT *, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS place FROM orders) WHERE o_totalprice > 250000""")
 def _(t: Tables):
-    """A user's function on the frame of a file: it ranks the file's rows, which takes all of them."""
-    def file_frame(frame: pd.DataFrame) -> pd.DataFrame:
-        ranked = frame.sort_values(["o_totalprice", "o_orderkey"], ascending=[False, True], ignore_index=True)
-        kept = ranked[ranked["o_totalprice"] > 250000]
-        return pd.DataFrame({"o_orderkey": kept["o_orderkey"], "label": kept["o_orderstatus"] + "/" + kept["o_orderpriority"], "place": kept.index + 1})
+    """A user's function on all rows of a file, in pages of the order it needs: it ranks them, which takes all of them."""
+    def ranked(pages: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        before = 0
+        for page in pages:
+            place = pd.Series(range(before + 1, before + len(page) + 1), dtype="int64")
+            before += len(page)
+            kept = page["o_totalprice"] > 250000
+            yield pd.DataFrame({"o_orderkey": page["o_orderkey"], "label": page["o_orderstatus"] + "/" + page["o_orderpriority"], "place": place})[kept]
 
     columns = t.orders.select("o_orderkey", "o_totalprice", "o_orderstatus", "o_orderpriority")
-    return map_files(columns, file_frame, "o_orderkey long, label string, place long")
+    return map_file_pages(columns, ranked, "o_orderkey long, label string, place long", [F.desc("o_totalprice"), "o_orderkey"])
 
 
 @job("udf_step", """SELECT c_mktsegment, count(*) AS n, round(sum(c_acctbal), 2) AS balance FROM customer

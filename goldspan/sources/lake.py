@@ -8,10 +8,11 @@ month a partition filter: Spark settles both before it opens a file.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from goldspan.names import LAKE_SPACES, SCAN_KEYS
@@ -144,17 +145,21 @@ def first_records(df: DataFrame, n: int) -> DataFrame:
     return first_rows(df, keys, n)
 
 
+def _placed(df: DataFrame, file: str | None) -> tuple[DataFrame, str, list[str]]:
+    """``df`` with the place of each row in its file, the column with the file's name, the columns a callback sees."""
+    if file is None:
+        file, df = FILE, df.withColumn(FILE, F.col("_metadata.file_path"))
+    return df.withColumn("_place", F.monotonically_increasing_id()), file, [c for c in df.columns if c != file]
+
+
 def map_files(df: DataFrame, callback: Callable, schema=None, file: str | None = None) -> DataFrame:
     """``callback(pandas frame) -> pandas frame`` on all rows of a file at once, whatever Arrow batches they come in.
 
     ``df`` scans files, or has the file's name in the column ``file``, which the
-    callback does not see. A file is one group: its writer bounds its size.
-    The rows keep the order they have in the file.
+    callback does not see. A file is one group: its writer bounds its size; for
+    files of any size see ``map_file_pages``. The rows keep the order they have in the file.
     """
-    if file is None:
-        file, df = FILE, df.withColumn(FILE, F.col("_metadata.file_path"))
-    rest = [c for c in df.columns if c != file]
-    placed = df.withColumn("_place", F.monotonically_increasing_id())
+    placed, file, rest = _placed(df, file)
 
     def run(frame):
         return callback(frame.sort_values("_place", ignore_index=True)[rest])
@@ -162,6 +167,23 @@ def map_files(df: DataFrame, callback: Callable, schema=None, file: str | None =
     return placed.groupBy(file).applyInPandas(run, schema or df.select(*rest).schema)
 
 
+def map_file_pages(df: DataFrame, callback: Callable, schema=None, order_by: Sequence[str | Column] = (), file: str | None = None) -> DataFrame:
+    """``callback(pandas frames) -> pandas frames`` on all rows of a file, page after page, both as iterators.
+
+    The callback is called once for each file. Spark puts the file's rows in the order
+    ``order_by``, equal ones and by default all as they lie in the file, on disk where
+    memory ends; Python holds a page (Arrow batch) at a time, however large the file is.
+    ``df`` and ``file`` as for ``map_files``.
+    """
+    placed, file, rest = _placed(df, file)
+
+    def run(pages: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield from callback(page[rest] for page in pages)
+
+    ordered = placed.repartition(file).sortWithinPartitions(file, *order_by, "_place")  # the grouping keeps this order
+    return ordered.groupBy(file).applyInPandas(run, schema or df.select(*rest).schema)
+
+
 def map_batches(df: DataFrame, callback: Callable, schema) -> DataFrame:
     """``callback(pandas frame) -> pandas frame`` on every Arrow batch of a result, its page."""
     def run(batches):

@@ -263,6 +263,30 @@ def test_a_file_callback_keeps_the_order_of_the_file(spark, folder):
     assert [r["id"] for r in first.collect()] == [499, 498, 497] and first.columns == ["id"]
 
 
+def test_a_file_of_any_size_reaches_a_callback_in_pages(spark, folder):
+    """Two files: one call for each, all rows in the order asked for, equal ones and by default all as they lie; no more than a page at once."""
+    from goldspan.sources.lake import map_file_pages
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        for start in (0, 1000):
+            spark.range(start, start + 700).select("id", (F.col("id") * 7919 % 101).alias("v")).orderBy(F.desc("id")).coalesce(1).write.mode("append").parquet(folder)
+
+        def ranked(pages):
+            before = 0
+            for page in pages:
+                yield page.assign(place=range(before, before + len(page)), page=len(page))
+                before += len(page)
+
+        for order, by in (([F.desc("v")], lambda i: (-(i * 7919 % 101), -i)), ([], lambda i: -i)):
+            out = map_file_pages(spark.read.parquet(folder), ranked, "id long, v long, place long, page long", order).collect()
+            want = {i: r for start in (0, 1000) for r, i in enumerate(sorted(range(start, start + 700), key=by))}
+            assert {r["id"]: r["place"] for r in out} == want and len(out) == 1400 and max(r["page"] for r in out) <= 100
+        first = map_file_pages(spark.read.parquet(folder), lambda pages: (next(pages).head(1) for _ in range(1)))
+        assert sorted(r["id"] for r in first.collect()) == [699, 1699] and first.columns == ["id", "v"]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 @pytest.mark.parametrize("values, kind", [
     ([9007199254740993, 1.5], "decimal(38,1)"), ([9007199254740992, 1.5], "double"), ([9007199254740993, 1e-30], "string"), ([2 ** 63, 1], "decimal(38,0)"),
     ([10 ** 40, 1], "string"), ([-(2 ** 63), 2 ** 53 + 1], "bigint"), ([1, 0.25, None], "double"), ([10 ** 400, 1.5], "string"), ([2 ** 60 + 1, -0.001, None], "decimal(38,3)")])
