@@ -19,14 +19,15 @@ RANGE includes its lower and excludes its upper end; ranges may overlap.
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import partial
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import (ArrayType, BooleanType, DateType, DecimalType, NumericType, StringType, TimestampNTZType,
-                               TimestampType)
+from pyspark.sql.types import (ArrayType, BinaryType, BooleanType, DataType, DateType, DecimalType, NumericType, StringType,
+                               TimestampNTZType, TimestampType)
 
 from goldspan.functions.keys import join_same
 from goldspan.names import VALUES
@@ -100,17 +101,29 @@ class Aggregation:
         return self.params.get(name, default) if isinstance(self.params, Mapping) else default
 
 
-def _metric_columns(agg: Aggregation, value: Column) -> list[Column]:
+def _extreme(find: Callable[[Column], Column], value: Column, kind: DataType) -> Column:
+    """The least or greatest value of a group.
+
+    Spark's hash aggregates change values of fixed width only: for a text it would sort all
+    records first. Beside an aggregate that keeps objects (here an empty set) it hashes them.
+    """
+    if not isinstance(kind, StringType | BinaryType):
+        return find(value)
+    return F.coalesce(find(value), F.get(F.collect_set(F.lit(None).cast(kind)), F.lit(0)))
+
+
+def _metric_columns(agg: Aggregation, value: Column, kind: DataType) -> list[Column]:
     n = agg.name
     if agg.kind == "CARDINALITY":
         exact = agg.option("exact", False)
         return [(F.count_distinct(value) if exact else F.approx_count_distinct(value, CLOSE)).alias(n)]
-    single = {"MINIMUM": F.min, "MAXIMUM": F.max, "AVERAGE": F.avg, "COUNT": F.count, "SUM": F.sum}
+    least, greatest = (partial(_extreme, find, kind=kind) for find in (F.min, F.max))
+    single = {"MINIMUM": least, "MAXIMUM": greatest, "AVERAGE": F.avg, "COUNT": F.count, "SUM": F.sum}
     if agg.kind in single:
         return [single[agg.kind](value).alias(n)]
     columns = [
-        F.count(value).alias(f"{n}_count"), F.min(value).alias(f"{n}_min"),
-        F.max(value).alias(f"{n}_max"), F.avg(value).alias(f"{n}_avg"),
+        F.count(value).alias(f"{n}_count"), least(value).alias(f"{n}_min"),
+        greatest(value).alias(f"{n}_max"), F.avg(value).alias(f"{n}_avg"),
         F.sum(value).alias(f"{n}_sum"),
     ]
     if agg.kind == "EXTENDED_STATS":
@@ -127,7 +140,9 @@ def _metric_columns(agg: Aggregation, value: Column) -> list[Column]:
 
 def _metrics(aggs, rows: DataFrame) -> list[Column]:
     get = record_getter(rows.columns)
-    return [c for a in aggs if a.kind in METRICS for c in _metric_columns(a, get(a.field))]
+    asked = [a for a in aggs if a.kind in METRICS]
+    kinds = [f.dataType for f in rows.select(*[get(a.field).alias(f"_{i}") for i, a in enumerate(asked)]).schema]
+    return [c for a, kind in zip(asked, kinds) for c in _metric_columns(a, get(a.field), kind)]
 
 
 def _key_columns(rows: DataFrame, agg: Aggregation) -> tuple[dict[str, Column], list[str]]:
@@ -324,10 +339,13 @@ def _scoped(rows: DataFrame, agg: Aggregation, tables) -> DataFrame:
 # A metric that can be worked out of partial results of finer buckets.
 _PARTS = {"MINIMUM": ("min",), "MAXIMUM": ("max",), "COUNT": ("count",), "SUM": ("sum",), "AVERAGE": ("sum", "count"),
           "STATS": ("count", "min", "max", "sum")}
-_MERGED = {"min": F.min, "max": F.max, "sum": F.sum, "count": F.sum}
 _KEYED_ONCE = {"TERM", "TERMS", "HISTOGRAM", "DATE_HISTOGRAM"}  # a record is in one bucket at most
 
 
+def _part(part: str, value: Column, kind: DataType) -> Column:
+    return _extreme(getattr(F, part), value, kind) if part in ("min", "max") else getattr(F, part)(value)
+
+
 def _mergeable(agg: Aggregation, rows: DataFrame) -> bool:
     if agg.kind not in _KEYED_ONCE:
         return False
@@ -369,7 +387,8 @@ class _Partials:
             columns, keys = _key_columns(keyed, a)
             keyed = keyed.withColumns(columns)
             self.keys.append(keys)
-        parts = [getattr(F, part)(value_of[field]).alias(name) for (part, field), name in self.names.items()]
+        kinds = {f.name: f.dataType for f in keyed.schema}
+        parts = [_part(part, F.col(value_of[field]), kinds[value_of[field]]).alias(name) for (part, field), name in self.names.items()]
         keyed = keyed.dropna(subset=self.keys[0])
         finest = keyed.groupBy(*parents, *[k for keys in self.keys for k in keys]).agg(F.count(F.lit(1)).alias("_count"), *parts)
         self.frame = stored(finest, "buckets")
@@ -380,7 +399,8 @@ class _Partials:
         rows = self.frame.dropna(subset=keys)
         if kept is not None:
             rows = join_same(rows, kept, kept.columns, "left_semi")
-        merged = [_MERGED[part](name).alias(name) for (part, _), name in self.names.items()]
+        kinds = {f.name: f.dataType for f in rows.schema}
+        merged = [_part("sum" if part == "count" else part, F.col(name), kinds[name]).alias(name) for (part, _), name in self.names.items()]
         found = rows.groupBy(*parents, *keys).agg(F.sum("_count").alias("doc_count"), *merged)
         return found.select(*parents, *keys, "doc_count", *[c for m in agg.sub if m.kind in METRICS for c in self._metric(m)])
 

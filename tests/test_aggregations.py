@@ -25,6 +25,20 @@ def test_term_ranks_by_count_then_key_and_skips_nulls(sales):
     assert [tuple(r) for r in aggregate(sales, A("TERM", "s", "shop", size=1))["s"].collect()] == [("a", 3)]
 
 
+def test_the_greatest_text_is_found_without_sorting_the_records(sales):
+    """A hash aggregate on every level, also of merged ones; groups without a text have none."""
+    text = (A("MAXIMUM", "last", "item"), A("MINIMUM", "first", "item"), A("STATS", "s", "price"))
+    out = aggregate(sales, A("TERM", "shop", "shop", size=0, sub=text))["shop"]
+    assert rows(out.select("shop", "first", "last", "s_max")) == [("a", "x", "y", 4.0), ("b", "x", "x", 8.0), ("c", "z", "z", 2.0)]
+    deep = aggregate(sales, A("TERM", "shop", "shop", size=0, sub=(*text, A("TERM", "price", "price", size=0, sub=text))))
+    assert rows(deep["shop"].select("shop", "first", "last")) == [("a", "x", "y"), ("b", "x", "x"), ("c", "z", "z")]
+    assert rows(deep["shop.price"].where("shop = 'a'").select("price", "last")) == [(1.0, "x"), (2.0, "y"), (4.0, "y")]
+    for frame in (out, deep["shop"], deep["shop.price"]):
+        assert "SortAggregate" not in frame._jdf.queryExecution().sparkPlan().toString()
+    empty = metrics(sales.where("item is null"), [A("MAXIMUM", "last", "item")])
+    assert [tuple(r) for r in empty.collect()] == [(None,)]
+
+
 def test_terms_needs_every_field(sales):
     out = aggregate(sales, A("TERMS", "k", ["shop", "item"]))["k"]
     assert rows(out) == [("a", "x", 1), ("a", "y", 2), ("b", "x", 1), ("c", "z", 1)]
