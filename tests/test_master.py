@@ -142,6 +142,22 @@ def test_merge_sorts_only_what_ties(spark):
     assert "SortAggregate" not in plan and "ShuffledHashJoin" in plan
 
 
+def test_a_narrow_merge_finds_the_same_and_sends_records_once(spark):
+    """Nulls among ids, counters and columns, ties, a hot id; each task reduces an id's records before they are sent."""
+    rng = random.Random(9)
+    data = [(rng.choice([None, *"abcdefgh"]), rng.choice([None, 1, 2, 3]), rng.choice([None, True, False]), rng.choice([None, 1, 2])) for _ in range(300)]
+    data += [("hot", i % 9, False, i % 50) for i in range(400)] + [("lone", None, False, 3), ("lone", None, False, 4)]
+    df = spark.createDataFrame(data, VERSIONS)
+    for deleted in (None, "mdmDeleted"):
+        assert rows(m.merge_narrow(df, deleted=deleted)) == rows(m.merge_latest(df, deleted=deleted))
+    plan = m.merge_narrow(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan and "Partial" in plan
+    ids = spark.createDataFrame([("a", 1), ("a", 1), ("b", 2)], "mdmId string, mdmCounterForEntity long")
+    assert rows(m.merge_narrow(ids, deleted=None)) == [("a", 1), ("b", 2)]
+    maps = spark.createDataFrame([("a", 1, False, {"s": "1"}), ("a", 1, False, {"s": "2"})], "mdmId string, n long, mdmDeleted boolean, x map<string,string>")
+    assert [r["x"] for r in m.merge_narrow(maps, counter="n").collect()] == [{"s": "2"}]
+
+
 def test_merge_of_ids_alone(spark):
     df = spark.createDataFrame([("a", 1), ("a", 1), ("b", 2)], "mdmId string, mdmCounterForEntity long")
     assert rows(m.merge_latest(df, deleted=None)) == [("a", 1), ("b", 2)]

@@ -83,6 +83,17 @@ def test_latest_table(spark, folder):
     assert rows(table().read()) == want
 
 
+def test_a_latest_table_sends_its_records_once(spark, folder):
+    df = spark.createDataFrame([("a", 1, False), ("a", 2, False), ("b", 1, True)], "mdmId string, mdmCounterForEntity long, mdmDeleted boolean")
+    df.write.parquet(folder)
+    table = jobs.LatestTable(spark, f"{folder}-latest")
+    table.feed(stream_of(spark, folder))
+    out = table.read()
+    assert [tuple(r) for r in out.collect()] == [("a", 2, False)]
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("FileScan") == 1 and "Join" not in plan
+
+
 def files(spark, root):
     return sorted({"/" + "/".join(f.split("/")[-3:-1]) 
                    for kind in ("bases", "deltas") if path_exists(spark, f"{root}/{kind}") for f in spark.read.parquet(f"{root}/{kind}/*").inputFiles()})
