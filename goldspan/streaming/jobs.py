@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldspan.operators.master import merge_narrow
+from goldspan.operators.master import merge_narrow as merge_latest
 from goldspan.operators.rules import Rule, errors_of
 from goldspan.session import remove_path
 from goldspan.sources.manifest import Manifest, State
@@ -51,7 +51,7 @@ class LatestTable:
             if batch_id <= self.state()["last"]:
                 return  # replayed: it is in already
             # deleted winners stay in the delta: they must beat older versions
-            newest = merge_narrow(batch, self.key, self.counter, deleted=None)
+            newest = merge_latest(batch, self.key, self.counter, deleted=None)
             folder = f"deltas/{batch_id}-{uuid.uuid4().hex[:8]}"
             newest.write.parquet(f"{self.root}/{folder}")
             self.manifest.publish(lambda s: {**s, "deltas": [*s["deltas"], folder], "last": batch_id})
@@ -65,7 +65,7 @@ class LatestTable:
         return self.spark.read.parquet(*parts)
 
     def read(self) -> DataFrame:
-        return merge_narrow(self._rows(self.state()), self.key, self.counter, self.deleted)
+        return merge_latest(self._rows(self.state()), self.key, self.counter, self.deleted)
 
     def compact(self) -> State:
         """Folds the deltas into a new base.
@@ -76,7 +76,7 @@ class LatestTable:
         old = self.manifest.versions()
         number, before = self.manifest.latest()
         folder = f"bases/{uuid.uuid4().hex[:8]}"
-        merge_narrow(self._rows(before), self.key, self.counter, deleted=None).write.parquet(f"{self.root}/{folder}")
+        merge_latest(self._rows(before), self.key, self.counter, deleted=None).write.parquet(f"{self.root}/{folder}")
         _, after = self.manifest.publish(lambda s: {**s, "base": folder, "deltas": [d for d in s["deltas"] if d not in before["deltas"]]})
         needed = {f for s in (before, after) for f in (s["base"], *s["deltas"])}
         for version, state in old.items():
