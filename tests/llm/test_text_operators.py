@@ -236,6 +236,45 @@ def test_words_beyond_the_head_get_classes_by_their_neighbours(spark, monkeypatc
         assert abs(scores[i] - want) < 1e-6
 
 
+def test_class_model_splits_texts_once(spark):
+    split = spark.sparkContext.accumulator(0)
+
+    def told(text):
+        split.add(1)
+        return text
+    df = documents(spark, [f"a b{i % 7} c{i}" for i in range(60)]).withColumn("text", F.udf(told, "string").asNondeterministic()("text"))
+    assert classlm.scores(df).count() == 60
+    assert split.value == 60
+
+
+def test_class_model_does_not_depend_on_blocks(spark, monkeypatch):
+    rng = random.Random(12)
+    odd = [" Lead and  trail\t", "x\x1cy z", "\x0b\x0c\r\n", "\u00a0Ä É\u2003b", "", None, "only " * 400]
+    texts = [" ".join(rng.choice((f"n{rng.randrange(20)}", f"v{rng.randrange(90)}")) for _ in range(12)) for _ in range(150)] + odd
+    ids = [*range(len(texts) - 2), None, 3]
+    df = documents(spark, texts, ids)
+
+    def rows():
+        return sorted(((r["doc_id"] is None, r["doc_id"] or 0, r["n_tokens"], r["n_known"], r["train_tokens"]), (r["base_score"], r["score"]))
+                      for r in classlm.scores(df).collect())
+    monkeypatch.setattr(classlm, "HEAD", 33)  # cuts among words that are equally frequent
+    whole = rows()
+    monkeypatch.setattr(classlm, "BLOCK", 300)  # many blocks, some of one long text
+    monkeypatch.setattr(classlm, "BUCKET", 500)
+    blocks = rows()
+    assert [a for a, _ in whole] == [a for a, _ in blocks]
+    np.testing.assert_allclose([x for _, x in whole], [x for _, x in blocks], atol=1e-8)
+    assert sorted(a[2] for a, _ in whole) == sorted(len((t or "").encode().split()) + 1 for t in texts)
+    model, classed = classlm.train(df, F.lit(True))
+    counts: dict = {}
+    for t in texts:
+        for w in (t or "").encode().lower().split():
+            counts[w] = counts.get(w, 0) + 1
+    order = sorted([*counts, b""], key=lambda w: (-(counts[w] if w else len(texts)), w))
+    assert list(model.place) == order[:33]
+    assert {bytes(r["word"]): r["c"] for r in classed.collect()} == {w: counts[w] for w in order[33:]}
+
+
 def test_exchange_separates_what_follows_each_other():
     pairs = np.zeros((7, 7))
     for a in range(3):
